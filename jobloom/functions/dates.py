@@ -154,13 +154,17 @@ def iso_instant(c: Column | str) -> Column:
     return F.coalesce(stamp, F.lit(""))
 
 
-def as_timestamp(c: Column) -> Column:
-    """ISO text to an instant; text without an offset is read as UTC."""
-    has_zone = c.rlike(r"[T\s]\d{2}:\d{2}.*(Z|[+-]\d{2}:?\d{2})$")
-    zoned = F.when(has_zone, c).when(c.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(c, F.lit("T00:00:00Z"))).when(
-        c.rlike(r"^\d{4}-\d{2}-\d{2}[T\s]"), F.concat(c, F.lit("Z"))
+_ZONED = r"\d{2}:\d{2}.*(Z|[+-]\d{2}:?\d{2})$"
+
+
+def as_timestamp(c: Column, clock: str = "00:00:00") -> Column:
+    """ISO text to an instant; text without an offset is read as UTC, a bare date at ``clock``."""
+    zoned = (
+        F.when(F.length(c) == 10, F.concat(c, F.lit(f"T{clock}Z")))
+        .when(c.rlike(_ZONED), c)
+        .otherwise(F.concat(c, F.lit("Z")))
     )
-    return zoned.try_cast("timestamp")
+    return F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}(?:$|[T\s])"), zoned.try_cast("timestamp"))
 
 
 def activity_seconds(published: Column, seen: Column, now: Column) -> Column:
@@ -168,11 +172,5 @@ def activity_seconds(published: Column, seen: Column, now: Column) -> Column:
 
     A date without a clock counts as noon UTC.
     """
-
-    def seconds(c: Column) -> Column:
-        c = text_or_blank(c)
-        noon = F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(c, F.lit("T12:00:00Z"))).otherwise(c)
-        return F.coalesce(F.unix_seconds(as_timestamp(noon)), F.lit(0).cast("bigint"))
-
-    known = F.when(seconds(published) != 0, seconds(published)).otherwise(seconds(seen))
-    return F.least(known, F.unix_seconds(now))
+    seconds = [F.nullif(F.unix_seconds(as_timestamp(c, "12:00:00")), F.lit(0)) for c in (published, seen)]
+    return F.least(F.coalesce(*seconds, F.lit(0)), F.unix_seconds(now))

@@ -37,9 +37,10 @@ def newest(history: DataFrame, limit: int) -> DataFrame:
     return numbered.drop("_recency")
 
 
-def public_columns(rows: DataFrame) -> DataFrame:
+def public_columns(rows: DataFrame, extra: tuple[Column, ...] = ()) -> DataFrame:
     """Public projection of stored rows (labels, not codes)."""
     return rows.select(
+        *extra,
         "position",
         "job_uid",
         text_or_blank("title").alias("title"),

@@ -14,6 +14,7 @@ def local_session(cores: str | int = "*", memory: str = "12g", **extra: str) ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName("jobloom")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8" if cores == "*" else str(cores))
