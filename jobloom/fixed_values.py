@@ -421,3 +421,88 @@ STAGING_URL = r"(?i)^https://[a-z0-9-]+\.inhire\.app/vagas/"
 EMAIL = r"(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b"
 PHONE = r"(?:\+?\d[\s().-]*){9,}"
 META_LIMITS = {"t": 180, "e": 140, "l": 120, "w": 40, "d": 40}
+
+# --- fixed values: career sites on one recruiting suite --------------------------------------------------------------------
+SUITE_SITES = {
+    "picpay": ("https://epdm.fa.la1.oraclecloud.com", "PicPay", "pt-BR", "PicPay"),
+    "bancooriginal": ("https://epdm.fa.la1.oraclecloud.com", "BancoOriginal", "pt-BR", "Banco Original"),
+    "braskem": ("https://epiw.fa.la1.oraclecloud.com", "CX_1", "pt-BR", "Braskem"),
+    "gmfinancial": ("https://fa-exvu-saasfaprod1.fa.ocs.oraclecloud.com", "CX_1003", "pt-BR", "GM Financial"),
+    "dell": ("https://iawmqy.fa.ocs.oraclecloud.com", "careers", "pt-BR", "Dell Technologies"),
+    "arcelormittal": ("https://emfg.fa.em4.oraclecloud.com", "CX_4001", "pt-BR", "ArcelorMittal"),
+    "grupomateus": ("https://fa-exvn-saasfaprod1.fa.ocs.oraclecloud.com", "CX_1", "pt-BR", "Grupo Mateus"),
+    "autozone": ("https://egud.fa.us2.oraclecloud.com", "CX_1", "en", "AutoZone"),
+    "nov": ("https://egay.fa.us6.oraclecloud.com", "CX_4001", "en", "NOV"),
+    "arcorbrasil": ("https://emqm.fa.us6.oraclecloud.com", "NossasVagas", "pt-BR", "Arcor Brasil"),
+}
+
+# --- fixed values: board names ----------------------------------------------------------------------------------------------
+REQUIRED_BOARDS = (
+    ("c6bank", "C6 Bank", None),
+    ("bees", "BEES", None),
+    ("abinbev", "AB InBev | Growth Group", None),
+    ("clara", "Clara", None),
+    ("exame", "EXAME", True),
+    ("xpinc", "XP Inc.", True),
+    ("sertradingsa", "SERTRADING", True),
+    ("elo", "Elo", True),
+    ("arcoeducacao", "Arco Educação", True),
+    ("gympass", "Wellhub", None),
+    ("ilia", "ília", True),
+    ("jusbrasil", "Jusbrasil", True),
+    ("getnet", "Getnet", None),
+    ("agilize", "Agilize", True),
+    ("inter", "Inter", None),
+)
+CARD_PAGE_COMPANIES = {
+    "full-sales-system": "Full Sales System",
+    "singularis-rh": "Singularis RH",
+    "singularis-rh/contratacaoacelerada": "Singularis RH",
+    "rehva-tech": "Rehva Tech",
+    "ataway-do-brasil": "Ataway do Brasil",
+    "bm-vagas": "BM Vagas",
+    "thera-consulting": "Thera Consulting",
+    "fourhands-brasil": "Fourhands Brasil",
+    "emiteai-solucoes-em-tecnologia": "Emiteai Soluções em Tecnologia",
+    "grupo-regazzo": "Grupo Regazzo",
+    "meirelespessoaseeducacao": "Meireles Pessoas e Educação",
+    "luzcon-digital-ltda": "Luzcon Digital",
+    "alpha-estagio": "Alpha Estágio",
+    "3am-it-services-2": "3AM IT Services",
+}
+CATALOG_COMPANIES = {
+    "vempratotvs": "TOTVS",
+    "universoecommerce": "Universo E-commerce",
+    "vidya": "Vidya",
+    "grupobridger": "Grupo Bridger",
+    "vagasolor": "Solor Tecnologia",
+    "cesed": "CESED",
+    "oncomed": "Oncomed",
+    "bramoffshore": "Bram Offshore",
+    "vagashtri": "HTRI",
+    "trabalhenagnatus": "Gnatus",
+    "einscricao": "eInscrição",
+    "afin": "AFIN Assessoria Fiscal e Contábil",
+    "vempratechfin": "Techfin",
+    "estuda": "Estuda",
+    "om30": "OM30",
+    "vagaconfidencialbrasil": "Empresa confidencial",
+    "facapartedogrupoconsulth": "Grupo Consulth",
+    "concremat": "Concremat",
+    "vagasavaeducacao": "AVA Educação",
+    "selbetti": "Selbetti",
+    "netratecnologia": "Netra Tecnologia",
+    "vagasecomex": "eCOMEX",
+}
+BOARD_TITLES = {"ciandt": "CI&T", "nubank": "Nubank"}
+ACCENTURE_LEVELS = {
+    "early career": "Júnior/Assistente", "mid-level": "Pleno", "senior level": "Sênior/Especialista",
+}
+EXCLUDED_BOARDS = ("stone", "ifoodcarreiras")
+SOURCES = (
+    "inhire", "empregare", "experian", "abler", "recrutei", "totvs", "accenture", "bradesco", "gupy", "solides",
+    "geekhunter", "github", "infojobs", "nerdin", "docusign", "dbccompany", "cloudwalk", "providerit", "fiserv",
+    "metalfrio", "revolut", "inlog", "nestle", "stone", "ifood", "picpay", "bancooriginal", "braskem", "gmfinancial",
+    "dell", "arcelormittal", "grupomateus", "autozone", "nov", "arcorbrasil", "themuse", "remotive", "jobicy",
+    "remoteok", "himalayas", "workingnomads", "arbeitnow", "weworkremotely", "wise", "greenhouse", "lever", "ashby",
+)

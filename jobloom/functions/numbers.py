@@ -84,7 +84,7 @@ def salary_text(low: Column, high: Column, currency: Column) -> Column:
 
     def amount(value: Column) -> Column:
         number = F.when(code == "BRL", _pt_number(value, 2)).otherwise(_pt_number(value, 0))
-        return F.when(F.coalesce(value, F.lit(0.0)) != 0, F.concat(symbol, F.lit(" "), number))
+        return F.when(F.coalesce(value, F.lit(0.0)) != 0, F.concat(symbol, F.lit("\u00a0"), number))
 
     lo, hi = amount(low), amount(high)
     return (

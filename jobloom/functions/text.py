@@ -53,6 +53,11 @@ def text_or_blank(c: Column | str) -> Column:
     return F.coalesce(_c(c).cast("string"), F.lit(""))
 
 
+def once(c: Column, use) -> Column:
+    """``use(c)`` with ``c`` evaluated a single time, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 # ---------------------------------------------------------------- folds
 
 
@@ -163,12 +168,16 @@ def _unescape_piece(piece: Column, names: Column, numeric: str, windows: bool) -
 
 def _unescape(c: Column, names: dict[str, str], numeric: str, windows: bool) -> Column:
     table = _entity_names(names)
-    pieces = F.split(c, "&")
-    rest = F.transform(
-        F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))),
-        lambda p: _unescape_piece(p, table, numeric, windows),
-    )
-    return F.when(F.instr(c, "&") == 0, c).otherwise(F.concat(pieces[0], F.array_join(rest, "")))
+
+    def resolve(text: Column) -> Column:
+        pieces = F.split(text, "&")
+        rest = F.transform(
+            F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))),
+            lambda p: _unescape_piece(p, table, numeric, windows),
+        )
+        return F.when(F.instr(text, "&") == 0, text).otherwise(F.concat(pieces[0], F.array_join(rest, "")))
+
+    return once(c, resolve)
 
 
 def unescape(c: Column | str) -> Column:

@@ -95,7 +95,7 @@ def _folded(value: str) -> str:
     import unicodedata
 
     text = unicodedata.normalize("NFD", value or "")
-    return "".join(ch for ch in text if not "̀" <= ch <= "ͯ").lower().strip()
+    return "".join(ch for ch in text if not "\u0300" <= ch <= "\u036f").lower().strip()
 
 
 def criteria(spec: SearchSpec, now: Column) -> Column:

@@ -55,7 +55,7 @@ def write_csv(cells: DataFrame, path: str, order: list[Column] | None = None) ->
     names = cells.columns
     head = spark.range(1).select(
         F.lit(0).alias("_part"),
-        F.concat(F.lit("﻿"), F.concat_ws(";", *[csv_cell(F.lit(n)) for n in names])).alias("value"),
+        F.concat(F.lit("\ufeff"), F.concat_ws(";", *[csv_cell(F.lit(n)) for n in names])).alias("value"),
     )
     body = cells.select(F.lit(1).alias("_part"), F.concat_ws(";", *[F.col(f"`{n}`") for n in names]).alias("value"), *(
         [c.alias(f"_o{i}") for i, c in enumerate(order)] if order else []
