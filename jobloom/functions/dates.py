@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from jobloom import fixed_values as fx
-from jobloom.functions.text import lookup, squeeze, strip, text_or_blank
+from jobloom.functions.text import lookup, once, squeeze, strip, text_or_blank
 
 
 def day(c: Column) -> Column:
@@ -31,7 +31,7 @@ def epoch_date(c: Column) -> Column:
     """Epoch seconds or milliseconds as ISO text; blank when not an integer."""
     number = strip(c.cast("string")).try_cast("bigint")
     seconds = F.when(number > 10_000_000_000, F.floor(number / 1000)).otherwise(number)
-    return F.coalesce(F.when(seconds.between(-62135596800, 253402300799), _utc_text(seconds)), F.lit(""))
+    return once(seconds, lambda s: F.coalesce(F.when(s.between(-62135596800, 253402300799), _utc_text(s)), F.lit("")))
 
 
 _STAMP = r"^(\d{4}-\d{2}-\d{2})[T\s](\d{2}):(\d{2})(?::(\d{2})(?:[.,]\d+)?)?(Z|[+-]\d{2}:?\d{2})?$"
@@ -44,7 +44,10 @@ def iso_date(c: Column | str) -> Column:
     date-times keep their offset; otherwise the leading date, or blank.
     """
     raw = (F.col(c) if isinstance(c, str) else c).cast("string")
-    text = strip(raw)
+    return once(strip(raw), _iso_date)
+
+
+def _iso_date(text: Column) -> Column:
     number = text.try_cast("bigint")
     date, hour, minute, second, zone = (F.regexp_extract(text, _STAMP, g) for g in range(1, 6))
     real = (
@@ -145,7 +148,7 @@ def mail_date(c: Column | str) -> Column:
 
 
 def iso_instant(c: Column | str) -> Column:
-    """Any valid ISO date or date-time as a UTC instant ``…T…​.mmmZ``; blank when it is not one."""
+    """Any valid ISO date or date-time as a UTC instant ``…T….mmmZ``; blank when it is not one."""
     text = strip(text_or_blank(c))
     millis = F.unix_millis(as_timestamp(text))
     seconds = F.floor(millis / 1000)

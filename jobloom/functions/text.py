@@ -20,7 +20,8 @@ from pyspark.sql import Column, functions as F
 from jobloom import fixed_values as fx
 
 #: White space as Unicode text processing sees it; Java's ``\s`` alone is ASCII only.
-WS = r"[\s\x1c-\x1f\u0085   -     　﻿]"
+_UNICODE_BLANKS = (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF)
+WS = r"[\s\x1c-\x1f" + "".join(map(chr, _UNICODE_BLANKS)) + "]"
 
 
 def _c(value: Column | str) -> Column:
@@ -73,7 +74,7 @@ def _letter_table(form: str) -> tuple[str, str]:
 
 
 _CANONICAL, _COMPATIBLE = _letter_table("NFD"), _letter_table("NFKD")
-_MARKS = r"[̀-ͯ]"
+_MARKS = f"[{chr(0x300)}-{chr(0x36F)}]"
 
 
 def _is_ascii(c: Column) -> Column:
@@ -134,6 +135,7 @@ def _code_point(number: Column) -> Column:
 _WINDOWS_1252 = {
     code: bytes([code]).decode("cp1252") for code in range(0x80, 0xA0) if code not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)
 }
+_COMMON = {name: html.entities.html5[f"{name};"] for name in ("amp", "lt", "gt", "quot", "apos")}
 _HTML5 = {name[:-1]: value for name, value in html.entities.html5.items() if name.endswith(";")}
 _UNTERMINATED = sorted((n for n in html.entities.html5 if not n.endswith(";")), key=len, reverse=True)
 
@@ -152,7 +154,7 @@ def _unescape_piece(piece: Column, names: Column, numeric: str, windows: bool) -
         legacy = _entity_names({str(code): value for code, value in _WINDOWS_1252.items()})
         char = F.coalesce(F.try_element_at(legacy, number.cast("string")), char)
     name = F.regexp_extract(piece, "^([A-Za-z][A-Za-z0-9]*);", 1)
-    value = F.try_element_at(names, name)
+    value = F.coalesce(F.try_element_at(_entity_names(_COMMON), name), F.try_element_at(names, name))
     resolved = (
         F.when(digits != "", F.concat(char, rest_numeric))
         .when((name != "") & value.isNotNull(), F.concat(value, F.regexp_replace(piece, "^[A-Za-z][A-Za-z0-9]*;", "")))

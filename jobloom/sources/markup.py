@@ -63,21 +63,30 @@ def sitemap_links(pages: DataFrame, prefix: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class CardSpec:
+    """``fields`` cuts a card into named pieces, each computed once; ``map`` builds canonical columns from them."""
+
     pattern: str
-    map: Callable[[Column], dict[str, Column]]
+    fields: Callable[[Column], dict[str, Column]]
+    map: Callable[[Callable[[str], Column]], dict[str, Column]]
     repeats: str = "first"
     before: bool = False
 
 
+def _piece(name: str) -> Column:
+    return F.col(f"_f_{name}")
+
+
 def _br(**more: Column) -> dict[str, Column]:
     return {"country": F.lit("BR"), "market": F.lit("BR"), **more}
 
 
 def _path_jobs(base: str, skip: str, company: str, **fixed: str):
-    def mapping(card: Column) -> dict[str, Column]:
+    def fields(card: Column) -> dict[str, Column]:
         href = tx.unescape(F.regexp_extract(card, ANCHOR, 1))
-        path = _path(href)
-        title = F.array_join(text_nodes(F.regexp_extract(card, ANCHOR, 2)), " ")
+        return {"href": href, "path": _path(href), "title": F.array_join(text_nodes(F.regexp_extract(card, ANCHOR, 2)), " ")}
+
+    def mapping(f) -> dict[str, Column]:
+        href, path, title = f("href"), f("path"), f("title")
         usable = path.startswith("/job/") & (F.lower(title) != skip)
         more = {k: F.lit(v) for k, v in fixed.items() if k != "contract"}
         if "contract" in fixed:
@@ -87,50 +96,62 @@ def _path_jobs(base: str, skip: str, company: str, **fixed: str):
             url=tx.absolute_url(base, href), **more,
         )
 
-    return mapping
+    return CardSpec(ANCHOR, fields, mapping)
 
 
 def _vacancy_cards(source: str, host: str):
     """Cards whose text parts are title, contract and place in no fixed order."""
     anchor = r"""(?is)<a\b[^>]*?\bhref=["']([^"']*/([^/"']+)/vacancy/(\d+)-[^"']*)["'][^>]*>(.*?)</a>"""
 
-    def mapping(card: Column) -> dict[str, Column]:
-        parts = text_nodes(F.regexp_extract(card, anchor, 4))
+    def fields(card: Column) -> dict[str, Column]:
+        return {
+            "parts": text_nodes(F.regexp_extract(card, anchor, 4)), "number": F.regexp_extract(card, anchor, 3),
+            "href": tx.unescape(F.regexp_extract(card, anchor, 1)),
+        }
+
+    def mapping(f) -> dict[str, Column]:
+        parts, number = f("parts"), f("number")
         rest = F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1)))
         contract = F.coalesce(F.get(F.filter(rest, lambda v: v.rlike(fx.CARD_CONTRACT_LINE)), F.lit(0)), F.lit(""))
         others = F.filter(rest, lambda v: v != contract)
         place = F.coalesce(F.get(F.reverse(others), F.lit(0)), F.lit(""))
-        number = F.regexp_extract(card, anchor, 3)
         own = source == "digisystem"
         company = F.lit("Digisystem") if own else F.coalesce(tx.lookup(fx.CARD_PAGE_COMPANIES, F.col("board")), F.col("board"))
         return _br(
             native_id=number if own else F.concat(F.col("board"), F.lit(":"), number), title=F.get(parts, F.lit(0)), company=company,
-            url=tx.absolute_url(host, tx.unescape(F.regexp_extract(card, anchor, 1))), work_model=tx.work_model(place), city=place,
+            url=tx.absolute_url(host, f("href")), work_model=tx.work_model(place), city=place,
             contract_types=tx.split_alternatives(contract),
         )
 
-    return CardSpec(anchor, mapping, "last")
+    return CardSpec(anchor, fields, mapping, "last")
 
 
 _CATALOG_CARD = r"""<div\b[^>]*class=["'][^"']*index__job-opportunities__grid__item"""
 _CATALOG_LINK = r"""(?is)(<a\b[^>]*data-cy=["']job-opportunity-link["'][^>]*>)(.*?)</a>"""
 
 
-def _catalog(card: Column) -> dict[str, Column]:
+def _catalog_fields(card: Column) -> dict[str, Column]:
     head = F.regexp_extract(card, r"(?is)^(<div\b[^>]*>)", 1)
     tag = F.regexp_extract(card, _CATALOG_LINK, 1)
-    link = tx.absolute_url("https://atracaodetalentos.totvs.app", attribute(tag, "href"))
-    number = F.regexp_extract(link, r"(?i)^https://atracaodetalentos\.totvs\.app/([^/]+)/(\d+)/[^/?#]+/?$", 2)
-    board = F.regexp_extract(link, r"(?i)^https://atracaodetalentos\.totvs\.app/([^/]+)/", 1)
     title = tx.strip(tx.first_non_blank(
         attribute(head, "data-title"), attribute(tag, "data-title"), F.array_join(text_nodes(F.regexp_extract(card, _CATALOG_LINK, 2)), " ")))
-    remote = F.lower(attribute(head, "data-hide-location")) == "true"
+    return {
+        "link": tx.absolute_url("https://atracaodetalentos.totvs.app", attribute(tag, "href")), "title": title,
+        "remote": F.lower(attribute(head, "data-hide-location")) == "true", "city": tx.strip(attribute(head, "data-city-name")),
+        "state": F.upper(tx.strip(attribute(head, "data-state-small-name"))),
+    }
+
+
+def _catalog(f) -> dict[str, Column]:
+    link, title, remote = f("link"), f("title"), f("remote")
+    number = F.regexp_extract(link, r"(?i)^https://atracaodetalentos\.totvs\.app/([^/]+)/(\d+)/[^/?#]+/?$", 2)
+    board = F.regexp_extract(link, r"(?i)^https://atracaodetalentos\.totvs\.app/([^/]+)/", 1)
     usable = (number != "") & (F.lower(board) == F.lower(F.col("board")))
     return _br(
         native_id=F.concat(F.col("board"), F.lit(":"), number), title=F.when(usable, title),
         company=F.coalesce(tx.lookup(fx.CATALOG_COMPANIES, F.col("board")), F.col("board")), url=link,
-        work_model=tx.work_model(title, remote), city=F.when(remote, "").otherwise(tx.strip(attribute(head, "data-city-name"))),
-        state=F.when(remote, "").otherwise(F.upper(tx.strip(attribute(head, "data-state-small-name")))),
+        work_model=tx.work_model(title, remote), city=F.when(remote, "").otherwise(f("city")),
+        state=F.when(remote, "").otherwise(f("state")),
         pcd=F.lower(title).contains("pcd") | F.lower(title).contains("pessoa com defici"),
     )
 
@@ -154,7 +175,7 @@ def catalog_details(pages: DataFrame) -> DataFrame:
 _BULLET = "•"
 
 
-def _badge_card(card: Column) -> dict[str, Column]:
+def _badge_fields(card: Column) -> dict[str, Column]:
     def element(tag: str, cls: str) -> Column:
         raw = F.regexp_extract(card, rf"""(?is)<{tag}[^>]*class=["'][^"']*{cls}[^"']*["'][^>]*>(.*?)</{tag}>""", 1)
         return _clean(raw)
@@ -162,21 +183,29 @@ def _badge_card(card: Column) -> dict[str, Column]:
     def _clean(raw: Column) -> Column:
         return tx.squeeze(tx.strip_html(tx.unescape(F.regexp_replace(raw, r"(?is)<span[^>]*vaga-nova-badge[^>]*>.*?</span>", " "))))
 
-    href = tx.unescape(F.regexp_extract(card, r"""(?i)data-href=["']([^"']+)["']""", 1))
-    title, company = element("h3", "vaga-titulo"), element("span", "vaga-empresa-nome")
-    place, summary, meta = element("div", "vaga-local-linha"), element("p", "vaga-resumo-linha"), element("p", "vaga-meta-extra")
+    hashtags = F.regexp_extract_all(card, F.lit(r"""(?is)<a[^>]*class=["'][^"']*hashtag[^"']*["'][^>]*>(.*?)</a>"""), 1)
+    return {
+        "href": tx.unescape(F.regexp_extract(card, r"""(?i)data-href=["']([^"']+)["']""", 1)), "title": element("h3", "vaga-titulo"),
+        "company": element("span", "vaga-empresa-nome"), "place": element("div", "vaga-local-linha"),
+        "summary": element("p", "vaga-resumo-linha"), "meta": element("p", "vaga-meta-extra"), "tags": F.transform(hashtags, _clean),
+        "pay": nu.reais(card), "time": F.regexp_extract(card, r"""(?i)<time[^>]+datetime=["'](\d{4}-\d{2}-\d{2}(?:T[0-9:+-]+)?)""", 1),
+    }
+
+
+def _badge_card(f) -> dict[str, Column]:
+    href, title, company, place, summary, meta, tags, pay = (
+        f(n) for n in ("href", "title", "company", "place", "summary", "meta", "tags", "pay")
+    )
     split = lambda c: ar.trimmed(F.split(c, _BULLET))
     parts, place_parts = split(summary), split(place)
     tail = F.get(place_parts, F.size(place_parts) - 1)
-    tags = F.transform(F.regexp_extract_all(card, F.lit(r"""(?is)<a[^>]*class=["'][^"']*hashtag[^"']*["'][^>]*>(.*?)</a>"""), 1), _clean)
-    pay = nu.reais(card)
     return _br(
         native_id=tx.first_non_blank(F.regexp_extract(href, r"-(\d+)\.php$", 1), href),
         title=F.when((href != "") & (company != ""), title), company=company,
         url=F.concat(F.lit("https://www.nerdin.com.br/"), F.regexp_replace(href, "^/+", "")), work_model=tx.work_model(summary), city=place,
         state=F.when(place.contains(_BULLET) & (F.length(tail) == 2), F.upper(tail)).otherwise(""),
         salary_min=pay["low"], salary_max=pay["high"], salary_currency=pay["currency"],
-        published_date=F.regexp_extract(card, r"""(?i)<time[^>]+datetime=["'](\d{4}-\d{2}-\d{2}(?:T[0-9:+-]+)?)""", 1),
+        published_date=f("time"),
         skills=F.transform(F.filter(tags, lambda t: t != ""), lambda t: F.regexp_replace(t, "^#+", "")), levels=parts,
         categories=F.concat(ar.first_n(ar.trimmed(ar.first_n(F.split(meta, _BULLET), 1)), 1), tags),
         contract_types=F.filter(parts, lambda p: F.lower(p).isin("clt", "pj", "freelancer", "cooperado")),
@@ -187,18 +216,25 @@ def _badge_card(card: Column) -> dict[str, Column]:
 _DETAIL_CARD = r'(?is)<a[^>]+class="card card-vacancy[^"]*"[^>]+href="(/Detail/(\d+))"[^>]*>(.*?)</a>'
 
 
-def _icon_card(card: Column) -> dict[str, Column]:
+def _icon_fields(card: Column) -> dict[str, Column]:
     block = F.regexp_extract(card, _DETAIL_CARD, 3)
     value = lambda icon: tx.strip_html(tx.unescape(F.regexp_extract(block, rf"(?is){icon}.*?</div>\s*([^<]+)", 1)))
-    place = F.split(value("icon-location-pin-1"), r"\s+-\s+", 2)
-    contract = value("icon-sheet")
-    title = tx.unescape(F.regexp_extract(block, r'(?i)<h3[^>]+title="([^"]+)"', 1))
+    return {
+        "place": value("icon-location-pin-1"), "contract": value("icon-sheet"), "model": value("icon-buildings"),
+        "title": tx.unescape(F.regexp_extract(block, r'(?i)<h3[^>]+title="([^"]+)"', 1)), "id": F.regexp_extract(card, _DETAIL_CARD, 2),
+        "path": F.regexp_extract(card, _DETAIL_CARD, 1), "date": F.regexp_extract(block, r"(?i)vacancy-date[^>]*>([^<]+)", 1),
+    }
+
+
+def _icon_card(f) -> dict[str, Column]:
+    place = F.split(f("place"), r"\s+-\s+", 2)
+    contract = f("contract")
     return _br(
-        native_id=F.regexp_extract(card, _DETAIL_CARD, 2), title=title, company=F.lit("Metalfrio Solutions"),
-        url=F.concat(F.lit("https://metalfriosolutions.pandape.infojobs.com.br"), F.regexp_extract(card, _DETAIL_CARD, 1)),
-        work_model=tx.first_non_blank(tx.work_model(value("icon-buildings")), F.lit("on-site")), city=tx.strip(place[0]),
+        native_id=f("id"), title=f("title"), company=F.lit("Metalfrio Solutions"),
+        url=F.concat(F.lit("https://metalfriosolutions.pandape.infojobs.com.br"), f("path")),
+        work_model=tx.first_non_blank(tx.work_model(f("model")), F.lit("on-site")), city=tx.strip(place[0]),
         state=tx.strip(F.coalesce(F.get(place, F.lit(1)), F.lit(""))),
-        published_date=dt.short_date(F.regexp_extract(block, r"(?i)vacancy-date[^>]*>([^<]+)", 1), F.col("today")),
+        published_date=dt.short_date(f("date"), F.col("today")),
         contract_types=ar.singleton(contract), categories=F.array(F.lit("Metalfrio")),
     )
 
@@ -206,20 +242,26 @@ def _icon_card(card: Column) -> dict[str, Column]:
 _TABLE_LINK = r'(?is)<a href="([^"]+)" class="jobTitle-link">(.*?)</a>'
 
 
-def _table_row(card: Column) -> dict[str, Column]:
+def _table_fields(card: Column) -> dict[str, Column]:
     href = tx.unescape(F.regexp_extract(card, _TABLE_LINK, 1))
     cell = lambda name: F.regexp_extract(card, rf'(?is)<td class="{name}[^>]*>(.*?)</td>', 1)
     text = lambda raw: tx.strip_html(tx.unescape(raw))
-    title = text(F.regexp_extract(card, _TABLE_LINK, 2))
-    number = F.regexp_extract(href, r"/(\d+)/?$", 1)
-    place = F.when(card.contains('<td class="colLocation'), text(cell("colLocation"))).otherwise("Brasil")
+    return {
+        "href": href, "title": text(F.regexp_extract(card, _TABLE_LINK, 2)), "number": F.regexp_extract(href, r"/(\d+)/?$", 1),
+        "place": F.when(card.contains('<td class="colLocation'), text(cell("colLocation"))).otherwise("Brasil"),
+        "date": tx.strip_html(cell("colDate")), "category": text(cell("colFacility")),
+    }
+
+
+def _table_row(f) -> dict[str, Column]:
+    href, title, number, place = f("href"), f("title"), f("number"), f("place")
     low = F.lower(title)
     return _br(
         native_id=number, title=F.when(number != "", title),
         company=F.when(low.contains("nespresso"), "Nespresso").when(low.contains("purina"), "Purina").otherwise("Nestlé"),
         url=tx.absolute_url("https://jobdetails.nestle.com", href), work_model=tx.first_non_blank(tx.work_model(title), F.lit("on-site")),
-        city=tx.first_non_blank(tx.strip(F.split(place, ",")[0]), F.lit("Brasil")), published_date=dt.english_date(tx.strip_html(cell("colDate"))),
-        categories=ar.singleton(text(cell("colFacility"))),
+        city=tx.first_non_blank(tx.strip(F.split(place, ",")[0]), F.lit("Brasil")), published_date=dt.english_date(f("date")),
+        categories=ar.singleton(f("category")),
     )
 
 
@@ -227,46 +269,55 @@ _LISTED_LINK = r"""(?i)<a[^>]+href=["']([^"']*(?:/jobs/|/vagas/)[^"']*)["'][^>]*
 
 
 def _listed(company: str, category: str, base: str):
-    def mapping(card: Column) -> dict[str, Column]:
-        link = tx.absolute_url(base, tx.strip(tx.unescape(F.regexp_extract(card, _LISTED_LINK, 1))))
-        title = inner(card, _LISTED_LINK, 2)
+    def fields(card: Column) -> dict[str, Column]:
+        return {
+            "link": tx.absolute_url(base, tx.strip(tx.unescape(F.regexp_extract(card, _LISTED_LINK, 1)))), "title": inner(card, _LISTED_LINK, 2),
+        }
+
+    def mapping(f) -> dict[str, Column]:
+        link, title = f("link"), f("title")
         return _br(
             native_id=tx.last_path_segment(link), title=title, company=F.lit(company), url=link, work_model=tx.work_model(title),
             city=F.lit("Brasil"), categories=F.array(F.lit(category)),
         )
 
-    return CardSpec(_LISTED_LINK, mapping)
+    return CardSpec(_LISTED_LINK, fields, mapping)
 
 
 _CMS_CARD = r'(?i)<div[^>]+class="jobs-list-cms-position"[^>]*>([\s\S]*?)<a[^>]+href="([^"]*/jobs-positions/[^"]+)"'
 
 
-def _cms_card(card: Column) -> dict[str, Column]:
+def _cms_fields(card: Column) -> dict[str, Column]:
     block, path = F.regexp_extract(card, _CMS_CARD, 1), F.regexp_extract(card, _CMS_CARD, 2)
     fields = F.transform(
         F.regexp_extract_all(block, F.lit(r'(?i)fs-list-field="(?:location-type|work-type|location)"[^>]*>([\s\S]*?)</div>'), 1),
         lambda v: tx.strip_html(tx.unescape(v)),
     )
+    return {"path": path, "fields": fields, "title": inner(block, r'(?i)is-open-position">([\s\S]*?)</div>')}
+
+
+def _cms_card(f) -> dict[str, Column]:
+    path, fields = f("path"), f("fields")
     place = F.get(F.filter(fields, lambda v: (v != "") & ~F.lower(v).isin("remote", "full time", "full time - remote")), F.lit(0))
     return _br(
-        native_id=F.regexp_extract(F.regexp_replace(path, "/+$", ""), "([^/]*)$", 1), title=inner(block, r'(?i)is-open-position">([\s\S]*?)</div>'),
+        native_id=F.regexp_extract(F.regexp_replace(path, "/+$", ""), "([^/]*)$", 1), title=f("title"),
         company=F.lit("CloudWalk"), url=tx.absolute_url("https://www.cloudwalk.io/jobs", path), work_model=tx.work_model(F.array_join(fields, " ")),
         city=F.coalesce(place, F.lit("Brasil")), categories=F.array(F.lit("CloudWalk")),
     )
 
 
 CARD_SPECS: dict[str, CardSpec] = {
-    "experian": CardSpec(ANCHOR, _path_jobs("https://jobs.experian.com", "more info", "Experian", contract="CLT")),
-    "wise": CardSpec(ANCHOR, _path_jobs("https://wise.jobs", "read more", "Wise", city="São Paulo", state="SP")),
+    "experian": _path_jobs("https://jobs.experian.com", "more info", "Experian", contract="CLT"),
+    "wise": _path_jobs("https://wise.jobs", "read more", "Wise", city="São Paulo", state="SP"),
     "recrutei": _vacancy_cards("recrutei", "https://jobs.recrutei.com.br"),
     "digisystem": _vacancy_cards("digisystem", "https://jobs.recrutei.com.br/digisystem"),
-    "totvs": CardSpec(f"(?is){_CATALOG_CARD}", _catalog, "all", before=True),
-    "nerdin": CardSpec(r"""(?i)<div[^>]*class=["'][^"']*vaga-card[^"']*["']""", _badge_card, "last", before=True),
-    "metalfrio": CardSpec(_DETAIL_CARD, _icon_card, "all"),
-    "nestle": CardSpec(r'(?is)<tr class="data-row">(.*?)</tr>', _table_row),
+    "totvs": CardSpec(f"(?is){_CATALOG_CARD}", _catalog_fields, _catalog, "all", before=True),
+    "nerdin": CardSpec(r"""(?i)<div[^>]*class=["'][^"']*vaga-card[^"']*["']""", _badge_fields, _badge_card, "last", before=True),
+    "metalfrio": CardSpec(_DETAIL_CARD, _icon_fields, _icon_card, "all"),
+    "nestle": CardSpec(r'(?is)<tr class="data-row">(.*?)</tr>', _table_fields, _table_row),
     "docusign": _listed("DocuSign", "Carreiras DocuSign", "https://careers.docusign.com/careers-home/jobs"),
     "dbccompany": _listed("DBC Company", "Carreiras DBC", "https://vagas.dbccompany.com.br/vagas"),
-    "cloudwalk": CardSpec(_CMS_CARD, _cms_card),
+    "cloudwalk": CardSpec(_CMS_CARD, _cms_fields, _cms_card),
 }
 
 #: Rows of one portal carry another spelling of its name than the registry does.
@@ -280,8 +331,9 @@ def rows(landed: DataFrame, source: str, today: Column | None = None) -> DataFra
     if "board" not in own.columns:
         own = own.withColumn("board", F.lit(None).cast("string"))
     cards = blocks(own, spec.pattern, spec.before)
+    cards = cards.withColumns({f"_f_{name}": piece for name, piece in spec.fields(F.col("_card")).items()})
     mapped = cards.select(
-        *canonical({**spec.map(F.col("_card")), "source": F.lit(ROW_SOURCE.get(source, source))}), "page", F.col("_pos").alias("item_ord")
+        *canonical({**spec.map(_piece), "source": F.lit(ROW_SOURCE.get(source, source))}), "page", F.col("_pos").alias("item_ord")
     ).filter((F.col("title") != "") & (F.col("native_id") != ""))
     if spec.repeats == "all":
         return mapped
