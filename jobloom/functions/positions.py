@@ -6,6 +6,7 @@ multi-pattern automaton.  It returns offsets only; every decision based on them
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -19,6 +20,8 @@ HITS = T.ArrayType(
             T.StructField("phrase", T.IntegerType(), False),
             T.StructField("start", T.IntegerType(), False),
             T.StructField("end", T.IntegerType(), False),
+            # per context group: start of its last phrase in the reach before this one, -1 if none
+            T.StructField("before", T.ArrayType(T.IntegerType(), False), False),
         ]
     )
 )
@@ -29,45 +32,74 @@ MAX_PHRASES = 20_000
 _WORD = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
 
 
-def phrase_positions(text: Column, phrases: Sequence[str], whole_words: Sequence[bool] | None = None) -> Column:
-    """``array<struct<phrase, start, end>>``: non-overlapping occurrences per phrase, ordered by end.
+def phrase_positions(
+    text: Column,
+    phrases: Sequence[str],
+    whole_words: Sequence[bool] | None = None,
+    contexts: Sequence[Sequence[str]] = (),
+    reach: int = 0,
+) -> Column:
+    """``array<struct<phrase, start, end, before>>``: non-overlapping occurrences per phrase, ordered by end.
 
     ``phrases`` must be folded like the text.  Whole-word phrases follow the alias rules (``sql`` after a slash does
-    not count).  NULL text gives NULL.
+    not count).  ``contexts`` are groups of plain substrings; ``before`` tells where the last one of each group starts
+    within ``reach`` characters before the occurrence.  NULL text gives NULL.
     """
     if len(phrases) > MAX_PHRASES:
         raise ValueError(f"{len(phrases)} phrases exceed the vocabulary bound of {MAX_PHRASES}")
     bounded = list(whole_words) if whole_words is not None else [needs_boundary(p) for p in phrases]
     vocabulary = [(i, p, b) for i, (p, b) in enumerate(zip(phrases, bounded)) if p]
+    groups = [list(g) for g in contexts]
 
     @F.pandas_udf(HITS)
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import ahocorasick
 
-        by_text: dict[str, list[tuple[int, bool]]] = {}
+        by_text: dict[str, tuple[list, list]] = {}
         for i, phrase, whole in vocabulary:
-            by_text.setdefault(phrase, []).append((i, whole))
+            by_text.setdefault(phrase, ([], []))[0].append((i, whole))
+        for g, words in enumerate(groups):
+            for word in words:
+                by_text.setdefault(word, ([], []))[1].append(g)
         automaton = ahocorasick.Automaton()
         for phrase, owners in by_text.items():
-            automaton.add_word(phrase, (len(phrase), phrase == "sql", owners))
-        automaton.make_automaton()
+            automaton.add_word(phrase, (len(phrase), phrase == "sql", *owners))
+        if by_text:
+            automaton.make_automaton()
 
         def hits(value):
             if value is None:
                 return None
-            out, last_end, size = [], {}, len(value)
-            for last, (length, is_sql, owners) in automaton.iter(value):
+            found, last_end, size = [], {}, len(value)
+            seen = [([], []) for _ in groups]  # ends (ascending) and starts
+            for last, (length, is_sql, owners, members) in automaton.iter(value):
                 start, end = last - length + 1, last + 1
+                for g in members:
+                    seen[g][0].append(end)
+                    seen[g][1].append(start)
                 left = value[start - 1] if start else " "
                 clear = left not in _WORD and not (is_sql and left == "/")
                 clear = clear and (end == size or value[end] not in _WORD)
                 for i, whole in owners:
                     if (clear or not whole) and start >= last_end.get(i, 0):
                         last_end[i] = end
-                        out.append({"phrase": i, "start": start, "end": end})
-            return out
+                        found.append((i, start, end))
+
+            def nearest(g, position):
+                ends, starts = seen[g]
+                at, best = bisect_right(ends, position) - 1, -1
+                while at >= 0 and ends[at] > position - reach:
+                    if starts[at] >= position - reach:
+                        best = max(best, starts[at])
+                    at -= 1
+                return best
+
+            return [
+                {"phrase": i, "start": s, "end": e, "before": [nearest(g, s) for g in range(len(groups))]} for i, s, e in found
+            ]
 
         for batch in batches:
-            yield pd.Series([hits(v) for v in batch], dtype=object) if vocabulary else batch.map(lambda v: [])
+            yield pd.Series([hits(v) for v in batch], dtype=object) if by_text else batch.map(lambda v: [])
 
-    return find(text)
+    # not repeatable as far as the optimizer is concerned: it must run once per row, not once per use
+    return find.asNondeterministic()(text)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobloom import fixed_values as fx
-from jobloom.functions.text import clean_text, fold_search, text_or_blank
+from jobloom.functions.text import clean_text, fold_search, once, text_or_blank
 from jobloom.operators.classify import staging_workplace
 
 
@@ -92,7 +92,9 @@ def resolve_references(documents: DataFrame, doc: str, references: str, included
         F.from_json(F.lit("{}"), "map<string,string>"),
         lambda acc, e: F.map_concat(F.map_filter(acc, lambda k, v: k != e["k"]), F.create_map(e["k"], e["v"])),
     )
-    names = F.transform(F.col(references), lambda r: F.try_element_at(table, F.concat_ws("\x00", r["type"], r["id"])))
+    names = once(
+        table, lambda t: F.transform(F.col(references), lambda r: F.try_element_at(t, F.concat_ws("\x00", r["type"], r["id"])))
+    )
     kept = F.filter(names, lambda n: text_or_blank(n) != "")
     return documents.select(F.col(doc), F.array_distinct(kept).alias("names"))
 

@@ -48,13 +48,11 @@ class Vocabulary:
             for alias in entry.aliases:
                 folded = tx.py_fold_caseless(alias)
                 phrases.append((folded, tx.needs_boundary(folded), "alias", i))
-        for role, words, by_word in (
-            ("M", cues.mandatory, True), ("P", cues.preferred, True), ("S", cues.stop, True),
-            ("m", cues.mandatory, False), ("p", cues.preferred, False),
-            ("mc", cues.mandatory_cues, False), ("pc", cues.preferred_cues, False),
+        for role, words in (
+            ("M", cues.mandatory), ("P", cues.preferred), ("S", cues.stop),
         ):
             for i, word in enumerate(words):
-                phrases.append((word, by_word and tx.needs_boundary(word), role, i))
+                phrases.append((word, tx.needs_boundary(word), role, i))
         self.phrases = phrases
 
     @classmethod
@@ -64,7 +62,10 @@ class Vocabulary:
         return cls([Entry(r["id"], r["label"] or r["id"], tuple(r["aliases"] or ()), r["kind"] or "") for r in rows], cues)
 
     def hits(self, text: Column) -> Column:
-        return phrase_positions(text, [p[0] for p in self.phrases], [p[1] for p in self.phrases])
+        """Positions of aliases and section markers, with the context each is in (see ``_decide``)."""
+        c = self.cues
+        contexts = (c.preferred, c.mandatory, c.preferred_cues, c.mandatory_cues)
+        return phrase_positions(text, [p[0] for p in self.phrases], [p[1] for p in self.phrases], contexts, fx.CONTEXT_CHARS)
 
     def ids(self, role: str) -> tuple[int, int]:
         """Phrase numbers of one role are contiguous: first and one past last."""
@@ -85,35 +86,34 @@ def _after(starts: Column, position: Column) -> Column:
     return F.array_min(F.filter(starts, lambda s: s > position))
 
 
-def sections(hits: Column, length: Column, vocabulary: Vocabulary) -> dict[str, Column]:
-    """Mandatory and preferred ranges of folded text, from its hits.  Ranges are NULL when there is no marker."""
-    mandatory = _earliest(_of_role(hits, vocabulary.ids("M"), length))
-    preferred = _earliest(_of_role(hits, vocabulary.ids("P"), length))
-    stops = _of_role(hits, vocabulary.ids("S"), length)
+def sections(hits: Column, length: Column, vocabulary: Vocabulary) -> Column:
+    """Struct with the mandatory and preferred ranges of folded text; ranges are NULL when there is no marker."""
+    first, last = vocabulary.ids("S")
     # only the first occurrence of each stop marker ends a section
-    first_stops = F.array_distinct(
-        F.transform(
-            stops,
-            lambda h: F.array_min(F.transform(F.filter(stops, lambda o: o["phrase"] == h["phrase"]), lambda o: o["start"])),
-        )
-    )
-    m_end = F.least(
-        _after(first_stops, mandatory["end"]),
-        F.when(preferred["start"] > mandatory["end"], preferred["start"]),
+    first_stops = F.array_compact(
+        F.array(*[F.array_min(F.transform(_of_role(hits, (i, i + 1), length), lambda h: h["start"])) for i in range(first, last)])
+    ) if last > first else F.array().cast("array<int>")
+    found = F.struct(
+        _earliest(_of_role(hits, vocabulary.ids("M"), length)).alias("m"),
+        _earliest(_of_role(hits, vocabulary.ids("P"), length)).alias("p"),
+        first_stops.alias("stops"),
+        length.alias("n"),
     )
-    return {
-        "mandatory_start": mandatory["end"],
-        "mandatory_end": F.when(mandatory.isNotNull(), F.coalesce(m_end, length)),
-        "preferred_start": preferred["end"],
-        "preferred_end": F.when(preferred.isNotNull(), F.coalesce(_after(first_stops, preferred["end"]), length)),
-        "preferred_marker": preferred["start"],
-    }
 
+    def ranges(e: Column) -> Column:
+        mandatory, preferred, stops, n = e["m"], e["p"], e["stops"], e["n"]
+        m_end = F.least(
+            _after(stops, mandatory["end"]), F.when(preferred["start"] > mandatory["end"], preferred["start"])
+        )
+        return F.struct(
+            mandatory["end"].alias("mandatory_start"),
+            F.when(mandatory.isNotNull(), F.coalesce(m_end, n)).alias("mandatory_end"),
+            preferred["end"].alias("preferred_start"),
+            F.when(preferred.isNotNull(), F.coalesce(_after(stops, preferred["end"]), n)).alias("preferred_end"),
+            preferred["start"].alias("preferred_marker"),
+        )
 
-def _nearest(hits: Column, position: Column) -> Column:
-    """Start of the last hit inside the context before a position, -1 if none."""
-    inside = F.filter(hits, lambda h: (h["start"] >= position - fx.CONTEXT_CHARS) & (h["end"] <= position))
-    return F.coalesce(F.array_max(F.transform(inside, lambda h: h["start"])), F.lit(-1))
+    return tx.once(found, ranges)
 
 
 def _decide(preferred: Column, mandatory: Column, preferred_cue: Column, mandatory_cue: Column) -> Column:
@@ -166,8 +166,14 @@ def is_meaningful(fragment: Column) -> Column:
 def cue_matches(description: Column, cues: Cues = Cues(), pattern: str = fx.UNKNOWN_CUE) -> Column:
     """``array<struct<kind, parts>>``: every cue phrase with its kind and the fragments it introduces."""
     text = tx.text_or_blank(description)
-    whole = F.regexp_extract_all(text, F.lit(pattern), 0)
-    gaps = F.split(text, pattern, -1)
+    pieces = F.struct(
+        F.regexp_extract_all(text, F.lit(pattern), 0).alias("whole"), F.split(text, pattern, -1).alias("gaps"),
+        F.regexp_extract_all(text, F.lit(pattern), 1).alias("tails"),
+    )
+    return tx.once(pieces, lambda e: _introduced(e["whole"], e["gaps"], e["tails"], cues))
+
+
+def _introduced(whole: Column, gaps: Column, tails: Column, cues: Cues) -> Column:
     start = F.struct(F.lit("").alias("before"), F.lit(0).alias("i"), F.array().cast("array<string>").alias("windows"))
 
     def step(acc: Column, match: Column) -> Column:
@@ -180,16 +186,15 @@ def cue_matches(description: Column, cues: Cues = Cues(), pattern: str = fx.UNKN
         )
 
     windows = F.aggregate(whole, start, step, lambda acc: acc["windows"])
-    tails = F.regexp_extract_all(text, F.lit(pattern), 1)
 
     def fragment(window: Column, tail: Column) -> Column:
-        kind = context_kind(tx.fold_caseless(window), cues)
+        kind = tx.once(tx.fold_caseless(window), lambda w: context_kind(w, cues))
         parts = F.transform(
             F.split(tail, fx.UNKNOWN_SPLIT),
             lambda p: _strip_marks(tx.strip(F.regexp_replace(tx.strip(p), fx.UNKNOWN_ADJECTIVE, ""))),
         )
         return F.struct(
-            F.when(kind == "context", "mandatory").otherwise(kind).alias("kind"),
+            tx.once(kind, lambda k: F.when(k == "context", "mandatory").otherwise(k)).alias("kind"),
             F.filter(parts, is_meaningful).alias("parts"),
         )
 
@@ -202,6 +207,10 @@ def unknown_requirements(matches: Column, covered: Column, enough: int = 10) ->
     ``covered`` holds folded fragments that an alias matches.  Collection stops after the cue phrase that reaches
     ``enough``, so the result can be a little longer.
     """
+    return tx.once(F.struct(matches.alias("m"), covered.alias("c")), lambda e: _uncovered(e["m"], e["c"], enough))
+
+
+def _uncovered(matches: Column, covered: Column, enough: int) -> Column:
     empty = F.from_json(F.lit("[]"), "array<struct<label:string,folded:string,kind:string>>")
 
     def step(acc: Column, match: Column) -> Column:
@@ -226,11 +235,12 @@ def unknown_requirements(matches: Column, covered: Column, enough: int = 10) ->
 
 def reconcile(mandatory: Column, preferred: Column, context: Column, manual: Column, sql_stands_alone: Column) -> dict[str, Column]:
     """A requirement belongs to its strongest group; ``SQL`` goes when only ``PL/SQL`` is asked for; groups are cut."""
-    fold = lambda values: F.transform(values, tx.fold_caseless)
-    first = fold(mandatory)
-    kept_preferred = F.filter(preferred, lambda v: ~F.array_contains(first, tx.fold_caseless(v)))
-    known = F.concat(first, fold(kept_preferred))
-    kept_context = F.filter(context, lambda v: ~F.array_contains(known, tx.fold_caseless(v)))
+    def without(values: Column, known: Column) -> Column:
+        pair = F.struct(values.alias("v"), F.transform(known, tx.fold_caseless).alias("k"))
+        return tx.once(pair, lambda e: F.filter(e["v"], lambda v: ~F.array_contains(e["k"], tx.fold_caseless(v))))
+
+    kept_preferred = without(preferred, mandatory)
+    kept_context = without(context, F.concat(mandatory, preferred))
     drop_sql = F.array_contains(mandatory, "PL/SQL") & F.array_contains(mandatory, "SQL") & ~sql_stands_alone
     kept_mandatory = F.when(drop_sql, F.array_remove(mandatory, "SQL")).otherwise(mandatory)
     values = dict(zip(GROUPS, (kept_mandatory, kept_preferred, kept_context, manual)))
@@ -270,79 +280,86 @@ def _covered(vocabulary: Vocabulary) -> Column:
     """Folded fragments in which some alias was found, by locating each hit's segment."""
     first, last = vocabulary.ids("alias")
     offset = F.col("_n") + F.length("_skills") + 2
-    start = F.struct(offset.alias("at"), F.array().cast("array<string>").alias("covered"))
     late = F.filter(
         F.col("_hits"), lambda h: (h["phrase"] >= first) & (h["phrase"] < last) & (h["start"] >= offset)
     )
+    known = F.struct(late.alias("late"), F.col("_parts").alias("parts"), offset.alias("offset"))
 
-    def step(acc: Column, part: Column) -> Column:
-        end = acc["at"] + F.length(part)
-        found = F.exists(late, lambda h: (h["start"] >= acc["at"]) & (h["end"] <= end))
-        return F.struct(
-            (end + 1).alias("at"),
-            F.when(found, F.concat(acc["covered"], F.array(part))).otherwise(acc["covered"]).alias("covered"),
-        )
+    def walk(e: Column) -> Column:
+        start = F.struct(e["offset"].alias("at"), F.array().cast("array<string>").alias("covered"))
+
+        def step(acc: Column, part: Column) -> Column:
+            end = acc["at"] + F.length(part)
+            found = F.exists(e["late"], lambda h: (h["start"] >= acc["at"]) & (h["end"] <= end))
+            return F.struct(
+                (end + 1).alias("at"),
+                F.when(found, F.concat(acc["covered"], F.array(part))).otherwise(acc["covered"]).alias("covered"),
+            )
 
-    return F.aggregate("_parts", start, step, lambda acc: acc["covered"])
+        return F.aggregate(e["parts"], start, step, lambda acc: acc["covered"])
 
+    return tx.once(known, walk)
 
-def _hit_rank(hit: Column, s: dict[str, Column], roles: dict[str, Column]) -> Column:
+
+def _hit_rank(hit: Column, s: Column, text: Column) -> Column:
     """1 mandatory, 2 preferred, 3 context for one alias occurrence."""
-    at = hit["start"]
+    at, marker = hit["start"], s["preferred_marker"]
     in_preferred = F.coalesce((at >= s["preferred_start"]) & (at < s["preferred_end"]), F.lit(False))
     in_mandatory = F.coalesce((at >= s["mandatory_start"]) & (at < s["mandatory_end"]), F.lit(False))
-    marker = s["preferred_marker"]
-    tail = F.when(
-        F.coalesce((marker > 0) & (at < marker), F.lit(False)),
-        F.substring(F.col("_text"), hit["end"] + 1, F.greatest(marker - hit["end"], F.lit(0))),
-    ).otherwise("")
-    leads_to_preferred = (tail != "") & (F.length(tail) <= fx.TAIL_CHARS) & ~tail.rlike(r"[.!?]")
-    kind = _decide(*[_nearest(roles[r], at) for r in ("p", "m", "pc", "mc")])
+    close = F.coalesce((marker > 0) & (at < marker) & (marker - hit["end"]).between(1, fx.TAIL_CHARS), F.lit(False))
+    leads_to_preferred = close & ~F.substring(text, hit["end"] + 1, marker - hit["end"]).rlike(r"[.!?]")
+    kind = _decide(*[hit["before"][i] for i in range(4)])
     return (
         F.when(in_preferred, 2)
         .when(in_mandatory, F.when(leads_to_preferred, 2).otherwise(1))
-        .otherwise(F.when(kind == "mandatory", 1).when(kind == "preferred", 2).otherwise(3))
+        .otherwise(tx.once(kind, lambda k: F.when(k == "mandatory", 1).when(k == "preferred", 2).otherwise(3)))
     )
 
 
+_LISTED, _MANUAL = 9, 4
+
+
 def with_entry_ranks(located: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Add section columns and ``_ranked``: ``array<struct<entry, rank>>`` in taxonomy order (4 = manual)."""
-    staged = located.withColumns({f"_s_{k}": v for k, v in sections(F.col("_hits"), F.col("_n"), vocabulary).items()})
-    s = {k: F.col(f"_s_{k}") for k in ("mandatory_start", "mandatory_end", "preferred_start", "preferred_end", "preferred_marker")}
-    roles = {r: F.col(f"_r_{r}") for r in ("p", "m", "pc", "mc")}
-    staged = staged.withColumns({f"_r_{r}": _of_role(F.col("_hits"), vocabulary.ids(r), F.col("_n")) for r in roles})
+    """Add sections (``_s``) and ``_ranked``: ``array<struct<entry, rank>>`` in taxonomy order (4 = manual)."""
+    staged = located.withColumn("_s", sections(F.col("_hits"), F.col("_n"), vocabulary))
     owner = F.lit([p[3] for p in vocabulary.phrases if p[2] == "alias"] or [0])
     manual = F.lit([e.kind == "manual" for e in vocabulary.entries] or [False])
     upto = F.col("_n") + F.length("_skills") + 1
-    aliases = _of_role(F.col("_hits"), vocabulary.ids("alias"), upto)
-    staged = staged.withColumn(
-        "_found",
-        F.transform(
-            aliases,
-            lambda h: F.struct(
-                F.get(owner, h["phrase"]).alias("entry"),
-                F.when(h["start"] > F.col("_n"), 9)  # among the listed skills
-                .when(F.get(manual, F.get(owner, h["phrase"])), 4)
-                .otherwise(_hit_rank(h, s, roles))
-                .alias("rank"),
-            ),
-        ),
+    env = F.struct(
+        _of_role(F.col("_hits"), vocabulary.ids("alias"), upto).alias("hits"), F.col("_s").alias("s"), F.col("_text").alias("text"), F.col("_n").alias("n")
     )
 
-    def settle(entry: Column) -> Column:
-        ranks = F.transform(F.filter("_found", lambda f: f["entry"] == entry), lambda f: f["rank"])
-        best, listed = F.array_min(ranks), F.array_contains(ranks, 9)
-        is_manual = F.get(manual, entry)
+    def code(hit: Column, e: Column) -> Column:
+        """Entry and rank of an occurrence in one number, so that repeats collapse cheaply."""
+        entry = F.get(owner, hit["phrase"])
         rank = (
-            F.when(is_manual, F.when(best == 4, 4))
-            .when(best <= 2, best)
-            .when(listed, 1)
-            .otherwise(best)
+            F.when(hit["start"] > e["n"], _LISTED)  # among the listed skills
+            .when(F.get(manual, entry), _MANUAL)
+            .otherwise(_hit_rank(hit, e["s"], e["text"]))
         )
-        return F.struct(entry.alias("entry"), rank.alias("rank"))
+        return entry * 10 + rank
+
+    codes = tx.once(env, lambda e: F.array_distinct(F.transform(e["hits"], lambda h: code(h, e))))
+
+    def settle(entry: Column, every: Column) -> Column:
+        ranks = F.transform(F.filter(every, lambda c: F.floor(c / 10) == entry), lambda c: (c % 10).cast("int"))
 
-    entries = F.array_sort(F.array_distinct(F.transform("_found", lambda f: f["entry"])))
-    return staged.withColumn("_ranked", F.filter(F.transform(entries, settle), lambda e: e["rank"].isNotNull()))
+        def decide(r: Column) -> Column:
+            best = F.array_min(r)
+            return (
+                F.when(F.get(manual, entry), F.when(best == _MANUAL, _MANUAL))
+                .when(best <= 2, best)
+                .when(F.array_contains(r, _LISTED), 1)
+                .otherwise(best)
+            )
+
+        return F.struct(entry.alias("entry"), tx.once(ranks, decide).alias("rank"))
+
+    def ranked(every: Column) -> Column:
+        entries = F.array_sort(F.array_distinct(F.transform(every, lambda c: F.floor(c / 10).cast("int"))))
+        return F.filter(F.transform(entries, lambda entry: settle(entry, every)), lambda e: e["rank"].isNotNull())
+
+    return staged.withColumn("_ranked", tx.once(codes, ranked))
 
 
 def extract(jobs: DataFrame, vocabulary: Vocabulary, keep: Sequence[str] = ("url",)) -> DataFrame:
@@ -364,7 +381,7 @@ def extract(jobs: DataFrame, vocabulary: Vocabulary, keep: Sequence[str] = ("url
         *keep,
         *GROUPS,
         confidence(
-            F.col("_s_mandatory_start").isNotNull(), F.col("_skills") != "",
+            F.col("_s.mandatory_start").isNotNull(), F.col("_skills") != "",
             F.size("mandatory"), F.size("preferred"), F.size("context"),
         ).alias("confidence"),
     )
@@ -379,22 +396,24 @@ def build_index(jobs: DataFrame, vocabulary: Vocabulary, order: str, minimum: in
     linked = jobs.withColumns({"url": tx.https_url(tx.strip("url")), "ord": F.col(order)})
     usable = linked.filter((F.col("url") != "") & (F.length(tx.fold_caseless("description")) >= minimum))
     found = extract(usable, vocabulary, keep=("url", "ord"))
-    some = found.filter(F.size(F.concat(*GROUPS)) > 0)
-    from jobloom.operators.dedupe import keep_last
+    # rows without any requirement never win: they have no rank (a filter here would be evaluated twice)
+    rank = F.when(F.size(F.concat(*GROUPS)) > 0, F.col("ord"))
+    best = found.groupBy(F.col("url").alias("_url")).agg(F.max_by(F.struct(*found.columns), rank).alias("_row"))
+    return best.filter(F.col("_row").isNotNull()).select("_row.*")
+
 
-    return keep_last(some, ["url"], ["ord"])
+def _placed(columns: Sequence[str], value, name: str) -> Column:
+    """Elements of several lists in one list of (group number, place, value)."""
+
+    def of(number: int, column: str) -> Column:
+        return F.transform(F.col(column), lambda v, i: F.struct(F.lit(number).alias("g"), i.alias("i"), value(v).alias(name)))
+
+    return F.flatten(F.array(*[of(n, c) for n, c in enumerate(columns)]))
 
 
 def index_terms(index: DataFrame) -> DataFrame:
     """``code, label``: one code per folded label, by first appearance over jobs in order, groups in order."""
-    pieces = F.flatten(
-        F.array(
-            *[
-                F.transform(F.col(g), lambda v, i, n=n: F.struct(F.lit(n).alias("g"), i.alias("i"), v.alias("label")))
-                for n, g in enumerate(GROUPS)
-            ]
-        )
-    )
+    pieces = _placed(GROUPS, lambda v: v, "label")
     long = index.select("ord", F.inline(pieces))
     place = F.struct("ord", "g", "i")
     first = long.groupBy(tx.fold_caseless("label").alias("folded")).agg(
@@ -408,14 +427,7 @@ def index_terms(index: DataFrame) -> DataFrame:
 
 def packed(index: DataFrame, terms: DataFrame) -> DataFrame:
     """``url, m, p, c, x, q`` with term codes instead of labels."""
-    pieces = F.flatten(
-        F.array(
-            *[
-                F.transform(F.col(g), lambda v, i, n=n: F.struct(F.lit(n).alias("g"), i.alias("i"), tx.fold_caseless(v).alias("folded")))
-                for n, g in enumerate(GROUPS)
-            ]
-        )
-    )
+    pieces = _placed(GROUPS, tx.fold_caseless, "folded")
     coded = index.select("url", F.inline(pieces)).join(terms.select("folded", "code"), "folded")
     lists = coded.groupBy(F.col("url").alias("_url")).agg(
         F.array_sort(F.collect_list(F.struct("g", "i", "code"))).alias("_codes")
@@ -428,14 +440,7 @@ def packed(index: DataFrame, terms: DataFrame) -> DataFrame:
 
 def unpacked(entries: DataFrame, terms: DataFrame) -> DataFrame:
     """Packed entries back to labels through the term table; unknown codes are dropped."""
-    pieces = F.flatten(
-        F.array(
-            *[
-                F.transform(F.col(k), lambda v, i, n=n: F.struct(F.lit(n).alias("g"), i.alias("i"), v.alias("code")))
-                for n, k in enumerate("mpcx")
-            ]
-        )
-    )
+    pieces = _placed("mpcx", lambda v: v, "code")
     named = entries.select("url", F.inline(pieces)).join(terms.select("code", "label"), "code")
     lists = named.groupBy(F.col("url").alias("_url")).agg(
         F.array_sort(F.collect_list(F.struct("g", "i", "label"))).alias("_labels")

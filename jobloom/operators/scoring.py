@@ -223,10 +223,10 @@ def rank(
     person_terms = groups.select("person", "quality", F.explode("terms").alias("term"))
     if small is None:
         small = person_terms.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    asked = distinct.select(
-        "profile",
-        F.inline(F.flatten(F.array(*[F.transform(g, lambda t, g=g: F.struct(t.alias("term"), F.lit(g).alias("g"))) for g in "mpc"]))),
-    )
+    def wants(group: str) -> Column:
+        return F.transform(group, lambda t: F.struct(t.alias("term"), F.lit(group).alias("g")))
+
+    asked = distinct.select("profile", F.inline(F.flatten(F.array(*[wants(g) for g in "mpc"]))))
     hit = lambda g: F.count_if(F.col("g") == g).alias(f"{g}_hit")
     shared = _matches(person_terms, asked, small).groupBy("person", "quality", "profile").agg(*[hit(g) for g in "mpc"])
     lead = members.groupBy("profile").agg(F.min(F.struct(*order)).alias("lead"), F.count(F.lit(1)).alias("jobs"))

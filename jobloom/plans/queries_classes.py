@@ -12,7 +12,7 @@ from jobloom.functions import text as tx
 from jobloom.operators import classify as cl, quality as qa, requirements as rq, scoring as sc
 from jobloom.operators.sinks import attach_metadata
 from jobloom.plans.registry import ADS, HISTORY, TODAY, ads, ads_history, pick, query, sql_ascii, sql_caseless, sql_resume, sql_search, today
-from jobloom.session import table
+from jobloom.session import materialize, table
 
 # ---------------------------------------------------------------- classification
 
@@ -161,8 +161,8 @@ SELECT doc_id, me AS mandatory_start, CASE WHEN me IS NOT NULL THEN coalesce(lea
 def _(spark, folder):
     folded = table(spark, folder, "documents").select("doc_id", tx.fold_caseless("text").alias("t"))
     located = folded.select("doc_id", F.length("t").alias("n"), VOCABULARY.hits(F.col("t")).alias("h"))
-    s = rq.sections(F.col("h"), F.col("n"), VOCABULARY)
-    return located.select("doc_id", *[s[c].alias(c) for c in ("mandatory_start", "mandatory_end", "preferred_start", "preferred_end")])
+    located = located.select("doc_id", rq.sections(F.col("h"), F.col("n"), VOCABULARY).alias("s"))
+    return located.select("doc_id", *[F.col(f"s.{c}") for c in ("mandatory_start", "mandatory_end", "preferred_start", "preferred_end")])
 
 
 def _rfind(words) -> str:
@@ -229,7 +229,8 @@ def _(spark, folder):
 
 @query("snk_02_requirement_index")
 def _(spark, folder):
-    index = rq.build_index(_jobs(spark, folder), VOCABULARY, "doc_id")
+    # the index feeds the term table and the packed rows
+    index = materialize(rq.build_index(_jobs(spark, folder), VOCABULARY, "doc_id"))
     terms = rq.index_terms(index)
     packed = rq.packed(index, terms)
     return packed.select("url", *[F.array_join(F.transform(c, lambda v: v.cast("string")), ",").alias(c) for c in "mpcx"], "q")
