@@ -17,6 +17,7 @@ from jobloom.functions import text as tx
 from jobloom.functions.numbers import clamp, round_half_up
 from jobloom.operators.ordering import top_per_group
 from jobloom.operators.requirements import Vocabulary
+from jobloom.session import materialize
 
 #: Most résumé-term rows that are broadcast; above it the join shuffles with the hot terms spread.
 BROADCAST_ROWS = 2_000_000
@@ -96,7 +97,7 @@ def phrase_coverage(resumes: DataFrame, labels: DataFrame, resume_id: str, folde
     pairs = have.join(needs, "key")
     padded = F.concat(F.lit(" "), F.col("_text"), F.lit(" "))
     quoted = F.regexp_replace("t", r"([.+#/-])", r"\\\\$1")
-    bounded = padded.rlike(F.concat(F.lit("(?<![a-z0-9])"), quoted, F.lit("(?![a-z0-9])")))
+    bounded = F.rlike(padded, F.concat(F.lit("(?<![a-z0-9])"), quoted, F.lit("(?![a-z0-9])")))
     sql = padded.rlike(r"(?<![a-z0-9])(?:sql|pl/sql|plsql)(?![a-z0-9])")
     single = (F.col("t") == "sql")
     ok = (
@@ -179,7 +180,7 @@ def evaluate(pairs: DataFrame, covered: str, length: str, keep: Sequence[str]) -
 # ---------------------------------------------------------------- ranking
 
 
-def profiles(jobs: DataFrame, k: int, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def profiles(jobs: DataFrame, k: int, order: Sequence[str], keep=lambda df: df) -> tuple[DataFrame, DataFrame]:
     """Distinct requirement profiles, and the first ``k`` jobs of each.
 
     ``jobs``: ``url``, ``order`` columns, ``m``, ``p``, ``c`` (arrays of terms) and ``q``.  Returns
@@ -187,7 +188,8 @@ def profiles(jobs: DataFrame, k: int, order: Sequence[str]) -> tuple[DataFrame,
     """
     shape = F.struct(*[F.array_sort(g).alias(g) for g in "mpc"], F.coalesce("q", F.lit(0)).alias("q"))
     keyed = jobs.select("url", *[c for c in order if c != "url"], shape.alias("_shape"))
-    keyed = keyed.withColumn("profile", F.sha2(F.to_json("_shape"), 256))
+    # read once from here on: deriving the terms from text is the expensive part
+    keyed = keep(keyed.withColumn("profile", F.sha2(F.to_json("_shape"), 256)))
     members = top_per_group(keyed.drop("_shape"), ["profile"], [F.asc(c) for c in order], k)
     distinct = keyed.groupBy("profile").agg(F.first("_shape").alias("_shape")).select("profile", "_shape.*")
     return distinct, members
@@ -208,17 +210,19 @@ def _matches(resume_terms: DataFrame, asked: DataFrame, small: bool) -> DataFram
 
 def rank(
     resumes: DataFrame, jobs: DataFrame, k: int = 30, resume_id: str = "resume_id", order: Sequence[str] = ("title", "url"),
-    small: bool | None = None,
+    small: bool | None = None, keep=materialize,
 ) -> DataFrame:
     """Best ``k`` jobs per résumé by score, coverage, then ``order`` columns.  Exact.
 
     ``resumes``: ``resume_id``, ``terms`` (array), ``length``.  ``jobs``: see ``profiles``; every row is scoreable.
+    ``keep`` materialises the relations that several branches read.
     """
-    distinct, members = profiles(jobs, k, order)
+    distinct, members = profiles(jobs, k, order, keep)
     # résumés with the same terms and quality share their scores as well
     people = resumes.select(
         resume_id, F.array_sort(F.array_distinct("terms")).alias("terms"), resume_quality(F.col("length")).alias("quality")
     ).withColumn("person", F.sha2(F.concat_ws("\x1f", F.col("quality").cast("string"), F.to_json("terms")), 256))
+    people = keep(people)
     groups = people.groupBy("person", "quality").agg(F.first("terms").alias("terms"))
     person_terms = groups.select("person", "quality", F.explode("terms").alias("term"))
     if small is None:
@@ -244,7 +248,7 @@ def rank(
     )
     # a row among the best k belongs to a profile whose first job is among the best k first jobs
     best_first = [F.desc("score"), F.desc("coverage"), F.asc("lead")]
-    near = top_per_group(scored, ["person"], best_first, k)
+    near = keep(top_per_group(scored, ["person"], best_first, k))
     columns = ["person", "url", *[c for c in order if c != "url"], "score", "coverage"]
     overlapping = near.join(members, "profile").select(*columns)
     both = overlapping.unionByName(_zero_scores(groups, near, sized, members, k, columns))
