@@ -64,7 +64,7 @@ def term_rules(label: Column) -> dict[str, Column]:
     text = text_or_blank(label)
     return {
         "term_too_long": _bad(F.length(text) > 80),
-        "term_personal_data": _bad(text.rlike(fx.EMAIL) | text.rlike(fx.PHONE)),
+        "term_personal_data": _bad((text.contains("@") & text.rlike(fx.EMAIL)) | text.rlike(fx.PHONE)),
         "term_many_words": _bad(words(text) > 12),
     }
 

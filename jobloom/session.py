@@ -46,5 +46,26 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Inputs up to this size may be spread over the cores by one shuffle; larger ones are read as they are laid out.
+SPREAD_BYTES = 512 * 1024 * 1024
+
+#: Tables whose rows carry text, and the columns that spread them evenly.
+TEXT_TABLES = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"]}
+
+
+def spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Give every core a share of a small input that arrives in fewer files than there are cores.
+
+    Text work is bound by the processor, and one small file is one task.  Big inputs have many files and are left
+    alone: the size is checked, so that nothing large is ever shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, *keys) if size <= SPREAD_BYTES else df
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
+    return spread(df, TEXT_TABLES[name]) if name in TEXT_TABLES else df
