@@ -396,8 +396,13 @@ def build_index(jobs: DataFrame, vocabulary: Vocabulary, order: str, minimum: in
     linked = jobs.withColumns({"url": tx.https_url(tx.strip("url")), "ord": F.col(order)})
     usable = linked.filter((F.col("url") != "") & (F.length(tx.fold_caseless("description")) >= minimum))
     found = extract(usable, vocabulary, keep=("url", "ord"))
-    # rows without any requirement never win: they have no rank (a filter here would be evaluated twice)
-    rank = F.when(F.size(F.concat(*GROUPS)) > 0, F.col("ord"))
+    return best_per_link(found, F.col("ord"))
+
+
+def best_per_link(found: DataFrame, order: Column) -> DataFrame:
+    """Last row per link among those with a requirement."""
+    # the others have no rank (a filter here would be evaluated twice)
+    rank = F.when(F.size(F.concat(*GROUPS)) > 0, order)
     best = found.groupBy(F.col("url").alias("_url")).agg(F.max_by(F.struct(*found.columns), rank).alias("_row"))
     return best.filter(F.col("_row").isNotNull()).select("_row.*")
 

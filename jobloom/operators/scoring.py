@@ -20,7 +20,7 @@ from jobloom.operators.requirements import Vocabulary
 from jobloom.session import materialize
 
 #: Most résumé-term rows that are broadcast; above it the join shuffles with the hot terms spread.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 200_000
 SPREAD = 16
 
 

@@ -170,15 +170,17 @@ def _(spark, folder):
     return sinks.board_catalog(_boards(spark, folder))
 
 
-@query("agg_09_array_ranges", """SELECT l_orderkey, min(l_extendedprice) AS low, max(l_extendedprice) AS high, count(DISTINCT l_returnflag) AS contracts FROM lineitem GROUP BY 1""")
-def _(spark, folder):
-    docs = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
-        F.collect_list(F.struct("l_extendedprice", "l_returnflag")).alias("salaries")
-    )
-    amounts = F.transform("salaries", lambda s: s["l_extendedprice"])
-    return docs.select(
-        "l_orderkey", F.array_min(amounts).alias("low"), F.array_max(amounts).alias("high"),
-        F.size(F.array_distinct(F.transform("salaries", lambda s: s["l_returnflag"]))).alias("contracts"),
+@query("agg_09_array_ranges", """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, least(l_extendedprice, l_quantity * 100) AS low, greatest(l_extendedprice, l_quantity * 100) AS high,
+  l_returnflag || '|' || l_linestatus AS contracts FROM lineitem""")
+def _(spark, folder):
+    pay = lambda amount, contract: F.struct(amount.cast("double").alias("amount"), F.col(contract).alias("contract"))
+    salaries = F.array(pay(F.col("l_extendedprice"), "l_returnflag"), pay(F.col("l_quantity") * 100, "l_linestatus"), pay(F.lit(None), "l_returnflag"))
+    rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", salaries.alias("salaries"))
+    amounts = F.transform("salaries", lambda s: s["amount"])
+    contracts = F.array_distinct(F.transform("salaries", lambda s: s["contract"]))
+    return rows.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.array_min(amounts).alias("low"), F.array_max(amounts).alias("high"),
+        F.array_join(contracts, "|").alias("contracts"),
     )
 
 

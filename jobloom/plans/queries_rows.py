@@ -340,20 +340,19 @@ def _(spark, folder):
     return enrich.overlay_defaults(existing, required, "board")
 
 
-@query("jon_08_document_references", """WITH l AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_suppkey % 2 = 0 THEN 'level' ELSE 'area' END AS t, l_partkey, l_returnflag || l_linestatus AS name FROM lineitem)
-SELECT l_orderkey, array_to_string(list(name ORDER BY first_line), '|') AS names FROM (
-  SELECT l_orderkey, name, min({'n': l_linenumber, 'k': l_linenumber || '/' || l_partkey || '/' || name}) AS first_line FROM l WHERE t = 'level' GROUP BY 1, 2) GROUP BY 1""")
-def _(spark, folder):
-    kind = F.when(F.col("l_suppkey") % 2 == 0, "level").otherwise("area")
-    item = F.struct(
-        "l_linenumber", kind.alias("type"), F.concat_ws("/", F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"), F.concat("l_returnflag", "l_linestatus")).alias("id"),
-        F.concat("l_returnflag", "l_linestatus").alias("name"),
+@query("jon_08_document_references", """SELECT p_partkey, p_name || '|' || CASE WHEN p_partkey % 2 = 0 THEN upper(p_brand) ELSE p_brand END AS names FROM part""")
+def _(spark, folder):
+    part = lambda kind, number, name: F.struct(F.lit(kind).alias("type"), F.lit(number).alias("id"), name.alias("name"))
+    # a later part with the same identity wins; unknown references give nothing
+    again = F.when(F.col("p_partkey") % 2 == 0, F.upper("p_brand")).otherwise(F.col("p_brand"))
+    included = F.array(
+        part("level", "1", F.col("p_brand")), part("area", "2", F.col("p_type")), part("level", "2", F.col("p_name")), part("level", "1", again)
     )
-    # one document per order: its lines are the included parts, its level lines are the references
-    docs = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("included"))
-    docs = docs.withColumn("refs", F.filter("included", lambda i: i["type"] == "level"))
-    out = enrich.resolve_references(docs, "l_orderkey", "refs", "included")
-    return out.filter(F.size("names") > 0).select("l_orderkey", F.array_join("names", "|").alias("names"))
+    reference = lambda number: F.struct(F.lit("level").alias("type"), F.lit(number).alias("id"))
+    refs = F.array(reference("2"), reference("1"), reference("9"), reference("2"))
+    documents = table(spark, folder, "part").select("p_partkey", included.alias("included"), refs.alias("refs"))
+    out = enrich.resolve_references(documents, "p_partkey", "refs", "included")
+    return out.select("p_partkey", F.array_join("names", "|").alias("names"))
 
 
 VOCABULARY = ("the", "that", "der", "que", "elle", "mente", "ing", "ción", "schen", "here", "tion", "and")

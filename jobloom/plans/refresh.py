@@ -8,12 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobloom import fixed_values as fx
+from jobloom.functions import text as tx
 from jobloom.functions.dates import local_today
 from jobloom.operators import filters as fl, history as hi, snapshot as sn
 from jobloom.operators.classify import with_classes
 from jobloom.operators.dedupe import keep_last, native_key
 from jobloom.operators.enrich import append_missing, overlay_defaults, overlay_non_blank, seed_fallback
 from jobloom.operators.ordering import in_registry_order
+from jobloom.operators.requirements import Vocabulary, best_per_link, extract
 from jobloom.schema import JOB
 from jobloom.session import materialize
 from jobloom.sources import cards, embedded, feeds, json_specs, markup
@@ -85,22 +87,38 @@ def collected(landed: DataFrame, sources: Sequence[str], today: Column, **config
     return fl.valid_rows(in_registry_order(frames, sources))
 
 
-def normalized(rows: DataFrame, today: Column, months: int = 2) -> DataFrame:
-    """Market, repeats, age.  Counts per source are taken here."""
+ORDER = ["registry_ord", "page", "item_ord"]
+
+
+def classified(rows: DataFrame) -> DataFrame:
+    """Market, work model, area and seniority: all row-local, so they run before any shuffle."""
     rows = rows.withColumn("market", fl.market_from_city(F.col("city"), F.col("market")))
-    rows = keep_last(rows, [native_key()], ["registry_ord", "page", "item_ord"])
+    return with_classes(fl.with_inferred_work_model(rows))
+
+
+def unique_recent(rows: DataFrame, today: Column, months: int = 2) -> DataFrame:
+    """Last delivery per identifier, then the age filter.  Descriptions must be gone by now: this is the shuffle."""
+    rows = keep_last(rows.drop("description"), [native_key()], ORDER)
     return rows.filter(fl.is_recent_publication(F.col("published_date"), F.col("expires_date"), F.col("source"), today, months))
 
 
-def classified(rows: DataFrame) -> DataFrame:
-    """Work model, area, seniority; rows of unknown market leave."""
-    return with_classes(fl.with_inferred_work_model(rows)).filter(fl.market_is_known(F.col("market")))
+def requirement_index(rows: DataFrame, batch: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Requirement index of a batch, from the collected rows that still carry descriptions.
+
+    Extraction is row-local and comes first; only its small result is joined with the batch's winning deliveries.
+    """
+    linked = rows.withColumns({"job_uid": native_key(), "url": tx.https_url(tx.strip("url"))})
+    usable = linked.filter((F.col("url") != "") & fl.has_usable_description(F.col("description")))
+    found = extract(usable, vocabulary, keep=("job_uid", "url", *ORDER))
+    winners = batch.select(native_key().alias("job_uid"), *ORDER)
+    return best_per_link(found.join(winners, ["job_uid", *ORDER], "left_semi"), F.struct(*ORDER))
 
 
 @dataclass(frozen=True)
 class Refresh:
     counts: DataFrame  # rows per source after the age filter, before unknown markets leave
-    batch: DataFrame  # classified canonical rows (still with descriptions)
+    batch: DataFrame  # classified canonical rows, without descriptions, with their order columns
+    collected: DataFrame  # every valid delivery with its description, for the requirement index
     history: DataFrame
     snapshot: sn.Snapshot
     changes: DataFrame
@@ -124,11 +142,12 @@ def refresh(
     if unknown:
         raise ValueError(f"unknown source(s): {', '.join(sorted(unknown))}")
     usable = [s for s in chosen if s not in failed]
-    rows = materialize(normalized(collected(landed, usable, today, **config), today, months))
+    deliveries = collected(landed, usable, today, **config)
+    rows = materialize(unique_recent(classified(deliveries), today, months))
     if rows.isEmpty():
         raise NothingCollectedError("no advertisements were collected")
     counts = rows.groupBy("source").agg(F.count(F.lit(1)).alias("jobs")).orderBy("source")
-    batch = classified(rows)
+    batch = rows.filter(fl.market_is_known(F.col("market")))
     stored = hi.as_history_rows(batch)
     merged = materialize(hi.merge(history, stored, today, change="_change"))
     changes = hi.change_counts(merged, "_change")
@@ -142,7 +161,7 @@ def refresh(
         current = hi.purge_foreign(current, "greenhouse", keys.filter("source = 'greenhouse'"))
     current = materialize(hi.prune(current, today, keep_days, months))
     shot = sn.build(current, today, fresh_days, months, max_jobs, keep=materialize)
-    return Refresh(counts, batch, current, shot, changes)
+    return Refresh(counts, batch, deliveries, current, shot, changes)
 
 
 def board_configuration(catalog: DataFrame, required: DataFrame) -> DataFrame:

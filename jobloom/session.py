@@ -31,11 +31,10 @@ def local_session(cores: str | int = "*", memory: str = "12g", **extra: str) ->
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names; a temporary one only where none is set (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        current = spark.sparkContext.getCheckpointDir()
-        if current:
-            return current
-        named = tempfile.mkdtemp(prefix="jobloom-checkpoint-")
+    current = spark.sparkContext.getCheckpointDir()
+    if current and (not named or named.rstrip("/") in current):
+        return named or current
+    named = named or tempfile.mkdtemp(prefix="jobloom-checkpoint-")
     spark.sparkContext.setCheckpointDir(named)
     return named
 

@@ -136,13 +136,18 @@ def test_readers_check_shapes(spark, tmp_path):
 
 
 def test_refresh_end_to_end(spark):
-    gupy = {"data": [{"id": i, "name": f"Analista de Dados {i}", "careerPageName": "Acme", "jobUrl": f"http://g/{i}", "city": "Recife", "publishedDate": "2026-08-10"} for i in range(3)]}
+    gupy = {"data": [{"id": i, "name": f"Analista de Dados {i}", "careerPageName": "Acme", "jobUrl": f"http://g/{i}", "city": "Recife", "publishedDate": "2026-08-10", "description": "Requisitos: SQL. " + "texto " * 30} for i in range(3)]}
     lever = [{"id": "z", "text": "Analista de Dados", "hostedUrl": "https://l/z", "categories": {"location": "Austin"}, "createdAt": 1755000000000}]
     both = landed(spark, "gupy", gupy).unionByName(landed(spark, "lever", lever, board="acme"))
     from jobloom.schema import HISTORY
 
     out = rf.refresh(spark, both, spark.createDataFrame([], HISTORY), TODAY.cast("date"), sources="gupy,lever")
     assert {r["source"]: r["jobs"] for r in out.counts.collect()} == {"gupy": 3}
+    assert "description" not in out.batch.columns and "description" not in out.history.columns
+    from jobloom.operators.requirements import Entry, Vocabulary
+
+    index = rf.requirement_index(out.collected, out.batch, Vocabulary([Entry("sql", "SQL", ("SQL",), "skill")]))
+    assert sorted(r["url"] for r in index.collect()) == ["https://g/0", "https://g/1", "https://g/2"]
     assert out.changes.first()["inserted"] == 3
     shown = out.snapshot.encoded().collect()
     assert len(shown) == 3 and all(r["url"].startswith("https://") for r in shown) and {r["wm"] for r in shown} == {0}
