@@ -40,7 +40,10 @@ def _(spark, folder):
 # ---------------------------------------------------------------- HTML
 
 
-_UNESC = "replace(replace(replace(replace(replace(replace({}, '&copy;', '©'), '&middot;', '·'), '&quot;', chr(34)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+# these names also count without their semicolon, as at the end of a cut title
+_UNESC = "{}"
+for _name, _char in (("copy", "'©'"), ("middot", "'·'"), ("quot", "chr(34)"), ("lt", "'<'"), ("gt", "'>'"), ("amp", "'&'")):
+    _UNESC = f"regexp_replace({_UNESC}, '&{_name};?', {_char}, 'g')"
 
 
 @query("str_03_strip_html", "SELECT page_id, substr(trim(regexp_replace(" + _UNESC.format("regexp_replace(html, '<[^>]+>', ' ', 'g')")
