@@ -114,21 +114,29 @@ def staging_seniority(title: Column, rules=fx.STAGING_SENIORITY) -> Column:
     return tx.first_label(_words(title), rules, fx.STAGING_SENIORITY_OTHER)
 
 
+def _ascii_words(pattern: str) -> str:
+    """Word limits between ASCII word characters only; Java's own also treat accented letters and ß as part of a word."""
+    word = "[A-Za-z0-9_]"
+    return pattern.replace(r"\b", f"(?:(?<={word})(?!{word})|(?<!{word})(?={word}))")
+
+
 def language_level(description: Column, mention: str = fx.LANGUAGE_MENTION, levels=fx.LANGUAGE_LEVELS) -> Column:
     """Level named within a short distance after the language."""
     text = tx.fold_search(description)
-    rules = [(label, rf"{mention}.{{0,{reach}}}\b({words})\b") for label, reach, words in levels]
-    return F.when(~text.rlike(mention), fx.LANGUAGE_ABSENT).otherwise(tx.first_label(text, rules, fx.LANGUAGE_PLAIN))
+    rules = [(label, _ascii_words(rf"{mention}.{{0,{reach}}}\b({words})\b")) for label, reach, words in levels]
+    return F.when(~text.rlike(_ascii_words(mention)), fx.LANGUAGE_ABSENT).otherwise(tx.first_label(text, rules, fx.LANGUAGE_PLAIN))
 
 
 def staging_workplace(raw: Column, rules=fx.STAGING_WORKPLACE) -> Column:
+    rules = [(label, _ascii_words(pattern)) for label, pattern in rules]
     return tx.first_label(tx.fold_search(raw), rules, fx.STAGING_WORKPLACE_OTHER)
 
 
 def stated_modality(text: Column, cues: str = fx.MODALITY_CUES, rules=fx.MODALITY_IN_TEXT) -> Column:
     """Modality named at most 55 characters after a cue word, or blank."""
     folded = F.substring(tx.fold_search(text), 1, fx.MODALITY_TEXT_CHARS)
-    return tx.first_label(folded, [(label, rf"\b({cues})\b.{{0,55}}\b({words})\b") for label, words in rules], "")
+    patterns = [(label, _ascii_words(rf"\b({cues})\b.{{0,55}}\b({words})\b")) for label, words in rules]
+    return tx.first_label(folded, patterns, "")
 
 
 def contradiction_alerts(
