@@ -29,11 +29,16 @@ def local_session(cores: str | int = "*", memory: str = "12g", **extra: str) ->
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names; a temporary one only where none is set (tests)."""
+    """The shared checkpoint folder that the cluster names.
+
+    A temporary folder stands in only on a local master, where driver and executors are one process.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current and (not named or named.rstrip("/") in current):
         return named or current
+    if not named and not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     named = named or tempfile.mkdtemp(prefix="jobloom-checkpoint-")
     spark.sparkContext.setCheckpointDir(named)
     return named
