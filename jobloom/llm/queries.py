@@ -57,3 +57,36 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(decode_column(F.col("ids"), path, pattern), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    from jobloom.llm.secrets import KINDS, secrets_column, span_text
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    docs = read_table(spark, folder, "documents").select("doc_id", secrets_column(F.col("text")).alias("found"))
+    docs = docs.select("doc_id", F.col("found.spans").alias("all"), F.filter("found.spans", lambda s: s["base"]).alias("base"), "found.layers", "found.oversize")
+    return docs.select(
+        "doc_id",
+        *[count(kind) for kind in KINDS],
+        F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
+        span_text(F.col("all")).alias("spans"),
+        "layers",
+        "oversize",
+    )
+
+
+@query
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    from jobloom.llm import quality_votes as q
+    from jobloom.llm.common import stage_table
+
+    docs = read_table(spark, folder, "documents").select("doc_id", q.signals_column(F.col("text")).alias("s"))
+    s = F.col("s")
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    docs = stage_table(docs.select("doc_id", *[s[c].alias(c) for c in base], q.base_failed(s).alias("base_failed"), q.votes(s).alias("votes")), "votes")
+    model = q.fit(docs)
+    posterior = model.posterior_column(F.col("votes"))
+    return docs.select("doc_id", *base, "base_failed", (~F.col("base_failed") & (posterior >= q.KEEP)).alias("kept"), posterior.alias("posterior"))
