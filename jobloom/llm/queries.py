@@ -90,3 +90,26 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     model = q.fit(docs)
     posterior = model.posterior_column(F.col("votes"))
     return docs.select("doc_id", *base, "base_failed", (~F.col("base_failed") & (posterior >= q.KEEP)).alias("kept"), posterior.alias("posterior"))
+
+
+@query
+def op8_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    from jobloom.llm.topk import prepared, search
+
+    vectors = prepared(read_table(spark, folder, "embeddings"), "vec_id", "embedding", 1024)
+    return search(vectors, vectors.filter(F.col("vec_id") % 100 == 0), 10)
+
+
+ORACLE["op8_exact_topk"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as a
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+  select q.vec_id as query_id, c.vec_id,
+         cast(list_sum(list_transform(range(1, len(q.a) + 1), lambda i: q.a[i] * c.a[i])) as bigint) as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0
+), r as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s
+)
+select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 10"""
