@@ -113,3 +113,10 @@ with v as (
   select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s
 )
 select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 10"""
+
+
+@query
+def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    from jobloom.llm.ngram_join import jaccard_components
+
+    return jaccard_components(read_table(spark, folder, "documents"), width=3, percent=90)
