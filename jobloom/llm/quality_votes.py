@@ -100,21 +100,13 @@ def rules(s: Column) -> dict[str, Column]:
 
 
 def votes(s: Column) -> Column:
-    """One number per pattern of votes: a base-3 digit for each rule."""
-    code = F.lit(0)
-    for vote in rules(s).values():
-        code = code * 3 + (vote + 1)
-    return code.cast("int")
+    """The votes of all rules as an array."""
+    return F.array(*rules(s).values())
 
 
 N_RULES = 10
 
 
-def digits(code: np.ndarray | int) -> np.ndarray:
-    """Votes (-1, 0, 1) of a pattern, one column per rule."""
-    return (np.asarray(code)[..., None] // 3 ** np.arange(N_RULES - 1, -1, -1)) % 3 - 1
-
-
 class VoteModel:
     """Share of good documents, and for each rule how often it votes good, given that it votes, on good and on bad ones."""
 
@@ -132,13 +124,13 @@ class VoteModel:
         score = score + up @ np.log(self.good / self.bad) + down @ np.log((1 - self.good) / (1 - self.bad))
         return 1 / (1 + np.exp(-score))
 
-    def fit(self, histogram: Mapping[int, int], rounds: int = 200) -> VoteModel:
+    def fit(self, histogram: Mapping[tuple[int, ...], int], rounds: int = 200) -> VoteModel:
         """Expectation-maximisation.  A rule may be useless but not misleading: it says bad of a good document in at most a
         twentieth of its votes, and of a bad one at least as often as of a good one."""
-        codes = sorted(histogram)
-        if not codes:
+        if not histogram:
             return self
-        pattern, weight = digits(np.array(codes)), np.array([float(histogram[c]) for c in codes])
+        patterns = sorted(histogram)
+        pattern, weight = np.array(patterns), np.array([float(histogram[p]) for p in patterns])
         up, voted = (pattern == 1).astype(float), (pattern != 0).astype(float)
         for _ in range(rounds):
             before = np.concatenate([[self.share], self.good, self.bad])
@@ -152,18 +144,18 @@ class VoteModel:
                 break
         return self
 
-    def posterior_column(self, code: Column) -> Column:
-        """The same probability as an expression over the pattern number."""
-        score = F.lit(float(np.log(self.share / (1 - self.share))))
-        for i in range(N_RULES):
-            digit = F.floor(code / F.lit(3 ** (N_RULES - 1 - i))) % 3
-            score = score + F.when(digit == 2, float(np.log(self.good[i] / self.bad[i]))).when(digit == 0, float(np.log((1 - self.good[i]) / (1 - self.bad[i])))).otherwise(0.0)
+    def posterior_column(self, votes: Column) -> Column:
+        """The same probability as an expression over the array of votes."""
+        gains = F.array(*[F.struct(F.lit(float(u)).alias("up"), F.lit(float(d)).alias("down")) for u, d in zip(np.log(self.good / self.bad), np.log((1 - self.good) / (1 - self.bad)), strict=True)])
+        each = F.zip_with(votes, gains, lambda v, g: F.when(v == 1, g["up"]).when(v == -1, g["down"]).otherwise(F.lit(0.0)))
+        score = F.aggregate(each, F.lit(float(np.log(self.share / (1 - self.share)))), lambda total, gain: total + gain)
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-score))
 
 
-def fit(patterns: DataFrame, code: str = "votes") -> VoteModel:
-    """Estimate from a table with a column of pattern numbers; at most 3 ** N_RULES counts reach the driver."""
-    return VoteModel().fit({r[code]: r["n"] for r in patterns.groupBy(code).agg(F.count(F.lit(1)).alias("n")).collect()})
+def fit(patterns: DataFrame, column: str = "votes") -> VoteModel:
+    """Estimate from a table with a column of votes; at most 3 ** N_RULES counts reach the driver."""
+    counts = patterns.groupBy(column).agg(F.count(F.lit(1)).alias("n")).collect()
+    return VoteModel().fit({tuple(r[column]): r["n"] for r in counts})
 
 
 def base_failed(s: Column) -> Column:
