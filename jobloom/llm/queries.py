@@ -120,3 +120,11 @@ def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     from jobloom.llm.ngram_join import jaccard_components
 
     return jaccard_components(read_table(spark, folder, "documents"), width=3, percent=90)
+
+
+@query
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    from jobloom.llm.html_wrappers import extract
+
+    pages = extract(read_table(spark, folder, "pages"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
