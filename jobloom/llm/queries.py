@@ -128,3 +128,49 @@ def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
     pages = extract(read_table(spark, folder, "pages"))
     return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    from jobloom.llm.licenses import known_digests, scan
+
+    return scan(read_table(spark, folder, "documents"), known_digests(spark))
+
+
+def _license_oracle() -> str:
+    from jobloom.llm.licenses import oracle
+
+    return oracle()
+
+
+ORACLE["op2_license_scan"] = _license_oracle()
+
+#: Tools that the chat query derives from the turns.
+TOOLS = {
+    "search": {"required": ["query", "limit"], "properties": {"query": {"type": "string"}, "limit": {"type": "integer", "minimum": 1, "maximum": 20}}, "additionalProperties": False},
+    "summarise": {"required": ["text"], "properties": {"text": {"type": "string"}, "words": {"type": "integer"}}},
+    "translate": {"required": ["text", "to"], "properties": {"text": {"type": "string"}, "to": {"type": "string", "enum": ["en", "de", "fr", "es"]}}},
+}
+
+
+@query
+def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """Every user turn is a call that comes after the conversation's user turn before it; the assistant turn that follows is its
+    result.  Tool and arguments follow from the turn's text; some do not fit their schema."""
+    from jobloom.llm.tool_calls import format_calls
+
+    turns = read_table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    call_id = F.concat(F.lit("call-"), F.col("turn").cast("string"))
+    size = F.length("text")
+    arguments = (
+        F.when(size % 3 == 0, F.to_json(F.struct(F.col("text").alias("query"), (size % 25).alias("limit"))))
+        .when(size % 3 == 1, F.to_json(F.struct(F.col("text").alias("text"), size.alias("words"))))
+        .otherwise(F.to_json(F.struct(F.col("text").alias("text"), F.element_at(F.array(*map(F.lit, ["en", "de", "fr", "es", "xx"])), (size % 5 + 1).cast("int")).alias("to"))))
+    )
+    name = F.element_at(F.array(*map(F.lit, TOOLS)), (size % 3 + 1).cast("int"))
+    users = turns.filter(F.col("role") == "user")
+    # the user turn before is two turns back; where it is not, the call counts as first
+    after = F.when(F.col("turn") >= 2, F.concat(F.lit("call-"), (F.col("turn") - 2).cast("string")))
+    calls = users.select("conv_id", "turn", call_id.alias("call_id"), after.alias("after"), name.alias("name"), arguments.alias("arguments"))
+    results = turns.filter(F.col("role") == "assistant").select("conv_id", "turn", F.concat(F.lit("call-"), (F.col("turn") - 1).cast("string")).alias("call_id"), F.col("text").alias("content"))
+    return format_calls(calls, results, TOOLS)
