@@ -6,8 +6,8 @@ backtracks to shorter ones; a step is allowed if the two adjacent tokens are com
 gives exactly these two tokens.  Every merge result is made of compatible neighbours and only one such sequence exists for
 a prefix, so a position that failed once never needs another try: the walk is linear.  Compatibility is memoised.
 
-Texts are cut at single spaces first, where the pattern always cuts too, and the ids of these bits are memoised; the memos are
-emptied at a fixed number of entries, so memory is bounded for any vocabulary of words.
+Texts are cut at single spaces first, where the pattern always cuts too, and the ids of these bits are memoised; the memos keep
+two generations of a fixed number of entries, so memory is bounded for any vocabulary of words.
 
 Null text: no ids, decoded to the empty string.  Empty and very long texts, repeats and empty tables need no special care.
 """
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,28 +28,42 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Entries of each memo before it is emptied.
-MEMO = 500_000
+#: Entries of each generation of a memo.
+MEMO = 200_000
 
 #: A single space with white space on both sides: there, runs of white space are not cut at the space.
 _WIDE_GAP = re.compile(r"\s\x20\s")
 
 
 class Memo(dict):
+    """Remembers what ``make`` gives.  When it is full, it starts anew and keeps the previous generation for look-up."""
+
     def __init__(self, make):
-        self.make = make
+        self.make, self.old = make, {}
 
     def __missing__(self, key):
-        value = self[key] = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= MEMO:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class ByteBpe:
     """One vocabulary: ``{bytes: id}`` and the pattern that splits text."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.bytes_of = {i: b for b, i in ranks.items()}
+        self.bytes_of = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            self.bytes_of[i] = token
         self.find = regex.compile(pattern).findall
         self.automaton = ahocorasick.Automaton()
         for token, i in ranks.items():
@@ -56,8 +71,17 @@ class ByteBpe:
         self.automaton.make_automaton()
         self.compatible: dict[tuple[int, int], bool] = {}
         self.halves: dict[int, tuple[int, int]] = {}
-        self.pieces = Memo(lambda piece: np.array(self.walk(piece.encode()), dtype="<u4").tobytes())
-        self.spaced = Memo(lambda word: b"".join(map(self.pieces.__getitem__, self.find(" " + word))))
+        self.pieces = Memo(lambda piece: packed(self.walk(piece.encode())))
+        self.spaced = Memo(self._spaced)
+
+    def _spaced(self, word: str) -> bytes:
+        """Ids of a word after a single space."""
+        if word.isalpha():
+            return packed(self.walk(b" " + word.encode()))
+        head, *rest = self.find(" " + word)
+        stem = head[1:]
+        ids = self.spaced[stem] if head[0] == " " and stem and stem != word else packed(self.walk(head.encode()))
+        return ids + b"".join(map(self.pieces.__getitem__, rest))
 
     def last_merge(self, token: int) -> tuple[int, int]:
         """The two tokens whose merge makes ``token``: its bytes are merged by rank, leftmost first, until two parts are left."""
@@ -109,12 +133,17 @@ class ByteBpe:
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
+        latin = data.decode("latin-1")
+        # the longest match at every step is right most of the time; then no other token needs a look
+        ids = [token for _, (_, token) in self.automaton.iter_long(latin)]
+        if all(map(self.fits, ids, ids[1:])):
+            return ids
         size = len(data)
         at: list[list[tuple[int, int]]] = [[] for _ in range(size)]
-        for end, token in self.automaton.iter(data.decode("latin-1")):
+        for end, token in self.automaton.iter(latin):
             at[end - token[0] + 1].append(token)
         alive = bytearray(b"\x01") * (size + 1)
-        ids: list[int] = []
+        ids = []
         trail: list[tuple[int, int]] = []
         pos, choice = 0, len(at[0]) - 1
         while pos < size:
@@ -139,9 +168,6 @@ class ByteBpe:
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        for memo in (self.pieces, self.spaced):
-            if len(memo) >= MEMO:
-                memo.clear()
         if _WIDE_GAP.search(text):
             return b"".join(map(self.pieces.__getitem__, self.find(text)))
         first, *rest = text.split(" ")
