@@ -388,7 +388,7 @@ def board_location(c: Column | str, title: Column | str) -> Column:
 def company_from_slug(c: Column | str) -> Column:
     slug = F.lower(strip(text_or_blank(c)))
     words = F.filter(F.split(F.regexp_replace(slug, r"-\d+$", ""), "-"), lambda w: w != "")
-    capital = F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 1000))))
+    capital = F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, F.lit(2), F.length(w)))))
     return (
         F.when(slug.isin(*fx.CONFIDENTIAL_SLUGS), fx.COMPANY_CONFIDENTIAL)
         .when(F.size(capital) > 0, F.array_join(capital, " "))

@@ -99,7 +99,7 @@ def repair_work_models(history: DataFrame) -> DataFrame:
 def rewrite_links(history: DataFrame, source: str, build, changed: str | None = None) -> DataFrame:
     """Rebuild the link of a source's rows from ``build(native_id, title)``; blank results change nothing."""
     prefix = f"{source}:"
-    native = F.substring(F.col("job_uid"), len(prefix) + 1, 1_000_000)
+    native = F.substring(F.col("job_uid"), F.lit(len(prefix) + 1), F.length("job_uid"))
     link = strip(text_or_blank(build(native, F.col("title"))))
     applies = (
         (F.col("source") == source) & F.col("job_uid").startswith(prefix) & (native != "") & (link != "")

@@ -96,7 +96,7 @@ def phrase_coverage(resumes: DataFrame, labels: DataFrame, resume_id: str, folde
     have = resumes.select(F.col(resume_id), text.alias("_text"), F.explode(F.array_distinct(pieces)).alias("key"))
     pairs = have.join(needs, "key")
     padded = F.concat(F.lit(" "), F.col("_text"), F.lit(" "))
-    quoted = F.regexp_replace("t", r"([.+#/-])", r"\\\\$1")
+    quoted = F.regexp_replace("t", r"([.+#/-])", r"\\$1")
     bounded = F.rlike(padded, F.concat(F.lit("(?<![a-z0-9])"), quoted, F.lit("(?![a-z0-9])")))
     sql = padded.rlike(r"(?<![a-z0-9])(?:sql|pl/sql|plsql)(?![a-z0-9])")
     single = (F.col("t") == "sql")

@@ -31,30 +31,30 @@ def _sql_area() -> str:
     return " UNION ALL ".join(parts)
 
 
-@query("cls_01_seniority", f"""WITH x AS (SELECT doc_id, ' ' || {sql_ascii("substr(text, 1, 60)")} || ' ' AS t, CASE doc_id % 5 WHEN 0 THEN 'Sênior' WHEN 1 THEN '' ELSE source END AS level FROM documents)
+@query("cls_01_seniority", f"""WITH x AS (SELECT doc_id, ' ' || {sql_ascii("text")} || ' ' AS t, CASE doc_id % 5 WHEN 0 THEN 'Sênior' WHEN 1 THEN '' ELSE source END AS level FROM documents)
 SELECT doc_id, CASE WHEN level = 'Sênior' THEN 'Sênior/Especialista' WHEN level = 'src3' THEN 'Liderança' WHEN regexp_matches(t, '\\bof\\b|\\bund\\b') THEN 'High'
   WHEN regexp_matches(t, '\\band\\b|\\bque\\b') THEN 'Mid' WHEN regexp_matches(t, '\\bthe\\b|\\bder\\b') THEN 'Low' ELSE 'Não informado' END AS seniority FROM x""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "documents").select(
-        "doc_id", tx.fold_ascii(F.substring("text", 1, 60)).alias("t"), F.array(F.lit("?"), pick(F.col("doc_id"), "Sênior", "", *[F.col("source")] * 3)).alias("levels")
+        "doc_id", tx.fold_ascii(F.col("text")).alias("t"), F.array(F.lit("?"), pick(F.col("doc_id"), "Sênior", "", *[F.col("source")] * 3)).alias("levels")
     )
     mapped = {**fx.STRUCTURED_LEVELS, "src3": "Liderança"}
     return rows.select("doc_id", cl.seniority(F.col("t"), F.col("levels"), LEVEL_WORDS, mapped).alias("seniority"))
 
 
-@query("cls_02_area_scoring", f"""WITH x AS (SELECT doc_id, ' ' || {sql_ascii("substr(text, 1, 60)")} || ' ' AS t, substr({sql_ascii("text")}, 1, 600) AS d, CASE WHEN doc_id % 9 = 0 THEN 'fixed' ELSE '' END AS category FROM documents),
+@query("cls_02_area_scoring", f"""WITH x AS (SELECT doc_id, ' ' || {sql_ascii("text")} || ' ' AS t, substr({sql_ascii("text")}, 1, 600) AS d, CASE WHEN doc_id % 9 = 0 THEN 'fixed' ELSE '' END AS category FROM documents),
 s AS ({_sql_area()}), b AS (SELECT doc_id, category, arg_max(name, points * 10 - rank) AS name, max(points) AS points FROM s GROUP BY ALL)
 SELECT doc_id, CASE WHEN category = 'fixed' THEN 'Given' WHEN points >= 3 THEN name ELSE 'Outros' END AS area FROM b""")
 def _(spark, folder):
     rows = table(spark, folder, "documents").select(
-        "doc_id", tx.fold_ascii(F.substring("text", 1, 60)).alias("t"), cl.folded_lead(F.col("text")).alias("d"),
+        "doc_id", tx.fold_ascii(F.col("text")).alias("t"), cl.folded_lead(F.col("text")).alias("d"),
         F.array(F.lit("other"), F.when(F.col("doc_id") % 9 == 0, " Fixed ").otherwise("")).alias("categories"),
     )
     return rows.select("doc_id", cl.area(F.col("t"), F.col("d"), F.col("categories"), AREAS, {"fixed": "Given"}).alias("area"))
 
 
 _RULES = (("Articles", r"\b(der|die|das|les|los)\b"), ("Links", r"\b(and|und|que)\b"), ("Pronouns", r"\b(elle|that|this)\b"))
-_SQUEEZED = f"' ' || regexp_replace({sql_search('substr(text, 1, 60)')}, '[^a-z0-9]+', ' ', 'g') || ' '"
+_SQUEEZED = f"' ' || regexp_replace({sql_search('text')}, '[^a-z0-9]+', ' ', 'g') || ' '"
 
 
 def _sql_rules(rules, other: str) -> str:
@@ -63,12 +63,12 @@ def _sql_rules(rules, other: str) -> str:
 
 @query("cls_03_rule_list", f"WITH x AS (SELECT doc_id, {_SQUEEZED} AS t FROM documents) SELECT doc_id, {_sql_rules(_RULES, 'Outros')} AS category FROM x")
 def _(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", cl.staging_category(F.substring("text", 1, 60), _RULES).alias("category"))
+    return table(spark, folder, "documents").select("doc_id", cl.staging_category(F.col("text"), _RULES).alias("category"))
 
 
 @query("cls_04_staging_seniority", f"WITH x AS (SELECT doc_id, {_SQUEEZED} AS t FROM documents) SELECT doc_id, {_sql_rules(tuple(reversed(_RULES)), 'Não informado')} AS seniority FROM x")
 def _(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", cl.staging_seniority(F.substring("text", 1, 60), tuple(reversed(_RULES))).alias("seniority"))
+    return table(spark, folder, "documents").select("doc_id", cl.staging_seniority(F.col("text"), tuple(reversed(_RULES))).alias("seniority"))
 
 
 @query("cls_05_language_level", f"""WITH x AS (SELECT doc_id, {sql_search('text')} AS t FROM documents)
@@ -83,16 +83,16 @@ _MODAL = {"cues": "the|der|les|los", "rules": (("Híbrido", "of|und"), ("Presenc
 _MODAL_SQL = "CASE " + " ".join(f"WHEN regexp_matches({{0}}, '\\b(the|der|les|los)\\b.{{{{0,55}}}}\\b({w})\\b') THEN '{label}'" for label, w in _MODAL["rules"]) + " ELSE '' END"
 
 
-@query("cls_06_stated_modality", f"""WITH x AS (SELECT doc_id, substr({sql_search('text')}, 1, 12000) AS t, {sql_search("substr(text, 1, 30)")} AS w FROM documents)
+@query("cls_06_stated_modality", f"""WITH x AS (SELECT doc_id, substr({sql_search('text')}, 1, 12000) AS t, {sql_search("text")} AS w FROM documents)
 SELECT doc_id, {_MODAL_SQL.format('t')} AS modality, CASE WHEN regexp_matches(w, '\\b(the|that)\\b') THEN 'Remoto' WHEN regexp_matches(w, '\\b(der|die)\\b') THEN 'Presencial' ELSE 'Não informada' END AS workplace FROM x""")
 def _(spark, folder):
     rules = (("Remoto", r"\b(the|that)\b"), ("Presencial", r"\b(der|die)\b"))
     return table(spark, folder, "documents").select(
-        "doc_id", cl.stated_modality(F.col("text"), **_MODAL).alias("modality"), cl.staging_workplace(F.substring("text", 1, 30), rules).alias("workplace")
+        "doc_id", cl.stated_modality(F.col("text"), **_MODAL).alias("modality"), cl.staging_workplace(F.col("text"), rules).alias("workplace")
     )
 
 
-@query("cls_07_contradiction_alerts", f"""WITH x AS (SELECT doc_id, {_MODAL_SQL.format("substr(" + sql_search("'modalidade ' || substr(text, 1, 80)") + ", 1, 12000)")} AS tm, {_MODAL_SQL.format("substr(" + sql_search('text') + ", 1, 12000)")} AS dm,
+@query("cls_07_contradiction_alerts", f"""WITH x AS (SELECT doc_id, {_MODAL_SQL.format("substr(" + sql_search("'modalidade ' || text") + ", 1, 12000)")} AS tm, {_MODAL_SQL.format("substr(" + sql_search('text') + ", 1, 12000)")} AS dm,
   CASE doc_id % 3 WHEN 0 THEN 'Remoto' WHEN 1 THEN 'Híbrido' ELSE 'Não informada' END AS w, CASE doc_id % 2 WHEN 0 THEN 'Brasil' ELSE 'Recife' END AS place FROM documents)
 SELECT doc_id, concat_ws('|', CASE WHEN w = 'Não informada' THEN 'A modalidade não foi informada pela plataforma' END,
   CASE WHEN tm <> '' AND w <> 'Não informada' AND tm <> w THEN 'O título indica ' || lower(tm) || ', mas a plataforma classifica como ' || lower(w) END,
@@ -102,7 +102,7 @@ SELECT doc_id, concat_ws('|', CASE WHEN w = 'Não informada' THEN 'A modalidade
 def _(spark, folder):
     i = F.col("doc_id")
     alerts = cl.contradiction_alerts(
-        F.substring("text", 1, 80), pick(i, "Brasil", "Recife"), F.col("text"), pick(i, "Remoto", "Híbrido", "Não informada"), i % 5 != 0, **_MODAL
+        F.col("text"), pick(i, "Brasil", "Recife"), F.col("text"), pick(i, "Remoto", "Híbrido", "Não informada"), i % 5 != 0, **_MODAL
     )
     return table(spark, folder, "documents").select(i, F.array_join(alerts, "|").alias("alerts"))
 
@@ -289,7 +289,7 @@ def _(spark, folder):
 
 
 #: What a document asks for: mandatory, preferred and context labels by presence, confidence by size.
-_ASKS_SQL = f"""d AS (SELECT doc_id, source, {sql_caseless('text')} AS t, substr(text, 1, 40) AS title FROM documents),
+_ASKS_SQL = f"""d AS (SELECT doc_id, source, {sql_caseless('text')} AS t, text AS title FROM documents),
 asks AS (SELECT doc_id, title, [x FOR x IN [CASE WHEN contains(t, 'tion') THEN 'one' END, CASE WHEN contains(t, 'entre') THEN 'two' END, CASE WHEN contains(t, 'schen') THEN 'three' END, CASE WHEN contains(t, 'ing the') THEN 'four' END] IF x IS NOT NULL] AS m,
   [x FOR x IN [CASE WHEN contains(t, 'ado') THEN 'five' END, CASE WHEN contains(t, 'eau') THEN 'six' END] IF x IS NOT NULL] AS p,
   [x FOR x IN [CASE WHEN doc_id % 2 = 0 THEN 'three' END] IF x IS NOT NULL] AS c, CASE doc_id % 3 WHEN 0 THEN 95 WHEN 1 THEN 45 ELSE 20 END AS q FROM d)"""
@@ -306,7 +306,7 @@ scored AS (SELECT *, CAST(greatest(0, least(100, floor(round(CASE WHEN ma = 0 AN
 def _asks(spark, folder) -> DataFrame:
     t = F.col("t")
     when = lambda words: F.array_compact(F.array(*[F.when(test, label) for test, label in words]))
-    rows = table(spark, folder, "documents").select("doc_id", tx.fold_caseless("text").alias("t"), F.substring("text", 1, 40).alias("title"))
+    rows = table(spark, folder, "documents").select("doc_id", tx.fold_caseless("text").alias("t"), F.col("text").alias("title"))
     return rows.select(
         F.col("doc_id").alias("url"), "title",
         when([(t.contains("tion"), "one"), (t.contains("entre"), "two"), (t.contains("schen"), "three"), (t.contains("ing the"), "four")]).alias("m"),
@@ -315,15 +315,17 @@ def _asks(spark, folder) -> DataFrame:
     )
 
 
-@query("fit_09_score", f"""WITH {_RESUMES_SQL}, {_ASKS_SQL}, {_PAIR_SQL.replace('{where}', 'WHERE conv_id = doc_id')}
-SELECT conv_id AS resume_id, score, coverage, ma - mh AS gaps, CASE WHEN score >= 85 THEN 'Aderência muito forte' WHEN score >= 70 THEN 'Aderência forte' WHEN score >= 55 THEN 'Aderência parcial' ELSE 'Aderência baixa' END AS label FROM scored""")
+@query("fit_09_score", f"""WITH {_RESUMES_SQL}, {_ASKS_SQL}, {_PAIR_SQL.replace('{where}', 'WHERE conv_id = doc_id % (SELECT max(conv_id) + 1 FROM conversations)')}
+SELECT conv_id AS resume_id, doc_id AS url, score, coverage, ma - mh AS gaps, CASE WHEN score >= 85 THEN 'Aderência muito forte' WHEN score >= 70 THEN 'Aderência forte' WHEN score >= 55 THEN 'Aderência parcial' ELSE 'Aderência baixa' END AS label FROM scored""")
 def _(spark, folder):
-    # everyone applies to the document with their own number
+    # every document meets one person: its number modulo the number of people
+    people = table(spark, folder, "conversations").agg((F.max("conv_id") + 1).alias("_people"))
     asks = _asks(spark, folder).withColumnsRenamed({"m": "mandatory", "p": "preferred", "c": "context", "q": "confidence"})
-    pairs = _resumes(spark, folder).join(asks, F.col("resume_id") == F.col("url"))
+    asks = asks.join(F.broadcast(people)).withColumn("_person", F.col("url") % F.col("_people"))  # one row
+    pairs = _resumes(spark, folder).join(asks, F.col("resume_id") == F.col("_person"))
     pairs = pairs.withColumns({"manual": F.array().cast("array<string>"), "scoreable": F.lit(True)})
-    out = sc.evaluate(pairs, "terms", "length", ["resume_id"])
-    return out.select("resume_id", "score", "coverage", F.size("gaps").alias("gaps"), "label")
+    out = sc.evaluate(pairs, "terms", "length", ["resume_id", "url"])
+    return out.select("resume_id", "url", "score", "coverage", F.size("gaps").alias("gaps"), "label")
 
 
 def _rank_sql(k: int) -> str:

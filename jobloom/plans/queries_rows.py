@@ -327,14 +327,14 @@ def _(spark, folder):
     return enrich.append_missing(row("").filter("id % 3 <> 0"), row("card "), row("exact ").filter("id % 2 = 0"), "id")
 
 
-@query("jon_07_config_overlay", """WITH e AS (SELECT s_suppkey AS board, CASE WHEN s_suppkey % 4 <> 0 THEN s_name END AS company FROM supplier WHERE s_suppkey % 2 = 0),
-r AS (SELECT c_custkey AS board, c_name AS company, c_custkey % 10 = 0 AS brazil_only FROM customer WHERE c_custkey % 3 = 0)
+@query("jon_07_config_overlay", """WITH e AS (SELECT s_suppkey AS board, CASE WHEN s_suppkey % 4 <> 0 THEN s_name END AS company FROM supplier),
+r AS (SELECT c_custkey AS board, c_name AS company, c_custkey % 10 = 0 AS brazil_only FROM customer)
 SELECT coalesce(e.board, r.board) AS board, coalesce(e.company, r.company) AS company, r.brazil_only FROM e FULL OUTER JOIN r ON e.board = r.board""")
 def _(spark, folder):
-    existing = table(spark, folder, "supplier").filter("s_suppkey % 2 = 0").select(
+    existing = table(spark, folder, "supplier").select(
         F.col("s_suppkey").alias("board"), F.when(F.col("s_suppkey") % 4 != 0, F.col("s_name")).alias("company")
     )
-    required = table(spark, folder, "customer").filter("c_custkey % 3 = 0").select(
+    required = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("board"), F.col("c_name").alias("company"), (F.col("c_custkey") % 10 == 0).alias("brazil_only")
     )
     return enrich.overlay_defaults(existing, required, "board")
@@ -395,10 +395,10 @@ def _(spark, folder):
     return in_registry_order([s, failed, c], ["suppliers", "broken", "customers"]).select("registry_ord", "registry_name", "id", "title", "segment")
 
 
-@query("set_02_difference", "SELECT c_nationkey AS id FROM customer EXCEPT SELECT s_nationkey FROM supplier WHERE s_suppkey % 2 = 0")
+@query("set_02_difference", "SELECT c_custkey AS id FROM customer EXCEPT SELECT s_suppkey FROM supplier")
 def _(spark, folder):
-    known = table(spark, folder, "supplier").filter("s_suppkey % 2 = 0").select(F.col("s_nationkey").alias("id"))
-    return enrich.unseen(table(spark, folder, "customer").select(F.col("c_nationkey").alias("id")), known, "id")
+    known = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("id"))
+    return enrich.unseen(table(spark, folder, "customer").select(F.col("c_custkey").alias("id")), known, "id")
 
 
 @query("set_03_union_distinct", "SELECT lower(n) AS slug FROM (SELECT p_type AS n FROM part UNION SELECT c_mktsegment FROM customer UNION SELECT event_type FROM events)")

@@ -36,7 +36,7 @@ def _job_payloads(spark, folder) -> DataFrame:
         (F.col("doc_id") % 3 == 0).alias("isRemoteWork"), pick(F.col("doc_id"), "hybrid", "on-site", F.lit(None)).alias("workplaceType"),
         F.concat(F.lit("2024-01-"), F.lpad((F.col("doc_id") % 28 + 1).cast("string"), 2, "0"), F.lit("T10:00:00.123Z")).alias("publishedDate"),
         F.array(F.struct(F.col("lang").alias("name")), F.struct(F.lit("").alias("name"))).alias("skills"),
-        F.substring("text", 1, 200).alias("description"),
+        F.col("text").alias("description"),
     )
     body = F.to_json(F.struct(F.array(item(F.lit("old")), item(F.concat(F.lit("Vaga "), F.col("doc_id").cast("string")))).alias("data")))
     return _landed(d.withColumn("page_no", F.col("doc_id")), "gupy", body)
@@ -50,15 +50,15 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("source", "native_id", "title", "company", "url", "work_model", "market", "published_date", F.array_join("skills", "|").alias("skills"))
 
 
-@query("src_02_html_cards", """WITH d AS (SELECT doc_id, array_to_string([w FOR w IN string_split(regexp_replace(text, '[^A-Za-z]+', ' ', 'g'), ' ') IF w <> ''][1:3], ' ') AS t FROM documents)
-SELECT CAST(doc_id AS VARCHAR) AS native_id, trim('Dev & ' || t) AS title, 'Firma ' || doc_id AS company, 'Recife • PE' AS city, 'PE' AS state,
+@query("src_02_html_cards", """WITH d AS (SELECT doc_id, array_to_string([w FOR w IN string_split(regexp_replace(text, '[^A-Za-z]+', ' ', 'g'), ' ') IF w <> ''], ' ') AS t FROM documents)
+SELECT CAST(doc_id AS VARCHAR) AS native_id, trim(substr('Dev & ' || t, 1, 6000)) AS title, 'Firma ' || doc_id AS company, 'Recife • PE' AS city, 'PE' AS state,
   CASE doc_id % 3 WHEN 0 THEN 'remote' WHEN 1 THEN 'hybrid' ELSE 'on-site' END AS work_model, 'CLT' AS contracts, 1000.0 + doc_id AS salary_min, 'suporte|' || 'n' || doc_id % 4 AS skills FROM d""")
 def _(spark, folder):
     words = F.filter(F.split(F.regexp_replace("text", "[^A-Za-z]+", " "), " "), lambda w: w != "")
     i = F.col("doc_id").cast("string")
     model = pick(F.col("doc_id"), "Remoto", "Híbrido", "Presencial")
     card = F.concat(
-        F.lit("<div class=\"vaga-card\" data-href=\"vaga_emprego/vaga-"), i, F.lit(".php\">\n <h3 class='vaga-titulo x'>Dev &amp; <b>"), F.array_join(F.slice(words, 1, 3), " "),
+        F.lit("<div class=\"vaga-card\" data-href=\"vaga_emprego/vaga-"), i, F.lit(".php\">\n <h3 class='vaga-titulo x'>Dev &amp; <b>"), F.array_join(words, " "),
         F.lit("</b> <span class='vaga-nova-badge'>Nova</span></h3><span class=\"vaga-empresa-nome\">Firma "), i,
         F.lit("</span><div class=\"vaga-local-linha\">Recife • PE</div><p class=\"vaga-resumo-linha\">CLT • Pleno • "), model,
         F.lit("</p><p>R$ "), F.translate(F.format_number((F.col("doc_id") + 1000).cast("double"), 2), ",.", ".,"), F.lit("</p><a class=\"hashtag\">#suporte</a><a class='hashtag'>#n"),

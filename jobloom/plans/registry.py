@@ -96,7 +96,7 @@ def ads(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("source") == "src0", "gupy").when(F.col("source") == "src1", "greenhouse")
         .when(F.col("source") == "src2", "autozone").otherwise(F.col("source")).alias("source"),
         i.cast("string").alias("native_id"),
-        F.substring("text", 1, 60).alias("title"),
+        F.col("text").alias("title"),
         F.concat(F.lit("co-"), F.substring("text", 1, 1)).alias("company"),
         F.concat(F.when(i % 4 == 0, "http").otherwise("https"), F.lit("://jobs.example.com/"), i.cast("string")).alias("url"),
         pick(i, "", "remote", "hybrid", "on-site").alias("work_model"),
@@ -117,7 +117,7 @@ def ads(spark: SparkSession, folder: str) -> DataFrame:
 ADS = """ads AS (
   SELECT doc_id,
     CASE source WHEN 'src0' THEN 'gupy' WHEN 'src1' THEN 'greenhouse' WHEN 'src2' THEN 'autozone' ELSE source END AS source,
-    CAST(doc_id AS VARCHAR) AS native_id, substr(text, 1, 60) AS title, 'co-' || substr(text, 1, 1) AS company,
+    CAST(doc_id AS VARCHAR) AS native_id, text AS title, 'co-' || substr(text, 1, 1) AS company,
     (CASE WHEN doc_id % 4 = 0 THEN 'http' ELSE 'https' END) || '://jobs.example.com/' || CAST(doc_id AS VARCHAR) AS url,
     CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'remote' WHEN 2 THEN 'hybrid' ELSE 'on-site' END AS work_model,
     CASE doc_id % 5 WHEN 0 THEN 'Brasil' WHEN 1 THEN 'Recife, PE' WHEN 2 THEN '' WHEN 3 THEN 'remote' ELSE 'São Paulo · Recife' END AS city,
@@ -175,8 +175,8 @@ HISTORY = f"""{ADS}, hist AS (
     AND market NOT IN ('', 'Não informado') AND (source <> 'greenhouse' OR market = 'BR')
     AND (coalesce(nullif(published_date, ''), first_seen_date) >= '2024-02-29' OR (source = 'gupy' AND expires_date >= '{TODAY}')))"""
 
-#: Snapshot rows with position and portal count, capped at 400 newest (a top-k report).
-SNAPSHOT_CAP = 400
+#: Snapshot rows with position and portal count; a snapshot holds the newest 50,000.
+SNAPSHOT_CAP = 50_000
 SNAPSHOT = f"""{HISTORY}, newest AS (
   SELECT *, row_number() OVER (ORDER BY greatest(published_date, first_seen_date) DESC, last_seen_date DESC, job_uid) AS position
   FROM eligible QUALIFY position <= {SNAPSHOT_CAP}), snap AS (
