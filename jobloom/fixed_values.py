@@ -11,7 +11,7 @@ BRAZIL_CODES = ("br", "brasil", "brazil")
 REMOTE_CITY_NAMES = ("br", "brasil", "brazil", "remoto", "remote", "home office")
 BRAZIL_COUNTRY_CODES = ("BR", "BRA", "BRASIL", "BRAZIL")
 BRAZIL_PLACES = (
-    r"(?iu)\b(?:brasil|brazil|s[aã]o paulo|rio de janeiro|belo horizonte|bras[ií]lia|"
+    r"(?iuU)\b(?:brasil|brazil|s[aã]o paulo|rio de janeiro|belo horizonte|bras[ií]lia|"
     r"curitiba|porto alegre|recife|fortaleza|salvador|florian[oó]polis|campinas|"
     r"goi[aâ]nia|vit[oó]ria|jo[aã]o pessoa|manaus|bel[eé]m|natal|macei[oó]|"
     r"aracaju|cuiab[aá]|campo grande|joinville|uberl[aâ]ndia)\b"
@@ -37,7 +37,7 @@ MULTIPLE_LOCATION_LABELS = (
 REMOTE_WORDS = ("remote", "remoto", "anywhere", "home office", "home-office")
 HYBRID_WORDS = ("hybrid", "híbrido", "hibrido")
 ON_SITE_WORDS = ("on-site", "onsite", "presencial", "in office", "in-office")
-WORKPLACE_PREFIX = r"(?iu)^\s*(?:remote|remoto|hybrid|h[ií]brido|on[- ]?site|presencial)\s*[,;/|–—-]+\s*"
+WORKPLACE_PREFIX = r"(?iuU)^\s*(?:remote|remoto|hybrid|h[ií]brido|on[- ]?site|presencial)\s*[,;/|–—-]+\s*"
 
 # --- fixed values: equivalence key ------------------------------------------------------------------------------
 EQUIVALENCE_STOP = (
@@ -312,9 +312,9 @@ METADATA_CONTRACT_NAMES = ("tipo de contrato", "employment type", "contract type
 METADATA_KEYWORD_NAMES = ("keywords", "palavras-chave")
 
 # --- fixed values: inclusion flags --------------------------------------------------------------------------------------
-PCD_TEXT = r"(?iu)\bpcd\b|pessoa(?:s)?\s+com\s+defici"
+PCD_TEXT = r"(?iuU)\bpcd\b|pessoa(?:s)?\s+com\s+defici"
 PCD_TEXT_AFFIRMATIVE = PCD_TEXT + r"|vaga\s+(?:afirmativa|exclusiva).{0,40}defici"
-PCD_TEXT_SHORT = r"(?iu)\b(?:pcd|pessoa com defici)"
+PCD_TEXT_SHORT = r"(?iuU)\b(?:pcd|pessoa com defici)"
 
 # --- fixed values: Portuguese month names -------------------------------------------------------------------------------
 MONTHS = {
@@ -371,11 +371,11 @@ CONTEXT_CHARS = 520
 TAIL_CHARS = 120
 MIN_DESCRIPTION_CHARS = 120
 UNKNOWN_CUE = (
-    r"(?iu)(?:experi[eê]ncia|conhecimento(?:s)?|dom[ií]nio|viv[eê]ncia|familiaridade|profici[eê]ncia)"
+    r"(?iuU)(?:experi[eê]ncia|conhecimento(?:s)?|dom[ií]nio|viv[eê]ncia|familiaridade|profici[eê]ncia)"
     r"\s+(?:com|em|de)\s+([^.;:\n]{2,170})"
 )
-UNKNOWN_SPLIT = r"(?iu)\s*(?:,|;|\be\b|\band\b|\bou\b|\bor\b)\s*"
-UNKNOWN_ADJECTIVE = r"(?iu)^(?:bons?|boas?|forte|s[oó]lidos?|avançad[oa]s?|b[aá]sic[oa]s?)\s+"
+UNKNOWN_SPLIT = r"(?iuU)\s*(?:,|;|\be\b|\band\b|\bou\b|\bor\b)\s*"
+UNKNOWN_ADJECTIVE = r"(?iuU)^(?:bons?|boas?|forte|s[oó]lidos?|avançad[oa]s?|b[aá]sic[oa]s?)\s+"
 UNKNOWN_GENERIC = (
     "experiencia", "conhecimento", "conhecimentos", "dominio", "vivencia", "familiaridade", "boa", "bom", "forte",
     "capacidade", "habilidade", "perfil", "atuacao", "area", "sistemas", "sistema", "ferramentas", "ferramenta",

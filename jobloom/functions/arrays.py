@@ -41,7 +41,7 @@ def unjoined(text: Column) -> Column:
 
 def skill_tokens(text: Column, limit: int = 12) -> Column:
     """Skills of a summary text, 2 to 72 characters each, distinct, first ``limit``."""
-    parts = F.transform(F.split(text_or_blank(text), r"\s*[·|;,]\s*"), strip)
+    parts = F.transform(F.split(text_or_blank(text), r"(?U)\s*[·|;,]\s*"), strip)
     return F.slice(F.array_distinct(F.filter(parts, lambda v: F.length(v).between(2, 72))), 1, limit)
 
 

@@ -75,9 +75,14 @@ def publication_cutoff(today: Column, months: int = 2) -> Column:
     return F.add_months(today.cast("date"), -max(0, months)).cast("string")
 
 
+def local_day(moment: Column | str, zone: str = "America/Fortaleza") -> Column:
+    """Calendar day of the newsroom at a moment in UTC."""
+    return F.from_utc_timestamp(moment, zone).cast("date")
+
+
 def local_today(zone: str = "America/Fortaleza") -> Column:
-    """Calendar day of the newsroom; jobs should pass ``today`` explicitly and only default to this."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())).cast("date")
+    """The newsroom's day now; jobs should pass ``today`` explicitly and only default to this."""
+    return local_day(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), zone)
 
 
 def _iso(year: Column, month: Column, dom: Column) -> Column:

@@ -62,11 +62,19 @@ def once(c: Column, use) -> Column:
 # ---------------------------------------------------------------- folds
 
 
+#: Latin, signs, numbers and forms that have a decomposition (super- and subscripts, letter-like, Roman, circled, wide).
+_LETTER_CODES = (*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2500), 0x3000, *range(0x3200, 0x3400), *range(0xFB00, 0xFB07), *range(0xFF01, 0xFFF0))
+
+
+def _decomposed(form: str, code: int) -> str:
+    return "".join(ch for ch in unicodedata.normalize(form, chr(code)) if not unicodedata.combining(ch))
+
+
 def _letter_table(form: str) -> tuple[str, str]:
     """Source and target strings for ``translate``: accented code points whose decomposition is one ASCII letter."""
     source, target = [], []
-    for code in (*range(0xA0, 0x250), *range(0x1E00, 0x1F00)):
-        base = "".join(ch for ch in unicodedata.normalize(form, chr(code)) if not unicodedata.combining(ch))
+    for code in _LETTER_CODES:
+        base = _decomposed(form, code)
         if base != chr(code) and len(base) == 1:
             source.append(chr(code))
             target.append(base)
@@ -374,7 +382,7 @@ def tidy_location(c: Column | str) -> Column:
 def board_location(c: Column | str, title: Column | str) -> Column:
     """Location of a career-board row without a leading workplace word; falls back to ``| City / UF`` in the title."""
     text = F.regexp_replace(squeeze(text_or_blank(c)), fx.WORKPLACE_PREFIX, "")
-    parts = F.array_distinct(_parts(text, r"\s*[;|]\s*"))
+    parts = F.array_distinct(_parts(text, r"(?U)\s*[;|]\s*"))
     pattern = r"\|\s*([A-Za-zÀ-ÿ .'-]+?)\s*/\s*([A-Z]{2})\b"
     city, state = (F.regexp_extract(text_or_blank(title), pattern, g) for g in (1, 2))
     usable = (state != "") & ~F.lower(strip(city)).isin("híbrido", "hibrido", "presencial", "remoto")
@@ -426,7 +434,7 @@ def first_label(c: Column, table, otherwise: str) -> Column:
 
 def split_alternatives(c: Column | str) -> Column:
     """``CLT ou PJ`` becomes ``[CLT, PJ]``; blank becomes an empty list."""
-    return F.filter(F.transform(F.split(text_or_blank(c), r"(?i)\s+ou\s+"), strip), lambda p: p != "")
+    return F.filter(F.transform(F.split(text_or_blank(c), r"(?iuU)\s+ou\s+"), strip), lambda p: p != "")
 
 
 # ---------------------------------------------------------------- aliases

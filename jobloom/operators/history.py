@@ -72,12 +72,17 @@ def change_counts(merged: DataFrame, change: str) -> DataFrame:
     )
 
 
+def _split_source(history: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of one source, and the rest, which a purge neither shuffles nor compares."""
+    return history.filter(F.col("source") == source), history.filter(~F.col("source").eqNullSafe(source))
+
+
 def purge_absent(history: DataFrame, source: str, current: DataFrame, key: str = "job_uid") -> DataFrame:
     """Drop rows of a source whose key is not in its complete catalog; an empty catalog drops nothing."""
     listed = current.select(F.col(key).alias("_listed")).filter(text_or_blank("_listed") != "").distinct()
-    marked = history.join(listed, F.col(key) == F.col("_listed"), "left")
-    keep = (F.col("source") != source) | F.col("_listed").isNotNull() | ~listed.exists()
-    return marked.filter(keep).drop("_listed")
+    own, other = _split_source(history, source)
+    kept = own.join(listed, F.col(key) == F.col("_listed"), "left").filter(F.col("_listed").isNotNull() | ~listed.exists()).drop("_listed")
+    return other.unionByName(kept)
 
 
 def purge_foreign(
@@ -86,9 +91,10 @@ def purge_foreign(
 ) -> DataFrame:
     """Drop rows of a source that are neither in its current catalog nor in a recognised place."""
     listed = current.select(F.col(key).alias("_listed")).distinct()
-    marked = history.join(listed, F.col(key) == F.col("_listed"), "left")
-    keep = (F.col("source") != source) | F.col("_listed").isNotNull() | names_brazil(F.col(place), pattern)
-    return marked.filter(keep).drop("_listed")
+    own, other = _split_source(history, source)
+    placed = names_brazil(F.col(place), pattern)
+    unplaced = own.filter(~F.coalesce(placed, F.lit(False))).join(listed, F.col(key) == F.col("_listed"), "left_semi")
+    return other.unionByName(own.filter(placed)).unionByName(unplaced)
 
 
 def repair_work_models(history: DataFrame) -> DataFrame:

@@ -70,15 +70,28 @@ def codes_in_ranges(values: DataFrame, order: str, ties: Sequence[str], ranges:
     )
 
 
-def page(rows: DataFrame, order: Sequence[Column], number: int, size: int = 24, total: int | None = None) -> DataFrame:
+def page(
+    rows: DataFrame, order: Sequence[Column], number: int, size: int = 24, total: int | None = None, coarse: Column | None = None
+) -> DataFrame:
     """One page of ordered rows; the number is clamped into the existing pages.
 
-    The total is one counter; the page itself is a top-rows plan with an offset.
+    ``coarse`` is a value with few distinct results (a day) by which ``order`` descends first.  Its counts give the total
+    and the values that the page can hold, so that only their rows are ordered, also for the last page.
     """
+    if coarse is not None:
+        counted = rows.groupBy(coarse.alias("_coarse")).agg(F.count(F.lit(1)).alias("_n"))
+        above = Window.orderBy(F.desc("_coarse")).rowsBetween(Window.unboundedPreceding, -1)
+        reached = counted.withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0)))
+        total = reached.agg(F.sum("_n")).first()[0] or 0 if total is None else total
     total = rows.count() if total is None else total
     pages = max(1, -(-total // size))
-    current = min(max(1, number), pages)
-    return rows.orderBy(*order).offset((current - 1) * size).limit(size)
+    start = (min(max(1, number), pages) - 1) * size
+    if coarse is None or not total:
+        return rows.orderBy(*order).offset(start).limit(size)
+    held = reached.filter((F.col("_above") < start + size) & (F.col("_above") + F.col("_n") > start))
+    low, high, skipped = held.agg(F.min("_coarse"), F.max("_coarse"), F.min("_above")).first()
+    inside = rows.filter(coarse.between(low, high))
+    return inside.orderBy(*order).offset(start - skipped).limit(size)
 
 
 def top_per_group(rows: DataFrame, group: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:

@@ -217,6 +217,9 @@ def rank(
     ``resumes``: ``resume_id``, ``terms`` (array), ``length``.  ``jobs``: see ``profiles``; every row is scoreable.
     ``keep`` materialises the relations that several branches read.
     """
+    if "title" in order:  # titles compare without case and accents first
+        jobs = jobs.withColumn("title_order", tx.fold_search("title"))
+        order = [x for c in order for x in (("title_order", c) if c == "title" else (c,))]
     distinct, members = profiles(jobs, k, order, keep)
     # résumés with the same terms and quality share their scores as well
     people = resumes.select(
@@ -272,7 +275,8 @@ def _zero_scores(groups: DataFrame, near: DataFrame, sized: DataFrame, members:
         "profile", "lead", "quality", F.lit(0).alias("score"), coverage(F.col("q"), F.col("quality")).alias("coverage")
     )
     best = top_per_group(tiers, ["quality"], [F.desc("coverage"), F.asc("lead")], 2 * k)
-    free = short.join(best, "quality").join(near.select("person", "profile"), ["person", "profile"], "left_anti")
+    # broadcast: 2k rows for each of four qualities
+    free = short.join(F.broadcast(best), "quality").join(near.select("person", "profile"), ["person", "profile"], "left_anti")
     return free.join(members.drop("_n"), "profile").select(*columns)
 
 

@@ -149,7 +149,8 @@ def search(rows: DataFrame, spec: SearchSpec, now: Column) -> DataFrame:
 
 
 def result_page(rows: DataFrame, spec: SearchSpec, now: Column, total: int | None = None) -> DataFrame:
-    return one_page(search(rows, spec, now), order(spec.sort), spec.page, spec.page_size, total)
+    day = F.floor(F.col("activity") / 86400) if spec.sort not in ("company", "title", "portals") else None
+    return one_page(search(rows, spec, now), order(spec.sort), spec.page, spec.page_size, total, day)
 
 
 def recent_companies(rows: DataFrame, n: int = 6) -> DataFrame:

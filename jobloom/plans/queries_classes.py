@@ -330,7 +330,7 @@ def _(spark, folder):
 
 def _rank_sql(k: int) -> str:
     return f"""WITH {_RESUMES_SQL}, {_ASKS_SQL}, {_PAIR_SQL.replace('{where}', '')}
-SELECT conv_id AS resume_id, doc_id AS url, score, coverage, row_number() OVER (PARTITION BY conv_id ORDER BY score DESC, coverage DESC, title, doc_id) AS place FROM scored QUALIFY place <= {k}"""
+SELECT conv_id AS resume_id, doc_id AS url, score, coverage, row_number() OVER (PARTITION BY conv_id ORDER BY score DESC, coverage DESC, {sql_search('title')}, title, doc_id) AS place FROM scored QUALIFY place <= {k}"""
 
 
 @query("fit_10_rank", _rank_sql(30))

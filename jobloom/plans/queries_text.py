@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobloom import fixed_values as fx
 from jobloom.functions import arrays as ar, dates as dt, numbers as nu, text as tx
@@ -17,14 +17,23 @@ def _docs(spark, folder, **columns) -> DataFrame:
 # ---------------------------------------------------------------- folds
 
 
-@query("str_01a_fold_ascii", f"SELECT doc_id, md5({sql_ascii('text')}) AS folded FROM documents")
+#: Words in compatibility characters that are put after each text, and what they fold to.
+_FORMS = ("ＳＱＬ", "x²", "ｎｏｄｅ．ｊｓ", "①", "Ｃ＃")
+_FORMS_SQL = "(CASE doc_id % 5 WHEN 0 THEN 'sql' WHEN 1 THEN 'x2' WHEN 2 THEN 'node.js' WHEN 3 THEN '1' ELSE 'c#' END)"
+
+
+def _with_form() -> Column:
+    return F.concat_ws(" ", "text", pick(F.col("doc_id"), *_FORMS))
+
+
+@query("str_01a_fold_ascii", f"SELECT doc_id, md5({sql_ascii('text')} || ' ' || {_FORMS_SQL}) AS folded FROM documents")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return _docs(spark, folder, folded=F.md5(tx.fold_ascii("text")))
+    return _docs(spark, folder, folded=F.md5(tx.fold_ascii(_with_form())))
 
 
-@query("str_01b_fold_caseless", f"SELECT doc_id, md5({sql_caseless('text')}) AS folded FROM documents")
+@query("str_01b_fold_caseless", f"SELECT doc_id, md5(trim({sql_caseless('text')} || ' ' || {_FORMS_SQL})) AS folded FROM documents")
 def _(spark, folder):
-    return _docs(spark, folder, folded=F.md5(tx.fold_caseless("text")))
+    return _docs(spark, folder, folded=F.md5(tx.fold_caseless(_with_form())))
 
 
 @query("str_01c_fold_search", f"SELECT doc_id, md5({sql_search('text')}) AS searched, md5({sql_resume('text')}) AS resume FROM documents")
@@ -275,8 +284,7 @@ def _(spark, folder):
 
 @query("dat_03_local_day", "SELECT event_id, CAST(ts - INTERVAL 3 HOUR AS DATE)::VARCHAR AS day FROM events")
 def _(spark, folder):
-    day = F.from_utc_timestamp("ts", "America/Fortaleza").cast("date").cast("string")
-    return table(spark, folder, "events").select("event_id", day.alias("day"))
+    return table(spark, folder, "events").select("event_id", dt.local_day("ts").cast("string").alias("day"))
 
 
 _MON = "['jan','fev','mar','abr','mai','jun','jul','ago','set','out','nov','dez'][month(o_orderdate)]"

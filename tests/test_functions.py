@@ -36,7 +36,7 @@ def py_search(v):
 
 
 def test_folds_agree_with_unicode_tables(spark):
-    values = samples()
+    values = samples() + ["ＳＱＬ ② x² Ｃ＃ ｎｏｄｅ．ｊｓ", "Ångström Åé"]
     got = run(spark, values, tx.fold_ascii("v"), tx.fold_caseless("v"), tx.fold_search("v"))
     assert got == [(py_ascii(v), py_caseless(v), py_search(v)) for v in values]
 

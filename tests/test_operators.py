@@ -92,6 +92,12 @@ def test_page_number_is_clamped(spark):
     rows = spark.range(50)
     assert [r[0] for r in od.page(rows, [F.asc("id")], 99).collect()] == [48, 49]
     assert [r[0] for r in od.page(rows, [F.asc("id")], -3).collect()] == list(range(24))
+    days = rows.withColumn("day", F.floor(F.col("id") / 7))
+    for number in (1, 2, 3, 99):
+        order = [F.desc("day"), F.asc("id")]
+        plain = [r[0] for r in od.page(days, order, number, 9).collect()]
+        assert plain == [r[0] for r in od.page(days, order, number, 9, coarse=F.col("day")).collect()] and plain
+    assert od.page(days.limit(0), order, 2, 9, coarse=F.col("day")).count() == 0
 
 
 def test_union_keeps_registry_order_and_missing_columns(spark):
