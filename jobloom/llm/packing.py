@@ -39,8 +39,10 @@ PROMISING = 20
 #: Entries of the memo of one Python worker before it is emptied.
 MEMO = 1_000_000
 
-#: A full stop or comma beside another sign, with which it would share a token.
-_SIGNS_MEET = re.compile(r"[.,](?:[^ \t\n\r\w]|_)|(?:[^ \t\n\r\w]|_)[.,]").search
+#: White space, and letters and digits that neither lower case nor normalisation takes apart.
+_PLAIN = " \\t\\n\\rA-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+#: A full stop or comma beside anything else, with which it might share a token.
+_SIGNS_MEET = re.compile(rf"[.,](?=[^{_PLAIN}])|(?<=[^{_PLAIN}])[.,]").search
 
 PIECES = T.ArrayType(T.BinaryType())
 
