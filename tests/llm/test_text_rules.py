@@ -45,7 +45,8 @@ def test_nested_layers_map_to_the_text():
     twice = base64.b64encode(gzip.compress(once.encode())).decode()
     for wrapped in (once, twice, urllib.parse.quote(once), "".join(f"\\u{ord(c):04x}" for c in KEY), "".join(f"%{b:02X}" for b in KEY.encode())):
         text = f"before {wrapped} after"
-        assert [text[a:b] for k, a, b, base in secrets.find_secrets(text)[0] if k == "assign"] == [wrapped]
+        found = [text[a:b] for k, a, b, base in secrets.find_secrets(text)[0] if k == "assign"]
+        assert wrapped in found and all(wrapped.startswith(x) for x in found)  # a run also decodes without its quoted padding
         assert secrets.redact(text) == "before [assign] after"
     assert secrets.find_secrets("tok%65n%3Dabcdefghijk")[0] == [("assign", 0, 21, False)]
 
@@ -104,8 +105,14 @@ def test_posterior_column_equals_the_model(spark):
 
 
 def test_junk_goes_and_prose_stays(spark):
-    prose = " ".join(f"sentence number {i} tells something new about topic {i * 7}." for i in range(30))
-    docs = documents(spark, [*[prose.replace("new", f"new{i}") for i in range(40)], "spam " * 200, "!!! ".join(["BUY"] * 90), *[" | ".join(f"c{i}{j}" for i in range(80)) for j in range(6)], *AWKWARD])
+    rng = np.random.default_rng(7)
+    parts = ["mar", "lo", "ven", "ti", "qua", "res", "do", "pel"]
+
+    def prose():
+        words = ["".join(rng.choice(parts, rng.integers(1, 4))) for _ in range(150)]
+        return "\n".join(" ".join(words[k : k + 10]).capitalize() + "." for k in range(0, 150, 10))
+
+    docs = documents(spark, [*[prose() for _ in range(40)], "spam " * 200, "!!! ".join(["BUY"] * 90), *[" | ".join(f"c{i}{j}" for i in range(80)) for j in range(6)], *AWKWARD])
     s = docs.select("doc_id", quality_votes.signals_column(F.col("text")).alias("s")).select("doc_id", quality_votes.votes(F.col("s")).alias("votes"), quality_votes.base_failed(F.col("s")).alias("base"))
     model = quality_votes.fit(s)
     kept = {r[0] for r in s.filter(~F.col("base") & (model.posterior_column(F.col("votes")) >= quality_votes.KEEP)).collect()}
