@@ -24,7 +24,7 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet into the shared checkpoint folder and read it back."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

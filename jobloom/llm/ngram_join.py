@@ -42,6 +42,10 @@ from jobloom.llm.components import components
 
 #: Sets that one tree holds.
 CHUNK = 512
+#: Ids (8 bytes each) up to which a selection of texts is broadcast instead of moving the texts.
+BROADCAST_IDS = 400_000
+#: Rows that are handed to one call of a task's function, over many small trees.
+BUCKET_ROWS = 4096
 #: A member is frequent from this count on; of these the most frequent FREQUENT_LIMIT are put last (a bound on what is
 #: broadcast: 8 bytes each).  Any choice gives the same links.
 FREQUENT = 48
@@ -86,8 +90,8 @@ def bitmaps(sets: list[np.ndarray], width: int) -> np.ndarray:
 
 
 def width_for(n: int) -> int:
-    """Bits for sets of n members: a power of two, at least 2 n."""
-    return max(64, 1 << max(0, 2 * n - 1).bit_length())
+    """Bits for sets of n members: a power of two, at least n."""
+    return max(64, 1 << max(0, n - 1).bit_length())
 
 
 def folded(bits: np.ndarray, words: int) -> np.ndarray:
@@ -127,8 +131,32 @@ class SignatureTree:
         p = self.percent
         return ((100 + p) * most >= p * (low[left] + low[right])) & (100 * most >= p * np.maximum(low[left], low[right]))
 
+    def below(self, level: int, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of children of two nodes that may hold linked sets."""
+        size = len(self.levels[level - 1][1])
+        left = np.arange(i * self.FAN, min((i + 1) * self.FAN, size))
+        right = np.arange(j * self.FAN, min((j + 1) * self.FAN, size))
+        left, right = np.repeat(left, len(right)), np.tile(right, len(left))
+        if i == j:
+            keep = left < right if level == 1 else left <= right
+            left, right = left[keep], right[keep]
+        keep = self.possible(level - 1, left, right)
+        return left[keep], right[keep]
+
+    def blocks(self, settled) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of sets that may link, leaf by leaf; ``settled(span, span)`` drops pairs of nodes."""
+        work = [(len(self.levels) - 1, 0, 0)]
+        while work:
+            level, i, j = work.pop()
+            if level and not settled(self.span(level, i), self.span(level, j)):
+                left, right = self.below(level, i, j)
+                if level == 1:
+                    yield left, right
+                else:
+                    work += [(level - 1, x, y) for x, y in zip(left.tolist(), right.tolist(), strict=True)]
+
     def pairs(self, settled) -> Iterator[tuple[int, int]]:
-        """Pairs of sets that may link, by traversing the tree with itself; ``settled(span, span)`` drops pairs of nodes."""
+        """The same one by one, for callers that settle more pairs on the way."""
         top = len(self.levels) - 1
         work = [(top, 0, 0)]
         while work:
@@ -137,19 +165,11 @@ class SignatureTree:
             if settled((a, b), (c, d)):
                 continue
             if level == 0:
-                if i != j:
-                    yield i, j
+                yield i, j
                 continue
-            size = len(self.levels[level - 1][1])
-            left = np.arange(i * self.FAN, min((i + 1) * self.FAN, size))
-            right = np.arange(j * self.FAN, min((j + 1) * self.FAN, size))
-            left, right = np.repeat(left, len(right)), np.tile(right, len(left))
-            if i == j:
-                keep = left <= right
-                left, right = left[keep], right[keep]
-            keep = self.possible(level - 1, left, right)
+            left, right = self.below(level, i, j)
             # equal nodes last on the list, so first in work: what is close is connected before the rest is looked at
-            found = sorted(zip(left[keep].tolist(), right[keep].tolist(), strict=True), key=lambda x: x[0] - x[1])
+            found = sorted(zip(left.tolist(), right.tolist(), strict=True), key=lambda x: x[0] - x[1])
             work += [(level - 1, x, y) for x, y in found]
 
 
@@ -211,47 +231,79 @@ def _sets_udf(width: int, percent: int, frequent):
     return sets.asNondeterministic()
 
 
-def _members_udf(width: int):
+def _bits_udf(width: int):
     @F.arrow_udf(T.BinaryType())
-    def members(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def bits(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array((shingle_hashes(v.as_py() or "", width).tobytes() for v in batch), pa.binary(), size=len(batch))
+            sets = (shingle_hashes(v.as_py() or "", width) for v in batch)
+            yield pa.array((bitmaps([s], width_for(len(s)))[0].tobytes() for s in sets), pa.binary(), size=len(batch))
 
-    return members.asNondeterministic()
+    return bits.asNondeterministic()
 
 
-@F.arrow_udf(T.BinaryType())
-def _bits(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for batch in batches:
-        sets = [np.frombuffer(v.as_py(), dtype=np.uint64) for v in batch]
-        yield pa.array((bitmaps([s], width_for(len(s)))[0].tobytes() for s in sets), pa.binary(), size=len(batch))
+def _linked_udf(width: int, percent: int):
+    """Do two whole texts link?"""
+
+    @F.arrow_udf(T.BooleanType())
+    def linked(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for left, right in batches:
+            out = []
+            for x, y in zip(left, right, strict=True):
+                x, y = shingle_hashes(x.as_py() or "", width), shingle_hashes(y.as_py() or "", width)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                out.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
+            yield pa.array(out, pa.bool_())
+
+    return linked.asNondeterministic()
 
 
 def _unpacked(column: pa.ChunkedArray) -> list[np.ndarray]:
     return [np.frombuffer(v, dtype=np.uint64) for v in column.to_pylist()]
 
 
-def _chunk_links(percent: int):
-    """For one chunk of whole sets: links as (a, b), and every component's root as (root, null)."""
+def _groups(table: pa.Table, key: list[str]) -> Iterator[pa.Table]:
+    """The groups of a bucket, one after another."""
+    table = table.sort_by([(c, "ascending") for c in key])
+    columns = [table[c].to_numpy() for c in key]
+    new = np.zeros(max(0, table.num_rows - 1), dtype=bool)
+    for column in columns:
+        new |= column[1:] != column[:-1]
+    cuts = [0, *(np.flatnonzero(new) + 1).tolist(), table.num_rows]
+    for start, end in zip(cuts, cuts[1:], strict=False):
+        if end - start > 1:
+            yield table.slice(start, end - start)
+
+
+def _chunk_links(width: int, percent: int):
+    """For the chunks of a bucket: links as (a, b), and every component's root as (root, null)."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids, sets = table["rep"].to_numpy(), _unpacked(table["members"])
-        found, label = links(np.array([len(s) for s in sets]), sets, percent)
-        roots = ids[np.unique(label, return_index=True)[1]]
-        a = [int(ids[i]) for i, _ in found] + roots.tolist()
-        b = [int(ids[j]) for _, j in found] + [None] * len(roots)
-        return pa.table({"route": pa.array([table["route"][0].as_py()] * len(a), pa.int64()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        route, a, b = [], [], []
+        for group in _groups(table, ["route", "chunk"]):
+            ids, sets = group["rep"].to_numpy(), [shingle_hashes(t, width) for t in group["text"].to_pylist()]
+            found, label = links(np.array([len(s) for s in sets]), sets, percent)
+            roots = ids[np.unique(label, return_index=True)[1]].tolist()
+            a += [int(ids[i]) for i, _ in found] + roots
+            b += [int(ids[j]) for _, j in found] + [None] * len(roots)
+            route += [group["route"][0].as_py()] * (len(found) + len(roots))
+        return pa.table({"route": pa.array(route, pa.int64()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
 
+def _leaf_pairs(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of positions in groups of one size that start at ``first``."""
+    i, j = np.triu_indices(size, 1)
+    return (first[:, None] + i).ravel(), (first[:, None] + j).ravel()
+
+
 def _candidates(percent: int):
-    """For one tree of signatures: pairs of sets of different components that may link."""
+    """For the trees of a bucket: pairs of sets of different components that may link.
 
-    def run(table: pa.Table) -> pa.Table:
-        ids, known, n = (table[c].to_numpy() for c in ("rep", "known", "n"))
-        guest = np.array(table["guest"].to_pylist(), dtype=bool)
-        bits = _unpacked(table["bits"])
+    Groups that fit into one leaf are compared leaf by leaf, all leaves of the bucket at once; larger ones get their tree.
+    """
+
+    def grown(known: np.ndarray, n: np.ndarray, guest: np.ndarray, bits: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         words = min(len(b) for b in bits)
         tree = SignatureTree(n, np.stack([folded(b, words) for b in bits]), percent)
         at, far = known[tree.order], guest[tree.order]
@@ -262,76 +314,141 @@ def _candidates(percent: int):
                 return True  # they meet as hosts in their own band
             return bool((at[a:b] == at[a]).all() and (at[c:d] == at[a]).all())
 
-        found = [(int(ids[tree.order[i]]), int(ids[tree.order[j]])) for i, j in tree.pairs(settled)]
-        a, b = zip(*[(min(p), max(p)) for p in found], strict=True) if found else ((), ())
+        for i, j in tree.blocks(settled):
+            keep = (at[i] != at[j]) & ~(far[i] & far[j])
+            yield tree.order[i[keep]], tree.order[j[keep]]
+
+    def leaves(i: np.ndarray, j: np.ndarray, n: np.ndarray, bits: list[np.ndarray]) -> np.ndarray:
+        """Of pairs of rows, those whose signatures allow a link."""
+        words = np.array([len(b) for b in bits])
+        width = np.minimum(words[i], words[j])
+        keep = np.zeros(len(i), dtype=bool)
+        for w in np.unique(width):
+            some = np.flatnonzero(width == w)
+            rows, back = np.unique(np.concatenate([i[some], j[some]]), return_inverse=True)
+            table = np.stack([folded(bits[r], w) for r in rows])
+            slack = n[rows] - np.bitwise_count(table).sum(axis=1, dtype=np.int64)
+            x, y = back[: len(some)], back[len(some) :]
+            common = np.bitwise_count(table[x] & table[y]).sum(axis=1, dtype=np.int64)
+            keep[some] = (100 + percent) * (common + np.minimum(slack[x], slack[y])) >= percent * (n[i[some]] + n[j[some]])
+        return keep
+
+    def run(table: pa.Table) -> pa.Table:
+        columns = {c: table[c].to_numpy() for c in ("member", "band", "i", "j", "lead", "rep", "known", "n")}
+        order = np.lexsort((columns["j"], columns["i"], columns["band"], columns["member"]))
+        member, band, ti, tj, lead, ids, known, n = (columns[c][order] for c in columns)
+        guest = table["guest"].to_numpy().astype(bool)[order]
+        packed = table["bits"].to_pylist()
+        bits = [np.frombuffer(packed[k], dtype=np.uint64) for k in order]
+        new = (member[1:] != member[:-1]) | (band[1:] != band[:-1]) | (ti[1:] != ti[:-1]) | (tj[1:] != tj[:-1])
+        start = np.concatenate([[0], np.flatnonzero(new) + 1])
+        size = np.diff(np.append(start, len(ids)))
+        left, right = [], []
+        for k in range(2, SignatureTree.FAN + 1):
+            x, y = _leaf_pairs(start[size == k], k)
+            left.append(x)
+            right.append(y)
+        i, j = np.concatenate(left), np.concatenate(right)
+        keep = (known[i] != known[j]) & ~(guest[i] & guest[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+        i, j = i[keep], j[keep]
+        keep = leaves(i, j, n, bits)
+        found = set(zip(np.minimum(ids[i], ids[j])[keep].tolist(), np.maximum(ids[i], ids[j])[keep].tolist(), strict=True))
+        wide = np.flatnonzero(size > SignatureTree.FAN)
+        seen: dict[tuple[int, int], list[set[int]]] = {}
+        for g in wide[np.argsort(-size[wide], kind="stable")]:
+            a = start[g]
+            part = slice(a, a + size[g])
+            if (known[part] == known[a]).all() or guest[part].all():
+                continue
+            sets, larger = set(ids[part].tolist()), seen.setdefault((int(lead[a]), int(band[a])), [])
+            if any(sets <= other for other in larger):
+                continue  # a tree that holds all of them has been traversed
+            larger.append(sets)
+            for x, y in grown(known[part], n[part], guest[part], bits[part]):
+                x, y = ids[a + x], ids[a + y]
+                found.update(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True))
+        a, b = zip(*sorted(found), strict=True) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
 
+def bucket(key: list[str], rows: int) -> Column:
+    """Many groups share a bucket, so that a task call handles about BUCKET_ROWS rows; a group stays whole."""
+    return F.pmod(F.xxhash64(*key), F.lit(max(1, -(-rows // BUCKET_ROWS))))
+
+
 def frequent_members(docs: DataFrame, text: Column, width: int, percent: int):
     """Broadcast array of the most frequent members among those with a low hash; at most FREQUENT_LIMIT."""
     spark = docs.sparkSession
     counted = docs.select(F.explode(_sets_udf(width, percent, None)(text)["members"]).alias("member"))
     often = counted.groupBy("member").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= FREQUENT)
     top = often.orderBy(F.desc("n"), "member").limit(FREQUENT_LIMIT)
-    values = top.toPandas()["member"].to_numpy(dtype=np.int64).view(np.uint64) if not top.isEmpty() else np.empty(0, np.uint64)
+    values = np.array([r["member"] for r in top.select("member").collect()], dtype=np.int64).view(np.uint64)
     return spark.sparkContext.broadcast(np.sort(values))
 
 
-def chunk_pass(active: DataFrame, percent: int) -> DataFrame:
+def with_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of some ``rep``.  Up to BROADCAST_IDS ids are broadcast, so that texts stay where they are; beyond, both move."""
+    ids = ids.select("rep").distinct()
+    return rows.join(F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids, "rep", "left_semi")
+
+
+def in_chunks(level: DataFrame) -> DataFrame:
+    """Routes that hold more than one class, cut into chunks: route, rep, chunk, _n."""
+    counts = level.groupBy("route").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    chunk = F.pmod(F.xxhash64("rep"), F.ceil(F.col("_n") / CHUNK).cast("long"))
+    return stage_table(level.join(counts, "route").select("route", "rep", chunk.alias("chunk"), "_n"), "chunks")
+
+
+def chunk_pass(routes: DataFrame, active: DataFrame, width: int, percent: int) -> DataFrame:
     """Links found in the trees of first members, level after level."""
-    run, found, level = _chunk_links(percent), [], active
+    run, found, level = _chunk_links(width, percent), [], routes
     while True:
-        counts = level.groupBy("route").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-        grouped = level.join(counts, "route")
-        chunks = F.ceil(F.col("_n") / CHUNK).cast("long")
-        grouped = grouped.select("route", "rep", "members", F.pmod(F.xxhash64("rep"), chunks).alias("chunk"), (chunks > 1).alias("more"))
-        out = stage_table(grouped.groupBy("route", "chunk").applyInArrow(run, "route long, a long, b long"), "chunk-links")
+        dealt = in_chunks(level)
+        whole = dealt.join(with_ids(active, dealt), "rep").select("route", "chunk", "rep", "text")
+        whole = whole.withColumn("_bucket", bucket(["route", "chunk"], dealt.count()))
+        out = stage_table(whole.groupBy("_bucket").applyInArrow(run, "route long, a long, b long"), "chunk-links")
         found.append(out.filter(F.col("b").isNotNull()).select("a", "b"))
-        wide = stage_table(counts.filter(F.col("_n") > CHUNK), "wide-routes")
-        before = wide.agg(F.sum("_n")).first()[0]
-        if not before:
-            break
-        roots = out.filter(F.col("b").isNull()).join(wide, "route", "left_semi").select("route", F.col("a").alias("rep")).distinct()
-        level = stage_table(roots.join(active.select("rep", "members"), "rep").select("route", "rep", "members"), "roots")
-        if level.count() > before / 2:
-            break  # hardly anything was connected; the second pass finds the rest
+        wide = dealt.filter(F.col("_n") > CHUNK)
+        roots = out.filter(F.col("b").isNull()).join(wide.select("route").distinct(), "route", "left_semi")
+        level = stage_table(roots.select("route", F.col("a").alias("rep")).distinct(), "roots")
+        before, after = wide.count(), level.count()
+        if not after or after > before / 2:
+            break  # nothing is left, or hardly anything was connected and the second pass finds the rest
     edges = found[0]
     for f in found[1:]:
         edges = edges.unionByName(f)
     return edges
 
 
-def complete_pass(first: DataFrame, active: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+def complete_pass(postings: DataFrame, active: DataFrame, known: DataFrame, width: int, percent: int) -> DataFrame:
     """All links between different known components: (a, b)."""
-    postings = first.join(known, first["rep"] == known["node"], "left").select("rep", F.coalesce("component", "rep").alias("known"), "n", F.explode("members").alias("member"))
+    postings = postings.join(known, postings["rep"] == known["node"], "left").select("rep", F.coalesce("component", "rep").alias("known"), "n", "member")
     mixed = postings.groupBy("member").agg(F.min("known").alias("_low"), F.max("known").alias("_high")).filter(F.col("_low") != F.col("_high")).select("member")
     postings = postings.join(mixed, "member", "left_semi")
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent)) + F.lit(1e-9)).cast("int")
-    # a linked pair is at most one band apart, rounding two
-    hosts = F.array(*[F.struct((band - k).alias("band"), F.lit(k > 0).alias("guest")) for k in range(3)])
+    # a band is a little wider than the largest ratio of linked sizes, so a linked pair is at most one band apart
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent) * (1 + 1e-9))).cast("int")
+    hosts = F.array(*[F.struct((band - k).alias("band"), F.lit(k > 0).alias("guest")) for k in range(2)])
     placed = postings.select("member", "rep", "known", "n", F.explode(hosts).alias("_p")).select("member", "rep", "known", "n", "_p.band", "_p.guest")
     key = ["member", "band"]
-    sizes = placed.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min("known").alias("_low"), F.max("known").alias("_high"), F.min("guest").alias("_all_guests"))
-    sizes = sizes.filter((F.col("_low") != F.col("_high")) & ~F.col("_all_guests")).select(*key, F.ceil(F.col("_n") / CHUNK).cast("int").alias("_chunks"))
+    sizes = placed.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min("rep").alias("lead"), F.min("known").alias("_low"), F.max("known").alias("_high"), F.min("guest").alias("_all_guests"))
+    sizes = sizes.filter((F.col("_low") != F.col("_high")) & ~F.col("_all_guests"))
+    # a power of two, so that groups of nearly the same sets are cut alike
+    chunks = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("_n") / CHUNK))).cast("int")
+    sizes = sizes.select(*key, "lead", F.greatest(F.lit(1), chunks).alias("_chunks"))
     placed = placed.join(sizes, key)
     own = F.pmod(F.xxhash64("rep"), F.col("_chunks")).cast("int")
     tasks = F.transform(F.sequence(F.lit(0), F.col("_chunks") - 1), lambda other: F.struct(F.least(own, other).alias("i"), F.greatest(own, other).alias("j")))
-    placed = placed.withColumn("_t", F.explode(tasks)).select(*key, "_t.i", "_t.j", "rep", "known", "n", "guest")
-    placed = placed.join(active.select("rep", _bits(F.col("members")).alias("bits")), "rep")
-    pairs = placed.groupBy(*key, "i", "j").applyInArrow(_candidates(percent), "a long, b long").distinct()
-    left = active.select(F.col("rep").alias("a"), as_array("members").alias("_x"))
-    right = active.select(F.col("rep").alias("b"), as_array("members").alias("_y"))
-    both = F.size(F.array_intersect("_x", "_y"))
-    checked = pairs.join(left, "a").join(right, "b").withColumn("_both", both)
-    return checked.filter(100 * F.col("_both") >= percent * (F.size("_x") + F.size("_y") - F.col("_both"))).select("a", "b")
-
-
-def as_array(column: str) -> Column:
-    """The packed members as an array of 8-byte strings."""
-    at = F.sequence(F.lit(1), F.octet_length(column), F.lit(8))
-    return F.when(F.octet_length(column) > 0, F.transform(at, lambda i: F.substring(F.col(column), i, F.lit(8)))).otherwise(F.array())
+    placed = stage_table(placed.withColumn("_t", F.explode(tasks)).select(*key, "_t.i", "_t.j", "lead", "rep", "known", "n", "guest"), "placed")
+    signed = placed.join(active.select("rep", "bits"), "rep").withColumn("_bucket", bucket(["lead", "band", "i", "j"], placed.count()))
+    pairs = signed.groupBy("_bucket").applyInArrow(_candidates(percent), "a long, b long")
+    pairs = stage_table(pairs.distinct(), "pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
+    texts = stage_table(with_ids(active, ends).select("rep", "text"), "pair-texts")
+    left = texts.select(F.col("rep").alias("a"), F.col("text").alias("_x"))
+    right = texts.select(F.col("rep").alias("b"), F.col("text").alias("_y"))
+    return pairs.join(left, "a").join(right, "b").filter(_linked_udf(width, percent)(F.col("_x"), F.col("_y"))).select("a", "b")
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -346,19 +463,26 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     member_of = rows.select("id", "n", "digest").join(classes, "digest", "left").select("id", "n", F.coalesce("rep", "id").alias("rep"))
     member_of = stage_table(member_of, "member-of")
     first = rows.filter(F.col("n") > 0).join(classes.select(F.col("digest").alias("_d"), "rep"), (F.col("digest") == F.col("_d")) & (F.col("id") == F.col("rep")))
-    first = stage_table(first.select("rep", "n", "members").dropDuplicates(["rep", "n", "members"]), "first-members")
-    # classes that share a first member with another
+    first = first.select("rep", "n", "members")
+    repeated = member_of.groupBy(F.col("id").alias("rep")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select("rep")
+    repeated = stage_table(repeated, "repeated")
+    some_repeated = not repeated.isEmpty()
+    first = stage_table(first.dropDuplicates() if some_repeated else first, "first-members")
+    # classes that share a first member with another; only their texts are looked at again
     posted = first.select("rep", F.explode("members").alias("member"))
     shared = posted.groupBy("member").agg(F.min("rep").alias("_low"), F.max("rep").alias("_high")).filter(F.col("_low") != F.col("_high")).select("member")
-    partners = posted.join(shared, "member", "left_semi").select("rep").distinct()
-    first = stage_table(first.join(partners, "rep", "left_semi"), "partners")
-    wanted = first.select("rep", F.element_at("members", 1).alias("route"), F.col("n").alias("_n"))
-    texts = docs.select(F.col(id_col).alias("rep"), text.alias("_text")).join(wanted, "rep")
-    active = texts.select("rep", "route", "_n", _members_udf(width)(F.col("_text")).alias("members"))
-    active = stage_table(active.filter(F.octet_length("members") == 8 * F.col("_n")).select("rep", "route", "members").dropDuplicates(["rep", "members"]), "active")
-    edges = stage_table(chunk_pass(active, percent), "links")
+    postings = posted.join(shared, "member", "left_semi").join(first.select("rep", "n"), "rep")
+    postings = stage_table(postings, "postings")
+    partners = stage_table(postings.select("rep").distinct(), "partners")
+    routes = first.join(partners, "rep", "left_semi").select("rep", F.element_at("members", 1).alias("route"))
+    texts = with_ids(docs.select(F.col(id_col).alias("rep"), text.alias("text")), partners)
+    if some_repeated:  # only texts of repeated ids have to meet to be made distinct
+        again = with_ids(texts, repeated).withColumn("_same", F.md5(F.col("text").cast("binary"))).dropDuplicates(["rep", "_same"]).drop("_same")
+        texts = texts.join(repeated, "rep", "left_anti").unionByName(again)
+    active = stage_table(texts.select("rep", "text", _bits_udf(width)(F.col("text")).alias("bits")), "active")
+    edges = stage_table(chunk_pass(routes, active, width, percent), "links")
     known = components(edges)
-    more = stage_table(complete_pass(first, active, known, percent), "more-links")
+    more = stage_table(complete_pass(postings, active, known, width, percent), "more-links")
     # a repeated id whose rows have different sets joins their classes
     same = member_of.filter(F.col("id") != F.col("rep")).select(F.col("id").alias("a"), F.col("rep").alias("b"))
     twice = same.join(member_of.groupBy("id").agg(F.min("rep").alias("_l"), F.max("rep").alias("_h")).filter(F.col("_l") != F.col("_h")), F.col("a") == F.col("id"), "left_semi")
