@@ -7,10 +7,11 @@ has becomes optional, a differing number of repeats becomes a repeated group, a
 
 Distributed, streams are folded per page and made distinct per host; wrappers of chunks of at most CHUNK are aligned, then their
 results, until each host has one, so no task ever holds all pages of a host.  Texts meet their slot (the path of tags) as
-smallest and largest hash per host, which tells template text from content.
+counts of the pages they stand on: a slot is template if each of its texts is on two different pages or more, and on half of the
+pages that have the slot.  What one page alone has is content.
 
-A page's article is what stands in the slots under ``article`` or ``main``.  Pages without either give the slots whose text
-differs between the pages of their host.  Menus, page headers, footers, asides, forms, notices, adverts, comments, scripts and
+A page's article is what stands in the slots under ``article`` or ``main``.  Pages without either give the slots that are
+not template, or all if every slot of their host is.  Menus, page headers, footers, asides, forms, notices, adverts, comments, scripts and
 styles are left out by tag, role, class or id.
 
 Null, empty or broken html: what text there is, else the empty string.  A null url is a host of its own.  Repeated pages give
@@ -33,6 +34,8 @@ from jobloom.llm.common import stage_table
 
 #: Streams or wrappers that one task aligns.
 CHUNK = 200
+#: Share of the pages with a slot on which each of its texts must stand to be template.
+TEMPLATE_SHARE = 0.5
 #: Longest run of like neighbours that is folded.
 FOLD = 4
 
@@ -276,18 +279,31 @@ def _slots(wrappers: pa.Array) -> pa.Array:
     return pa.array([sorted(slots(json.loads(w.as_py()))) for w in wrappers], pa.list_(pa.string()))
 
 
+def template_slots(pages: DataFrame) -> DataFrame:
+    """(host, slot, template) of (host, blocks): template if every text of the slot stands on two different pages or more and on
+    TEMPLATE_SHARE of the pages that have the slot."""
+    page = pages.select("host", F.xxhash64("blocks").alias("page"), F.transform("blocks", lambda b: F.struct(b["slot"].alias("slot"), F.xxhash64(b["text"]).alias("h"))).alias("b"))
+    # a row without a hash counts the pages of a slot
+    slot_rows = F.transform("b", lambda b: F.struct(b["slot"].alias("slot"), F.lit(None).cast("long").alias("h")))
+    rows = page.select("host", "page", F.inline(F.array_distinct(F.concat("b", slot_rows))))
+    texts = rows.groupBy("host", "slot", "h").agg(F.count(F.lit(1)).alias("n"), F.min("page").alias("low"), F.max("page").alias("high"))
+    is_text = F.col("h").isNotNull()
+    by_slot = texts.groupBy("host", "slot").agg(
+        F.max(F.when(~is_text, F.col("n"))).alias("pages"), F.min(F.when(is_text, F.col("n"))).alias("least"), F.min(F.when(is_text, F.col("low") != F.col("high"))).alias("spread")
+    )
+    return by_slot.select("host", "slot", (F.col("spread") & (F.col("least") >= TEMPLATE_SHARE * F.col("pages"))).alias("template"))
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """id, url, text of the article, and the wrapper's number of text slots, for every page."""
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1)), F.lit(""))
     read = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), host.alias("host"), _pages.asNondeterministic()(F.col(html_col)).alias("_p"))
     wrappers = infer(read.select("host", F.col("_p.wrapper").alias("wrapper")))
     slot_table = wrappers.select("host", F.explode(_slots(F.col("wrapper"))).alias("slot"))
-    # only pages without an article need to know which slots vary; a slot of one text is template, if any slot varies
-    bare = read.filter(~F.exists("_p.blocks", lambda b: b["article"])).select("host", "_id", F.explode("_p.blocks").alias("b"))
-    one = bare.select("host", "_id", F.col("b.slot").alias("slot"), F.xxhash64("b.text").alias("h"))
-    spread = one.groupBy("host", "slot").agg(F.min("h").alias("low"), F.max("h").alias("high"))
-    varying = spread.filter(F.col("low") != F.col("high")).join(slot_table, ["host", "slot"], "left_semi")
-    kept = varying.groupBy("host").agg(F.collect_set("slot").alias("_varying"))  # at most the slots of one wrapper
+    # only pages without an article need to know which slots are template
+    bare = read.filter(~F.exists("_p.blocks", lambda b: b["article"]))
+    content = template_slots(bare.select("host", F.col("_p.blocks").alias("blocks"))).filter(~F.col("template")).join(slot_table, ["host", "slot"], "left_semi")
+    kept = content.groupBy("host").agg(F.collect_set("slot").alias("_varying"))  # at most the slots of one wrapper
     sized = slot_table.groupBy("host").agg(F.count(F.lit(1)).alias("wrapper_slots"))
     known = sized.join(kept, "host", "left")
     rows = read.join(known, "host", "left")

@@ -160,6 +160,14 @@ def test_extraction_over_hosts(spark, monkeypatch):
     assert html_wrappers.extract(pages.limit(0)).count() == 0
 
 
+def test_slots_of_one_page_stay(spark):
+    """A block that one page of a host has is content; texts that all pages repeat are template, also several in one slot."""
+    page = "<body><div class='top'>Our shop</div><ul><li>Home</li><li>News</li></ul><p>Story {}</p>{}</body>"
+    rows = [(i, "http://a.org", page.format(i, "<blockquote>rare</blockquote><table><tr><td>cell</td></tr></table>" if i == 3 else ""), "") for i in range(9)]
+    got = {r["page_id"]: r["text"] for r in html_wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string, host string")).collect()}
+    assert got[3] == "Story 3\nrare\ncell" and got[4] == "Story 4"
+
+
 def test_licenses(spark):
     known = licenses.known_digests(spark)
     mit = "MIT  Licence\nCopyright (c) 2020 Someone\n\n" + licenses._MIT.upper().replace(",", " ;")
