@@ -12,7 +12,8 @@ pages that have the slot.  What one page alone has is content.
 
 A page's article is what stands in the slots under ``article`` or ``main``.  Pages without either give the slots that are
 not template, or all if every slot of their host is.  Menus, page headers, footers, asides, forms, notices, adverts, comments, scripts and
-styles are left out by tag, role, class or id.
+styles are left out by tag, role, class or id; inside an article only by whole unambiguous names, and never a heading or section by
+its id.  A form that encloses an article, or is the frame of a page without one, is not left out.
 
 Null, empty or broken html: what text there is, else the empty string.  A null url is a host of its own.  Repeated pages give
 repeated results; an empty table gives an empty one.
@@ -48,15 +49,27 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 #: Tags whose content is part of the block around them.
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img br".split())
-_DROPPED = frozenset("head script style noscript template nav footer aside form button select option datalist fieldset dialog menu iframe object svg canvas audio video map math-menu".split())
+_DROPPED = frozenset("head script style noscript template nav footer aside button select option datalist fieldset dialog menu iframe object svg canvas audio video map math-menu".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar status".split())
-#: Words of a class or id that mark what is not the article.
+#: Words of a class or id that mark what is not the article; inside an article they only raise doubt.
 _NOISE = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices "
     "alert popup modal overlay sidebar side rail aside menu menus nav navbar navigation breadcrumb breadcrumbs masthead footer foot comment comments "
     "commentlist respond disqus reply replies discussion share sharing social related recommended recommendations newsletter subscribe subscription "
     "signup login search pagination pager toolbar widget widgets tags tagcloud skip".split()
 )
+#: Whole classes, roles or ids that mark it inside an article too.
+_CLEAR_NOISE = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising adsense adsbygoogle ad-banner ad-container ad-slot ad-unit ad-wrapper ads-wrapper banner-ad sponsored-content "
+    "comment-form comments comments-area comment-list commentlist comment-section comments-section disqus disqus_thread respond cookie-banner cookie-bar cookie-consent cookie-notice "
+    "share-bar sharebar share-buttons share-links social-share social-sharing sharedaddy sharing-buttons sidebar navbar nav-menu navigation breadcrumb breadcrumbs "
+    "related-posts related-articles newsletter-signup newsletter-form subscribe-form pagination tagcloud tag-cloud skip-link".split()
+)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What a form that is the whole page holds, and a mere form does not.
+_PROSE = re.compile(r"/(?:p|h[1-6]|li|td|blockquote|pre|dd)(?:\.[^/]*)?(?:/|\Z)")
+#: Sign in a slot of an element whose name raises doubt.
+DOUBT = "!"
 #: Block tags that end an open paragraph, list item, row or cell.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPES = frozenset("ul ol dl table article main section div body html header footer nav aside form blockquote".split())
@@ -66,17 +79,28 @@ def _attributes(text: str) -> dict[str, str]:
     return {k.lower(): entities.unescape((v or "").strip("\"'")) for k, v in _ATTRIBUTE.findall(text)} if text.strip(" /") else {}
 
 
-def _is_noise(tag: str, given: dict[str, str], in_article: bool) -> bool:
+def _hidden(tag: str, given: dict[str, str]) -> bool:
     if tag in _DROPPED or "hidden" in given or given.get("aria-hidden") == "true" or given.get("role", "").lower() in _ROLES:
         return True
-    if tag in ("article", "main", "body", "html") and not in_article:
-        return False
-    words = set(_NAME_PARTS.findall(f"{given.get('class', '')} {given.get('id', '')}".lower()))
-    if words & _NOISE or (not in_article and (tag == "header" or "header" in words)):
-        return True
     return "none" in re.sub(r"\s", "", given.get("style", "")).partition("display:")[2][:4]
 
 
+def _noise(tag: str, given: dict[str, str], in_article: bool) -> str:
+    """``drop``, ``doubt`` (the element stays and its slots are marked) or nothing.  The id of a heading or section is its anchor
+    and says nothing."""
+    if _hidden(tag, given):
+        return "drop"
+    if tag in ("article", "main", "body", "html") and not in_article:
+        return ""
+    names = given.get("class", "").lower()
+    if tag != "section" and tag not in _HEADINGS:
+        names += " " + given.get("id", "").lower()
+    words = set(_NAME_PARTS.findall(names))
+    if in_article:
+        return "drop" if _CLEAR_NOISE & set(names.split()) else "doubt" if words & _NOISE else ""
+    return "drop" if words & _NOISE or tag == "header" or "header" in words else ""
+
+
 def _signature(tag: str, given: dict[str, str]) -> str:
     names = sorted(set(_NAME_PARTS.findall(given.get("class", "").lower())))[:3]
     return ".".join([tag, *names])
@@ -85,20 +109,24 @@ def _signature(tag: str, given: dict[str, str]) -> str:
 def read_page(page: str) -> tuple[list[tuple[str, str, bool]], list]:
     """Blocks in page order as (slot, text, in_article), and the stream as nested [signature, children]."""
     root: list = ["", []]
-    # open elements: tag, node, slot, dropped, in article
-    stack: list[tuple[str, list, str, bool, bool]] = [("", root, "", False, False)]
+    # open elements: tag, node, slot, dropped, in article, number of the form around it
+    stack: list[tuple[str, list, str, bool, bool, int]] = [("", root, "", False, False, -1)]
     blocks: list[tuple[str, str, bool]] = []
+    block_forms: list[int] = []
+    forms: list[tuple[list, list, str]] = []  # outermost forms outside articles: node above, node, slot
+    around: set[int] = set()  # forms that enclose an article
     held: list[str] = []
 
     def flush() -> None:
         if held:
             text = _SPACE.sub(" ", entities.unescape("".join(held))).strip()
             held.clear()
-            _, node, slot, dropped, article = stack[-1]
+            _, node, slot, dropped, article, form = stack[-1]
             if text and not dropped:
                 if not node[1] or node[1][-1][0] != "#":
                     node[1].append(["#", []])
                 blocks.append((f"{slot}/#", text, article))
+                block_forms.append(form)
 
     at, size = 0, len(page)
     while at < size:
@@ -145,18 +173,39 @@ def read_page(page: str) -> tuple[list[tuple[str, str, bool]], list]:
                     break
                 if stack[i][0] in _SCOPES:
                     break
-        _, node, slot, dropped, article = stack[-1]
-        dropped = dropped or _is_noise(tag, given, article)
+        _, node, slot, dropped, article, form = stack[-1]
+        noise = _noise(tag, given, article)
+        dropped = dropped or noise == "drop" or (tag == "form" and article)
         if tag in ("html", "body") and any(s[0] == tag for s in stack):
             continue
-        child = [_signature(tag, given), []]
+        child = [_signature(tag, given) + (DOUBT if noise == "doubt" else ""), []]
         if not dropped:
             node[1].append(child)
+            if tag == "form" and form < 0:
+                form = len(forms)
+                forms.append((node, child, f"{slot}/{child[0]}"))
         article = article or tag in ("article", "main") or given.get("role") == "main" or given.get("itemprop") == "articleBody"
+        if article and not dropped:
+            around.add(form)
         if not found[3].rstrip().endswith("/") or tag in ("p", "div"):
-            stack.append((tag, child, f"{slot}/{child[0]}", dropped, article))
+            stack.append((tag, child, f"{slot}/{child[0]}", dropped, article, form))
     flush()
-    return blocks, root
+    gone = set()
+    for i, (above, node, slot) in enumerate(forms):
+        if i not in around and not _is_page(i, slot, blocks, block_forms):
+            gone.add(i)
+            above[1][:] = [x for x in above[1] if x is not node]
+    return ([b for b, form in zip(blocks, block_forms, strict=True) if form not in gone] if gone else blocks), root
+
+
+def _is_page(form: int, slot: str, blocks: list[tuple[str, str, bool]], block_forms: list[int]) -> bool:
+    """Whether a form without article is the frame of its page: directly in the body, with prose, and more text than outside."""
+    if slot.count("/") - slot.startswith("/html/") - ("/body/" in slot or "/body." in slot) > 1 or any(article for _, _, article in blocks):
+        return False
+    inside = [(s, len(t)) for (s, t, _), f in zip(blocks, block_forms, strict=True) if f == form]
+    return any(_PROSE.search(s[len(slot) :]) for s, _ in inside) and 2 * sum(n for _, n in inside) >= sum(len(t) for _, t, _ in blocks)
+
+
 
 
 def fold(stream: list) -> dict:

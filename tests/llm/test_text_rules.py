@@ -136,6 +136,22 @@ def test_article_of_a_page():
         html_wrappers.read_page(broken)
 
 
+def test_names_inside_an_article_do_not_drop_it():
+    kept = "<section id='discussion'><h2 id='related-work'>A</h2></section><div class='notice'>B</div><div class='social-impact'><p>C</p></div><h2 id='side-effects'>D</h2>"
+    dropped = "<div class='share-bar'>x</div><div class='ad box'>x</div><div id='comments'>x</div><form><p>x</p></form>"
+    article = f"<article>{kept}{dropped}</article>"
+    assert text_of(f"<body>{article}</body>") == "A\nB\nC\nD"
+    assert text_of(f"<body><form id=f><div>{article}</div></form><form><p>Mail</p></form></body>") == "A\nB\nC\nD"
+
+
+def test_form_around_a_page_without_article():
+    def texts(page):
+        return [t for _, t, _ in html_wrappers.read_page(page)[0]]
+
+    assert texts("<html><body class=b><form action=x><div><p>Long story</p></div></form><p>foot</p></body></html>") == ["Long story", "foot"]
+    assert texts("<body><p>Story</p><form>Name <input></form><div><form><p>Write to us, we answer soon</p></form></div></body>") == ["Story"]
+
+
 def test_wrappers_align():
     def wrapper(page):
         return html_wrappers.fold(html_wrappers.read_page(page)[1])
