@@ -10,8 +10,13 @@ results, until each host has one, so no task ever holds all pages of a host.  Te
 counts of the pages they stand on: a slot is template if each of its texts is on two different pages or more, and on half of the
 pages that have the slot.  What one page alone has is content.
 
-A page's article is what stands in the slots under ``article`` or ``main``.  Pages without either give the slots that are
-not template, or all if every slot of their host is.  Menus, page headers, footers, asides, forms, notices, adverts, comments, scripts and
+Each slot of a host's wrapper is marked content or template, and on every page the text is what stands in content slots.  Three
+signs make the mark: standing under ``article`` or ``main``, an element name without doubt, and texts that are not template.  Two
+of them make content; a page with an article gives only slots inside it, as what the page marks as article is.  So texts that all
+articles share (a heading) stay, and an element in an article whose name raises doubt (``share``, ``notice``) goes if its texts
+are template.  Pages without an article give their host's slots that are not template, or all if every such slot is.
+
+Menus, page headers, footers, asides, forms, notices, adverts, comments, scripts and
 styles are left out by tag, role, class or id; inside an article only by whole unambiguous names, and never a heading or section by
 its id.  A form that encloses an article, or is the frame of a page without one, is not left out.
 
@@ -68,8 +73,8 @@ _CLEAR_NOISE = frozenset(
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: What a form that is the whole page holds, and a mere form does not.
 _PROSE = re.compile(r"/(?:p|h[1-6]|li|td|blockquote|pre|dd)(?:\.[^/]*)?(?:/|\Z)")
-#: Sign in a slot of an element whose name raises doubt.
-DOUBT = "!"
+#: Signs in a slot: of an element whose name raises doubt, and of one that begins an article by an attribute.
+DOUBT, BEGINS = "!", "@"
 #: Block tags that end an open paragraph, list item, row or cell.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPES = frozenset("ul ol dl table article main section div body html header footer nav aside form blockquote".split())
@@ -178,13 +183,14 @@ def read_page(page: str) -> tuple[list[tuple[str, str, bool]], list]:
         dropped = dropped or noise == "drop" or (tag == "form" and article)
         if tag in ("html", "body") and any(s[0] == tag for s in stack):
             continue
-        child = [_signature(tag, given) + (DOUBT if noise == "doubt" else ""), []]
+        begins = given.get("role") == "main" or given.get("itemprop") == "articleBody"
+        child = [_signature(tag, given) + (DOUBT if noise == "doubt" else "") + (BEGINS if begins and not article else ""), []]
         if not dropped:
             node[1].append(child)
             if tag == "form" and form < 0:
                 form = len(forms)
                 forms.append((node, child, f"{slot}/{child[0]}"))
-        article = article or tag in ("article", "main") or given.get("role") == "main" or given.get("itemprop") == "articleBody"
+        article = article or tag in ("article", "main") or begins
         if article and not dropped:
             around.add(form)
         if not found[3].rstrip().endswith("/") or tag in ("p", "div"):
@@ -349,16 +355,22 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     read = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), host.alias("host"), _pages.asNondeterministic()(F.col(html_col)).alias("_p"))
     wrappers = infer(read.select("host", F.col("_p.wrapper").alias("wrapper")))
     slot_table = wrappers.select("host", F.explode(_slots(F.col("wrapper"))).alias("slot"))
-    # only pages without an article need to know which slots are template
-    bare = read.filter(~F.exists("_p.blocks", lambda b: b["article"]))
-    content = template_slots(bare.select("host", F.col("_p.blocks").alias("blocks"))).filter(~F.col("template")).join(slot_table, ["host", "slot"], "left_semi")
-    kept = content.groupBy("host").agg(F.collect_set("slot").alias("_varying"))  # at most the slots of one wrapper
-    sized = slot_table.groupBy("host").agg(F.count(F.lit(1)).alias("wrapper_slots"))
-    known = sized.join(kept, "host", "left")
+    # statistics are needed where the signs disagree: slots in doubt, and pages without an article
+    doubtful = F.filter("_p.blocks", lambda b: F.contains(b["slot"], F.lit(DOUBT)))
+    asked = read.select("host", F.when(F.exists("_p.blocks", lambda b: b["article"]), doubtful).otherwise(F.col("_p.blocks")).alias("blocks"))
+    marks = slot_table.join(template_slots(asked.filter(F.size("blocks") > 0)), ["host", "slot"], "left")
+    bare, template = ~F.contains("slot", F.lit(DOUBT)) & F.col("template").isNotNull(), F.coalesce("template", F.lit(False))
+    known = marks.groupBy("host").agg(
+        F.count(F.lit(1)).alias("wrapper_slots"),
+        F.collect_set(F.when(~template, F.col("slot"))).alias("_content"),  # at most the slots of one wrapper
+        F.collect_set(F.when(bare & template, F.col("slot"))).alias("_alone"),
+        F.coalesce(F.max(bare & ~template), F.lit(False)).alias("_some"),
+    )
+    # where every slot outside articles is template, they are all there is
+    known = known.select("host", "wrapper_slots", F.when(F.col("_some"), F.col("_content")).otherwise(F.array_union("_content", "_alone")).alias("_content"))
     rows = read.join(known, "host", "left")
     blocks = F.col("_p.blocks")
-    article = F.filter(blocks, lambda b: b["article"])
-    content = F.filter(blocks, lambda b: F.col("_varying").isNull() | F.array_contains(F.col("_varying"), b["slot"]))
-    chosen = F.when(F.size(article) > 0, article).otherwise(content)
-    text = F.array_join(F.transform(chosen, lambda b: b["text"]), "\n")
+    in_article = F.exists(blocks, lambda b: b["article"])
+    chosen = F.filter(blocks, lambda b: (b["article"] | ~in_article) & F.array_contains(F.col("_content"), b["slot"]))
+    text = F.array_join(F.transform(F.coalesce(chosen, blocks), lambda b: b["text"]), "\n")
     return rows.select(F.col("_id").alias(id_col), F.col("_url").alias(url_col), text.alias("text"), F.coalesce("wrapper_slots", F.lit(0)).alias("wrapper_slots"))

@@ -184,6 +184,15 @@ def test_slots_of_one_page_stay(spark):
     assert got[3] == "Story 3\nrare\ncell" and got[4] == "Story 4"
 
 
+def test_wrappers_decide_doubt_inside_articles(spark):
+    """In an article, a doubtful box goes if its texts are the host's template and stays if they are not."""
+    page = "<body><nav>x</nav>{}<h2>Summary</h2><p>Story {}</p><div class='share'>Tell friends</div><div class='notice'>Note {}</div>{}<p>out {}</p></body>"
+    ways = [("<article>", "</article>"), ("<div role=main>", "</div>")]
+    rows = [(10 * k + i, f"http://{k}.org", page.format(a, i, i, b, i), "") for k, (a, b) in enumerate(ways) for i in range(5)]
+    got = {r["page_id"]: r["text"] for r in html_wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string, host string")).collect()}
+    assert len(got) == 10 and all(t == f"Summary\nStory {i % 10}\nNote {i % 10}" for i, t in got.items())
+
+
 def test_licenses(spark):
     known = licenses.known_digests(spark)
     mit = "MIT  Licence\nCopyright (c) 2020 Someone\n\n" + licenses._MIT.upper().replace(",", " ;")
