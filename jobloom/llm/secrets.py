@@ -2,16 +2,17 @@
 
 The text is the first layer.  Each layer is scanned; then whatever is encoded in it gives further layers: percent escapes and
 ``\\u`` / ``\\x`` escapes decode the whole layer, every base64 run decodes to a layer of its own, unpacked first if it is
-compressed.  The worklist ends when no new layer appears; a layer seen before at the same place is not taken up again, so
+compressed, and so does every base64 text wrapped over lines.  A decoded layer is read as UTF-8, or byte by byte if it is none, and
+also as UTF-16 if it holds zero bytes; nothing is left out for its characters.  The worklist ends when no new layer appears; a layer seen before at the same place is not taken up again, so
 cycles end.  Every character of a layer knows which characters of the text it came from, and findings are reported there: a
 finding inside a base64 run spans the whole run.
 
 Spans are half-open and count code points.  Kinds are ``assign``, ``access`` and ``hex``.  The findings of the first layer are
 marked ``base``.
 
-Null text: as the empty text, no spans.  Repeated rows give repeated results, an empty table an empty one.  A layer that would
-unpack to more than LAYER_BYTES is not opened and counted in ``oversize`` (a guard against decompression bombs; text and
-all other layers are read whole).
+Null text: as the empty text, no spans.  Repeated rows give repeated results, an empty table an empty one.  A layer that unpacks to
+more than LAYER_BYTES is read in blocks, cut where no finding or encoded run can be.  If a block has no such place, the next one
+overlaps it by OVERLAP_BYTES, and the layer is counted in ``oversize``: longer runs in it were read in parts.
 """
 
 from __future__ import annotations
@@ -19,6 +20,9 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import gzip
+import hashlib
+import io
 import lzma
 import re
 import zlib
@@ -30,8 +34,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Bytes up to which a compressed layer is opened.
+#: Bytes up to which a compressed layer is read in one piece; also the size of blocks.
 LAYER_BYTES = 64 * 1024 * 1024
+OVERLAP_BYTES = 1024 * 1024
+PIECE_BYTES = 1024 * 1024
+#: Levels of compression opened within a layer of many blocks.
+LEVELS = 100
 #: Order in which spans that start together are listed.
 KINDS = ("assign", "access", "hex")
 
@@ -44,6 +52,11 @@ ASSIGN_VALUE, ACCESS_LENGTH, HEX_LENGTH = 8, 16, 32
 _KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 #: Runs that may be base64; a hexadecimal finding always lies inside one.
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Such runs over several lines; the last may be short, and stands at the end of its line or before a sign that ends a value.
+_WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]{16,})*+(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+={0,2}(?![ \t]*[^\s\"'`<,;)}\]]))?")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+#: Bytes of findings and encoded runs; blocks are not cut between them.
+_BOUND = bytes(set(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=.:\"'%\\{} \t\r\n\0"))
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2})+")
 _ESCAPE_UNIT = re.compile(r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})")
@@ -116,71 +129,189 @@ def replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     return "".join(parts), np.concatenate(starts), np.concatenate(ends)
 
 
-class TooLarge(Exception):
-    pass
+class _Zlib:
+    """Reader of one zlib stream after the other."""
 
+    def __init__(self, source: io.BufferedReader):
+        self.source, self.tool = source, zlib.decompressobj()
 
-def unpack(data: bytes) -> bytes | None:
-    """``data`` decompressed, or None if it is not compressed."""
-    if data[:2] == b"\x1f\x8b":
-        tool = zlib.decompressobj(31)
-    elif len(data) > 2 and data[0] == 0x78 and int.from_bytes(data[:2]) % 31 == 0:
-        tool = zlib.decompressobj()
-    elif data[:3] == b"BZh":
-        tool = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        tool = lzma.LZMADecompressor()
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
+    def read1(self, size: int) -> bytes:
+        while True:
+            data = self.tool.unconsumed_tail or self.tool.unused_data or self.source.read1(size)
+            if self.tool.eof:
+                self.tool = zlib.decompressobj()
+            plain = self.tool.decompress(data, size)
+            if plain or not data:
+                return plain
+
+
+class _Pieces(io.RawIOBase):
+    """What a reader gives until it ends or breaks."""
+
+    def __init__(self, reader):
+        self.reader, self.rest, self.broken = reader, b"", False
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, out) -> int:
+        if not self.rest and not self.broken:
+            try:
+                self.rest = self.reader.read1(PIECE_BYTES)
+            except Exception:  # each library has its own errors for data that is broken or none of its own
+                self.broken = True
+        n = min(len(out), len(self.rest))
+        out[:n], self.rest = self.rest[:n], self.rest[n:]
+        return n
+
+
+def _opened(source: io.BufferedReader) -> io.BufferedReader | None:
+    """The stream unpacked, all members of it, or None if it is not compressed."""
+    head = source.peek(6)[:6]
+    if head[:2] == b"\x1f\x8b":
+        reader = gzip.GzipFile(fileobj=source)
+    elif len(head) > 2 and head[0] == 0x78 and int.from_bytes(head[:2]) % 31 == 0:
+        reader = _Zlib(source)
+    elif head[:3] == b"BZh":
+        reader = bz2.BZ2File(source)
+    elif head == b"\xfd7zXZ\x00":
+        reader = lzma.LZMAFile(source)
+    elif head[:4] == b"\x28\xb5\x2f\xfd":
         import zstandard
 
-        try:
-            with zstandard.ZstdDecompressor().stream_reader(data) as reader:
-                plain = reader.read(LAYER_BYTES + 1)
-        except zstandard.ZstdError:
-            return None
-        if len(plain) > LAYER_BYTES:
-            raise TooLarge
-        return plain
+        reader = zstandard.ZstdDecompressor().stream_reader(source, read_across_frames=True)
     else:
         return None
+    plain = io.BufferedReader(_Pieces(reader), PIECE_BYTES)
+    return plain if plain.peek(1) else None
+
+
+def layer_bytes(data: bytes) -> Iterator[tuple[bytes, bool]]:
+    """``data``, then what it unpacks to, level by level; a large level in blocks.  The flag marks a block cut inside a run."""
+    seen = set()
+    while data not in seen:
+        seen.add(data)
+        yield data, False
+        source = _opened(io.BufferedReader(io.BytesIO(data)))
+        if source is None:
+            return
+        plain = source.read(LAYER_BYTES + 1)
+        if len(plain) > LAYER_BYTES:
+            break
+        data = plain
+    else:
+        return
+    # read again as a stream; a level that begins like a compressed one but does not open is read as it is
+    depth = 0
+    while depth < LEVELS and _levels(data, depth + 1) is not None:
+        depth += 1
+    source, cut = _levels(data, depth), depth == LEVELS
+    held = b""
+    while more := source.read(LAYER_BYTES):
+        held += more
+        end = len(held.rstrip(_BOUND))
+        if end:
+            yield held[:end], cut
+            held, cut = held[end:], False
+        elif len(held) >= 2 * LAYER_BYTES:
+            yield held, True
+            held = held[-OVERLAP_BYTES:]
+    yield held, cut
+
+
+def _levels(data: bytes, depth: int) -> io.BufferedReader | None:
+    """``data`` unpacked so many times, or None if it cannot be."""
+    source = io.BufferedReader(io.BytesIO(data))
+    for _ in range(depth):
+        source = _opened(source)
+        if source is None:
+            return None
+    return source
+
+
+def texts(data: bytes) -> Iterator[str]:
+    """``data`` as UTF-8, or else byte by byte; also as UTF-16 from both byte orders and places if it holds zero bytes."""
     try:
-        plain = tool.decompress(data, LAYER_BYTES + 1)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-        return None
-    if len(plain) > LAYER_BYTES:
-        raise TooLarge
-    return plain
+        yield data.decode()
+    except UnicodeDecodeError:
+        yield data.decode("latin-1")
+    if b"\0" in data:
+        for kind in ("utf-16-le", "utf-16-be"):
+            for at in (0, 1):
+                yield data[at:].decode(kind, "replace")
 
 
-def from_base64(run: str) -> str | None:
-    """Text that a run stands for, or None if it stands for none."""
+def from_base64(run: str, joined: bool = False) -> bytes | None:
+    """Bytes that a run stands for, or None if it stands for none.  Of joined lines the last character may be none of it."""
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
-        return None
+        if not joined:
+            return None
+        body = body[:-1]
     try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
+        return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
     except binascii.Error:
         return None
-    while (plain := unpack(data)) is not None and plain != data:
-        data = plain
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and (text.isprintable() or all(c.isprintable() or c in "\t\n\r\f\v" for c in text)) else None
+
+
+def wrapped_runs(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, run) of base64 over several lines: lines of one width with the shorter line after them, the same with the line
+    before them, and all lines together."""
+    if "\n" not in text:
+        return
+    for found in _WRAPPED.finditer(text):
+        lines = [m.span() for m in _LINE.finditer(text, *found.span())]
+        if len(lines) < 2:
+            continue
+        parts, at = {(0, len(lines))}, 0
+        while at < len(lines):
+            width, end = lines[at][1] - lines[at][0], at + 1
+            while end < len(lines) and lines[end][1] - lines[end][0] == width:
+                end += 1
+            stop = end + (end < len(lines) and lines[end][1] - lines[end][0] < width)
+            parts |= {(at, end), (at, stop), (max(0, at - 1), stop)}
+            at = end
+        for a, b in sorted(parts):
+            if b - a > 1:
+                yield lines[a][0], lines[b - 1][1], "".join(text[x:y] for x, y in lines[a:b])
 
 
 def find_secrets(text: str) -> tuple[list[tuple[str, int, int, bool]], int, int]:
-    """All spans by start, then kind; how many layers were read; how many were too large to open."""
+    """All spans by start, then kind; how many layers were read; how many were cut inside a run, as they were too large."""
     base: set[tuple[int, int, str]] = set()
     more: set[tuple[int, int, str]] = set()
-    seen: set[tuple[str, int, int]] = set()
-    work: list[Layer] = [(text, None, None)]
+    seen: set[tuple[str | bytes, int, int]] = set()
     layers = oversize = 0
+
+    def inner(layer: Layer, runs: list[tuple[int, int]]) -> Iterator[Layer]:
+        nonlocal oversize
+        body, first, last = layer
+        if "%" in body and (plain := replaced(layer, _PERCENT, _unpercent)):
+            yield plain
+        if "\\" in body and (plain := replaced(layer, _ESCAPE, _unescape)):
+            yield plain
+        joined = ((a, b, from_base64(run, True)) for a, b, run in wrapped_runs(body))
+        for part in (((a, b, from_base64(body[a:b])) for a, b in runs), joined):
+            for a, b, data in part:
+                if not data:
+                    continue
+                start, end = (a, b) if first is None else (int(first[a]), int(last[b - 1]))
+                large = False
+                for block, is_cut in layer_bytes(data):
+                    large = large or is_cut
+                    for plain in texts(block):
+                        yield plain, np.broadcast_to(start, len(plain)), np.broadcast_to(end, len(plain))
+                oversize += large
+
+    work: list[Iterator[Layer]] = [iter([(text, None, None)])]
     while work:
-        layer = work.pop()
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
         body, first, last = layer
-        key = (body, -1, -1) if first is None or not len(first) else (body, int(first[0]), int(last[-1]))
+        mark = body if len(body) < 1000 else hashlib.blake2b(body.encode("utf-8", "surrogatepass"), digest_size=32).digest()
+        key = (mark, -1, -1) if first is None or not len(first) else (mark, int(first[0]), int(last[-1]))
         if key in seen:
             continue
         seen.add(key)
@@ -191,19 +322,7 @@ def find_secrets(text: str) -> tuple[list[tuple[str, int, int, bool]], int, int]
             base.update(found)
         else:
             more.update((int(first[a]), int(last[b - 1]), kind) for a, b, kind in found)
-        if "%" in body and (plain := replaced(layer, _PERCENT, _unpercent)):
-            work.append(plain)
-        if "\\" in body and (plain := replaced(layer, _ESCAPE, _unescape)):
-            work.append(plain)
-        for a, b in runs:
-            try:
-                inner = from_base64(body[a:b])
-            except TooLarge:
-                oversize += 1
-                continue
-            if inner is not None:
-                start, end = (a, b) if first is None else (int(first[a]), int(last[b - 1]))
-                work.append((inner, np.full(len(inner), start), np.full(len(inner), end)))
+        work.append(inner(layer, runs))
     spans = [(a, KINDS.index(k), b, True) for a, b, k in base] + [(a, KINDS.index(k), b, False) for a, b, k in more - base]
     return [(KINDS[k], a, b, is_base) for a, k, b, is_base in sorted(spans)], layers, oversize
 

@@ -1,13 +1,17 @@
 """Secrets, quality votes, HTML wrappers, licences and tool calls."""
 
 import base64
+import bz2
 import collections
 import gzip
 import json
+import lzma
 import re
 import urllib.parse
+import zlib
 
 import numpy as np
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -57,6 +61,39 @@ def test_layers_end_on_cycles_and_bombs(monkeypatch):
     assert secrets.find_secrets(base64.b64encode(gzip.compress(b"a" * 5000)).decode())[2] == 1
 
 
+def kinds(text):
+    return {k for k, _, _, _ in secrets.find_secrets(text)[0]}
+
+
+def test_layers_are_read_whatever_they_hold():
+    """Signs that do not print, other encodings, binary data around, and several members."""
+    key = KEY.encode()
+    rng = np.random.default_rng(3)
+    members = [t(b"plain words ") + t(key) for t in (gzip.compress, bz2.compress, lzma.compress, zlib.compress, zstandard.ZstdCompressor().compress)]
+    for data in (*[(c + KEY).encode() for c in "\u00a0\ufeff\u200b\u200d\u00ad\u3000\0"], *[KEY.encode(k) for k in ("utf-16", "utf-16-le", "utf-16-be")], b"\xe9 " + key, rng.bytes(51) + b" " + key, b"x" + KEY.encode("utf-16-le"), *members, gzip.compress(b"a") + b"\n" + key):
+        text = f"before {base64.b64encode(data).decode()} after"
+        assert kinds(text) == {"assign"} and secrets.redact(text) == "before [assign] after", data
+
+
+def test_wrapped_base64_is_joined():
+    data = gzip.compress(np.random.default_rng(5).bytes(400) + b" " + KEY.encode())
+    for width, gap in ((76, "\n"), (64, "\r\n"), (76, "\n    ")):
+        run = base64.b64encode(data).decode()
+        run = gap.join(run[i : i + width] for i in range(0, len(run), width))
+        for text in (f"key:\n{run}\nend of it", f'"{run}"', f"internationalisation\n{run}\n"):
+            assert kinds(text) == {"assign"} and run not in secrets.redact(text)
+        assert secrets.redact(f"key: {run}\nend of it") == "key: [assign]\nend of it"
+
+
+def test_large_layers_are_read_in_blocks(monkeypatch):
+    monkeypatch.setattr(secrets, "LAYER_BYTES", 1000)
+    monkeypatch.setattr(secrets, "OVERLAP_BYTES", 100)
+    for before in (b"some words, " * 700, b"z" * 7777 + b" "):
+        packed = gzip.compress(gzip.compress(before + KEY.encode() + b" " + before))
+        assert kinds(base64.b64encode(packed).decode()) == {"assign"}
+    assert secrets.find_secrets(base64.b64encode(gzip.compress(b"some words, " * 700)).decode())[2] == 0
+
+
 def test_secret_columns(spark):
     docs = documents(spark, [*AWKWARD, f"a {KEY} b", f"a {KEY} b"])
     rows = docs.select("doc_id", secrets.secrets_column(F.col("text")).alias("f"), secrets.redacted_column(F.col("text")).alias("r"), "text").orderBy("doc_id").collect()
