@@ -1,8 +1,9 @@
 """Licence scan by canonical digest: texts in one spelling are hash-joined to the digests of known licences.
 
 Canonical form: lower case; copyright lines go; equivalent spellings become one; everything but letters and digits becomes one
-space.  A document is looked up as a whole, and so is each of its lines.  The known licences are a small table given by the
-caller (its digests are broadcast: 24 bytes a licence).
+space.  A document is looked up as a whole, and so is each of its lines, and each place where a known text begins with a line and
+goes on over several: however its lines and blocks are cut, and whatever stands before and after.  The known licences are a small
+table given by the caller (their digests, lengths and first words are broadcast).
 
 Null text: as the empty text, which is no licence.  Several licences with one digest: the smallest name.  Repeated rows are looked
 up each on its own; an empty table gives an empty result.
@@ -10,6 +11,8 @@ up each on its own; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +51,25 @@ KNOWN = (
 )
 
 
+#: Words by which a place where a known text may begin is found.
+BEGIN_WORDS = 3
+#: What follows the terms of some licences, and need not be there.
+_END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+
+
+def known_texts() -> tuple[tuple[str, str], ...]:
+    """KNOWN and the files of ``license_texts`` (name of the licence before ``.header``, ``.bullets`` or ``.txt``), whole and up to
+    the end of their terms."""
+    found = list(KNOWN)
+    for file in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        name, text = file.name.removesuffix(".txt").removesuffix(".header").removesuffix(".bullets"), file.read_text(encoding="utf-8")
+        found.append((name, text))
+        terms, end, _ = text.partition(_END_OF_TERMS)
+        if end:
+            found += [(name, terms), (name, terms + end)]
+    return tuple(found)
+
+
 def canonical_lines(text: Column) -> Column:
     """The canonical text with its line ends."""
     text = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "")
@@ -61,21 +83,45 @@ def whole(lines: Column) -> Column:
 
 
 def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
-    """(digest, license_id), one row per digest."""
+    """(_digest, license_id, _size, _begin), one row per digest."""
     table = spark.createDataFrame([(name, text) for name, text in known], "license_id string, text string")
-    return table.groupBy(F.md5(whole(canonical_lines(F.col("text"))).cast("binary")).alias("_digest")).agg(F.min("license_id").alias("license_id"))
+    table = table.select("license_id", whole(canonical_lines(F.col("text"))).alias("text"))
+    names = table.groupBy(F.md5(F.col("text").cast("binary")).alias("_digest"))
+    return names.agg(F.min("license_id").alias("license_id"), F.max(F.length("text")).alias("_size"), F.max(F.substring_index("text", " ", BEGIN_WORDS)).alias("_begin"))
 
 
 def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, line, digest, license_id: one row for each document (line null; license_id null if unknown) and one for each line
-    (from 1) that is a known licence."""
+    """id, line, digest, license_id: one row for each document (line null; license_id null if unknown), one for each line
+    (from 1) that is a known licence, and one for each known licence over several lines, at its first line."""
+    begins = [r[0] for r in known.select("_begin").distinct().collect()]
+    names = F.broadcast(known.select("_digest", "license_id"))
     text = docs.select(F.col(id_col), canonical_lines(F.col(text_col)).alias("_text"))
     documents = text.select(id_col, F.lit(None).cast("int").alias("line"), F.md5(whole(F.col("_text")).cast("binary")).alias("digest"))
-    documents = documents.join(F.broadcast(known), F.col("digest") == F.col("_digest"), "left")
+    documents = documents.join(names, F.col("digest") == F.col("_digest"), "left")
     lines = text.select(id_col, F.posexplode(F.split("_text", "\n")).alias("_at", "_line")).select(id_col, (F.col("_at") + 1).alias("line"), F.trim("_line").alias("_line"))
     lines = lines.filter(F.col("_line") != "").select(id_col, "line", F.md5(F.col("_line").cast("binary")).alias("digest"))
-    lines = lines.join(F.broadcast(known), F.col("digest") == F.col("_digest"))
-    return documents.unionByName(lines).select(id_col, "line", "digest", "license_id")
+    lines = lines.join(names, F.col("digest") == F.col("_digest"))
+    found = documents.unionByName(lines).select(id_col, "line", "digest", "license_id")
+    return found.unionByName(_passages(text, known, begins, id_col)) if begins else found
+
+
+def _passages(text: DataFrame, known: DataFrame, begins: list[str], id_col: str) -> DataFrame:
+    """Known licences that begin with a line and go on over the next ones.  Only texts from such a line on are read again."""
+    numbered = F.transform(F.split("_text", "\n"), lambda line, i: F.struct((i + 1).alias("line"), F.trim(line).alias("text")))
+    cut = text.select(id_col, F.filter(numbered, lambda x: x["text"] != "").alias("_lines"))
+    firsts = {w.split(" ")[0] for w in begins}
+    may = F.filter(F.transform("_lines", lambda x, i: F.struct((i + 1).alias("at"), x["line"].alias("line"), x["text"].alias("text"))), lambda x: F.substring_index(x["text"], " ", 1).isin(*firsts))
+    at = cut.select(id_col, "_lines", F.explode(may).alias("_m"))
+    rest = F.array_join(F.slice("_lines.text", F.col("_m.at"), F.size("_lines")), " ")
+    # as many lines have as many words at least
+    head = F.array_join(F.slice("_lines.text", F.col("_m.at"), F.lit(BEGIN_WORDS)), " ")
+    at = at.filter(F.substring_index(head, " ", BEGIN_WORDS).isin(*begins))
+    at = at.select(id_col, "_m.line", F.length("_m.text").alias("_first"), rest.alias("_rest"))
+    joined = at.join(F.broadcast(known), F.substring_index("_rest", " ", BEGIN_WORDS) == F.col("_begin"))
+    piece = F.col("_rest").substr(F.lit(1), F.col("_size"))
+    ends = F.col("_rest").substr(F.col("_size") + 1, F.lit(1)).isin("", " ")
+    joined = joined.filter((F.col("_first") < F.col("_size")) & ends & (F.md5(piece.cast("binary")) == F.col("_digest")))
+    return joined.select(id_col, "line", F.col("_digest").alias("digest"), "license_id")
 
 
 def oracle(known=KNOWN) -> str:

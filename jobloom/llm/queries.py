@@ -132,9 +132,9 @@ def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    from jobloom.llm.licenses import known_digests, scan
+    from jobloom.llm.licenses import known_digests, known_texts, scan
 
-    return scan(read_table(spark, folder, "documents"), known_digests(spark))
+    return scan(read_table(spark, folder, "documents"), known_digests(spark, known_texts()))
 
 
 def _license_oracle() -> str:

@@ -6,6 +6,7 @@ import collections
 import gzip
 import json
 import lzma
+import pathlib
 import re
 import urllib.parse
 import zlib
@@ -240,6 +241,21 @@ def test_licenses(spark):
     assert licenses.scan(docs.limit(0), known).count() == 0
 
 
+def test_full_licences_and_passages(spark):
+    """Full texts are known as documents and inside longer files, in other line breaks too."""
+    known = licenses.known_digests(spark, licenses.known_texts())
+    folder = pathlib.Path(licenses.__file__).parent / "license_texts"
+    names = ["Apache-2.0", "BSD-3-Clause", "GPL-3.0", "CC0-1.0", "MPL-2.0", "Unlicense"]
+    full = [(folder / f"{n}.txt").read_text() for n in names]
+    inside = "import x\n\n" + licenses._ISC.replace(". ", ".\n\n") + " more\n"
+    header = (folder / "GPL-3.0-or-later.header.txt").read_text().replace(";", "\n *")
+    docs = documents(spark, [*full, *["code\n" + t + "\ncode" for t in full], inside, "/*\n * x\n *\n * " + header + " */ int a;", *AWKWARD])
+    rows = {(r["doc_id"], r["line"]): r["license_id"] for r in licenses.scan(docs, known).collect()}
+    assert [rows[i, None] for i in range(6)] == names and all(rows[6 + i, None] is None for i in range(6))
+    assert all(n in {v for (d, line), v in rows.items() if d == 6 + i and line} for i, n in enumerate(names))
+    assert rows[12, 3] == "ISC" and rows[13, 4] == "GPL-3.0-or-later"
+
+
 SCHEMAS = {"find": {"required": ["q"], "properties": {"q": {"type": "string"}, "n": {"type": "integer", "minimum": 1}}, "additionalProperties": False}}
 
 
