@@ -5,9 +5,14 @@ from __future__ import annotations
 import math
 import os
 import uuid
+from collections.abc import Callable, Iterable, Iterator
+from itertools import groupby, islice
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from jobloom.session import ensure_checkpoint_dir
 
@@ -60,3 +65,38 @@ def number_rows(df: DataFrame, group: list[str], order: list[str], out: str, row
     joined = local.join(sums, on, "inner")
     keep = [c for c in df.columns if c != "_block"]
     return joined.select(*keep, (F.col("_before") + F.col("_at") - 1).cast("long").alias(out))
+
+
+def number_in_order(df: DataFrame, group: str, order: list[str], out: str, size: str) -> DataFrame:
+    """Add ``out`` (0, 1, 2, ... by ``order`` within each ``group``) and ``size`` (rows of the group); a hot group is split.
+
+    Rows are dealt by ranges of (group, order) and sorted there; only one count per range and group meets in a running sum.
+    The input is read twice (bounds of the ranges, then the rows), so give a written table.  Rows that agree in all of
+    ``order`` share a range: let it end in something that tells repeated rows apart.
+    """
+    dealt = df.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
+    dealt = stage_table(dealt.withColumn("_place", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("_place", 33)
+    sums = dealt.groupBy(F.col(group).alias("_g"), part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+    whole = Window.partitionBy("_g")
+    before = whole.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("_g", "_p", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"), F.sum("_n").over(whole).alias("_size"))
+    joined = dealt.join(sums, F.col(group).eqNullSafe(F.col("_g")) & (part == F.col("_p")))
+    return joined.select(*df.columns, (F.col("_place") + F.col("_shift")).alias(out), F.col("_size").alias(size))
+
+
+def stream_groups(df: DataFrame, keys: list[str], order: list[str], fn: Callable[[Iterator[tuple]], Iterable[tuple]], schema: T.StructType) -> DataFrame:
+    """``fn`` sees the rows of one key in ``order``, one at a time, as tuples of ``df``'s columns, and gives tuples of ``schema``.
+
+    Nothing of a key is held but what ``fn`` holds, and many small keys share a task and its batches.
+    """
+    at = [df.columns.index(k) for k in keys]
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns]))
+        out = (made for _, group in groupby(rows, key=lambda row: [row[i] for i in at]) for made in fn(group))
+        while block := list(islice(out, 2048)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*block), arrow)], schema=arrow)
+
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)

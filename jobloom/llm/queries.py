@@ -174,3 +174,62 @@ def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     calls = users.select("conv_id", "turn", call_id.alias("call_id"), after.alias("after"), name.alias("name"), arguments.alias("arguments"))
     results = turns.filter(F.col("role") == "assistant").select("conv_id", "turn", F.concat(F.lit("call-"), (F.col("turn") - 1).cast("string")).alias("call_id"), F.col("text").alias("content"))
     return format_calls(calls, results, TOOLS)
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    from jobloom.llm.merkle import manifest
+
+    rows = manifest(read_table(spark, folder, "documents"), MANIFEST_FIELDS)
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def _manifest_oracle() -> str:
+    from jobloom.llm.merkle import oracle
+
+    return oracle(MANIFEST_FIELDS)
+
+
+ORACLE["op11_merkle_manifest"] = _manifest_oracle()
+
+
+@query
+def op12_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    from jobloom.llm.turn_repair import repair_conversations
+
+    return repair_conversations(read_table(spark, folder, "conversations"))
+
+
+#: (host, path, verdict); a rule holds for subdomains too.
+HOST_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+#: Globs for URLs that no host rule decides: hosts that name gambling, pills, adult content, link farms or ad trackers.
+BLOCK_GLOBS = ["*casino**", "*.free-bets.**", "*-bets.**", "*-pills.**", "*.spam-**", "*.adult-**", "*.porn**", "*.ads-**", "*.ads.**", "*.adserver.**", "*.tracking.**"]
+#: Robots and policy files stay readable on every host.
+ALLOW_GLOBS = ["*/robots.txt", "*/.well-known/**"]
+
+
+@query
+def op13_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    from jobloom.llm.url_rules import HostRule, judge
+
+    pages = read_table(spark, folder, "pages").select("page_id", "url")
+    rows = judge(pages, [HostRule(*r) for r in HOST_RULES], ALLOW_GLOBS, BLOCK_GLOBS)
+    return rows.select("page_id", "host", "path", "rule", "verdict")
+
+
+def _url_oracle() -> str:
+    from jobloom.llm.url_rules import HostRule, oracle
+
+    return oracle([HostRule(*r) for r in HOST_RULES], ALLOW_GLOBS, BLOCK_GLOBS)
+
+
+ORACLE["op13_url_filters"] = _url_oracle()
