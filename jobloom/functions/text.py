@@ -13,15 +13,19 @@ from __future__ import annotations
 
 import html.entities
 import json
-import unicodedata
 
 from pyspark.sql import Column, functions as F
 
 from jobloom import fixed_values as fx
+from jobloom.functions import folding
 
 #: White space as Unicode text processing sees it; Java's ``\s`` alone is ASCII only.
 _UNICODE_BLANKS = (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF)
 WS = r"[\s\x1c-\x1f" + "".join(map(chr, _UNICODE_BLANKS)) + "]"
+_BLANKS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f" + "".join(map(chr, _UNICODE_BLANKS))
+#: What ``squeeze`` has to change: runs of two or more, and single ones other than the blank.  The ASCII form is far cheaper to scan.
+_UNEVEN = rf"{WS}{{2,}}|[\t-\r\x1c-\x1f" + "".join(map(chr, _UNICODE_BLANKS)) + "]"
+_UNEVEN_ASCII = r"[\t-\r\x1c-\x20]{2,}|[\t-\r\x1c-\x1f]"
 
 
 def _c(value: Column | str) -> Column:
@@ -32,12 +36,19 @@ def _c(value: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    return F.regexp_replace(_c(c), rf"^{WS}+|{WS}+$", "")
+    return F.btrim(_c(c), F.lit(_BLANKS))
+
+
+def _squeeze_ascii(c: Column) -> Column:
+    return F.trim(F.regexp_replace(c, _UNEVEN_ASCII, " "))
 
 
 def squeeze(c: Column | str) -> Column:
     """Every run of white space becomes one blank, ends trimmed."""
-    return F.trim(F.regexp_replace(_c(c), rf"{WS}+", " "))
+    c = _c(c)
+    others = F.regexp_extract_all(c, F.lit(folding.BEYOND_ASCII), F.lit(0))
+    rare = ~_is_ascii(c) & F.arrays_overlap(F.array_distinct(others), F.array(*[F.lit(chr(b)) for b in _UNICODE_BLANKS]))
+    return F.when(rare, F.trim(F.regexp_replace(c, _UNEVEN, " "))).otherwise(_squeeze_ascii(c))
 
 
 def blank_to_null(c: Column | str) -> Column:
@@ -62,61 +73,30 @@ def once(c: Column, use) -> Column:
 # ---------------------------------------------------------------- folds
 
 
-#: Latin, signs, numbers and forms that have a decomposition (super- and subscripts, letter-like, Roman, circled, wide).
-_LETTER_CODES = (*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2500), 0x3000, *range(0x3200, 0x3400), *range(0xFB00, 0xFB07), *range(0xFF01, 0xFFF0))
-
-
-def _decomposed(form: str, code: int) -> str:
-    return "".join(ch for ch in unicodedata.normalize(form, chr(code)) if not unicodedata.combining(ch))
-
-
-def _letter_table(form: str) -> tuple[str, str]:
-    """Source and target strings for ``translate``: accented code points whose decomposition is one ASCII letter."""
-    source, target = [], []
-    for code in _LETTER_CODES:
-        base = _decomposed(form, code)
-        if base != chr(code) and len(base) == 1:
-            source.append(chr(code))
-            target.append(base)
-    return "".join(source), "".join(target)
-
-
-_CANONICAL, _COMPATIBLE = _letter_table("NFD"), _letter_table("NFKD")
-_MARKS = f"[{chr(0x300)}-{chr(0x36F)}]"
-
-
 def _is_ascii(c: Column) -> Column:
     # one byte per character; far cheaper than scanning with a pattern
     return F.octet_length(c) == F.char_length(c)
 
 
-def _unaccent(c: Column, table: tuple[str, str]) -> Column:
-    plain = F.regexp_replace(F.translate(c, *table), _MARKS, "")
-    return F.when(_is_ascii(c), c).otherwise(plain)
-
-
 def fold_ascii(c: Column | str) -> Column:
     c = text_or_blank(c)
-    ascii_only = F.regexp_replace(F.translate(c, *_COMPATIBLE), r"[^\x00-\x7F]", "")
+    ascii_only = F.regexp_replace(folding.replaced(c, folding.to_ascii, drops_rest=True), r"[^\x00-\x7F]", "")
     return F.lower(F.when(_is_ascii(c), c).otherwise(ascii_only))
 
 
-def _dashes(c: Column) -> Column:
-    return F.translate(c, "–—", "--")
-
-
 def fold_caseless(c: Column | str) -> Column:
     c = text_or_blank(c)
-    folded = F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))
-    return squeeze(F.when(_is_ascii(c), F.lower(c)).otherwise(_dashes(_unaccent(folded, _COMPATIBLE))))
+    return _squeeze_ascii(F.when(_is_ascii(c), F.lower(c)).otherwise(folding.replaced(F.lower(c), folding.to_caseless)))
 
 
 def fold_search(c: Column | str) -> Column:
-    return strip(F.lower(_unaccent(text_or_blank(c), _CANONICAL)))
+    c = text_or_blank(c)
+    return strip(F.lower(F.when(_is_ascii(c), c).otherwise(folding.replaced(c, folding.to_unaccented))))
 
 
 def fold_resume(c: Column | str) -> Column:
-    return squeeze(_dashes(F.lower(_unaccent(text_or_blank(c), _CANONICAL))))
+    c = text_or_blank(c)
+    return _squeeze_ascii(F.lower(F.when(_is_ascii(c), c).otherwise(folding.replaced(c, folding.to_comparable))))
 
 
 def equivalence_text(c: Column | str) -> Column:
@@ -446,9 +426,7 @@ def regex_quote(text: str) -> str:
 
 def py_fold_caseless(value: str) -> str:
     """Driver-side twin of ``fold_caseless`` for short vocabulary literals."""
-    text = unicodedata.normalize("NFKD", (value or "").casefold())
-    text = "".join(ch for ch in text if not unicodedata.combining(ch))
-    return " ".join(text.replace("–", "-").replace("—", "-").split())
+    return " ".join(folding.to_caseless(value or "").split())
 
 
 def needs_boundary(alias: str) -> bool:

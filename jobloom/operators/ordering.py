@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from jobloom.session import materialize
+
 
 def top_rows(rows: DataFrame, order: Sequence[Column], limit: int, coarse: Column) -> DataFrame:
     """First ``limit`` rows by ``order``, whose leading key is ``coarse`` descending (for instance the day).
@@ -70,6 +72,24 @@ def codes_in_ranges(values: DataFrame, order: str, ties: Sequence[str], ranges:
     )
 
 
+def places(rows: DataFrame, order: Sequence[Column], out: str, group: str | None = None, columns: Sequence[str] | None = None, keep=materialize) -> DataFrame:
+    """Add ``out`` 0, 1, 2, … by ``order`` (within each ``group``), for keys of any type and without one task that sorts everything.
+
+    Rows are dealt by sampled ranges of the order and sorted there; only one count per range and group meets in a running
+    sum.  ``columns`` go on with the place, so that wide sort keys are not written.  The rows are read twice, once for the
+    limits of the ranges: give a relation that is cheap to read.  Rows that agree in the whole order get any of their places.
+    """
+    keys = [*([F.col(group)] if group else []), *order]
+    dealt = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
+    dealt = keep(dealt.select(*(columns or rows.columns), "_at"))
+    whole = F.col(group) if group else F.lit(0)
+    sums = dealt.groupBy(whole.alias("_g"), F.shiftright("_at", 33).alias("_part")).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy("_g").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sums.select("_g", "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    joined = dealt.join(shifts, whole.eqNullSafe(F.col("_g")) & (F.shiftright("_at", 33) == F.col("_part")))
+    return joined.withColumn(out, F.col("_at") + F.col("_shift")).drop("_at", "_g", "_part", "_shift")
+
+
 def page(
     rows: DataFrame, order: Sequence[Column], number: int, size: int = 24, total: int | None = None, coarse: Column | None = None
 ) -> DataFrame:

@@ -1,9 +1,10 @@
 """Résumé against requirements: matching at term grain, scores per distinct profile, top rows per résumé.
 
-Scoring every résumé against every job would be a cross join.  Three facts keep it an equi-join of small relations:
-the score depends only on which terms a résumé covers and on which terms a job asks for; jobs that ask for the same
-terms with the same confidence score alike, so only the first ``k`` of each such *profile* can be in a top ``k``; and
-a job that shares no term with a résumé scores zero, so those are taken from one short ordered list.
+Scoring every résumé against every job would be a cross join.  Four facts keep it small: the score depends only on which
+terms a résumé covers and on which terms a job asks for; jobs that ask for the same terms with the same confidence score
+alike, so only the first ``k`` of each such *profile* can be in a top ``k``; a job that shares no term with a résumé scores
+zero, so those are taken from one short ordered list; and a profile whose bound is below a résumé's ``k``-th score need not be
+met at all, which postings ordered by that bound tell before any pair is formed.
 """
 
 from __future__ import annotations
@@ -15,12 +16,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from jobloom import fixed_values as fx
 from jobloom.functions import text as tx
 from jobloom.functions.numbers import clamp, round_half_up
-from jobloom.operators.ordering import top_per_group
+from jobloom.operators.ordering import places, top_per_group
 from jobloom.operators.requirements import Vocabulary
 from jobloom.session import materialize
 
-#: Most résumé-term rows that are broadcast; above it the join shuffles with the hot terms spread.
-BROADCAST_ROWS = 200_000
+#: Pieces that the résumé side of a key is cut into.
 SPREAD = 16
 
 
@@ -60,59 +60,103 @@ def recognized_skills(folded_resume: Column, vocabulary: Vocabulary) -> Column:
     return F.array_distinct(F.array_compact(F.array(*tests)))
 
 
-def _grams(text: Column, n: int) -> Column:
-    count = F.length(text) - (n - 1)
-    return F.when(count > 0, F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.substring(text, i, F.lit(n))))
+#: Length of the pieces that the index holds; a phrase is covered by pieces at steps of this length.
+GRAM = 5
+_WORD_KEY = lambda w: F.concat(F.lit("w"), w)
+_BEYOND_BMP = r"[\x{10000}-\x{10FFFF}]"
 
 
-def phrase_coverage(resumes: DataFrame, labels: DataFrame, resume_id: str, folded: str) -> DataFrame:
-    """``resume_id, label`` for labels outside the taxonomy: the whole phrase, or at least 72 % of its words.
+def phrase_needs(labels: DataFrame) -> DataFrame:
+    """What finds a label in a text: ``label, total, item, t, weight, way, keys, key, shift``.
 
-    ``labels`` has one folded ``label`` per row.  Instead of pairing every label with every résumé, both sides are
-    joined on short keys a match must share: the first letters of a substring, or a whole word.
+    Item 0 is the whole phrase, the others are its distinct words.  A ``gram`` item is found where all its pieces stand at
+    their distances, a ``word`` item where the word is one; both need no text.  A ``text`` item only names a word that has to
+    be there, and is decided on the text.
     """
     tokens = F.filter(
         F.split("label", r"[^a-z0-9+#./-]+"), lambda t: (F.length(t) > 1) & ~t.isin(*fx.PHRASE_STOP_WORDS)
     )
-    needs = labels.select("label", tokens.alias("_tokens"))
-    needs = needs.withColumn("_total", F.size("_tokens"))
-    by_word = lambda t: (F.length(t) <= 4) | t.rlike(r"[.+#/-]")
-    head = lambda t: F.concat(F.lit("g"), F.substring(t, 1, 5))
-    word = lambda t: F.concat(F.lit("w"), F.regexp_extract(t, "([a-z0-9]+)", 1))
-    wanted = F.concat(
-        F.array(F.struct(F.lit(True).alias("whole"), F.col("label").alias("t"), head(F.col("label")).alias("key"))),
-        F.transform(
-            F.array_distinct("_tokens"),
-            lambda t: F.struct(F.lit(False).alias("whole"), t.alias("t"), F.when(by_word(t), word(t)).otherwise(head(t)).alias("key")),
-        ),
+    way = lambda t: F.when(t == "sql", "word").when(t.rlike(r"[.+#/-]"), "text").when(F.length(t) <= 4, "word").otherwise("gram")
+    whole = F.struct(
+        F.lit(0).alias("item"), F.col("label").alias("t"), F.lit(0).alias("weight"),
+        F.when(F.col("label").rlike(_BEYOND_BMP), "text").otherwise("gram").alias("way"),
     )
-    needs = needs.select("label", "_tokens", "_total", F.inline(wanted))
-    text = F.col(folded)
-    pieces = F.concat(
-        F.transform(F.regexp_extract_all(text, F.lit("([a-z0-9]+)"), 1), lambda w: F.concat(F.lit("w"), w)),
-        F.array(F.lit("w")),
-        *[F.coalesce(F.transform(_grams(text, n), lambda g: F.concat(F.lit("g"), g)), F.array().cast("array<string>")) for n in range(1, 6)],
+    word = lambda t, i: F.struct(
+        (i + 1).alias("item"), t.alias("t"), F.size(F.filter("_tokens", lambda x: x == t)).alias("weight"), way(t).alias("way")
     )
-    have = resumes.select(F.col(resume_id), text.alias("_text"), F.explode(F.array_distinct(pieces)).alias("key"))
-    pairs = have.join(needs, "key")
-    padded = F.concat(F.lit(" "), F.col("_text"), F.lit(" "))
-    quoted = F.regexp_replace("t", r"([.+#/-])", r"\\$1")
-    bounded = F.rlike(padded, F.concat(F.lit("(?<![a-z0-9])"), quoted, F.lit("(?![a-z0-9])")))
-    sql = padded.rlike(r"(?<![a-z0-9])(?:sql|pl/sql|plsql)(?![a-z0-9])")
-    single = (F.col("t") == "sql")
-    ok = (
-        F.when(F.col("whole"), F.col("_text").contains(F.col("t")))
-        .when(single, sql)
-        .when(by_word(F.col("t")), bounded)
-        .otherwise(F.col("_text").contains(F.col("t")))
+    items = F.concat(F.array(whole), F.transform(F.array_distinct("_tokens"), word))
+    rows = labels.filter(F.length("label") > 0).withColumn("_tokens", tokens)
+    rows = rows.select("label", F.size("_tokens").alias("total"), F.inline(items))
+
+    none = F.lit(None).cast("int")
+    key = lambda k, shift: F.struct(k.alias("key"), shift.alias("shift"))
+    last = F.length("t") - GRAM
+    steps = F.when(last <= 0, F.array(F.lit(0))).otherwise(F.array_distinct(F.concat(F.sequence(F.lit(0), F.greatest(last, F.lit(0)), F.lit(GRAM)), F.array(last))))
+    keys = (
+        F.when(F.col("way") == "gram", F.transform(steps, lambda s: key(F.concat(F.lit("g"), F.substring(F.col("t"), s + 1, F.lit(GRAM))), s)))
+        .when(F.col("t") == "sql", F.array(key(F.lit("wsql"), none), key(F.lit("wplsql"), none)))
+        .when(F.col("way") == "word", F.array(key(_WORD_KEY(F.col("t")), none)))
+        # a whole phrase may begin inside a word: every text is asked
+        .when(F.col("item") == 0, F.array(key(F.lit("w"), none)))
+        .otherwise(F.array(key(_WORD_KEY(F.regexp_extract("t", "([a-z0-9]+)", 1)), none)))
     )
-    hits = pairs.filter(ok).groupBy(resume_id, "label").agg(
-        F.max("whole").alias("_whole"),
-        F.first("_tokens").alias("_tokens"),
-        F.collect_set(F.when(~F.col("whole"), F.col("t"))).alias("_found"),
+    rows = rows.withColumn("_keys", keys)
+    return rows.withColumn("keys", F.when(F.col("way") == "gram", F.size("_keys")).otherwise(1)).select("*", F.inline("_keys")).drop("_keys")
+
+
+def text_index(texts: DataFrame, text_id: str, text: str, lengths: Sequence[int] = (GRAM,)) -> DataFrame:
+    """Positional inverted index ``text_id, key, at``: every word once (no place), every piece of ``lengths`` with its place."""
+    words = F.array_distinct(F.concat(F.array(F.lit("")), F.regexp_extract_all(text, F.lit("([a-z0-9]+)"), F.lit(1))))
+    entry = lambda k, at: F.struct(k.alias("key"), at.alias("at"))
+    # a lookahead gives overlapping pieces in one pass over the text
+    pieces = [
+        F.transform(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)), lambda g, i: entry(F.concat(F.lit("g"), g), i))
+        for n in lengths
+    ]
+    found = F.concat(F.transform(words, lambda w: entry(_WORD_KEY(w), F.lit(None).cast("int"))), *pieces)
+    return texts.select(text_id, F.inline(found))
+
+
+def phrase_coverage(resumes: DataFrame, labels: DataFrame, resume_id: str, folded: str, keep=materialize) -> DataFrame:
+    """``resume_id, label`` for labels outside the taxonomy: the whole phrase, or at least 72 % of its words.
+
+    ``labels`` has one folded ``label`` per row.  Labels meet a positional index of the résumés, which holds ids and places, no
+    text; every key is spread over ``SPREAD`` pieces by résumé.  Only pairs that hinge on words with signs (``c++``, ``ci/cd``)
+    fetch the text, once per résumé and label.
+    """
+    needs = keep(phrase_needs(labels.distinct()))
+    gram = F.col("way") == "gram"
+    # phrases shorter than a piece need pieces of their own length; there are at most four such lengths
+    short = [r[0] for r in needs.filter(gram & (F.length("t") < GRAM)).select(F.length("t")).distinct().collect()]
+    index = text_index(resumes, resume_id, folded, [GRAM, *sorted(short)])
+    index = index.withColumn("_s", F.pmod(F.xxhash64(resume_id), F.lit(SPREAD)).cast("int"))
+    spread = needs.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    met = index.join(spread, ["key", "_s"])
+    place = F.when(gram, F.col("at") - F.col("shift")).alias("_place")
+    group = [resume_id, "label", "item", "total", "t", "weight", "way", "keys"]
+    found = met.groupBy(*group, place).agg(F.count(F.lit(1)).alias("_n")).filter(~gram | (F.col("_n") == F.col("keys")))
+    found = found.select(*group).distinct()
+
+    sure, open_ = F.col("way") != "text", F.col("way") == "text"
+    pairs = found.groupBy(resume_id, "label", "total").agg(
+        F.max(sure & (F.col("item") == 0)).alias("_whole"),
+        F.sum(F.when(sure, F.col("weight")).otherwise(0)).alias("_found"),
+        # at most one entry per word of the label
+        F.collect_list(F.when(open_, F.struct("item", "t", "weight"))).alias("_open"),
     )
-    share = F.size(F.filter("_tokens", lambda t: F.array_contains("_found", t))) / F.greatest(F.size("_tokens"), F.lit(1))
-    return hits.filter(F.col("_whole") | ((F.size("_tokens") > 0) & (share >= fx.PHRASE_SHARE))).select(resume_id, "label")
+    enough = lambda n: (F.col("total") > 0) & (n / F.greatest(F.col("total"), F.lit(1)) >= fx.PHRASE_SHARE)
+    most = F.aggregate("_open", F.col("_found"), lambda n, x: n + x["weight"])
+    decided = F.col("_whole") | enough(F.col("_found"))
+    can = enough(most) | F.exists("_open", lambda x: x["item"] == 0)
+    pairs = keep(pairs.withColumn("_decided", decided).filter(F.col("_decided") | can))
+    asked = pairs.filter(~F.col("_decided")).join(resumes.select(resume_id, F.col(folded).alias("_text")), resume_id)
+    quoted = lambda t: F.regexp_replace(t, r"([.+#/-])", r"\\$1")
+    bounded = lambda t: F.rlike("_text", F.concat(F.lit("(?<![a-z0-9])"), quoted(t), F.lit("(?![a-z0-9])")))
+    there = F.filter("_open", lambda x: F.when(x["item"] == 0, F.contains("_text", x["t"])).otherwise(bounded(x["t"])))
+    asked = asked.withColumn("_there", there)
+    all_found = F.aggregate("_there", F.col("_found"), lambda n, x: n + x["weight"])
+    fits = asked.filter(F.exists("_there", lambda x: x["item"] == 0) | enough(all_found))
+    return pairs.filter("_decided").select(resume_id, "label").unionByName(fits.select(resume_id, "label"))
 
 
 # ---------------------------------------------------------------- scores
@@ -179,38 +223,115 @@ def evaluate(pairs: DataFrame, covered: str, length: str, keep: Sequence[str]) -
 
 # ---------------------------------------------------------------- ranking
 
+#: Most frequent terms that are put last in every profile, and cells of postings that are cut; both are fixed numbers of rows.
+FREQUENT_TERMS = 200
+HOT_CELLS = 1000
+#: Postings per term that a first round reads, as a multiple of ``k``.
+SEEDS = 4
 
-def profiles(jobs: DataFrame, k: int, order: Sequence[str], keep=lambda df: df) -> tuple[DataFrame, DataFrame]:
+_GROUPS = ("m", "p", "c")
+
+
+def profiles(jobs: DataFrame, k: int, order: Sequence[str], keep=materialize) -> tuple[DataFrame, DataFrame]:
     """Distinct requirement profiles, and the first ``k`` jobs of each.
 
-    ``jobs``: ``url``, ``order`` columns, ``m``, ``p``, ``c`` (arrays of terms) and ``q``.  Returns
-    (profile, m, p, c, q) and (profile, url, …order).
+    ``jobs``: ``url``, ``order`` columns, ``m``, ``p``, ``c`` (arrays of terms) and ``q``.  Returns (profile, m, p, c, q, jobs,
+    lead), where ``lead`` numbers the profiles by their first job, and (profile, url, …order).
     """
-    shape = F.struct(*[F.array_sort(g).alias(g) for g in "mpc"], F.coalesce("q", F.lit(0)).alias("q"))
+    shape = F.struct(*[F.array_sort(g).alias(g) for g in _GROUPS], F.coalesce("q", F.lit(0)).alias("q"))
     keyed = jobs.select("url", *[c for c in order if c != "url"], shape.alias("_shape"))
-    # read once from here on: deriving the terms from text is the expensive part
+    # read twice from here on: deriving the terms from text is the expensive part
     keyed = keep(keyed.withColumn("profile", F.sha2(F.to_json("_shape"), 256)))
     members = top_per_group(keyed.drop("_shape"), ["profile"], [F.asc(c) for c in order], k)
-    distinct = keyed.groupBy("profile").agg(F.first("_shape").alias("_shape")).select("profile", "_shape.*")
-    return distinct, members
+    first = F.min(F.struct(*order)).alias("_first")
+    distinct = keep(keyed.groupBy("profile").agg(F.first("_shape").alias("_shape"), F.count(F.lit(1)).alias("jobs"), first))
+    distinct = distinct.select("profile", "_shape.*", "jobs", "_first")
+    return places(distinct, [F.col("_first"), F.col("profile")], "lead", columns=["profile", *_GROUPS, "q", "jobs"], keep=keep), members
 
 
-def _matches(resume_terms: DataFrame, asked: DataFrame, small: bool) -> DataFrame:
-    """Join résumé groups and profiles on the term.
+def postings(distinct: DataFrame) -> DataFrame:
+    """``term, bound, at, terms`` and the profile's columns, one row per profile and term it asks for.
 
-    A term may be asked for by a third of all profiles.  A small résumé side is broadcast, so profiles never move;
-    otherwise the profile side is spread over ``SPREAD`` keys per term and the résumé side repeated to meet it.
+    The terms of a profile are ordered, frequent ones last.  ``bound`` is the score if the term and all after it are covered
+    and none before it is, so it is what the profile can reach at most where this term is the first one that is covered.
+    Scores grow with every covered term, caps and rounding included, which makes the bound exact.
     """
-    if small:
-        return asked.join(F.broadcast(resume_terms), "term")
-    spread = asked.withColumn("_s", F.pmod(F.xxhash64("profile"), F.lit(SPREAD)))
-    repeated = resume_terms.withColumn("_s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint"))))
-    return spread.join(repeated, ["term", "_s"]).drop("_s")
+    used = distinct.select(F.explode(F.array_distinct(F.concat(*_GROUPS))).alias("term")).groupBy("term").count()
+    frequent = [r["term"] for r in used.orderBy(F.desc("count"), "term").limit(FREQUENT_TERMS).collect()]
+    ranks = F.create_map(*[F.lit(x) for i, t in enumerate(frequent) for x in (t, FREQUENT_TERMS - i)]) if frequent else None
+    rank_of = (lambda t: F.coalesce(ranks[t], F.lit(0))) if frequent else (lambda t: F.lit(0))
+    times = lambda g, t: F.size(F.filter(g, lambda x: x == t)).alias(g)
+    entry = lambda t: F.struct(rank_of(t).alias("rank"), t.alias("term"), *[times(g, t) for g in _GROUPS])
+    ordered = distinct.withColumn("_ordered", F.array_sort(F.transform(F.array_distinct(F.concat(*_GROUPS)), entry)))
+
+    def total(entries: Column, g: str) -> Column:
+        return F.aggregate(entries, F.lit(0), lambda n, y: n + y[g]).alias(g)
+
+    def posting(x: Column, i: Column) -> Column:
+        left = [total(F.slice("_ordered", i + 1, F.size("_ordered")), g) for g in _GROUPS]
+        return F.struct(x["term"].alias("term"), i.alias("at"), F.struct(*left).alias("left"))
+
+    rows = ordered.withColumn("terms", F.transform("_ordered", lambda x: x["term"])).withColumn("_all", F.transform("_ordered", posting))
+    rows = rows.select("profile", *_GROUPS, "q", "lead", "terms", F.inline("_all"))
+    counts = [c for g in _GROUPS for c in (F.col(f"left.{g}"), F.size(g))]
+    return rows.withColumn("bound", score(*counts, F.col("q"))).drop("left")
+
+
+def _scored(met: DataFrame) -> DataFrame:
+    """``person, profile, lead, score, coverage`` of (résumé group, posting) rows, each pair once: at its first covered term."""
+    covers = lambda x: F.array_contains("have", x)
+    first = met.filter(~F.exists(F.slice("terms", F.lit(1), F.col("at")), covers))
+    counts = [c for g in _GROUPS for c in (F.size(F.filter(g, covers)), F.size(g))]
+    value = first.withColumn("score", score(*counts, F.col("q"))).withColumn("coverage", coverage(F.col("q"), F.col("quality")))
+    return value.filter(F.col("score") > 0)
+
+
+_BEST_FIRST = [("score", "desc"), ("coverage", "desc"), ("lead", "asc")]
+
+
+def _best_first() -> list[Column]:
+    return [getattr(F, way)(name) for name, way in _BEST_FIRST]
+
+
+def floors(people: DataFrame, listed: DataFrame, k: int) -> DataFrame:
+    """``person, floor_score, floor_coverage, floor_lead``: the ``k``-th best of a first look at the head of each term's postings.
+
+    Any ``k`` profiles give a valid floor.  The heads are at most ``SEEDS`` times ``k`` rows per term.
+    """
+    head = top_per_group(listed, ["term"], [F.desc("bound"), F.desc("q"), F.asc("lead")], SEEDS * k)
+    seen = _scored(people.join(head, "term"))
+    place = F.row_number().over(Window.partitionBy("person").orderBy(*_best_first()))
+    kth = seen.select("person", "score", "coverage", "lead").withColumn("_place", place).filter(F.col("_place") == k)
+    return kth.select("person", *[F.col(c).alias(f"floor_{c}") for c, _ in _BEST_FIRST])
+
+
+def reachable_pairs(people: DataFrame, listed: DataFrame, floor: DataFrame) -> DataFrame:
+    """Scored (résumé group, profile) pairs that can be among the best ``k``: the rest of the postings is never met.
+
+    Postings of a term fall into cells of equal bound and confidence, so a cell's bound tells whether a résumé group has to read
+    it.  Needed cells are looked up in the small table of cells, and only those are joined.  A cell with more than a thousandth of
+    all postings (there are at most ``HOT_CELLS``) is cut into pieces by a hash of the profile.
+    """
+    cell = ["term", "bound", "q"]
+    cells = listed.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"))
+    total = listed.count()
+    pieces = F.greatest(F.lit(1), F.ceil(F.col("_n") * HOT_CELLS / max(total, 1))).cast("int").alias("pieces")
+    hot = F.broadcast(cells.filter(F.col("_n") * HOT_CELLS > total).select(*cell, pieces))
+    known = people.join(floor, "person", "left")
+    reach = coverage(F.col("q"), F.col("quality"))
+    better = F.col("floor_score").isNull() | (F.col("bound") > F.col("floor_score"))
+    level = (F.col("bound") == F.col("floor_score")) & (reach >= F.col("floor_coverage"))
+    needed = known.join(cells, "term").filter((F.col("bound") > 0) & (better | level)).join(hot, cell, "left")
+    needed = needed.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1))).drop("_n", "pieces")
+    cut = listed.join(hot, cell, "left").withColumn("_piece", F.pmod(F.xxhash64("profile"), F.coalesce("pieces", F.lit(1))).cast("int")).drop("pieces")
+    met = needed.join(cut, [*cell, "_piece"])
+    # at the floor itself only profiles that come earlier can still get in
+    met = met.filter(better | (reach > F.col("floor_coverage")) | (F.col("lead") <= F.col("floor_lead")))
+    return _scored(met).select("person", "profile", "lead", "score", "coverage")
 
 
 def rank(
-    resumes: DataFrame, jobs: DataFrame, k: int = 30, resume_id: str = "resume_id", order: Sequence[str] = ("title", "url"),
-    small: bool | None = None, keep=materialize,
+    resumes: DataFrame, jobs: DataFrame, k: int = 30, resume_id: str = "resume_id", order: Sequence[str] = ("title", "url"), keep=materialize,
 ) -> DataFrame:
     """Best ``k`` jobs per résumé by score, coverage, then ``order`` columns.  Exact.
 
@@ -221,63 +342,43 @@ def rank(
         jobs = jobs.withColumn("title_order", tx.fold_search("title"))
         order = [x for c in order for x in (("title_order", c) if c == "title" else (c,))]
     distinct, members = profiles(jobs, k, order, keep)
+    distinct, members = keep(distinct), keep(members)
     # résumés with the same terms and quality share their scores as well
     people = resumes.select(
-        resume_id, F.array_sort(F.array_distinct("terms")).alias("terms"), resume_quality(F.col("length")).alias("quality")
-    ).withColumn("person", F.sha2(F.concat_ws("\x1f", F.col("quality").cast("string"), F.to_json("terms")), 256))
+        resume_id, F.array_sort(F.array_distinct("terms")).alias("have"), resume_quality(F.col("length")).alias("quality")
+    ).withColumn("person", F.sha2(F.concat_ws("\x1f", F.col("quality").cast("string"), F.to_json("have")), 256))
     people = keep(people)
-    groups = people.groupBy("person", "quality").agg(F.first("terms").alias("terms"))
-    person_terms = groups.select("person", "quality", F.explode("terms").alias("term"))
-    if small is None:
-        small = person_terms.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    def wants(group: str) -> Column:
-        return F.transform(group, lambda t: F.struct(t.alias("term"), F.lit(group).alias("g")))
-
-    asked = distinct.select("profile", F.inline(F.flatten(F.array(*[wants(g) for g in "mpc"]))))
-    hit = lambda g: F.count_if(F.col("g") == g).alias(f"{g}_hit")
-    shared = _matches(person_terms, asked, small).groupBy("person", "quality", "profile").agg(*[hit(g) for g in "mpc"])
-    lead = members.groupBy("profile").agg(F.min(F.struct(*order)).alias("lead"), F.count(F.lit(1)).alias("jobs"))
-    sized = distinct.select("profile", "q", *[F.size(g).alias(f"{g}_all") for g in "mpc"]).join(lead, "profile")
-    value = score(
-        F.col("m_hit"), F.col("m_all"), F.col("p_hit"), F.col("p_all"), F.col("c_hit"), F.col("c_all"), F.col("q")
-    )
-    scored = (
-        shared.join(sized, "profile")
-        .select(
-            "person", "profile", "lead", "jobs", value.alias("score"),
-            coverage(F.col("q"), F.col("quality")).alias("coverage"),
-        )
-        .filter(F.col("score") > 0)
-    )
+    groups = people.groupBy("person", "quality").agg(F.first("have").alias("have"))
+    asking = keep(groups.withColumn("term", F.explode("have")))
+    listed = keep(postings(distinct))
+    scored = reachable_pairs(asking, listed, floors(asking, listed, k))
     # a row among the best k belongs to a profile whose first job is among the best k first jobs
-    best_first = [F.desc("score"), F.desc("coverage"), F.asc("lead")]
-    near = keep(top_per_group(scored, ["person"], best_first, k))
+    near = keep(top_per_group(scored, ["person"], _best_first(), k))
     columns = ["person", "url", *[c for c in order if c != "url"], "score", "coverage"]
     overlapping = near.join(members, "profile").select(*columns)
-    both = overlapping.unionByName(_zero_scores(groups, near, sized, members, k, columns))
+    both = overlapping.unionByName(_zero_scores(groups, near, distinct, members, k, columns))
     final = [F.desc("score"), F.desc("coverage"), *[F.asc(c) for c in order]]
-    best = top_per_group(both, ["person"], final, k)
-    ranked = people.select(resume_id, "person").join(best, "person").drop("person")
-    place = F.row_number().over(Window.partitionBy(resume_id).orderBy(*final))
-    return ranked.withColumn("place", place)
+    place = F.row_number().over(Window.partitionBy("person").orderBy(*final))
+    best = both.withColumn("place", place).filter(F.col("place") <= k)
+    return people.select(resume_id, "person").join(best, "person").drop("person")
 
 
-def _zero_scores(groups: DataFrame, near: DataFrame, sized: DataFrame, members: DataFrame, k: int, columns: Sequence[str]) -> DataFrame:
+def _zero_scores(groups: DataFrame, near: DataFrame, distinct: DataFrame, members: DataFrame, k: int, columns: Sequence[str]) -> DataFrame:
     """Rows with score zero for persons whose scoring profiles do not fill ``k`` places; nobody else needs them.
 
     Among those rows only coverage and order count.  Such a person has fewer than ``k`` scoring profiles, so the best
     ``2k`` profiles per résumé quality always contain the ``k`` free ones that matter.
     """
-    reached = near.groupBy("person").agg(F.sum("jobs").alias("_have"))
+    reached = near.join(distinct.select("profile", "jobs"), "profile").groupBy("person").agg(F.sum("jobs").alias("_have"))
     short = groups.join(reached, "person", "left").filter(F.coalesce("_have", F.lit(0)) < k).select("person", "quality")
-    tiers = sized.select("profile", "q", "lead", F.explode(F.lit([100, 80, 55, 30])).alias("quality"))
+    tiers = distinct.select("profile", "q", "lead", F.explode(F.lit([100, 80, 55, 30])).alias("quality"))
     tiers = tiers.select(
         "profile", "lead", "quality", F.lit(0).alias("score"), coverage(F.col("q"), F.col("quality")).alias("coverage")
     )
     best = top_per_group(tiers, ["quality"], [F.desc("coverage"), F.asc("lead")], 2 * k)
     # broadcast: 2k rows for each of four qualities
     free = short.join(F.broadcast(best), "quality").join(near.select("person", "profile"), ["person", "profile"], "left_anti")
-    return free.join(members.drop("_n"), "profile").select(*columns)
+    return free.join(members, "profile").select(*columns)
 
 
 __all__ = [name for name in globals() if not name.startswith("_")]

@@ -5,14 +5,16 @@ The given texts carry no job vocabulary, so these queries pass their own small v
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from jobloom import fixed_values as fx
 from jobloom.functions import text as tx
 from jobloom.operators import classify as cl, quality as qa, requirements as rq, scoring as sc
-from jobloom.operators.sinks import attach_metadata
+from jobloom.plans.publication import staging_header, write_packed, write_snapshot, write_staging
 from jobloom.plans.registry import ADS, HISTORY, TODAY, ads, ads_history, pick, query, sql_ascii, sql_caseless, sql_resume, sql_search, today
-from jobloom.session import materialize, table
+from jobloom.session import ensure_checkpoint_dir, materialize, table
 
 # ---------------------------------------------------------------- classification
 
@@ -340,13 +342,16 @@ def _(spark, folder):
 
 @query("jon_10_scoring_join", _rank_sql(3))
 def _(spark, folder):
-    return sc.rank(_resumes(spark, folder), _asks(spark, folder), 3, small=False).select("resume_id", "url", "score", "coverage", "place")
+    return sc.rank(_resumes(spark, folder), _asks(spark, folder), 3).select("resume_id", "url", "score", "coverage", "place")
 
 
-@query("srt_03_top_jobs", f"SELECT resume_id, max(score) AS best, count(*) AS listed FROM ({_rank_sql(5)}) GROUP BY 1")
+@query("srt_03_top_jobs", f"SELECT resume_id, string_agg(place || ':' || url || ':' || score || ':' || coverage, ' ' ORDER BY place) AS listed FROM ({_rank_sql(5)}) GROUP BY 1")
 def _(spark, folder):
     best = sc.rank(_resumes(spark, folder), _asks(spark, folder), 5)
-    return best.groupBy("resume_id").agg(F.max("score").alias("best"), F.count(F.lit(1)).alias("listed"))
+    entry = F.struct("place", F.concat_ws(":", *[F.col(c).cast("string") for c in ("place", "url", "score", "coverage")]).alias("text"))
+    # five entries per résumé
+    listed = F.array_sort(F.collect_list(entry))
+    return best.groupBy("resume_id").agg(F.array_join(F.transform(listed, lambda e: e["text"]), " ").alias("listed"))
 
 
 _SKILLS = {"One": ("the", "one"), "Two": ("two", "entre", "that"), "Three": ("three", "der", "los"), "Four": ("four", "que", "inging"), "Five": ("five", "mente", "erer"), "Six": ("six", "by", "von")}
@@ -362,54 +367,93 @@ def _(spark, folder):
 # ---------------------------------------------------------------- quality gates
 
 
-@query("val_01_snapshot_rules", f"""WITH {HISTORY}, r AS (SELECT *, coalesce(nullif(published_date, ''), first_seen_date) AS pub FROM hist)
-SELECT 'minimum_rows' AS rule, greatest(5000 - count(*), 0) AS violations FROM r UNION ALL SELECT 'https_link', count(*) FILTER (WHERE NOT starts_with(regexp_replace(url, 'http://', 'https://'), 'https://')) FROM r
-UNION ALL SELECT 'older_than_cutoff', count(*) FILTER (WHERE pub < '2024-02-29' AND NOT (source = 'gupy' AND expires_date >= '{TODAY}')) FROM r
-UNION ALL SELECT 'autozone_abroad', count(*) FILTER (WHERE source = 'autozone' AND country <> 'BR') FROM r UNION ALL SELECT 'script_in_title', count(*) FILTER (WHERE contains(lower(title), '<script')) FROM r""")
+def _audit_folder(spark) -> str:
+    """A new folder next to the checkpoints; each run writes and audits a version of its own there."""
+    return f"{ensure_checkpoint_dir(spark)}/audit-{uuid.uuid4().hex}"
+
+
+def _rules_sql(rules: dict[str, str], rows: str) -> str:
+    """``rule, violations`` from one aggregate per rule."""
+    return " UNION ALL ".join(f"SELECT '{rule}' AS rule, CAST({value} AS BIGINT) AS violations" + ("" if value.isdigit() else f" FROM {rows}") for rule, value in rules.items())
+
+
+#: The whole history as a snapshot of 5,000 rows at least, with a private column.
+_SNAPSHOT_RULES = {
+    "minimum_rows": "greatest(5000 - count(*), 0)", "https_link": "count(*) FILTER (WHERE NOT starts_with(regexp_replace(url, 'http://', 'https://'), 'https://'))",
+    "older_than_cutoff": f"count(*) FILTER (WHERE pub < '2024-02-29' AND NOT (source = 'gupy' AND expires_date >= '{TODAY}'))",
+    "autozone_abroad": "count(*) FILTER (WHERE source = 'autozone' AND country <> 'BR')", "script_in_title": "count(*) FILTER (WHERE contains(lower(title), '<script'))",
+    "code_range": "0", "jobs_missing_columns": "0", "jobs_private_columns": "1", "jobs_too_large": "CASE WHEN sum(strlen(title)) > 18 * 1048576 THEN 1 ELSE 0 END",
+    "header_private_columns": "0", "header_cutoff": "0", "header_count": "0", "missing_dictionaries": "0",
+}
+
+
+@query("val_01_snapshot_rules", f"WITH {HISTORY}, r AS (SELECT *, coalesce(nullif(published_date, ''), first_seen_date) AS pub FROM hist) {_rules_sql(_SNAPSHOT_RULES, 'r')}")
 def _(spark, folder):
-    from jobloom.operators.snapshot import public_columns
+    from jobloom.operators import snapshot as sn
 
-    rows = public_columns(ads_history(spark, folder).withColumn("position", F.col("doc_id")))
-    return qa.violations(rows, qa.snapshot_rules(today(), 2, 5000))
+    stored = materialize(ads_history(spark, folder).withColumn("position", F.col("doc_id")))
+    rows = sn.public_columns(stored, (F.lit("x@example.com").alias("email"),)).withColumn("np", F.lit(1)).drop("dedupe_key")
+    shot = sn.Snapshot(rows, sn.first_appearance_codes(stored, sn.DICTIONARIES, "position"))
+    return write_snapshot(spark, _audit_folder(spark), shot, stored, today(), minimum=5000).report()
 
 
 _WORDS = "CASE WHEN trim({0}, ' \n\t') = '' THEN 0 ELSE len(regexp_split_to_array(trim({0}, ' \n\t'), '\\s+')) END"
+_META = "length({0}) > {1} OR contains(lower({0}), 'description') OR " + _WORDS.format("{0}") + " > 28"
+_INDEX_RULES = {
+    "term_too_long": "count(*) FILTER (WHERE length(text) > 80)",
+    "term_personal_data": "count(*) FILTER (WHERE regexp_matches(text, '(?i)\\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\\.[A-Z]{2,}\\b') OR regexp_matches(text, '(?:\\+?\\d[\\s().-]*){9,}'))",
+    "term_many_words": f"count(*) FILTER (WHERE {_WORDS.format('text')} > 12)",
+    "entry_link": "count(*) FILTER (WHERE NOT starts_with(url, 'https://'))", "confidence_range": "count(*) FILTER (WHERE q > 100)", "code_range": "count(*) FILTER (WHERE m[1] >= (SELECT count(*) FROM x))",
+    "metadata_t": f"count(*) FILTER (WHERE {_META.format('text', 180)})", "metadata_e": f"count(*) FILTER (WHERE {_META.format('source', 140)})", "metadata_l": "0", "metadata_w": "0", "metadata_d": "0",
+    "entries_missing_columns": "0", "entries_unknown_columns": "1", "entries_repeated_url": "count(*) - count(DISTINCT url)", "entries_too_large": "CASE WHEN sum(strlen(text)) > 8 * 1048576 THEN 1 ELSE 0 END",
+    "index_schema": "1", "index_count": "1",
+}
 
 
-@query("val_02_index_rules", f"""WITH x AS (SELECT doc_id, text, substr(text, 1, 100) AS t, source AS e, 'https://x/' || doc_id AS url, [doc_id % 40, 3] AS m, doc_id % 110 AS q FROM documents)
-SELECT 'term_too_long' AS rule, count(*) FILTER (WHERE length(text) > 80) AS violations FROM x
-UNION ALL SELECT 'term_personal_data', count(*) FILTER (WHERE regexp_matches(text, '(?i)\\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\\.[A-Z]{{2,}}\\b') OR regexp_matches(text, '(?:\\+?\\d[\\s().-]*){{9,}}')) FROM x
-UNION ALL SELECT 'term_many_words', count(*) FILTER (WHERE {_WORDS.format('text')} > 12) FROM x
-UNION ALL SELECT 'entry_link', count(*) FILTER (WHERE NOT starts_with(url, 'https://')) FROM x UNION ALL SELECT 'confidence_range', count(*) FILTER (WHERE q > 100) FROM x
-UNION ALL SELECT 'code_range', count(*) FILTER (WHERE m[1] >= 30) FROM x UNION ALL SELECT 'metadata_t', count(*) FILTER (WHERE length(t) > 90 OR contains(lower(t), 'description') OR {_WORDS.format('t')} > 28) FROM x
-UNION ALL SELECT 'metadata_e', count(*) FILTER (WHERE length(e) > 4) FROM x""")
+@query("val_02_index_rules", f"""WITH x AS (SELECT doc_id, text, source, 'http' || (CASE WHEN doc_id % 50 = 0 THEN '' ELSE 's' END) || '://x/' || (doc_id // 3) AS url, [CASE WHEN doc_id % 40 = 0 THEN doc_id + 1000000000 ELSE 3 END] AS m, doc_id % 110 AS q FROM documents)
+{_rules_sql(_INDEX_RULES, 'x')}""")
 def _(spark, folder):
     i, none = F.col("doc_id"), F.array().cast("array<bigint>")
-    rows = table(spark, folder, "documents").select(
-        "text", F.substring("text", 1, 100).alias("t"), F.col("source").alias("e"), F.concat(F.lit("https://x/"), i.cast("string")).alias("url"),
-        F.array(i % 40, F.lit(3).cast("bigint")).alias("m"), none.alias("p"), none.alias("c"), none.alias("x"), (i % 110).alias("q"),
+    blank = F.lit("")
+    rows = table(spark, folder, "documents")
+    entries = rows.select(
+        F.concat(F.when(i % 50 == 0, "http").otherwise("https"), F.lit("://x/"), F.floor(i / 3).cast("string")).alias("url"),
+        F.array(F.when(i % 40 == 0, i + 1_000_000_000).otherwise(3)).alias("m"), none.alias("p"), none.alias("c"), none.alias("x"), (i % 110).alias("q"),
+        F.col("text").alias("t"), F.col("source").alias("e"), blank.alias("l"), blank.alias("w"), blank.alias("d"), F.lit("?").alias("notes"),
     )
-    return qa.violations(rows, {**qa.term_rules(F.col("text")), **qa.entry_rules(30, {"t": 90, "e": 4})})
+    terms = rows.select(i.alias("code"), F.col("text").alias("label"))
+    header = spark.range(1).select(F.lit(2).alias("schema_version"), F.lit(-1).cast("long").alias("count"))
+    return write_packed(spark, _audit_folder(spark), terms, entries, header=header).report()
+
+
+_STAGING_RULES = {
+    "blank_required": "count(*) FILTER (WHERE trim(title) = '')", "workplace_domain": "count(*) FILTER (WHERE w = 'remote')", "demo_tenant": "count(*) FILTER (WHERE company = ' Demo ')",
+    "link_pattern": "count(*) FILTER (WHERE starts_with(url, 'http:'))", "missing_lists": "count(*) FILTER (WHERE no_lists)", "jobs_missing_columns": "1", "jobs_private_columns": "1",
+    "jobs_repeated_id": "count(id) - count(DISTINCT id)", "jobs_too_large": "CASE WHEN count(*) * 150 > 15 * 1048576 THEN 1 ELSE 0 END", "no_jobs": "0", "staging_schema": "0", "total_jobs": "1", "collected_at": "1", "companies": "0", "workplace_sum": "0",
+}
 
 
 @query("val_03_staging_rules", f"""WITH x AS (SELECT o_orderkey, 'o' || (o_orderkey - o_orderkey % 2 * (CASE WHEN o_orderkey % 50 = 1 THEN 1 ELSE 0 END)) AS id, CASE WHEN o_orderkey % 7 = 0 THEN ' ' ELSE 'T' END AS title,
-  CASE WHEN o_custkey % 90 = 0 THEN ' Demo ' ELSE 'c' END AS company, CASE o_orderkey % 5 WHEN 0 THEN 'Remoto' WHEN 1 THEN 'remote' ELSE 'Híbrido' END AS w, CASE WHEN o_orderkey % 4 = 0 THEN 'http://t.inhire.app/vagas/1' ELSE 'https://t-1.inhire.app/vagas/1' END AS url,
-  o_orderkey % 11 = 0 AS no_lists FROM orders)
-SELECT 'blank_required' AS rule, count(*) FILTER (WHERE trim(title) = '') AS violations FROM x UNION ALL SELECT 'repeated_id', count(id) - count(DISTINCT id) FROM x UNION ALL SELECT 'workplace_domain', count(*) FILTER (WHERE w = 'remote') FROM x
-UNION ALL SELECT 'demo_tenant', count(*) FILTER (WHERE company = ' Demo ') FROM x UNION ALL SELECT 'link_pattern', count(*) FILTER (WHERE starts_with(url, 'http:')) FROM x UNION ALL SELECT 'missing_lists', count(*) FILTER (WHERE no_lists) FROM x""")
+  CASE WHEN o_custkey % 90 = 0 THEN ' Demo ' ELSE 'c' || o_custkey END AS company, CASE o_orderkey % 5 WHEN 0 THEN 'Remoto' WHEN 1 THEN 'remote' ELSE 'Híbrido' END AS w, CASE WHEN o_orderkey % 4 = 0 THEN 'http://t.inhire.app/vagas/1' ELSE 'https://t-1.inhire.app/vagas/1' END AS url,
+  o_orderkey % 11 = 0 AS no_lists FROM orders) {_rules_sql(_STAGING_RULES, 'x')}""")
 def _(spark, folder):
     k, none = F.col("o_orderkey"), F.array().cast("array<string>")
     number = k - (k % 2) * F.when(k % 50 == 1, 1).otherwise(0)
     rows = table(spark, folder, "orders").select(
         F.concat(F.lit("o"), number.cast("string")).alias("id"), F.when(k % 7 == 0, " ").otherwise("T").alias("title"),
-        F.when(F.col("o_custkey") % 90 == 0, " Demo ").otherwise("c").alias("company"), pick(k, "Remoto", "remote", *["Híbrido"] * 3).alias("workplaceType"),
+        F.when(F.col("o_custkey") % 90 == 0, " Demo ").otherwise(F.concat(F.lit("c"), F.col("o_custkey").cast("string"))).alias("company"), pick(k, "Remoto", "remote", *["Híbrido"] * 3).alias("workplaceType"),
         F.when(k % 4 == 0, "http://t.inhire.app/vagas/1").otherwise("https://t-1.inhire.app/vagas/1").alias("url"),
-        *[F.lit("x").alias(c) for c in ("category", "seniority", "location")], F.when(k % 11 != 0, none).alias("contractTypes"), none.alias("alerts"),
+        *[F.lit("x").alias(c) for c in ("category", "seniority")], F.when(k % 11 != 0, none).alias("contractTypes"), none.alias("alerts"), F.lit("").alias("about"),
+        F.lit("").alias("detailFetchedAt"),
     )
-    return qa.violations(rows, qa.staging_rules())
+    # the header counts one row too many and has no date; the rows lack their location and carry a private column
+    header = staging_header(rows, F.lit("someday")).withColumn("total_jobs", F.col("total_jobs") + 1)
+    checked = {**qa.staging_rules(unique=False), "blank_required": F.count_if(F.trim("title") == "")}
+    return write_staging(spark, _audit_folder(spark), rows, header, rules=checked).report()
 
 
-@query("val_05_private_leaks", """SELECT count(*) FILTER (WHERE length(text) > 0 AND (contains(substr(text, 1, 90), text) OR contains(source, text))) AS leaks FROM documents""")
+@query("val_05_private_leaks", """SELECT count(*) FILTER (WHERE length(text) > 0 AND (contains(CASE doc_id % 3 WHEN 0 THEN 'Vaga: ' || text || '.' WHEN 1 THEN reverse(text) ELSE lang END, text) OR contains(source, text))) AS leaks FROM documents""")
 def _(spark, folder):
-    rows = table(spark, folder, "documents").select("text", F.substring("text", 1, 90).alias("title"), "source")
+    title = pick(F.col("doc_id"), F.concat(F.lit("Vaga: "), "text", F.lit(".")), F.reverse("text"), F.col("lang"))
+    rows = table(spark, folder, "documents").select("text", title.alias("title"), "source")
     return qa.private_text_leaks(rows, ["title", "source"], "text")
