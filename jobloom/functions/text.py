@@ -94,6 +94,19 @@ def fold_search(c: Column | str) -> Column:
     return strip(F.lower(F.when(_is_ascii(c), c).otherwise(folding.replaced(c, folding.to_unaccented))))
 
 
+def collation_key(c: Column | str) -> Column:
+    """Text order without case and accents in which runs of digits compare as numbers, before letters.
+
+    A run becomes its length without leading zeros, in five digits, and its digits.
+    """
+    folded = fold_search(c)
+    digits = lambda run: F.ltrim(run, F.lit("0"))
+    number = lambda run: F.concat(F.lpad(F.length(digits(run)).cast("string"), 5, "0"), digits(run))
+    runs = lambda t: F.regexp_extract_all(t, F.lit("([0-9]+|[^0-9]+)"), F.lit(1))
+    spelled = lambda t: F.array_join(F.transform(runs(t), lambda run: F.when(run.rlike("^[0-9]"), number(run)).otherwise(run)), "")
+    return once(folded, lambda t: F.when(t.rlike("[0-9]"), spelled(t)).otherwise(t))
+
+
 def fold_resume(c: Column | str) -> Column:
     c = text_or_blank(c)
     return _squeeze_ascii(F.lower(F.when(_is_ascii(c), c).otherwise(folding.replaced(c, folding.to_comparable))))

@@ -11,7 +11,7 @@ from jobloom.functions import text as tx
 from jobloom.functions.arrays import unjoined
 from jobloom.functions.dates import activity_seconds
 from jobloom.functions.numbers import salary_text
-from jobloom.operators.ordering import page as one_page
+from jobloom.operators.ordering import page as one_page, places
 
 
 def decode(encoded: DataFrame, codes: DataFrame) -> DataFrame:
@@ -99,29 +99,30 @@ def _folded(value: str) -> str:
 
 
 def criteria(spec: SearchSpec, now: Column) -> Column:
-    """One conjunction over the served columns."""
-    tests: list[Column] = []
+    """One conjunction over the served columns, evaluated in this order: plain comparisons, lists, then folded text."""
     text, city = _folded(spec.text), _folded(spec.city)
-    if text:
-        tests.append(F.col("_search").contains(text))
-    for column, wanted in (
-        ("source", spec.source), ("workplaceType", spec.workplace), ("market", spec.market),
-        ("category", spec.category), ("seniority", spec.seniority),
-    ):
-        if wanted:
-            tests.append(F.col(column) == wanted)
+    tests = [
+        F.col(column) == wanted
+        for column, wanted in (
+            ("source", spec.source), ("workplaceType", spec.workplace), ("market", spec.market),
+            ("category", spec.category), ("seniority", spec.seniority),
+        )
+        if wanted
+    ]
+    if spec.pcd_only:
+        tests.append(F.col("pcd"))
+    days = spec.days or 60
+    tests.append((F.col("activity") != 0) & (F.unix_seconds(now) - F.col("activity") <= days * 86400))
+    if spec.several_portals:
+        tests.append(F.col("portals") > 1)
     if spec.contract:
         target = _folded("PJ" if spec.contract == "CNPJ" else spec.contract)
         tests.append(F.exists("contractTypes", lambda c: tx.fold_search(c) == target))
     if city:
         named = F.exists("cities", lambda c: tx.fold_search(c).contains(city))
-        tests.append(named | F.col("_location").contains(city))
-    if spec.pcd_only:
-        tests.append(F.col("pcd"))
-    if spec.several_portals:
-        tests.append(F.col("portals") > 1)
-    days = spec.days or 60
-    tests.append((F.col("activity") != 0) & (F.unix_seconds(now) - F.col("activity") <= days * 86400))
+        tests.append(F.col("_location").contains(city) | named)
+    if text:
+        tests.append(F.col("_search").contains(text))
     out = tests[0]
     for test in tests[1:]:
         out = out & test
@@ -129,21 +130,25 @@ def criteria(spec: SearchSpec, now: Column) -> Column:
 
 
 def order(sort: str, unique: str = "job_uid") -> list[Column]:
-    """The four served orders; text is compared without case and accents, and the key breaks remaining ties."""
+    """The four served orders.  Text is compared without case and accents and with numbers by value; the key breaks remaining ties."""
     recent = F.desc("activity")
-
-    def label(name: str) -> list[Column]:
-        return [F.asc(tx.fold_search(name)), F.asc(name)]
-
+    label = lambda name: F.asc(tx.collation_key(name))
     orders = {
-        "recent": [recent, *label("title")],
-        "company": [*label("company"), recent],
-        "title": [*label("title"), recent],
+        "recent": [recent, label("title")],
+        "company": [label("company"), recent],
+        "title": [label("title"), recent],
         "portals": [F.desc("portals"), recent],
     }
     return [*orders.get(sort, orders["recent"]), F.asc(unique)]
 
 
+def numbered(rows: DataFrame, sort: str, unique: str = "job_uid") -> DataFrame:
+    """``unique, place``: every row of an order, numbered from 1 without one task that sorts everything."""
+    keys = order(sort, unique)
+    placed = places(rows, keys, "place", columns=[unique])
+    return placed.select(unique, (F.col("place") + 1).cast("int").alias("place"))
+
+
 def search(rows: DataFrame, spec: SearchSpec, now: Column) -> DataFrame:
     return rows.filter(criteria(spec, now))
 

@@ -9,10 +9,10 @@ from jobloom.functions.text import fold_search, squeeze
 from jobloom.operators import aggregates as ag, dedupe as dd, ordering as od, search as se, sinks, snapshot as sn
 from jobloom.operators.quality import accepted_rows, complete_catalogs
 from jobloom.plans.registry import (
-    ADS, HISTORY, NOW, SNAPSHOT, SNAPSHOT_CAP, TODAY, ads, ads_history, now, query, served_sql, sql_search, today,
+    ADS, HISTORY, NOW, SNAPSHOT, SNAPSHOT_CAP, TODAY, ads, ads_history, now, query, served_sql, sql_collation, sql_search, today,
 )
 from jobloom.plans.queries_rows import shown
-from jobloom.session import table
+from jobloom.session import materialize, table
 
 # ---------------------------------------------------------------- repeats
 
@@ -235,7 +235,7 @@ def _(spark, folder):
 
 
 @query("win_05_page", f"""WITH {served_sql()}, f AS (SELECT * FROM shown WHERE market = 'Global')
-SELECT job_uid, activity FROM f ORDER BY activity DESC, {sql_search('title')}, title, job_uid LIMIT 24 OFFSET (SELECT (least(9999, greatest(1, CAST(ceil(count(*) / 24.0) AS BIGINT))) - 1) * 24 FROM f)""")
+SELECT job_uid, activity FROM f ORDER BY activity DESC, {sql_collation('title')}, job_uid LIMIT 24 OFFSET (SELECT (least(9999, greatest(1, CAST(ceil(count(*) / 24.0) AS BIGINT))) - 1) * 24 FROM f)""")
 def _(spark, folder):
     spec = se.SearchSpec(market="Global", page=9999, days=100_000)
     return se.result_page(shown(spark, folder), spec, now()).select("job_uid", "activity")
@@ -256,22 +256,16 @@ def _(spark, folder):
 
 
 def _sorted_sql(sort: str) -> str:
-    title, company = (f"{sql_search(c)}, {c}" for c in ("title", "company"))
+    title, company = (sql_collation(c) for c in ("title", "company"))
     keys = {"recent": f"activity DESC, {title}", "company": f"{company}, activity DESC", "title": f"{title}, activity DESC", "portals": "portals DESC, activity DESC"}
-    return f"SELECT '{sort}' AS sort, job_uid, row_number() OVER (ORDER BY {keys[sort]}, job_uid) AS place FROM shown QUALIFY place <= 50"
+    return f"SELECT '{sort}' AS sort, job_uid, row_number() OVER (ORDER BY {keys[sort]}, job_uid) AS place FROM shown"
 
 
 @query("srt_02_served_orders", f"WITH {served_sql()} " + " UNION ALL ".join(_sorted_sql(s) for s in ("recent", "company", "title", "portals")))
 def _(spark, folder):
-    from pyspark.sql import Window
-
-    rows, out = shown(spark, folder), None
+    rows, out = materialize(shown(spark, folder).select("job_uid", "title", "company", "portals", "activity")), None
     for sort in ("recent", "company", "title", "portals"):
-        order = se.order(sort)
-        # the first fifty of each order; numbering happens after the cut
-        top = rows.orderBy(*order).limit(50)
-        place = F.row_number().over(Window.orderBy(*order))
-        part = top.select(F.lit(sort).alias("sort"), "job_uid", place.alias("place"))
+        part = se.numbered(rows, sort).select(F.lit(sort).alias("sort"), "job_uid", "place")
         out = part if out is None else out.unionByName(part)
     return out
 

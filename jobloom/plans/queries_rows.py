@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from jobloom.functions import text as tx
@@ -9,12 +11,13 @@ from jobloom.operators import aggregates as ag
 from jobloom.operators import enrich, filters as fl, history as hi, search as se, sinks, snapshot as sn
 from jobloom.operators.dedupe import with_portals
 from jobloom.operators.quality import private_text_leaks
+from jobloom.operators.text_search import build, indexed_search, vocabulary_hits
 from jobloom.plans.registry import (
     ADS, HISTORY, NOW, SNAPSHOT, SNAPSHOT_CAP, TODAY, ads, ads_history, now, pick, query, served_sql, sql_ascii,
     sql_caseless, today,
 )
 from jobloom.schema import as_canonical
-from jobloom.session import table
+from jobloom.session import ensure_checkpoint_dir, table
 
 # ---------------------------------------------------------------- filters
 
@@ -87,6 +90,22 @@ def _(spark, folder):
     return se.search(shown(spark, folder), spec, now()).select("job_uid", "title", "company", "market", "portals")
 
 
+#: Searches of the stored index: rare, frequent, shorter than a trigram, absent, with blanks.
+_SEARCHES = ("shorerer", "the", "th", "zzzyx", "of the", "eau enauxoi", "firma de")
+
+
+@query("flt_09_indexed_search", f"WITH {served_sql()}, w AS (SELECT unnest({list(_SEARCHES)}) AS wanted) SELECT wanted, job_uid FROM shown JOIN w ON contains(_search, wanted) WHERE market IN ('Global', 'Brasil')")
+def _(spark, folder):
+    path = f"{ensure_checkpoint_dir(spark)}/search-{uuid.uuid4().hex}"
+    build(shown(spark, folder).select("position", "job_uid", "market", "_search"), path)
+    out = None
+    for wanted in _SEARCHES:
+        found = indexed_search(spark, path, wanted, F.col("market").isin("Global", "Brasil"))
+        part = found.select(F.lit(wanted).alias("wanted"), "job_uid")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def shown(spark, folder) -> DataFrame:
     rows = with_portals(ads_history(spark, folder)).withColumn("position", F.col("doc_id"))
     return se.served(sn.public_columns(rows, extra=(F.col("portals").alias("np"),)), now())
@@ -355,17 +374,19 @@ def _(spark, folder):
     return out.select("p_partkey", F.array_join("names", "|").alias("names"))
 
 
-VOCABULARY = ("the", "that", "der", "que", "elle", "mente", "ing", "ción", "schen", "here", "tion", "and")
+#: Every word of the benchmark items and every word pair of two-letter beginnings, as a vocabulary table.
+_TERMS_SQL = f"SELECT DISTINCT unnest(regexp_extract_all({sql_caseless('text')}, '[a-z0-9]+')) AS term FROM benchmark UNION SELECT DISTINCT lang || ' the' FROM documents UNION SELECT DISTINCT p_name FROM part"
 
 
-@query("jon_09_text_theta_join", "WITH v AS (SELECT unnest(['the', 'that', 'der', 'que', 'elle', 'mente', 'ing', 'cion', 'schen', 'here', 'tion', 'and']) AS term), d AS (SELECT doc_id, "
-       + sql_caseless("text") + """ AS t FROM documents)
-SELECT doc_id, term FROM d JOIN v ON CASE WHEN length(term) <= 4 THEN regexp_matches(t, '(^|[^a-z0-9])' || term || '($|[^a-z0-9])') ELSE contains(t, term) END""")
+@query("jon_09_text_theta_join", f"WITH v AS ({_TERMS_SQL}), d AS (SELECT doc_id, " + sql_caseless("text") + """ AS t FROM documents)
+SELECT doc_id, term FROM d JOIN v ON contains(t, term) AND CASE WHEN length(term) <= 4 THEN regexp_matches(t, '(^|[^a-z0-9])' || term || '($|[^a-z0-9])') ELSE true END""")
 def _(spark, folder):
+    words = F.regexp_extract_all(tx.fold_caseless("text"), F.lit("([a-z0-9]+)"), F.lit(1))
+    terms = table(spark, folder, "benchmark").select(F.explode(words).alias("term"))
+    terms = terms.unionByName(table(spark, folder, "documents").select(F.concat("lang", F.lit(" the")).alias("term")).distinct())
+    terms = terms.unionByName(table(spark, folder, "part").select(F.col("p_name").alias("term")).distinct())
     folded = table(spark, folder, "documents").select("doc_id", tx.fold_caseless("text").alias("t"))
-    words = [tx.py_fold_caseless(w) for w in VOCABULARY]
-    found = F.array_compact(F.array(*[F.when(tx.has_alias(F.col("t"), w), w) for w in words]))
-    return folded.select("doc_id", F.explode(found).alias("term"))
+    return vocabulary_hits(folded, terms, "t")
 
 
 @query("jon_11_label_lookup", """SELECT o_orderkey, coalesce(CASE lower(o_orderpriority) WHEN '1-urgent' THEN 'Liderança' WHEN '2-high' THEN 'Sênior' WHEN '3-medium' THEN 'Pleno' END, 'Não informado') AS level FROM orders""")

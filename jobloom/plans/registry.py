@@ -52,6 +52,11 @@ def sql_search(x: str) -> str:
     return f"trim(lower(translate({x}, '{_FROM}', '{_TO}')), ' \n\t\r')"
 
 
+def sql_collation(x: str) -> str:
+    number = "lpad(CAST(length(ltrim(run, '0')) AS VARCHAR), 5, '0') || ltrim(run, '0')"
+    return f"array_to_string([CASE WHEN regexp_matches(run, '^[0-9]') THEN {number} ELSE run END FOR run IN regexp_extract_all({sql_search(x)}, '[0-9]+|[^0-9]+')], '')"
+
+
 def sql_ascii(x: str) -> str:
     return f"regexp_replace(lower(translate({x}, '{_FROM}', '{_TO}')), '[^\\x00-\\x7F]', '', 'g')"
 
@@ -97,7 +102,7 @@ def ads(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("source") == "src2", "autozone").otherwise(F.col("source")).alias("source"),
         i.cast("string").alias("native_id"),
         F.col("text").alias("title"),
-        F.concat(F.lit("co-"), F.substring("text", 1, 1)).alias("company"),
+        F.concat_ws(" ", F.lit("Firma"), "lang", F.translate(F.col("n_chars").cast("string"), "0123456789", "abcdefghij"), F.col("n_chars").cast("string")).alias("company"),
         F.concat(F.when(i % 4 == 0, "http").otherwise("https"), F.lit("://jobs.example.com/"), i.cast("string")).alias("url"),
         pick(i, "", "remote", "hybrid", "on-site").alias("work_model"),
         pick(i, "Brasil", "Recife, PE", "", "remote", "São Paulo · Recife").alias("city"),
@@ -117,7 +122,7 @@ def ads(spark: SparkSession, folder: str) -> DataFrame:
 ADS = """ads AS (
   SELECT doc_id,
     CASE source WHEN 'src0' THEN 'gupy' WHEN 'src1' THEN 'greenhouse' WHEN 'src2' THEN 'autozone' ELSE source END AS source,
-    CAST(doc_id AS VARCHAR) AS native_id, text AS title, 'co-' || substr(text, 1, 1) AS company,
+    CAST(doc_id AS VARCHAR) AS native_id, text AS title, concat_ws(' ', 'Firma', lang, translate(CAST(n_chars AS VARCHAR), '0123456789', 'abcdefghij'), CAST(n_chars AS VARCHAR)) AS company,
     (CASE WHEN doc_id % 4 = 0 THEN 'http' ELSE 'https' END) || '://jobs.example.com/' || CAST(doc_id AS VARCHAR) AS url,
     CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'remote' WHEN 2 THEN 'hybrid' ELSE 'on-site' END AS work_model,
     CASE doc_id % 5 WHEN 0 THEN 'Brasil' WHEN 1 THEN 'Recife, PE' WHEN 2 THEN '' WHEN 3 THEN 'remote' ELSE 'São Paulo · Recife' END AS city,

@@ -150,3 +150,62 @@ def test_csv_document(spark, tmp_path):
 def test_canonical_fields_cover_the_schema(spark):
     row = as_canonical(spark.createDataFrame([("s", " T ")], "source string, title string")).first()
     assert row["title"] == "T" and row["skills"] == [] and row["pcd"] is False and row["salary_min"] is None and list(row.asDict()) == JOB.fieldNames()
+
+
+# ---------------------------------------------------------------- stored text search, vocabulary, orders
+
+
+def test_indexed_search_reads_little_and_finds_all(spark, tmp_path, monkeypatch):
+    from jobloom.operators import text_search as ts
+
+    monkeypatch.setattr(ts, "CHUNK", 50)
+    texts = [f"vaga {i} de {'analista' if i % 3 else 'piloto'} {'xilofone' if i in (7, 311) else ''} é" for i in range(400)] + [None, "", "ab"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "position long, _search string").repartition(5)
+    path = str(tmp_path / "search")
+    ts.build(rows, path)
+    for wanted in ("xilofone", "analista", "vaga 31", "é", "ab", "zzz", "piloto xilofone", "", "aaa"):
+        got = sorted(r["position"] for r in ts.indexed_search(spark, path, wanted).collect())
+        assert got == [i for i, t in enumerate(texts) if t is not None and wanted in t], wanted
+    met, most = ts.candidates(spark, path, "xilofone")
+    assert most == 2 and sorted(r["key"] for r in met.collect()) == [7, 311] and met.select("chunk").distinct().count() == 2
+    assert ts.indexed_search(spark, path, "analista", F.col("position") < 10).count() == 6
+    plan = ts.indexed_search(spark, path, "xilofone")._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan  # other folders are not read
+
+
+def test_vocabulary_of_any_size_equals_patterns(spark):
+    import random
+    import re
+
+    from jobloom.operators.text_search import vocabulary_hits
+
+    rnd = random.Random(4)
+    words = ["sql", "pl/sql", "c++", "java", "javascript", "node.js", "go", "dados", "ciencia de dados", "dado", "r", "a.b"]
+    texts = [" ".join(rnd.choice([*words, "x", "sqlx", "/sql"]) for _ in range(rnd.randint(0, 8))) for _ in range(150)] + [None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    terms = spark.createDataFrame([(w,) for w in [*words, "", "go"]], "term string")
+
+    def plain(text, term):
+        if len(term) > 4 and not re.search(r"[.#+/-]", term):
+            return term in text
+        left = "a-z0-9/" if term == "sql" else "a-z0-9"
+        return re.search(rf"(?<![{left}]){re.escape(term)}(?![a-z0-9])", text) is not None
+
+    want = sorted((i, w) for i, t in enumerate(texts) if t is not None for w in words if plain(t, w))
+    for shard in (5, 1000):
+        assert sorted(map(tuple, vocabulary_hits(rows, terms, "t", shard=shard).collect())) == want
+
+
+def test_numbers_compare_by_value_and_places_have_no_gaps(spark):
+    from jobloom.functions.text import collation_key
+    from jobloom.operators.ordering import places
+
+    names = ["vaga 10", "Vaga 9", "vága 009", "vaga", "Vaga 10b", "vaga 1000000000000000000000", "10 vagas", "9 vagas", "", "vaga x"]
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string").repartition(4)
+    got = [r["n"] for r in places(rows, [collation_key("n"), F.col("i")], "at").orderBy("at").collect()]
+    assert got == ["", "9 vagas", "10 vagas", "vaga", "Vaga 9", "vága 009", "vaga 10", "Vaga 10b", "vaga 1000000000000000000000", "vaga x"]
+    many = spark.range(5000).repartition(7).withColumn("g", F.col("id") % 3)
+    placed = places(many, [F.desc("id")], "at", group="g").collect()
+    for g in range(3):
+        assert [r["id"] for r in sorted((r for r in placed if r["g"] == g), key=lambda r: r["at"])] == [i for i in range(4999, -1, -1) if i % 3 == g]
+        assert sorted(r["at"] for r in placed if r["g"] == g) == list(range(sum(1 for i in range(5000) if i % 3 == g)))
