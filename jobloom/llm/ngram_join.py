@@ -15,7 +15,10 @@ How sets get into the same tree:
   connected go on to the next level until a group fits into one chunk.  Every link found is checked on the whole sets.  This
   connects groups of copies of any size in linear work.
 * Second pass, complete: classes go to the trees of all their first members where these hold more than one known component,
-  split by size bands and, above CHUNK, by pairs of chunks.  Surviving pairs of different components are checked on the sets.
+  split by size bands and, above CHUNK, by pairs of chunks.  Signatures travel, texts do not, and a task gives a spanning forest of the
+  pairs that signatures allow, so at most one row less than it has sets.  What these forests connect is a cluster; every link that is
+  still unknown lies inside one.  The texts of each cluster meet once (a large cluster in pairs of chunks), are hashed there, and a
+  second tree over the whole sets gives a spanning forest of the true links.  No pair ever leaves a task.
 
 Links within one component that is known already add nothing to components and are not looked for.
 
@@ -40,8 +43,10 @@ from pyspark.sql import types as T
 from jobloom.llm.common import stage_table
 from jobloom.llm.components import components
 
-#: Sets that one tree holds.
-CHUNK = 512
+#: Sets that one tree of the first pass holds, and that one chunk of the second pass holds.
+CHUNK, PASS_CHUNK = 512, 2048
+#: Bytes of hashes that one chunk of a cluster holds, and bits of a signature over whole sets at most.
+CHUNK_BYTES, WIDEST = 32 << 20, 1 << 16
 #: Ids (8 bytes each) up to which a selection of texts is broadcast instead of moving the texts.
 BROADCAST_IDS = 400_000
 #: Rows that are handed to one call of a task's function, over many small trees.
@@ -191,8 +196,7 @@ def links(sizes: np.ndarray, sets: list[np.ndarray], percent: int) -> tuple[list
     found = []
     for i, j in tree.pairs(settled):
         x, y = sets[place[i]], sets[place[j]]
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        if 100 * both >= percent * (len(x) + len(y) - both):
+        if linked(x, y, percent):
             found.append((int(place[i]), int(place[j])))
             at[at == at[j]] = at[i]
     label[place] = at
@@ -241,24 +245,58 @@ def _bits_udf(width: int):
     return bits.asNondeterministic()
 
 
-def _linked_udf(width: int, percent: int):
-    """Do two whole texts link?"""
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Do two sets of sorted hashes link?"""
+    if len(x) > len(y):
+        x, y = y, x
+    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
-    @F.arrow_udf(T.BooleanType())
-    def linked(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for left, right in batches:
-            out = []
-            for x, y in zip(left, right, strict=True):
-                x, y = shingle_hashes(x.as_py() or "", width), shingle_hashes(y.as_py() or "", width)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                out.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.array(out, pa.bool_())
 
-    return linked.asNondeterministic()
+def forest(pairs: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(smallest, other) edges that connect what the pairs connect."""
+    up: dict[int, int] = {}
 
+    def top(x: int) -> int:
+        while up.setdefault(x, x) != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
 
-def _unpacked(column: pa.ChunkedArray) -> list[np.ndarray]:
-    return [np.frombuffer(v, dtype=np.uint64) for v in column.to_pylist()]
+    for a, b in pairs:
+        a, b = top(a), top(b)
+        if a != b:
+            up[max(a, b)] = min(a, b)
+    return [(top(x), x) for x in list(up) if top(x) != x]
+
+
+def cluster_links(known: np.ndarray, side: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links (positions) that connect what is not connected yet: a spanning forest over the known components.
+
+    ``side`` tells chunks apart; where there are two, only pairs of different chunks are looked at.
+    """
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    width = min(WIDEST, 4 * width_for(int(sizes.max())))
+    tree = SignatureTree(sizes, bitmaps(sets, width), percent)
+    place, two = tree.order, bool((side != side[0]).any())
+    at, far = np.unique(known, return_inverse=True)[1][place], side[place]
+
+    def settled(left: tuple[int, int], right: tuple[int, int]) -> bool:
+        (a, b), (c, d) = left, right
+        if two and (far[a:b] == far[a]).all() and (far[c:d] == far[a]).all():
+            return True
+        return bool((at[a:b] == at[a]).all() and (at[c:d] == at[a]).all())
+
+    found = []
+    for i, j in tree.blocks(settled):
+        open_ = at[i] != at[j]
+        if two:
+            open_ &= far[i] != far[j]
+        for x, y in zip(i[open_].tolist(), j[open_].tolist(), strict=True):
+            if at[x] != at[y] and linked(sets[place[x]], sets[place[y]], percent):
+                found.append((int(place[x]), int(place[y])))
+                at[at == at[y]] = at[x]
+    return found
 
 
 def _groups(table: pa.Table, key: list[str]) -> Iterator[pa.Table]:
@@ -291,6 +329,25 @@ def _chunk_links(width: int, percent: int):
     return run
 
 
+def _cluster_run(width: int, percent: int):
+    """For the chunk pairs of a bucket: links between different known components."""
+
+    def run(table: pa.Table) -> pa.Table:
+        a, b = [], []
+        for group in _groups(table, ["cluster", "i", "j"]):
+            ids, known, side = (group[c].to_numpy() for c in ("rep", "known", "own"))
+            i, j = group["i"][0].as_py(), group["j"][0].as_py()
+            if (known == known[0]).all() or (i != j and (side == side[0]).all()):
+                continue
+            sets = [shingle_hashes(t, width) for t in group["text"].to_pylist()]
+            for x, y in cluster_links(known, side, sets, percent):
+                a.append(int(ids[x]))
+                b.append(int(ids[y]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
 def _leaf_pairs(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """All pairs of positions in groups of one size that start at ``first``."""
     i, j = np.triu_indices(size, 1)
@@ -298,7 +355,7 @@ def _leaf_pairs(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _candidates(percent: int):
-    """For the trees of a bucket: pairs of sets of different components that may link.
+    """For the trees of a bucket: a spanning forest of the pairs of sets of different components that may link.
 
     Groups that fit into one leaf are compared leaf by leaf, all leaves of the bucket at once; larger ones get their tree.
     """
@@ -367,15 +424,20 @@ def _candidates(percent: int):
             for x, y in grown(known[part], n[part], guest[part], bits[part]):
                 x, y = ids[a + x], ids[a + y]
                 found.update(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True))
-        a, b = zip(*sorted(found), strict=True) if found else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        edges = forest(iter(found))
+        return pa.table({"a": pa.array([x for x, _ in edges], pa.int64()), "b": pa.array([y for _, y in edges], pa.int64())})
 
     return run
 
 
-def bucket(key: list[str], rows: int) -> Column:
-    """Many groups share a bucket, so that a task call handles about BUCKET_ROWS rows; a group stays whole."""
-    return F.pmod(F.xxhash64(*key), F.lit(max(1, -(-rows // BUCKET_ROWS))))
+def bucket(key: list[str], rows: int, per_bucket: int = BUCKET_ROWS) -> Column:
+    """Many groups share a bucket, so that a task call handles about ``per_bucket`` rows; a group stays whole."""
+    return F.pmod(F.xxhash64(*key), F.lit(max(1, -(-rows // per_bucket))))
+
+
+def chunk_tasks(own: Column, chunks: Column) -> Column:
+    """The pairs of chunks (i <= j) that a row of chunk ``own`` takes part in."""
+    return F.transform(F.sequence(F.lit(0), chunks - 1), lambda other: F.struct(F.least(own, other).alias("i"), F.greatest(own, other).alias("j")))
 
 
 def frequent_members(docs: DataFrame, text: Column, width: int, percent: int):
@@ -435,20 +497,31 @@ def complete_pass(postings: DataFrame, active: DataFrame, known: DataFrame, widt
     sizes = placed.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min("rep").alias("lead"), F.min("known").alias("_low"), F.max("known").alias("_high"), F.min("guest").alias("_all_guests"))
     sizes = sizes.filter((F.col("_low") != F.col("_high")) & ~F.col("_all_guests"))
     # a power of two, so that groups of nearly the same sets are cut alike
-    chunks = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("_n") / CHUNK))).cast("int")
+    chunks = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("_n") / PASS_CHUNK))).cast("int")
     sizes = sizes.select(*key, "lead", F.greatest(F.lit(1), chunks).alias("_chunks"))
     placed = placed.join(sizes, key)
     own = F.pmod(F.xxhash64("rep"), F.col("_chunks")).cast("int")
-    tasks = F.transform(F.sequence(F.lit(0), F.col("_chunks") - 1), lambda other: F.struct(F.least(own, other).alias("i"), F.greatest(own, other).alias("j")))
-    placed = stage_table(placed.withColumn("_t", F.explode(tasks)).select(*key, "_t.i", "_t.j", "lead", "rep", "known", "n", "guest"), "placed")
+    placed = placed.withColumn("_t", F.explode(chunk_tasks(own, F.col("_chunks"))))
+    placed = stage_table(placed.select(*key, "_t.i", "_t.j", "lead", "rep", "known", "n", "guest"), "placed")
     signed = placed.join(active.select("rep", "bits"), "rep").withColumn("_bucket", bucket(["lead", "band", "i", "j"], placed.count()))
-    pairs = signed.groupBy("_bucket").applyInArrow(_candidates(percent), "a long, b long")
-    pairs = stage_table(pairs.distinct(), "pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
-    texts = stage_table(with_ids(active, ends).select("rep", "text"), "pair-texts")
-    left = texts.select(F.col("rep").alias("a"), F.col("text").alias("_x"))
-    right = texts.select(F.col("rep").alias("b"), F.col("text").alias("_y"))
-    return pairs.join(left, "a").join(right, "b").filter(_linked_udf(width, percent)(F.col("_x"), F.col("_y"))).select("a", "b")
+    near = signed.groupBy("_bucket").applyInArrow(_candidates(percent), "a long, b long")
+    return cluster_pass(components(near), active, known, width, percent)
+
+
+def cluster_pass(clusters: DataFrame, active: DataFrame, known: DataFrame, width: int, percent: int) -> DataFrame:
+    """All links between different known components inside clusters (node, component): (a, b)."""
+    near = clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+    texts = with_ids(active, near).select("rep", "text").join(near, "rep")
+    texts = texts.join(known.select("node", F.col("component").alias("_known")), F.col("rep") == F.col("node"), "left")
+    texts = stage_table(texts.select("cluster", "rep", F.coalesce("_known", "rep").alias("known"), "text"), "cluster-texts")
+    # a word takes two bytes at least and gives one hash of eight
+    hashes = F.sum(F.octet_length("text").cast("long")) * 4
+    sizes = texts.groupBy("cluster").agg(F.greatest(F.ceil(F.count(F.lit(1)) / PASS_CHUNK), F.ceil(hashes / CHUNK_BYTES)).cast("int").alias("_chunks"))
+    dealt = texts.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("_chunks")).cast("int"))
+    dealt = dealt.withColumn("_t", F.explode(chunk_tasks(F.col("own"), F.col("_chunks"))))
+    dealt = dealt.select("cluster", "_t.i", "_t.j", "own", "rep", "known", "text")
+    dealt = dealt.withColumn("_bucket", bucket(["cluster", "i", "j"], texts.count(), 1024))
+    return dealt.groupBy("_bucket").applyInArrow(_cluster_run(width, percent), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
