@@ -156,7 +156,7 @@ TOOLS = {
 @query
 def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     """Every user turn is a call that comes after the conversation's user turn before it; the assistant turn that follows is its
-    result.  Tool and arguments follow from the turn's text; some do not fit their schema."""
+    result.  Tool and arguments follow from the turn's text; some do not fit their schema.  Turns of other roles are messages."""
     from jobloom.llm.tool_calls import format_calls
 
     turns = read_table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
@@ -173,7 +173,8 @@ def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     after = F.when(F.col("turn") >= 2, F.concat(F.lit("call-"), (F.col("turn") - 2).cast("string")))
     calls = users.select("conv_id", "turn", call_id.alias("call_id"), after.alias("after"), name.alias("name"), arguments.alias("arguments"))
     results = turns.filter(F.col("role") == "assistant").select("conv_id", "turn", F.concat(F.lit("call-"), (F.col("turn") - 1).cast("string")).alias("call_id"), F.col("text").alias("content"))
-    return format_calls(calls, results, TOOLS)
+    others = turns.filter(~F.coalesce(F.col("role").isin("user", "assistant"), F.lit(False))).select("conv_id", "turn", "role", F.col("text").alias("content"))
+    return format_calls(calls, results, TOOLS, others)
 
 
 @query

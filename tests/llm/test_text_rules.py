@@ -1,5 +1,6 @@
 """Secrets, quality votes, HTML wrappers, licences and tool calls."""
 
+import random
 import base64
 import bz2
 import collections
@@ -17,6 +18,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import pyarrow as pa
 from jobloom.llm import html_wrappers, licenses, quality_votes, secrets, tool_calls
 
 from .helpers import AWKWARD, documents
@@ -45,6 +47,35 @@ def test_base_secrets(parts):
     assert base == plain_base(text)
 
 
+def test_layers_behind_odd_bytes_surrogates_and_paths():
+    percent = "%E9" + "".join(f"%{b:02X}" for b in KEY.encode()) + "%FF"
+    escaped = "\\ud800" + "".join(f"\\u{ord(c):04x}" for c in KEY)
+    once = base64.b64encode(KEY.encode()).decode()
+    for wrapped in (percent, escaped, *(f"/{'e' * k}/{once}" for k in range(5)), *("x" * k + once for k in range(4))):
+        found = secrets.find_secrets(f"see {wrapped} end")[0]
+        assert any(kind == "assign" and not is_base and 3 <= a < b <= 4 + len(wrapped) for kind, a, b, is_base in found), wrapped
+
+
+WRAPPERS = {
+    "percent": lambda t: "".join(f"%{b:02x}" for b in t.encode()), "odd percent": lambda t: "%ff" + "".join(f"%{b:02X}" for b in t.encode()),
+    "escape": lambda t: "".join(f"\\u{ord(c):04x}" for c in t), "base64": lambda t: base64.b64encode(t.encode()).decode(),
+    "url base64": lambda t: base64.urlsafe_b64encode(t.encode()).decode().rstrip("="), "path": lambda t: "/etc/" + base64.b64encode(t.encode()).decode(),
+    "gzip": lambda t: base64.b64encode(gzip.compress(t.encode())).decode(), "zlib": lambda t: base64.b64encode(zlib.compress(t.encode())).decode(),
+    "bz2": lambda t: base64.b64encode(bz2.compress(t.encode())).decode(), "utf-16": lambda t: base64.b64encode(t.encode("utf-16")).decode(),
+    "words": lambda t: f"and then {t} so",
+}
+
+
+@settings(max_examples=150, deadline=None)
+@given(names=st.lists(st.sampled_from(sorted(WRAPPERS)), min_size=1, max_size=5))
+def test_a_secret_is_found_under_any_nesting(names):
+    text = KEY
+    for name in names:
+        text = WRAPPERS[name](text)
+    found = secrets.find_secrets(f"before {text} after")[0]
+    assert any(kind == "assign" for kind, *_ in found), names
+
+
 def test_nested_layers_map_to_the_text():
     once = base64.b64encode(KEY.encode()).decode()
     twice = base64.b64encode(gzip.compress(once.encode())).decode()
@@ -275,7 +306,11 @@ def test_tool_calls(spark):
     )
     results = spark.createDataFrame([(1, 2, "a", "first"), (1, 3, "a", "again"), (1, 3, "q", "lost"), (1, 3, None, "lost"), (1, 8, "b", None)], "conv_id long, turn long, call_id string, content string")
     rows = {(r["conv_id"], r["call_id"], r["kind"], r["turn"]): r for r in tool_calls.format_calls(calls, results, SCHEMAS).collect()}
-    assert {k[1]: r["status"] for k, r in rows.items() if k[0] == 1 and k[2] == "call"} == {"a": "linked", "b": "linked", "c": "no_result", "x": "cycle", "y": "cycle", "z": "cycle"}
+    calls_of = {k[1:]: r["status"] for k, r in rows.items() if k[0] == 1 and k[2] == "call"}
+    assert calls_of == {
+        ("a", "call", 1): "linked", ("b", "call", 2): "linked", ("c", "call", 3): "no_result", ("x", "call", 4): "cycle", ("y", "call", 5): "cycle",
+        ("z", "call", 6): "cycle", ("a", "call", 9): "duplicate", (None, "call", 7): "orphan",
+    }
     assert [rows[1, i, "call", t]["level"] for i, t in (("a", 1), ("b", 2), ("c", 3))] == [0, 1, 2] and rows[2, "a", "call", 1]["level"] == 0
     assert [rows[1, i, "result", t]["status"] for i, t in (("a", 2), ("a", 3), ("q", 3), (None, 3), ("b", 8))] == ["linked", "duplicate", "orphan", "orphan", "linked"]
     first = rows[1, "a", "call", 1]
@@ -283,3 +318,91 @@ def test_tool_calls(spark):
     for r in rows.values():
         assert json.dumps(json.loads(r["json"]), sort_keys=True, separators=(",", ":"), ensure_ascii=False) == r["json"]
     assert tool_calls.format_calls(calls.limit(0), results.limit(0), SCHEMAS).count() == 0
+
+
+JSON = st.recursive(
+    st.none() | st.booleans() | st.integers() | st.floats() | st.text() | st.text(st.characters(categories=["Cs"]), max_size=2),
+    lambda inner: st.lists(inner, max_size=3) | st.dictionaries(st.text(max_size=3), inner, max_size=3), max_leaves=8,
+)
+HARD = st.sampled_from(['{"n":1e999}', '{"n":-1e400}', '{"q":"\\ud800"}', '{"\\udfff":1}', "[" * 100_000, '{"a":' * 5000 + "1" + "}" * 5000, '{"n":' + "9" * 5000 + "}", "NaN", '{"n":Infinity}', "", "\x00", '{"q":"\\ud83d\\ude00"}'])
+
+
+@settings(max_examples=300, deadline=None)
+@given(text=HARD | JSON.map(lambda v: json.dumps(v)) | st.text().filter(lambda t: not re.search("[\ud800-\udfff]", t)))
+def test_arguments_never_break(text):
+    error, written = tool_calls.checked("find", text, SCHEMAS)
+    pa.array([written], pa.string())
+    value = json.loads(written)
+    again = tool_calls.checked("find", written, SCHEMAS)
+    assert again[1] == written or isinstance(value, str)  # canonical text is its own canonical form
+    assert error is None or isinstance(error, str)
+
+
+def plain_chat(calls, results):
+    """Statuses and levels by following every call by hand."""
+    keyed = lambda c: c[0] is not None and c[2] is not None
+    rank = lambda v: tuple((x is not None, x) for x in v)
+    first = {}
+    for c in calls:
+        if keyed(c) and (c[:1] + c[2:3] not in first or rank((c[1], c[5], c[4], c[3])) < rank((first[c[:1] + c[2:3]][1], *[first[c[:1] + c[2:3]][i] for i in (5, 4, 3)]))):
+            first[c[:1] + c[2:3]] = c
+    answered = {(r[0], r[2]) for r in results if r[0] is not None and r[2] is not None}
+
+    def level(key):
+        seen, n = set(), 0
+        while True:
+            if key in seen:
+                return None
+            seen.add(key)
+            after = (key[0], first[key][3])
+            if first[key][3] is None or after not in first:
+                return n
+            key, n = after, n + 1
+
+    statuses = []
+    taken = set()
+    for c in calls:
+        key = (c[0], c[2])
+        if not keyed(c):
+            statuses.append(("call", *key, None, "orphan"))
+        elif c != first[key] or key in taken:
+            statuses.append(("call", *key, None, "duplicate"))
+        else:
+            taken.add(key)
+            at = level(key)
+            statuses.append(("call", *key, at, "cycle" if at is None else "linked" if key in answered else "no_result"))
+    best = {}
+    for r in results:
+        best.setdefault((r[0], r[2]), []).append(rank((r[1], r[3])))
+    used = set()
+    for r in results:
+        key = (r[0], r[2])
+        at = level(key) if key in first else None
+        if key not in first:
+            statuses.append(("result", *key, None, "orphan"))
+        elif rank((r[1], r[3])) == min(best[key]) and key not in used:
+            used.add(key)
+            statuses.append(("result", *key, at, "linked"))
+        else:
+            statuses.append(("result", *key, at, "duplicate"))
+    return statuses
+
+
+def test_chats_equal_a_plain_linker(spark):
+    rnd = random.Random(8)
+    ids = [None, "a", "b", "c", "d", "e"]
+    calls = [(rnd.choice([1, 2, 3, None]), rnd.choice([None, *range(6)]), rnd.choice(ids), rnd.choice([*ids, None, "?"]), "find", rnd.choice([None, "{}", '{"q":"x"}'])) for _ in range(60)]
+    calls += [(9, i, f"k{i}", f"k{i - 1}" if i else None, "find", "{}") for i in range(40)]  # one long chain
+    results = [(rnd.choice([1, 2, 3, None]), rnd.choice([None, 1, 2]), rnd.choice(ids), rnd.choice([None, "x", "y"])) for _ in range(40)]
+    one = spark.createDataFrame([(*c, "k", 1) for c in calls], "conv_id long, turn long, call_id string, after string, name string, arguments string, row string, level int")
+    two = spark.createDataFrame(results, "conv_id long, turn long, call_id string, content string")
+    more = spark.createDataFrame([(1, 0, "system", "Be brief."), (None, None, None, None)], "conv_id long, turn long, role string, content string")
+    out = tool_calls.format_calls(one, two, SCHEMAS, more).collect()
+    got = sorted((("%s" % r["kind"], r["conv_id"], r["call_id"], r["level"], r["status"]) for r in out if r["kind"] != "message"), key=repr)
+    assert got == sorted(plain_chat(calls, results), key=repr)
+    assert {r["json"] for r in out if r["kind"] == "message"} == {'{"body":"Be brief.","id":null,"kind":"message","name":"system"}', '{"body":null,"id":null,"kind":"message","name":null}'}
+    for conv in (1, 2, 3, 9, None):
+        own = sorted((r for r in out if r["conv_id"] == conv), key=lambda r: r["place"])
+        assert [r["place"] for r in own] == list(range(len(own)))
+        order = [(r["level"] is None, r["level"] or 0, r["turn"] is not None, r["turn"] or 0) for r in own]
+        assert order == sorted(order)
