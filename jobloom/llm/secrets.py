@@ -85,18 +85,16 @@ def _unescape(run: str) -> str:
     units = [int(a or b or c, 16) for a, b, c in _ESCAPE_UNIT.findall(run)]
     if any(u > 0x10FFFF for u in units):
         return run
-    joined = "".join(map(chr, units)).encode("utf-16", "surrogatepass")
-    try:
-        return joined.decode("utf-16")  # joins surrogate pairs
-    except UnicodeDecodeError:
-        return run
+    # joins surrogate pairs; half a pair becomes the replacement character
+    return "".join(map(chr, units)).encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+
+
+#: What bytes that are no UTF-8 decode to, and the Latin-1 characters they are read as.
+_LATIN = {0xDC00 + b: b for b in range(0x80, 0x100)}
 
 
 def _unpercent(run: str) -> str:
-    try:
-        return bytes.fromhex(run.replace("%", "")).decode()
-    except UnicodeDecodeError:
-        return run
+    return bytes.fromhex(run.replace("%", "")).decode("utf-8", "surrogateescape").translate(_LATIN)
 
 
 def replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
@@ -291,7 +289,9 @@ def find_secrets(text: str) -> tuple[list[tuple[str, int, int, bool]], int, int]
         if "\\" in body and (plain := replaced(layer, _ESCAPE, _unescape)):
             yield plain
         joined = ((a, b, from_base64(run, True)) for a, b, run in wrapped_runs(body))
-        for part in (((a, b, from_base64(body[a:b])) for a, b in runs), joined):
+        # a path or a word may stand before the first encoded character, so groups of four are tried from all four places
+        placed = ((a + k, b, from_base64(body[a + k : b])) for a, b in runs for k in range(4))
+        for part in (placed, joined):
             for a, b, data in part:
                 if not data:
                     continue
