@@ -7,8 +7,9 @@ the bounded list of the best so far, and across shards by a first round, in whic
 shard only; the k-th score found there travels with the query to all other shards.
 
 Vectors that are null or hold null or non-finite components take no part; neither do vectors of another length than most
-(``dimension``).  Ties go to the smaller id.  Fewer than k candidates: all of them.  Repeated ids are separate rows, but a query
-never finds rows of its own id.  An empty table gives an empty result.
+(``dimension``).  Ties go to the smaller id.  Fewer than k candidates: all of them.  Rows of a repeated id are separate candidates, but a
+query never finds rows of its own id; query rows that agree in id and vector are one query, those that share only the id are ranked
+on their own.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobloom.llm.common import stage_table
@@ -29,7 +30,7 @@ SHARD_ROWS = 8192
 BLOCK_QUERIES = 2048
 LEAF = 64
 
-HITS = "query_id long, vec_id long, score long"
+HITS = "query_id long, tag int, vec_id long, score long"
 
 
 def usable(vector: Column) -> Column:
@@ -110,7 +111,7 @@ def _rows(column: pd.Series) -> np.ndarray:
 
 
 def search_blocks(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """Hits of every query (to_shard, of_block, query_id, query, floor) in the tree of its shard.
+    """Hits of every query (to_shard, of_block, query_id, tag, query, floor) in the tree of its shard.
 
     Both sides meet on (shard, block), so a task holds one shard and one block, whatever the size of the tables.
     """
@@ -119,18 +120,17 @@ def search_blocks(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         found = []
         if len(left) and len(right):
             tree = BallTree(left["vec_id"].to_numpy(), _rows(left["vector"]))
-            for query_id, query, floor in zip(right["query_id"].to_numpy(), _rows(right["query"]), right["floor"].to_numpy(), strict=True):
-                found += [(int(query_id), i, s) for s, i in tree.search(int(query_id), query, k, float(floor))]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"], dtype="int64")
+            asked = zip(right["query_id"].to_numpy(), right["tag"].to_numpy(), _rows(right["query"]), right["floor"].to_numpy(), strict=True)
+            for query_id, tag, query, floor in asked:
+                found += [(int(query_id), int(tag), i, s) for s, i in tree.search(int(query_id), query, k, float(floor))]
+        return pd.DataFrame(found, columns=["query_id", "tag", "vec_id", "score"], dtype="int64")
 
     return vectors.groupBy("shard", "block").cogroup(queries.groupBy("to_shard", "of_block")).applyInPandas(search, HITS)
 
 
 def top_hits(hits: DataFrame, k: int) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of each query (row_number below a limit is cut in each task first)."""
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "tag").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
@@ -147,13 +147,15 @@ def search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     home = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
     block = F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(blocks)).cast("int")
     dealt = vectors.select("vec_id", "vector", home.alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    asked = queries.select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), home.alias("home"), block.alias("of_block"))
+    tag = F.row_number().over(Window.partitionBy("vec_id").orderBy("vector")) - 1
+    queries = queries.select("vec_id", "vector").distinct().withColumn("tag", tag)
+    asked = queries.select(F.col("vec_id").alias("query_id"), "tag", F.col("vector").alias("query"), home.alias("home"), block.alias("of_block"))
     asked = asked.select("*", F.col("home").alias("to_shard"), F.lit(-math.inf).alias("floor"))
     first = stage_table(search_blocks(dealt, asked, k), "topk-home")
-    floors = first.groupBy(F.col("query_id").alias("known")).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth")).filter(F.col("n") == k)
-    asked = asked.join(floors, F.col("query_id") == F.col("known"), "left").withColumn("floor", F.coalesce(F.col("kth").cast("double"), F.lit(-math.inf)))
+    floors = first.groupBy(F.col("query_id").alias("known"), F.col("tag").alias("known_tag")).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth")).filter(F.col("n") == k)
+    asked = asked.join(floors, (F.col("query_id") == F.col("known")) & (F.col("tag") == F.col("known_tag")), "left").withColumn("floor", F.coalesce(F.col("kth").cast("double"), F.lit(-math.inf)))
     others = asked.withColumn("to_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).filter(F.col("to_shard") != F.col("home"))
-    hits = first.unionByName(search_blocks(dealt, others.select("to_shard", "of_block", "query_id", "query", "floor"), k))
+    hits = first.unionByName(search_blocks(dealt, others.select("to_shard", "of_block", "query_id", "tag", "query", "floor"), k))
     return top_hits(hits, k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 

@@ -110,6 +110,13 @@ def test_topk(spark, monkeypatch):
     assert topk.search(few.limit(0), few, 7).count() == 0
 
 
+def test_topk_of_repeated_queries(spark):
+    rows = [(0, [3, 0]), (0, [3, 0]), (0, [0, 2]), (1, [5, 1]), (2, [4, 0]), (3, [0, 7])]
+    table = spark.createDataFrame(rows, "vec_id long, vector array<long>")
+    got = topk.search(table, table.filter(F.col("vec_id") == 0), 2).collect()
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got) == [(1, 1, 15), (1, 3, 14), (2, 1, 2), (2, 2, 12)]
+
+
 def test_pipeline_stages(spark):
     words = [" ".join(f"term{(i * 37 + k * (i + 3)) % 900} and" for k in range(60)) + "." for i in range(12)]
     docs = documents(spark, [*words, words[3], words[4].replace("term5 ", "term6 ", 1), words[0] + " password=abcdefgh12 end", "spam " * 300, *AWKWARD])
