@@ -21,6 +21,11 @@ BEYOND_ASCII = r"[^\x00-\x7F]"
 #: Code points of a page; a lookup searches one page only.
 PAGE = 256
 _BETWEEN_PAGES, _BETWEEN_VALUES = "\x1e", "\x1f"
+# the Korean syllables, two thirds of all that decompose, do so by arithmetic
+_SYLLABLES = (0xAC00, 0xD7A3)
+_LEADS = "".join(chr(c) for c in range(0x1100, 0x1113))
+_VOWELS = "".join(chr(c) for c in range(0x1161, 0x1176))
+_TAILS = "".join(chr(c) for c in range(0x11A8, 0x11C3))
 
 
 def _bare(text: str) -> str:
@@ -54,7 +59,7 @@ def _pages(fold: Callable[[str], str], drops_rest: bool) -> tuple[str, str]:
     """Per page of code points, the characters that change and what they become."""
     pages: list[list[tuple[str, str]]] = []
     for code in range(0x80, sys.maxunicode + 1):
-        if 0xD800 <= code <= 0xDFFF:
+        if 0xD800 <= code <= 0xDFFF or _SYLLABLES[0] <= code <= _SYLLABLES[1]:
             continue
         folded = fold(chr(code))
         if folded != ("" if drops_rest else chr(code)):
@@ -70,6 +75,13 @@ def _pages(fold: Callable[[str], str], drops_rest: bool) -> tuple[str, str]:
     )
 
 
+def _syllable(code: Column) -> Column:
+    place, tails = code - _SYLLABLES[0], len(_TAILS) + 1
+    lead, vowel, tail = F.floor(place / (len(_VOWELS) * tails)), F.floor(place / tails) % len(_VOWELS), place % tails
+    part = lambda letters, at: F.substring(F.lit(letters), at.cast("int"), F.lit(1))
+    return F.concat(part(_LEADS, lead + 1), part(_VOWELS, vowel + 1), F.when(tail > 0, part(_TAILS, tail)).otherwise(""))
+
+
 def replaced(text: Column, fold: Callable[[str], str], drops_rest: bool = False) -> Column:
     """The text with every character that ``fold`` changes replaced; ASCII is left to the caller.
 
@@ -82,6 +94,8 @@ def replaced(text: Column, fold: Callable[[str], str], drops_rest: bool = False)
         page = F.floor(F.ascii(ch) / PAGE).cast("int")
         at = F.instr(F.coalesce(F.get(keys, page), F.lit("")), ch)
         value = F.when(at > 0, F.get(F.split(F.get(values, page), _BETWEEN_VALUES), at - 1))
+        if not drops_rest:
+            value = F.when(F.ascii(ch).between(*_SYLLABLES), _syllable(F.ascii(ch))).otherwise(value)
         return F.struct(ch.alias("ch"), value.alias("to"))
 
     found = F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(BEYOND_ASCII), F.lit(0))))

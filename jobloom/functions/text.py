@@ -25,6 +25,7 @@ WS = r"[\s\x1c-\x1f" + "".join(map(chr, _UNICODE_BLANKS)) + "]"
 _BLANKS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f" + "".join(map(chr, _UNICODE_BLANKS))
 #: What ``squeeze`` has to change: runs of two or more, and single ones other than the blank.  The ASCII form is far cheaper to scan.
 _UNEVEN = rf"{WS}{{2,}}|[\t-\r\x1c-\x1f" + "".join(map(chr, _UNICODE_BLANKS)) + "]"
+_RARE_BLANKS = ",".join(map(chr, _UNICODE_BLANKS))
 _UNEVEN_ASCII = r"[\t-\r\x1c-\x20]{2,}|[\t-\r\x1c-\x1f]"
 
 
@@ -45,10 +46,13 @@ def _squeeze_ascii(c: Column) -> Column:
 
 def squeeze(c: Column | str) -> Column:
     """Every run of white space becomes one blank, ends trimmed."""
-    c = _c(c)
-    others = F.regexp_extract_all(c, F.lit(folding.BEYOND_ASCII), F.lit(0))
-    rare = ~_is_ascii(c) & F.arrays_overlap(F.array_distinct(others), F.array(*[F.lit(chr(b)) for b in _UNICODE_BLANKS]))
-    return F.when(rare, F.trim(F.regexp_replace(c, _UNEVEN, " "))).otherwise(_squeeze_ascii(c))
+
+    def squeezed(t: Column) -> Column:
+        others = F.regexp_extract_all(t, F.lit(folding.BEYOND_ASCII), F.lit(0))
+        rare = ~_is_ascii(t) & F.arrays_overlap(F.array_distinct(others), F.split(F.lit(_RARE_BLANKS), ","))
+        return F.when(rare, F.trim(F.regexp_replace(t, _UNEVEN, " "))).otherwise(_squeeze_ascii(t))
+
+    return once(_c(c), squeezed)
 
 
 def blank_to_null(c: Column | str) -> Column:
@@ -79,19 +83,19 @@ def _is_ascii(c: Column) -> Column:
 
 
 def fold_ascii(c: Column | str) -> Column:
-    c = text_or_blank(c)
-    ascii_only = F.regexp_replace(folding.replaced(c, folding.to_ascii, drops_rest=True), r"[^\x00-\x7F]", "")
-    return F.lower(F.when(_is_ascii(c), c).otherwise(ascii_only))
+    def fold(t: Column) -> Column:
+        plain = F.regexp_replace(folding.replaced(t, folding.to_ascii, drops_rest=True), r"[^\x00-\x7F]", "")
+        return F.lower(F.when(_is_ascii(t), t).otherwise(plain))
+
+    return once(text_or_blank(c), fold)
 
 
 def fold_caseless(c: Column | str) -> Column:
-    c = text_or_blank(c)
-    return _squeeze_ascii(F.when(_is_ascii(c), F.lower(c)).otherwise(folding.replaced(F.lower(c), folding.to_caseless)))
+    return once(F.lower(text_or_blank(c)), lambda t: _squeeze_ascii(F.when(_is_ascii(t), t).otherwise(folding.replaced(t, folding.to_caseless))))
 
 
 def fold_search(c: Column | str) -> Column:
-    c = text_or_blank(c)
-    return strip(F.lower(F.when(_is_ascii(c), c).otherwise(folding.replaced(c, folding.to_unaccented))))
+    return once(text_or_blank(c), lambda t: strip(F.lower(F.when(_is_ascii(t), t).otherwise(folding.replaced(t, folding.to_unaccented)))))
 
 
 def collation_key(c: Column | str) -> Column:
@@ -108,8 +112,7 @@ def collation_key(c: Column | str) -> Column:
 
 
 def fold_resume(c: Column | str) -> Column:
-    c = text_or_blank(c)
-    return _squeeze_ascii(F.lower(F.when(_is_ascii(c), c).otherwise(folding.replaced(c, folding.to_comparable))))
+    return once(text_or_blank(c), lambda t: _squeeze_ascii(F.lower(F.when(_is_ascii(t), t).otherwise(folding.replaced(t, folding.to_comparable)))))
 
 
 def equivalence_text(c: Column | str) -> Column:

@@ -147,6 +147,17 @@ def context_kind(window: Column, cues: Cues = Cues()) -> Column:
     )
 
 
+def mention_kinds(hits: Column, vocabulary: Vocabulary) -> Column:
+    """``array<struct<phrase, start, kind>>``: every mention of an alias with the kind that the text before it gives.
+
+    The same decision as ``context_kind``, taken at all mentions from the one pass that located them.
+    """
+    first, last = vocabulary.ids("alias")
+    aliases = F.filter(hits, lambda h: (h["phrase"] >= first) & (h["phrase"] < last))
+    kind = lambda h: _decide(*[h["before"][i] for i in range(4)])
+    return F.transform(aliases, lambda h: F.struct((h["phrase"] - first).alias("phrase"), h["start"].alias("start"), kind(h).alias("kind")))
+
+
 # ---------------------------------------------------------------- fragments outside the taxonomy
 
 
@@ -260,13 +271,13 @@ def confidence(has_section: Column, has_skills: Column, mandatory: Column, prefe
     )
 
 
-def with_hits(jobs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Add folded text, segment limits, cue matches and all phrase positions."""
+def with_hits(jobs: DataFrame, vocabulary: Vocabulary, pattern: str = fx.UNKNOWN_CUE) -> DataFrame:
+    """Add folded text, segment limits, cue matches (of ``pattern``) and all phrase positions."""
     folded = jobs.withColumns(
         {
             "_text": tx.fold_caseless("description"),
             "_skills": tx.fold_caseless(F.array_join(F.coalesce(F.col("skills"), F.array().cast("array<string>")), " ")),
-            "_cues": cue_matches(F.col("description"), vocabulary.cues),
+            "_cues": cue_matches(F.col("description"), vocabulary.cues, pattern),
         }
     )
     folded = folded.withColumn(
@@ -276,7 +287,7 @@ def with_hits(jobs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return folded.withColumns({"_n": F.length("_text"), "_hits": vocabulary.hits(segments)})
 
 
-def _covered(vocabulary: Vocabulary) -> Column:
+def covered_fragments(vocabulary: Vocabulary) -> Column:
     """Folded fragments in which some alias was found, by locating each hit's segment."""
     first, last = vocabulary.ids("alias")
     offset = F.col("_n") + F.length("_skills") + 2
@@ -365,7 +376,7 @@ def with_entry_ranks(located: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 def extract(jobs: DataFrame, vocabulary: Vocabulary, keep: Sequence[str] = ("url",)) -> DataFrame:
     """``keep`` columns plus mandatory, preferred, context, manual and confidence for every job."""
     ranked = with_entry_ranks(with_hits(jobs, vocabulary), vocabulary)
-    ranked = ranked.withColumn("_unknown", unknown_requirements(F.col("_cues"), _covered(vocabulary)))
+    ranked = ranked.withColumn("_unknown", unknown_requirements(F.col("_cues"), covered_fragments(vocabulary)))
     labels = F.lit([e.label for e in vocabulary.entries] or [""])
 
     def group(rank: int, name: str) -> Column:

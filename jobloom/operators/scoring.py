@@ -200,10 +200,16 @@ def fit_label(value: Column) -> Column:
 
 def evaluate(pairs: DataFrame, covered: str, length: str, keep: Sequence[str]) -> DataFrame:
     """Full result for given (résumé, job) pairs: ``covered`` is the résumé's folded labels, groups are label lists."""
-    fold = lambda values: F.transform(values, tx.fold_caseless)
-    has = lambda v: F.array_contains(covered, tx.fold_caseless(v))
-    matched = {g: F.filter(g, has) for g in ("mandatory", "preferred", "context")}
-    missing = {g: F.filter(g, lambda v: ~has(v)) for g in ("mandatory", "preferred")}
+    groups = ("mandatory", "preferred", "context")
+    # every label is folded once, every group is matched once; the score refers to the counts many times
+    pairs = pairs.withColumns({f"_folded_{g}": F.transform(g, tx.fold_caseless) for g in groups})
+    has = lambda g, i: F.array_contains(covered, F.get(F.col(f"_folded_{g}"), i))
+
+    def kept(g: str, wanted: bool) -> Column:
+        return F.filter(g, lambda v, i: has(g, i) if wanted else ~has(g, i))
+
+    pairs = pairs.withColumns({f"_has_{g}": kept(g, True) for g in groups} | {f"_lacks_{g}": kept(g, False) for g in groups[:2]})
+    matched, missing = {g: F.col(f"_has_{g}") for g in groups}, {g: F.col(f"_lacks_{g}") for g in groups[:2]}
     counts = [c for g in ("mandatory", "preferred", "context") for c in (F.size(matched[g]), F.size(g))]
     usable = F.col("scoreable")
     value = F.when(usable, score(*counts, F.col("confidence")))

@@ -139,4 +139,4 @@ def refresh_and_publish(spark: SparkSession, landed: DataFrame, path: str, today
     known = current(spark, f"{path}/history") is not None
     history = read_current(spark, f"{path}/history", "jobs") if known else spark.createDataFrame([], HISTORY)
     out = refresh(spark, landed, history, today, sources, failed, fresh_days, months, **config)
-    return publish_refresh(spark, out, path, today, vocabulary, fresh_days, months, minimum, cap_mb, failed)
+    return publish_refresh(spark, out, path, today, vocabulary, fresh_days, months, minimum, cap_mb, [*failed, *out.rejected])

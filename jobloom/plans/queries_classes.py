@@ -55,6 +55,36 @@ def _(spark, folder):
     return rows.select("doc_id", cl.area(F.col("t"), F.col("d"), F.col("categories"), AREAS, {"fixed": "Given"}).alias("area"))
 
 
+#: Titles for the shipped areas: one area, several, none, words inside words.
+_TITLES = (
+    "Analista de Dados", "Desenvolvedor Java", "Customer Success", "Product Owner", "UX Designer", "Gerente de Marketing e Vendas", "SDR", "Analista de suporte SQL", "Recrutamento e seleção",
+    "Contador", "Advogado", "Engenheiro civil", "Comprador", "Médico", "Data Engineer / DevOps", "Piloto", "Business Analyst", "Social media e CRM", "Help desk", "Front end React", "Vendedor", "Naval",
+)
+
+
+def _sql_shipped() -> str:
+    quoted = lambda p: p.replace("'", "''")
+    parts = []
+    for rank, (name, patterns) in enumerate(fx.AREA_PATTERNS.items()):
+        points = " + ".join(f"(CASE WHEN regexp_matches(t, '{quoted(p)}') THEN 3 ELSE 0 END) + (CASE WHEN regexp_matches(d, '{quoted(p)}') THEN 1 ELSE 0 END)" for p in patterns)
+        parts.append(f"SELECT doc_id, '{quoted(name)}' AS name, {rank} AS rank, {points} AS points FROM x")
+    return " UNION ALL ".join(parts)
+
+
+_TITLE_SQL = f"list_extract({list(_TITLES)}, CAST(doc_id % {len(_TITLES)} AS INTEGER) + 1)"
+
+
+@query("cls_02_shipped_areas", f"""WITH x AS (SELECT doc_id, ' ' || {sql_ascii(_TITLE_SQL)} || ' ' AS t, substr({sql_ascii(f"list_extract({list(_TITLES)}, CAST(doc_id % 5 AS INTEGER) + 1) || ' ' || text")}, 1, 600) AS d FROM documents),
+s AS ({_sql_shipped()}), b AS (SELECT doc_id, arg_max(name, points * 100 - rank) AS name, max(points) AS points FROM s GROUP BY ALL)
+SELECT doc_id, CASE WHEN points >= 3 THEN name ELSE 'Outros' END AS area FROM b""")
+def _(spark, folder):
+    rows = table(spark, folder, "documents").select(
+        "doc_id", pick(F.col("doc_id"), *_TITLES).alias("title"), F.concat_ws(" ", pick(F.col("doc_id"), *_TITLES[:5]), "text").alias("description")
+    )
+    rows = rows.select("doc_id", tx.fold_ascii("title").alias("t"), cl.folded_lead(F.col("description")).alias("d"))
+    return rows.select("doc_id", cl.area(F.col("t"), F.col("d"), F.array().cast("array<string>")).alias("area"))
+
+
 _RULES = (("Articles", r"\b(der|die|das|les|los)\b"), ("Links", r"\b(and|und|que)\b"), ("Pronouns", r"\b(elle|that|this)\b"))
 _SQUEEZED = f"' ' || regexp_replace({sql_search('text')}, '[^a-z0-9]+', ' ', 'g') || ' '"
 
@@ -167,17 +197,28 @@ def _(spark, folder):
     return located.select("doc_id", *[F.col(f"s.{c}") for c in ("mandatory_start", "mandatory_end", "preferred_start", "preferred_end")])
 
 
+#: Aliases whose every mention is asked for its kind; longer than four letters, so they count as plain substrings.
+MENTIONED = rq.Vocabulary([rq.Entry("a", "A", ("inging", "los el", "tion the"), "skill"), rq.Entry("b", "B", ("mente", "schen"), "skill")], CUES)
+_MENTIONS = ("inging", "los el", "tion the", "mente", "schen")
+
+
 def _rfind(words) -> str:
     one = lambda w: f"CASE WHEN instr(r, '{w[::-1]}') > 0 THEN length(w) - instr(r, '{w[::-1]}') + 1 - {len(w)} ELSE -1 END"
     return "greatest(" + ", ".join(one(w) for w in words) + ")"
 
 
-@query("fit_02_context_kind", f"""WITH x AS (SELECT doc_id, right({sql_caseless('text')}, 520) AS w FROM documents), y AS (SELECT doc_id, w, reverse(w) AS r FROM x),
-z AS (SELECT doc_id, {_rfind(CUES.preferred)} AS p, {_rfind(CUES.mandatory)} AS m, {_rfind(CUES.preferred_cues)} AS pc, {_rfind(CUES.mandatory_cues)} AS mc FROM y)
-SELECT doc_id, CASE WHEN p > m THEN 'preferred' WHEN m >= 0 THEN 'mandatory' WHEN pc > mc THEN 'preferred' WHEN mc >= 0 THEN 'mandatory' ELSE 'context' END AS kind FROM z""")
+@query("fit_02_context_kind", f"""WITH x AS (SELECT doc_id, {sql_caseless('text')} AS t FROM documents), a AS (SELECT unnest({list(_MENTIONS)}) AS alias),
+g AS (SELECT doc_id, alias, t, string_split(t, alias) AS parts FROM x, a WHERE contains(t, alias)),
+o AS (SELECT doc_id, alias, substr(t, 1, CAST(list_sum([length(q) FOR q IN list_slice(parts, 1, i)]) + (i - 1) * length(alias) AS BIGINT)) AS before FROM (SELECT *, unnest(range(1, len(parts))) AS i FROM g)),
+y AS (SELECT doc_id, alias, length(before) AS start, right(before, 520) AS w, reverse(right(before, 520)) AS r FROM o),
+z AS (SELECT *, {_rfind(CUES.preferred)} AS p, {_rfind(CUES.mandatory)} AS m, {_rfind(CUES.preferred_cues)} AS pc, {_rfind(CUES.mandatory_cues)} AS mc FROM y)
+SELECT doc_id, alias, start, CASE WHEN p > m THEN 'preferred' WHEN m >= 0 THEN 'mandatory' WHEN pc > mc THEN 'preferred' WHEN mc >= 0 THEN 'mandatory' ELSE 'context' END AS kind FROM z""")
 def _(spark, folder):
-    window = F.right(tx.fold_caseless("text"), F.lit(520))
-    return table(spark, folder, "documents").select("doc_id", window.alias("w")).select("doc_id", rq.context_kind(F.col("w"), CUES).alias("kind"))
+    located = table(spark, folder, "documents").select("doc_id", tx.fold_caseless("text").alias("t"))
+    located = located.select("doc_id", MENTIONED.hits(F.col("t")).alias("h"))
+    found = located.select("doc_id", F.explode(rq.mention_kinds(F.col("h"), MENTIONED)).alias("k"))
+    alias = F.element_at(F.lit(list(_MENTIONS)), F.col("k.phrase") + 1)
+    return found.select("doc_id", alias.alias("alias"), F.col("k.start").cast("long").alias("start"), "k.kind")
 
 
 @query("fit_03_entry_kinds")
@@ -186,11 +227,14 @@ def _(spark, folder):
     return ranked.select("doc_id", F.explode("_ranked").alias("e")).select("doc_id", "e.entry", "e.rank")
 
 
+#: Words that introduce fragments in the given texts.
+UNKNOWN_CUE = r"(?iu)(?:the|der|les|los)\s+(?:of|and|de|und|die|for)\s+([^.;:\n]{2,170})"
+
+
 @query("fit_04_unknown_requirements")
 def _(spark, folder):
-    cue = r"(?iu)(?:the|der|les|los)\s+(?:of|and|de|und|die|for)\s+([^.;:\n]{2,170})"
-    matches = table(spark, folder, "documents").select("doc_id", rq.cue_matches(F.col("text"), CUES, cue).alias("m"))
-    found = matches.select("doc_id", rq.unknown_requirements(F.col("m"), F.array().cast("array<string>")).alias("u"))
+    located = rq.with_hits(_jobs(spark, folder), VOCABULARY, UNKNOWN_CUE)
+    found = located.select("doc_id", rq.unknown_requirements(F.col("_cues"), rq.covered_fragments(VOCABULARY)).alias("u"))
     return found.select("doc_id", F.inline("u"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from jobloom import fixed_values as fx
@@ -11,8 +13,9 @@ from jobloom.operators.quality import accepted_rows, complete_catalogs
 from jobloom.plans.registry import (
     ADS, HISTORY, NOW, SNAPSHOT, SNAPSHOT_CAP, TODAY, ads, ads_history, now, query, served_sql, sql_collation, sql_search, today,
 )
+from jobloom.plans.publication import write_snapshot
 from jobloom.plans.queries_rows import shown
-from jobloom.session import materialize, table
+from jobloom.session import ensure_checkpoint_dir, materialize, table
 
 # ---------------------------------------------------------------- repeats
 
@@ -189,6 +192,25 @@ def _(spark, folder):
     return ag.distinct_counts(ads(spark, folder), {"companies": "company", "sources": "source", "markets": "market"})
 
 
+@query("agg_11_sketched_counts", f"""WITH {HISTORY} SELECT source, count(DISTINCT nullif(company, '')) AS companies, true AS companies_within, count(DISTINCT nullif(dedupe_key, '')) AS keys, true AS keys_within FROM hist GROUP BY source
+UNION ALL SELECT '*', count(DISTINCT nullif(company, '')), true, count(DISTINCT nullif(dedupe_key, '')), true FROM hist""")
+def _(spark, folder):
+    """Exact counts, and whether the merged daily sketches, written and read back, are within five deviations of them."""
+    from jobloom.operators import sketches as sk
+
+    rows = materialize(ads_history(spark, folder).select("source", F.col("last_seen_date").alias("day"), "company", "dedupe_key"))
+    path = f"{ensure_checkpoint_dir(spark)}/sketches-{uuid.uuid4().hex}"
+    sk.daily_sketches(rows, ["source", "day"], {"companies": F.col("company"), "keys": F.col("dedupe_key")}).write.partitionBy("day").parquet(path)
+    stored = spark.read.parquet(path)
+    named = lambda df: df.withColumn("source", F.lit("*")) if "source" not in df.columns else df
+    guess = sk.merged_counts(stored, ["source"], ["companies", "keys"]).unionByName(named(sk.merged_counts(stored, [], ["companies", "keys"])))
+    distinct = [F.countDistinct(F.nullif(F.col(c), F.lit(""))).alias(n) for c, n in (("company", "companies"), ("dedupe_key", "keys"))]
+    exact = rows.groupBy("source").agg(*distinct).unionByName(named(rows.agg(*distinct)))
+    guess = guess.select("source", F.col("companies").alias("g_companies"), F.col("keys").alias("g_keys"))
+    within = lambda n: (F.abs(F.col(f"g_{n}") - F.col(n)) <= F.greatest(F.lit(1.0), F.col(n) * sk.relative_error(5))).alias(f"{n}_within")
+    return exact.join(guess, "source").select("source", "companies", within("companies"), "keys", within("keys"))
+
+
 @query("val_04_complete_catalogs", """WITH c AS (SELECT s_nationkey, count(*) AS got, CAST(round(sum(s_acctbal)) AS BIGINT) % 7 AS reported, count(*) FILTER (WHERE s_acctbal > 0) AS pages_got FROM supplier GROUP BY 1),
 v AS (SELECT *, got >= 2 AND (reported = 0 OR got >= reported) AND (pages_got >= got OR pages_got >= greatest(2, got // 2)) AS accepted FROM c)
 SELECT s_suppkey, s_nationkey AS source FROM supplier WHERE s_nationkey IN (SELECT s_nationkey FROM v WHERE accepted)""")
@@ -205,13 +227,20 @@ def _(spark, folder):
 # ---------------------------------------------------------------- codes, windows, orders
 
 
-@query("snk_01_snapshot_rows", f"""WITH {SNAPSHOT}
-SELECT position, job_uid, title, coalesce(nullif(published_date, ''), first_seen_date) AS pub, last_seen_date AS seen, np,
-  CASE WHEN salary_min <> 0 THEN salary_min END AS smin, {", ".join(f'''(SELECT count(*) FROM (SELECT {c} AS v, min(position) AS f FROM snap GROUP BY 1) z WHERE z.f < (SELECT min(position) FROM snap y WHERE y.{c} = s.{c})) AS {o}''' for c, o in (("source", "src"), ("company", "cmp"), ("market", "mk"), ("salary_currency", "cur")))}
-FROM snap s""")
+_CODED = (("source", "src"), ("company", "cmp"), ("area", "area"), ("seniority", "sen"), ("work_model", "wm"), ("market", "mk"), ("country", "co"), ("salary_currency", "cur"))
+_FIRSTS = ", ".join(f"c{o} AS (SELECT v, row_number() OVER (ORDER BY f) - 1 AS code FROM (SELECT {c} AS v, min(position) AS f FROM snap GROUP BY 1))" for c, o in _CODED)
+
+
+@query("snk_01_snapshot_rows", f"""WITH {SNAPSHOT}, {_FIRSTS}
+SELECT s.position, s.job_uid, s.title, coalesce(nullif(s.published_date, ''), s.first_seen_date) AS pub, s.last_seen_date AS seen, s.np,
+  CASE WHEN s.salary_min <> 0 THEN s.salary_min END AS smin, {", ".join(f"c{o}.code AS {o}" for _, o in _CODED)}
+FROM snap s {" ".join(f"JOIN c{o} ON c{o}.v = s.{c}" for c, o in _CODED)}""")
 def _(spark, folder):
-    shot = sn.build(ads_history(spark, folder), today(), max_jobs=SNAPSHOT_CAP)
-    return shot.encoded().select("position", "job_uid", "title", "pub", "seen", "np", "smin", "src", "cmp", "mk", "cur")
+    """The snapshot as it is written, audited and read back."""
+    history = materialize(ads_history(spark, folder))
+    shot = sn.build(history, today(), max_jobs=SNAPSHOT_CAP, keep=materialize)
+    audit = write_snapshot(spark, f"{ensure_checkpoint_dir(spark)}/snapshot-{uuid.uuid4().hex}", shot, history, today())
+    return audit.read("jobs").select("position", "job_uid", "title", "pub", "seen", "np", "smin", *[o for _, o in _CODED])
 
 
 @query("win_01_dictionary_codes", f"""WITH {SNAPSHOT}, v AS (SELECT 'source' AS dictionary, source AS value, position FROM snap UNION ALL SELECT 'company', company, position FROM snap

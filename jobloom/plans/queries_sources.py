@@ -12,7 +12,7 @@ from jobloom.plans.registry import ADS, HISTORY, TODAY, ads, ads_history, pick,
 from jobloom.plans.queries_rows import ORDERS_HISTORY, _stored
 from jobloom.session import ensure_checkpoint_dir, table
 from jobloom.sources import embedded, feeds, json_specs, markup, tables
-from jobloom.streaming import incremental
+from jobloom.streaming import incremental, redelivery
 
 
 def scratch(spark: SparkSession) -> str:
@@ -73,6 +73,56 @@ def _(spark, folder):
     )
 
 
+def _portal_pages(spark, folder) -> DataFrame:
+    """One page per part and card portal, as landed."""
+    k, name = F.col("p_partkey").cast("string"), F.concat(F.lit("Dev "), F.col("p_name"))
+    page = lambda *pieces: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in pieces])
+    two = lambda more, label: page('<a class="t" href="/job/dev-jid-', k, '"><b>Dev</b> ', F.col("p_name"), f'</a><a href="/job/dev-jid-', k, f'">{label}</a>', more)
+    card = lambda board: page(f'<a href="/{board}/vacancy/', k, '-dev"><h3>', name, "</h3><span>CLT ou PJ</span><p>Remoto</p></a>")
+    start = '<div class="x index__job-opportunities__grid__item" data-title="'
+    catalog = page(
+        # a card with elements of its name inside, one in a comment, one around an inner card, one that never ends
+        start, name, '" data-city-name="Recife" data-state-small-name="pe"><div><div>novo</div><div/></div><a data-cy="job-opportunity-link" href="/vidya/', k, '/dev">x</a></div>',
+        "<!-- ", start, 'no"><a data-cy="job-opportunity-link" href="/vidya/1/no">x</a></div> -->',
+        start, 'Outer"><div class="index__job-opportunities__grid__item"></div><p><a data-cy="job-opportunity-link" href="/vidya/', k, '00/dev">x</a></p></div>',
+        start, 'Open"><a data-cy="job-opportunity-link" href="/vidya/2/no">x</a><div></div>',
+    )
+    bodies = {
+        "experian": two("", "More info"), "wise": two("", "Read more"), "recrutei": card("acme"), "digisystem": card("digisystem"), "totvs": catalog,
+        "metalfrio": page('<a class="card card-vacancy z" href="/Detail/', k, '"><h3 title="', name, '"></h3><div class="icon-location-pin-1"></div> Recife - PE <i class="vacancy-date">5 set</i></a>'),
+        "nestle": page('<tr class="data-row"><td><a href="/job/x/', k, '/" class="jobTitle-link">', name, '</a></td><td class="colLocation">Recife, BR</td><td class="colDate">Mar 5, 2024</td></tr>'),
+        "docusign": page('<a href="/jobs/dev-', k, '">', name, "</a>"), "dbccompany": page('<a href="/vagas/dev-', k, '?x=1">', name, "</a>"),
+        "cloudwalk": page('<div class="jobs-list-cms-position"><div class="is-open-position">', name, '</div><div fs-list-field="location-type">Remote</div><div fs-list-field="location">Recife</div><a href="/jobs-positions/dev-', k, '">go</a>'),
+    }
+    boards = {"recrutei": "acme", "totvs": "vidya"}
+    landed = F.array(*[F.struct(F.lit(s).alias("source"), F.lit(boards.get(s)).cast("string").alias("board"), body.alias("body")) for s, body in bodies.items()])
+    return table(spark, folder, "part").select(F.col("p_partkey").alias("page"), F.lit("https://portal.example.com/").alias("url"), F.inline(landed))
+
+
+_PORTALS_SQL = {
+    "experian": ("k", "n", "'Experian'", "'https://jobs.experian.com/job/dev-jid-' || k", "''"), "wise": ("k", "n", "'Wise'", "'https://wise.jobs/job/dev-jid-' || k", "'São Paulo'"),
+    "recrutei": ("'acme:' || k", "n", "'acme'", "'https://jobs.recrutei.com.br/acme/vacancy/' || k || '-dev'", "'Remoto'"),
+    "digisystem": ("k", "n", "'Digisystem'", "'https://jobs.recrutei.com.br/digisystem/vacancy/' || k || '-dev'", "'Remoto'"),
+    "totvs": ("'vidya:' || k", "n", "'Vidya'", "'https://atracaodetalentos.totvs.app/vidya/' || k || '/dev'", "'Recife'"),
+    "metalfrio": ("k", "n", "'Metalfrio Solutions'", "'https://metalfriosolutions.pandape.infojobs.com.br/Detail/' || k", "'Recife'"),
+    "nestle": ("k", "n", "'Nestlé'", "'https://jobdetails.nestle.com/job/x/' || k || '/'", "'Recife'"),
+    "docusign": ("'dev-' || k", "n", "'DocuSign'", "'https://careers.docusign.com/jobs/dev-' || k", "'Brasil'"),
+    "dbccompany": ("'dev-' || k", "n", "'DBC Company'", "'https://vagas.dbccompany.com.br/vagas/dev-' || k || '?x=1'", "'Brasil'"),
+    "cloudwalk": ("'dev-' || k", "n", "'CloudWalk'", "'https://www.cloudwalk.io/jobs-positions/dev-' || k", "'Recife'"),
+}
+
+
+@query("src_02_card_portals", "WITH p AS (SELECT CAST(p_partkey AS VARCHAR) AS k, 'Dev ' || p_name AS n FROM part) " + " UNION ALL ".join(
+    f"SELECT '{s}' AS source, {i} AS native_id, {t} AS title, {c} AS company, {u} AS url, {w} AS city FROM p" for s, (i, t, c, u, w) in _PORTALS_SQL.items())
+    + " UNION ALL SELECT 'totvs', 'vidya:' || k || '00', 'Outer', 'Vidya', 'https://atracaodetalentos.totvs.app/vidya/' || k || '00/dev', '' FROM p")
+def _(spark, folder):
+    landed, out = _portal_pages(spark, folder), None
+    for source in _PORTALS_SQL:
+        part = markup.rows(landed, source, today()).select("source", "native_id", "title", "company", "url", "city")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("src_03_embedded_json", """SELECT page_id, page_id * 2 AS from_script, page_id + 1 AS from_marker, 'v' || page_id AS from_list, page_id AS from_stream FROM pages""")
 def _(spark, folder):
     i = F.col("page_id").cast("string")
@@ -228,3 +278,35 @@ def _(spark, folder):
 @query("stm_03_redelivery", f"WITH {_INCREMENTS} SELECT source, count(*) AS jobs, round(sum(salary_min), 2) AS total FROM final GROUP BY source")
 def _(spark, folder):
     return _run_increments(spark, folder).groupBy("source").agg(F.count(F.lit(1)).alias("jobs"), F.round(F.sum("salary_min"), 2).alias("total"))
+
+
+@query("stm_03_late_redelivery", """WITH o AS (SELECT o_orderkey AS k, o_orderkey % 10 AS r, CASE o_orderstatus WHEN 'O' THEN 'totvs' WHEN 'F' THEN 'greenhouse' ELSE 'gupy' END AS source, o_totalprice AS p, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders)
+SELECT 'orders:' || k AS job_uid, source, CASE WHEN r < 2 THEN p WHEN r < 5 THEN p + 20 WHEN k % 4 = 0 THEN p + 40 ELSE p + 30 END AS salary_min,
+  CASE WHEN r < 2 THEN d WHEN r >= 5 AND k % 4 = 0 THEN '1998-12-03' ELSE '1998-12-01' END AS last_seen_date FROM o""")
+def _(spark, folder):
+    """Three runs from one checkpoint: second and third deliveries first, then first ones that are late, then a few newer ones."""
+    root = scratch(spark)
+    store, landing, state = f"{root}/history", f"{root}/landing", f"{root}/stream"
+    orders = table(spark, folder, "orders").withColumn("k", F.col("o_orderkey"))
+    k = F.col("k")
+
+    def delivered(rows: DataFrame, number: int) -> DataFrame:
+        return rows.select(
+            F.concat(F.lit("orders:"), k.cast("string")).alias("job_uid"),
+            F.when(F.col("o_orderstatus") == "O", "totvs").when(F.col("o_orderstatus") == "F", "greenhouse").otherwise("gupy").alias("source"),
+            F.lit("hybrid").alias("work_model"), (F.col("o_totalprice") + 10 * number).alias("salary_min"), F.lit("Recife").alias("city"),
+            F.lit(number).cast("long").alias("delivery"),
+        )
+
+    untouched = F.regexp_extract("job_uid", r"(\d)$", 1).cast("int") < 2
+    incremental.write_bucketed(_stored(spark, folder).filter(untouched), store, buckets=4)
+    seen = orders.filter(k % 10 >= 2)
+    days = (
+        ("1998-12-01", delivered(seen, 2).unionByName(delivered(orders.filter(k % 10 >= 5), 3))),
+        ("1998-12-02", delivered(seen, 1)),
+        ("1998-12-03", delivered(orders.filter((k % 10 >= 5) & (k % 4 == 0)), 4).unionByName(delivered(seen, 2))),
+    )
+    for day, rows in days:
+        rows.write.mode("append").parquet(landing)
+        redelivery.redelivered_upsert(spark, landing, _ROW, store, state, F.lit(day), ["delivery"], buckets=4)
+    return incremental.read_bucketed(spark, store).select("job_uid", "source", "salary_min", "last_seen_date")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobloom import fixed_values as fx
 from jobloom.functions import arrays as ar, dates as dt, numbers as nu, text as tx
 from jobloom.plans.registry import NOW, ads, ADS, now, pick, query, sql_ascii, sql_caseless, sql_equivalence, sql_resume, sql_search, sql_squeeze
-from jobloom.session import table
+from jobloom.session import ensure_checkpoint_dir, table
 
 
 def _docs(spark, folder, **columns) -> DataFrame:
@@ -146,22 +148,25 @@ def _(spark, folder):
     )
 
 
-@query("str_12_card_lines", """WITH w AS (SELECT doc_id, coalesce([x FOR x IN string_split(regexp_replace(text, '[^A-Za-z]+', ' ', 'g'), ' ') IF x <> ''][1], 'Texto') AS w FROM documents)
-SELECT doc_id, w || ' Dev' AS title, CASE WHEN doc_id % 4 = 0 THEN 'Empresa confidencial' ELSE 'Firma ' || w END AS company,
-  CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'Cidade ' || w END AS city, CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'PE' END AS state,
+#: The letters of the whole text; a company line holds at most 140 characters.
+_LETTERS = "coalesce(nullif(trim(regexp_replace(text, '[^A-Za-z]+', ' ', 'g')), ''), 'Texto')"
+
+
+@query("str_12_card_lines", f"""WITH w AS (SELECT doc_id, source, {_LETTERS} AS w FROM documents), c AS (SELECT *, doc_id % 4 = 0 OR length('Firma ' || w) > 140 AS hidden FROM w)
+SELECT doc_id, w || ' Dev' AS title, CASE WHEN hidden THEN 'Empresa confidencial' ELSE 'Firma ' || w END AS company,
+  CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'Cidade ' || source END AS city, CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'PE' END AS state,
   CASE doc_id % 5 WHEN 0 THEN '2024-04-30' WHEN 1 THEN '2024-04-29' WHEN 2 THEN '2024-04-27' WHEN 3 THEN '2023-12-12' ELSE '2022-03-01' END AS published_date,
-  CASE doc_id % 2 WHEN 0 THEN 'hybrid' ELSE 'on-site' END AS work_model, CASE doc_id % 7 WHEN 0 THEN 'CLT|Cooperado' ELSE 'PJ' END AS contracts, doc_id % 4 = 0 AS blind FROM w""")
+  CASE doc_id % 2 WHEN 0 THEN 'hybrid' ELSE 'on-site' END AS work_model, CASE doc_id % 7 WHEN 0 THEN 'CLT|Cooperado' ELSE 'PJ' END AS contracts, hidden AS blind FROM c""")
 def _(spark, folder):
     from jobloom.sources.cards import normalize_cards
 
     i = F.col("doc_id")
-    words = F.filter(F.split(F.regexp_replace("text", "[^A-Za-z]+", " "), " "), lambda w: w != "")
-    word = F.coalesce(F.get(words, F.lit(0)), F.lit("Texto"))
-    title = F.concat(word, F.lit(" Dev"))
+    words = F.coalesce(F.nullif(F.trim(F.regexp_replace("text", "[^A-Za-z]+", " ")), F.lit("")), F.lit("Texto"))
+    title = F.concat(words, F.lit(" Dev"))
     body = F.concat_ws(
         "\n", F.lit(" NOVA "), title, F.lit("4,5"), pick(i, "Hoje", "Ontem", "há  3 dias", "12 dez", "1 mar 2022"), F.lit("R$ 1.000"),
-        F.when(i % 3 == 0, "Todo Brasil").otherwise(F.concat(F.lit("Cidade "), word, F.lit(" - PE, 12,5 Km de você"))),
-        F.when(i % 4 != 0, F.concat(F.lit("Firma "), word)),
+        F.when(i % 3 == 0, "Todo Brasil").otherwise(F.concat(F.lit("Cidade "), "source", F.lit(" - PE, 12,5 Km de você"))),
+        F.when(i % 4 != 0, F.concat(F.lit("Firma "), words)),
         # too long for a company name
         F.concat(F.when(i % 2 == 0, "Híbrido ").otherwise("Presencial "), F.when(i % 7 == 0, "CLT cooperado ").otherwise("prestadora de serviços "), F.repeat(F.lit("x "), 75)),
         F.lit("Candidatar-me"),
@@ -182,20 +187,31 @@ def _(spark, folder):
     return table(spark, folder, "part").select(k, tx.csv_cell(F.concat(pick(k, "=", 'a"b', ""), "p_name")).alias("cell"))
 
 
-@query("snk_03_csv_rows", """SELECT '"' || p_name || '"' AS "Cargo", '"' || p_brand || '"' AS "Empresa", '"' || p_type || ' | ' || p_brand || '"' AS "Contrato",
-  '"' || (CASE WHEN p_size % 2 = 0 THEN 'Sim' ELSE 'Não' END) || '"' AS "PcD", '"' || p_partkey || '"' AS "Link" FROM part""")
+def _quoted_cell(value: str) -> str:
+    return f"""'"' || (CASE WHEN regexp_matches({value}, '^[=+@-]') THEN '''' ELSE '' END) || replace({value}, '"', '""') || '"'"""
+
+
+_CSV_CELLS = ["p_name", "p_brand", "'Portal'", "'Área'", "'Pleno'", "'Remoto'", "'Brasil'", "'Recife'", "p_type || ' | ' || p_brand", "CASE WHEN p_size % 2 = 0 THEN 'Sim' ELSE 'Não' END", "'Não'", "''", "'2024-01-01'", "'2024-04-30'", "'https://x/' || p_partkey"]
+_CSV_HEAD = ";".join(f'"{h}"' for h in fx.CSV_HEADERS)
+_CSV_LINE = " || ';' || ".join(map(_quoted_cell, _CSV_CELLS))
+
+
+@query("snk_03_csv_rows", f"SELECT '{_CSV_HEAD}' AS line UNION ALL SELECT {_CSV_LINE} FROM part")
 def _(spark, folder):
+    """The exported document: written with its byte order mark (which reading takes off) and line ends, then read back line by line."""
     from jobloom.operators.search import csv_rows
+    from jobloom.operators.sinks import write_csv
 
-    blank = F.lit("")
+    fixed = {"sourceLabel": "Portal", "category": "Área", "seniority": "Pleno", "workplaceType": "Remoto", "market": "Brasil", "location": "Recife", "currency": "BRL", "publishedAt": "2024-01-01", "lastSeenAt": "2024-04-30"}
     rows = table(spark, folder, "part").select(
-        F.col("p_name").alias("title"), F.col("p_brand").alias("company"), *[blank.alias(c) for c in (
-            "sourceLabel", "category", "seniority", "workplaceType", "market", "location", "currency", "publishedAt", "lastSeenAt")],
-        F.col("p_partkey").cast("string").alias("url"),
+        F.col("p_name").alias("title"), F.col("p_brand").alias("company"), *[F.lit(v).alias(c) for c, v in fixed.items()],
+        F.concat(F.lit("https://x/"), F.col("p_partkey").cast("string")).alias("url"),
         F.array("p_type", "p_brand").alias("contractTypes"), (F.col("p_size") % 2 == 0).alias("pcd"), F.lit(False).alias("blindSelection"),
         F.lit(None).cast("double").alias("salaryMin"), F.lit(None).cast("double").alias("salaryMax"),
     )
-    return csv_rows(rows).select("Cargo", "Empresa", "Contrato", "PcD", "Link")
+    path = f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    write_csv(csv_rows(rows), path)
+    return spark.read.option("lineSep", "\r\n").text(path).withColumnRenamed("value", "line")
 
 
 _ALIAS_TEXT = sql_caseless("text")

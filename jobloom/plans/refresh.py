@@ -15,6 +15,7 @@ from jobloom.operators.classify import with_classes
 from jobloom.operators.dedupe import keep_last, native_key
 from jobloom.operators.enrich import append_missing, overlay_defaults, overlay_non_blank, seed_fallback
 from jobloom.operators.ordering import in_registry_order
+from jobloom.operators.quality import complete_catalogs
 from jobloom.operators.requirements import Vocabulary, best_per_link, extract
 from jobloom.schema import JOB
 from jobloom.session import materialize
@@ -122,17 +123,28 @@ class Refresh:
     history: DataFrame
     snapshot: sn.Snapshot
     changes: DataFrame
+    rejected: tuple[str, ...] = ()  # sources whose catalog was incomplete
 
 
 class NothingCollectedError(RuntimeError):
     """An empty collection must not replace the public snapshot."""
 
 
+def incomplete_sources(deliveries: DataFrame, expectations: DataFrame) -> list[str]:
+    """Sources that do not bring what is expected of them; at most as many as there are sources."""
+    got = deliveries.groupBy("source").agg(F.count(F.lit(1)).alias("got"))
+    counts = expectations.join(got, "source", "left").fillna(0, ["got"])
+    return sorted(r["source"] for r in complete_catalogs(counts).filter(~F.col("accepted")).select("source").collect())
+
+
 def refresh(
     spark: SparkSession, landed: DataFrame, history: DataFrame, today: Column | None = None, sources: str = "", failed: Sequence[str] = (),
-    fresh_days: int = 3, months: int = 2, keep_days: int = 120, max_jobs: int = 50_000, **config,
+    fresh_days: int = 3, months: int = 2, keep_days: int = 120, max_jobs: int = 50_000, expectations: DataFrame | None = None, **config,
 ) -> Refresh:
-    """One refresh.  Nothing is written; callers write the parts to new paths.
+    """One refresh.  Nothing is written; ``plans.publication`` writes, audits and publishes the parts.
+
+    ``expectations`` (``source, minimum, reported, pages_got, pages_total``) says what a whole catalog is.  A source that brings less
+    counts as failed: its rows are left out and its stored rows stay, so that half a catalog does not replace a whole one.
 
     The normalised batch and the merged history feed several plans and are materialised in the checkpoint folder.
     """
@@ -143,6 +155,12 @@ def refresh(
         raise ValueError(f"unknown source(s): {', '.join(sorted(unknown))}")
     usable = [s for s in chosen if s not in failed]
     deliveries = collected(landed, usable, today, **config)
+    rejected: list[str] = []
+    if expectations is not None:
+        deliveries = materialize(deliveries)
+        rejected = incomplete_sources(deliveries, expectations)
+        deliveries = deliveries.filter(~F.col("source").isin(*rejected)) if rejected else deliveries
+        usable = [s for s in usable if s not in rejected]
     rows = materialize(unique_recent(classified(deliveries), today, months))
     if rows.isEmpty():
         raise NothingCollectedError("no advertisements were collected")
@@ -161,7 +179,7 @@ def refresh(
         current = hi.purge_foreign(current, "greenhouse", keys.filter("source = 'greenhouse'"))
     current = materialize(hi.prune(current, today, keep_days, months))
     shot = sn.build(current, today, fresh_days, months, max_jobs, keep=materialize)
-    return Refresh(counts, batch, deliveries, current, shot, changes)
+    return Refresh(counts, batch, deliveries, current, shot, changes, tuple(rejected))
 
 
 def board_configuration(catalog: DataFrame, required: DataFrame) -> DataFrame:

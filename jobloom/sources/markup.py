@@ -37,6 +37,31 @@ def blocks(pages: DataFrame, pattern: str, before: bool = False) -> DataFrame:
     return pages.select("*", F.posexplode(F.regexp_extract_all("body", F.lit(pattern), 0)).alias("_pos", "_card")).drop("body")
 
 
+def element_blocks(pages: DataFrame, tag: str, opening: str) -> DataFrame:
+    """One row per outermost ``tag`` element whose start tag matches ``opening``, from its start to its own end tag.
+
+    Start and end tags are counted as a parser counts them: elements of the same name inside belong to the card, a start tag that
+    closes itself does not count, comments, scripts and styles hold no tags, and a card that never ends is not given.
+    """
+    quiet = F.regexp_replace(F.regexp_replace("body", r"(?s)<!--.*?-->", ""), r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", "")
+    pieces = F.split(quiet, rf"(?i)(?=<{tag}\b|</{tag}\s*>)")
+    none = F.array().cast("array<string>")
+    start = F.struct(F.lit(0).alias("depth"), none.alias("card"), none.alias("cards"))
+
+    def step(state: Column, piece: Column) -> Column:
+        whole = piece.rlike(rf"(?is)^<{tag}\b[^>]*/>")
+        opens, closes = piece.rlike(rf"(?i)^<{tag}\b") & ~whole, piece.rlike(rf"(?i)^</{tag}\s*>")
+        depth = state["depth"]
+        begins, ends = (depth == 0) & opens & F.regexp_extract(piece, r"(?s)^<[^>]*>", 0).rlike(opening), (depth == 1) & closes
+        after = F.when(begins, 1).when(depth == 0, 0).when(opens, depth + 1).when(closes, depth - 1).otherwise(depth)
+        card = F.when(begins, F.array(piece)).when(after > 0, F.concat(state["card"], F.array(piece))).otherwise(none)
+        cards = F.when(ends, F.concat(state["cards"], F.array(F.array_join(state["card"], "")))).otherwise(state["cards"])
+        return F.struct(after.alias("depth"), card.alias("card"), cards.alias("cards"))
+
+    found = F.aggregate(pieces, start, step, lambda state: state["cards"])
+    return pages.select("*", F.posexplode(found).alias("_pos", "_card")).drop("body")
+
+
 def _path(url: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", ""), r"[?#][\s\S]*$", "")
 
@@ -63,13 +88,17 @@ def sitemap_links(pages: DataFrame, prefix: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class CardSpec:
-    """``fields`` cuts a card into named pieces, each computed once; ``map`` builds canonical columns from them."""
+    """``fields`` cuts a card into named pieces, each computed once; ``map`` builds canonical columns from them.
+
+    A card is a match of ``pattern``, the text up to the next match (``before``), or the whole ``element`` whose start tag matches.
+    """
 
     pattern: str
     fields: Callable[[Column], dict[str, Column]]
     map: Callable[[Callable[[str], Column]], dict[str, Column]]
     repeats: str = "first"
     before: bool = False
+    element: str = ""
 
 
 def _piece(name: str) -> Column:
@@ -126,7 +155,7 @@ def _vacancy_cards(source: str, host: str):
     return CardSpec(anchor, fields, mapping, "last")
 
 
-_CATALOG_CARD = r"""<div\b[^>]*class=["'][^"']*index__job-opportunities__grid__item"""
+_CATALOG_CARD = r"""(?is)\bclass=["'][^"']*index__job-opportunities__grid__item"""
 _CATALOG_LINK = r"""(?is)(<a\b[^>]*data-cy=["']job-opportunity-link["'][^>]*>)(.*?)</a>"""
 
 
@@ -311,7 +340,7 @@ CARD_SPECS: dict[str, CardSpec] = {
     "wise": _path_jobs("https://wise.jobs", "read more", "Wise", city="São Paulo", state="SP"),
     "recrutei": _vacancy_cards("recrutei", "https://jobs.recrutei.com.br"),
     "digisystem": _vacancy_cards("digisystem", "https://jobs.recrutei.com.br/digisystem"),
-    "totvs": CardSpec(f"(?is){_CATALOG_CARD}", _catalog_fields, _catalog, "all", before=True),
+    "totvs": CardSpec(_CATALOG_CARD, _catalog_fields, _catalog, "all", element="div"),
     "nerdin": CardSpec(r"""(?i)<div[^>]*class=["'][^"']*vaga-card[^"']*["']""", _badge_fields, _badge_card, "last", before=True),
     "metalfrio": CardSpec(_DETAIL_CARD, _icon_fields, _icon_card, "all"),
     "nestle": CardSpec(r'(?is)<tr class="data-row">(.*?)</tr>', _table_fields, _table_row),
@@ -330,7 +359,7 @@ def rows(landed: DataFrame, source: str, today: Column | None = None) -> DataFra
     own = landed.filter(F.col("source") == source).withColumn("today", today if today is not None else dt.local_today())
     if "board" not in own.columns:
         own = own.withColumn("board", F.lit(None).cast("string"))
-    cards = blocks(own, spec.pattern, spec.before)
+    cards = element_blocks(own, spec.element, spec.pattern) if spec.element else blocks(own, spec.pattern, spec.before)
     cards = cards.withColumns({f"_f_{name}": piece for name, piece in spec.fields(F.col("_card")).items()})
     mapped = cards.select(
         *canonical({**spec.map(_piece), "source": F.lit(ROW_SOURCE.get(source, source))}), "page", F.col("_pos").alias("item_ord")

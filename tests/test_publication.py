@@ -45,6 +45,20 @@ def test_refresh_publishes_and_a_refused_one_changes_nothing(spark, tmp_path):
     assert [(r["version"], r["rows"]) for r in listed] == [(first["snapshot"], 3), (second["snapshot"], 5)]
 
 
+def test_half_a_catalog_does_not_replace_a_whole_one(spark, tmp_path):
+    path = str(tmp_path / "public")
+    lever = [{"id": f"z{i}", "text": "Analista de Dados", "hostedUrl": f"https://l/z{i}", "categories": {"location": "Recife, Brazil"}, "createdAt": 1786000000000} for i in range(2)]
+    both = landed(spark, "gupy", payload(3)).unionByName(landed(spark, "lever", lever, board="acme"))
+    today = TODAY.cast("date")
+    pn.refresh_and_publish(spark, both, path, today, "gupy,lever")
+    assert pb.read_current(spark, f"{path}/snapshot", "jobs").count() == 5
+    expected = spark.createDataFrame([("gupy", 3, None, None, None), ("lever", 1, 2, 1, 1)], "source string, minimum int, reported int, pages_got int, pages_total int")
+    short = landed(spark, "gupy", payload(1)).unionByName(landed(spark, "lever", lever, board="acme"))
+    pn.refresh_and_publish(spark, short, path, today, "gupy,lever", expectations=expected)
+    assert pb.read_current(spark, f"{path}/snapshot", "jobs").count() == 5
+    assert pb.read_current(spark, f"{path}/snapshot", "header").first()["failed_sources"] == ["gupy"]
+
+
 def test_row_rules_are_counted_while_rows_are_written(spark, tmp_path):
     rows = spark.range(1000).repartition(7).withColumn("text", F.concat(F.lit("t"), F.col("id") % 10))
     part = pb.Part("p", rows, {"low": F.count_if(F.col("id") < 30)}, key="text", required=("id", "other"), forbidden=("text",), allowed=("id",))
