@@ -103,3 +103,39 @@ def phrase_positions(
 
     # not repeatable as far as the optimizer is concerned: it must run once per row, not once per use
     return find.asNondeterministic()(text)
+
+
+def phrases_present(text: Column, phrases: Sequence[str]) -> Column:
+    """``array<int>``: numbers of the phrases that a text holds by the alias rules, ascending; NULL for NULL text."""
+    if len(phrases) > MAX_PHRASES:
+        raise ValueError(f"{len(phrases)} phrases exceed the vocabulary bound of {MAX_PHRASES}")
+    vocabulary = [(p, i, needs_boundary(p)) for i, p in enumerate(phrases) if p]
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for phrase, i, whole in vocabulary:
+            automaton.add_word(phrase, (i, len(phrase) if whole else 0, phrase == "sql"))
+        if vocabulary:
+            automaton.make_automaton()
+
+        def present(value):
+            if value is None or not vocabulary:
+                return None if value is None else []
+            found, size = set(), len(value)
+            for last, (i, length, is_sql) in automaton.iter(value):
+                if i in found:
+                    continue
+                if length:  # a whole word
+                    left = value[last - length] if last >= length else " "
+                    if left in _WORD or (is_sql and left == "/") or (last + 1 < size and value[last + 1] in _WORD):
+                        continue
+                found.add(i)
+            return sorted(found)
+
+        for batch in batches:
+            yield pd.Series([present(v) for v in batch], dtype=object)
+
+    return find.asNondeterministic()(text)

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from jobloom.functions.positions import MAX_PHRASES, phrase_positions
+from jobloom.functions.positions import MAX_PHRASES, phrases_present
 from jobloom.operators.ordering import places
 from jobloom.session import materialize
 
@@ -88,10 +88,9 @@ def vocabulary_hits(texts: DataFrame, terms: DataFrame, folded: str, term: str =
     for s in range(max(1, -(-numbered.count() // shard))):
         # ``shard`` rows at most
         words = [r[0] for r in numbered.filter(F.floor(F.col("place") / shard) == s).select(term).collect()]
-        hits = texts.select(*kept, phrase_positions(F.col(folded), words).alias("_hits"))
+        hits = texts.select(*kept, phrases_present(F.col(folded), words).alias("_hits"))
         named = F.from_json(F.lit(json.dumps(words)), "array<string>")
-        found = F.transform(F.array_distinct(F.transform("_hits", lambda h: h["phrase"])), lambda i: F.get(named, i))
-        part = hits.select(*kept, F.explode(found).alias(term))
+        part = hits.select(*kept, F.explode(F.transform("_hits", lambda i: F.get(named, i))).alias(term))
         out = part if out is None else out.unionByName(part)
     return out
 
