@@ -28,3 +28,16 @@ def test_a_late_delivery_never_replaces_a_newer_one(spark, tmp_path):
     assert got["a"] == (3.0, "2024-02-01") and got["b"] == (5.0, "2024-02-01")
     got = run("2024-02-03", ("a", 4), ("b", 4), ("c", 1))
     assert got["a"] == (4.0, "2024-02-03") and got["b"] == (5.0, "2024-02-01") and got["c"] == (1.0, "2024-02-03")
+
+
+def test_deliveries_meet_what_is_known_in_one_join(spark):
+    """No key costs a call of its own; null keys are one key; what nothing was delivered for in time is forgotten."""
+    batch = spark.createDataFrame([("a", 1.0, 2), ("a", 2.0, 3), (None, 3.0, 1), ("c", 4.0, None), ("d", 5.0, 1)], "k string, v double, n long")
+    known = spark.sql("""SELECT * FROM VALUES ('a', named_struct('o0', 3L), current_timestamp()), (NULL, named_struct('o0', 0L), current_timestamp()),
+        ('b', named_struct('o0', 9L), current_timestamp()), ('d', named_struct('o0', 7L), current_timestamp() - INTERVAL 9 DAYS),
+        ('e', named_struct('o0', 1L), current_timestamp() - INTERVAL 9 DAYS) AS t (_key, _order, _seen)""")
+    newest, state = redelivery.latest_deliveries(batch, known, "k", ["n"], keep_days=8)
+    assert sorted(map(tuple, newest.collect()), key=str) == [("c", 4.0, None), ("d", 5.0, 1), (None, 3.0, 1)]
+    assert {r["_key"]: r["_order"]["o0"] for r in state.collect()} == {"a": 3, None: 1, "b": 9, "c": None, "d": 1}
+    first, left = redelivery.latest_deliveries(batch, None, "k", ["n"])
+    assert sorted((r["k"] or "", r["v"]) for r in first.collect()) == [("", 3.0), ("a", 2.0), ("c", 4.0), ("d", 5.0)] and left.count() == 4
