@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -12,6 +13,7 @@ from jobloom.functions.arrays import unjoined
 from jobloom.functions.dates import activity_seconds
 from jobloom.functions.numbers import salary_text
 from jobloom.operators.ordering import page as one_page, places
+from jobloom.session import materialize
 
 
 def decode(encoded: DataFrame, codes: DataFrame) -> DataFrame:
@@ -129,10 +131,10 @@ def criteria(spec: SearchSpec, now: Column) -> Column:
     return out
 
 
-def order(sort: str, unique: str = "job_uid") -> list[Column]:
+def order(sort: str, unique: str = "job_uid", label=tx.collation_key) -> list[Column]:
     """The four served orders.  Text is compared without case and accents and with numbers by value; the key breaks remaining ties."""
-    recent = F.desc("activity")
-    label = lambda name: F.asc(tx.collation_key(name))
+    recent, compared = F.desc("activity"), label
+    label = lambda name: F.asc(compared(name))
     orders = {
         "recent": [recent, label("title")],
         "company": [label("company"), recent],
@@ -149,6 +151,18 @@ def numbered(rows: DataFrame, sort: str, unique: str = "job_uid") -> DataFrame:
     return placed.select(unique, (F.col("place") + 1).cast("int").alias("place"))
 
 
+def served_orders(rows: DataFrame, sorts: Sequence[str], unique: str = "job_uid") -> DataFrame:
+    """``sort, unique, place`` of several orders.  What texts compare by is made and stored once, not for each order and each look at the rows."""
+    key = lambda name: f"_by_{name}"
+    kept = materialize(rows.select(unique, "portals", "activity", *[tx.collation_key(c).alias(key(c)) for c in ("title", "company")]))
+    out = None
+    for sort in sorts:
+        placed = places(kept, order(sort, unique, lambda name: F.col(key(name))), "place", columns=[unique])
+        part = placed.select(F.lit(sort).alias("sort"), unique, (F.col("place") + 1).cast("int").alias("place"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def search(rows: DataFrame, spec: SearchSpec, now: Column) -> DataFrame:
     return rows.filter(criteria(spec, now))
 

@@ -292,11 +292,7 @@ def _sorted_sql(sort: str) -> str:
 
 @query("srt_02_served_orders", f"WITH {served_sql()} " + " UNION ALL ".join(_sorted_sql(s) for s in ("recent", "company", "title", "portals")))
 def _(spark, folder):
-    rows, out = materialize(shown(spark, folder).select("job_uid", "title", "company", "portals", "activity")), None
-    for sort in ("recent", "company", "title", "portals"):
-        part = se.numbered(rows, sort).select(F.lit(sort).alias("sort"), "job_uid", "place")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return se.served_orders(shown(spark, folder), ("recent", "company", "title", "portals"))
 
 
 @query("srt_04_staging_order", f"""WITH {ADS} SELECT doc_id FROM ads ORDER BY coalesce(nullif(expires_date, ''), published_date) DESC, {sql_search('company')}, {sql_search('title')}, doc_id""")
