@@ -46,10 +46,11 @@ def normalize_cards(cards: DataFrame, today: Column, source: str = "infojobs", k
 
     def names_company(v: Column) -> Column:
         folded = F.lower(v)
-        return ~(
+        # the length first: it is known without a look at a long line
+        return (F.length(v) <= 140) & ~(
             folded.isin(*fx.CARD_NOT_COMPANY) | folded.isin(*fx.CARD_COUNTRY_LINES) | v.rlike(fx.CARD_RATING_LINE)
             | v.rlike(fx.CARD_SALARY_LINE) | _is_place(v) | _is_date(v)
-        ) & (F.length(v) <= 140)
+        )
 
     def city_of(v: Column) -> Column:
         far, near = F.regexp_extract(v, fx.CARD_DISTANCE_LINE, 1), F.regexp_extract(v, fx.CARD_PLACE_LINE, 1)
@@ -67,9 +68,10 @@ def normalize_cards(cards: DataFrame, today: Column, source: str = "infojobs", k
         )
 
     place = F.coalesce(_first(F.col("_rest"), settles_place), F.lit(""))
-    national = F.lower(place).isin(*fx.CARD_COUNTRY_LINES)
+    found = F.col("_place")  # the lines are searched once
+    national = F.lower(found).isin(*fx.CARD_COUNTRY_LINES)
     state = F.upper(F.coalesce(
-        F.nullif(F.regexp_extract(place, fx.CARD_DISTANCE_LINE, 2), F.lit("")), F.regexp_extract(place, fx.CARD_PLACE_LINE, 2)))
+        F.nullif(F.regexp_extract(found, fx.CARD_DISTANCE_LINE, 2), F.lit("")), F.regexp_extract(found, fx.CARD_PLACE_LINE, 2)))
     everything = F.array_join(lines, " ")
     company = F.coalesce(_first(F.slice("_rest", 1, 8), names_company), F.lit(fx.COMPANY_CONFIDENTIAL))
     staged = staged.withColumns(
@@ -86,7 +88,7 @@ def normalize_cards(cards: DataFrame, today: Column, source: str = "infojobs", k
                 "url": F.col("_link"),
                 "work_model": F.when(F.col("_all").rlike(fx.CARD_REMOTE), "remote").when(F.col("_all").rlike(fx.CARD_HYBRID), "hybrid")
                 .when(F.col("_all").rlike(fx.CARD_ON_SITE), "on-site").otherwise(""),
-                "city": F.when(national, "").otherwise(city_of(F.col("_place"))), "state": F.when(national, "").otherwise(state),
+                "city": F.when(national, "").otherwise(city_of(found)), "state": F.when(national, "").otherwise(state),
                 "country": F.lit("BR"), "market": F.lit("BR"), "published_date": relative_date("_date", today),
                 "description": F.substring(F.array_join(F.filter("_lines", lambda v: ~F.lower(v).isin(*fx.CARD_NOT_TEXT)), " "), 1, 3000),
                 "contract_types": tx.labels_in_text(F.lower("_all"), fx.CARD_CONTRACTS),
