@@ -73,8 +73,8 @@ def _(spark, folder):
     )
 
 
-def _portal_pages(spark, folder) -> DataFrame:
-    """One page per part and card portal, as landed."""
+def _portal_pages(spark, folder, portal: str) -> DataFrame:
+    """One page of a card portal per part, as landed."""
     k, name = F.col("p_partkey").cast("string"), F.concat(F.lit("Dev "), F.col("p_name"))
     page = lambda *pieces: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in pieces])
     two = lambda more, label: page('<a class="t" href="/job/dev-jid-', k, '"><b>Dev</b> ', F.col("p_name"), f'</a><a href="/job/dev-jid-', k, f'">{label}</a>', more)
@@ -95,8 +95,8 @@ def _portal_pages(spark, folder) -> DataFrame:
         "cloudwalk": page('<div class="jobs-list-cms-position"><div class="is-open-position">', name, '</div><div fs-list-field="location-type">Remote</div><div fs-list-field="location">Recife</div><a href="/jobs-positions/dev-', k, '">go</a>'),
     }
     boards = {"recrutei": "acme", "totvs": "vidya"}
-    landed = F.array(*[F.struct(F.lit(s).alias("source"), F.lit(boards.get(s)).cast("string").alias("board"), body.alias("body")) for s, body in bodies.items()])
-    return table(spark, folder, "part").select(F.col("p_partkey").alias("page"), F.lit("https://portal.example.com/").alias("url"), F.inline(landed))
+    # each portal lands on its own: a filter on the source would build the pages of all portals for every portal
+    return _landed(table(spark, folder, "part"), portal, bodies[portal], "p_partkey").withColumn("board", F.lit(boards.get(portal)).cast("string"))
 
 
 _PORTALS_SQL = {
@@ -116,9 +116,9 @@ _PORTALS_SQL = {
     f"SELECT '{s}' AS source, {i} AS native_id, {t} AS title, {c} AS company, {u} AS url, {w} AS city FROM p" for s, (i, t, c, u, w) in _PORTALS_SQL.items())
     + " UNION ALL SELECT 'totvs', 'vidya:' || k || '00', 'Outer', 'Vidya', 'https://atracaodetalentos.totvs.app/vidya/' || k || '00/dev', '' FROM p")
 def _(spark, folder):
-    landed, out = _portal_pages(spark, folder), None
+    out = None
     for source in _PORTALS_SQL:
-        part = markup.rows(landed, source, today()).select("source", "native_id", "title", "company", "url", "city")
+        part = markup.rows(_portal_pages(spark, folder, source), source, today()).select("source", "native_id", "title", "company", "url", "city")
         out = part if out is None else out.unionByName(part)
     return out
 
