@@ -134,19 +134,34 @@ def staging_workplace(raw: Column, rules=fx.STAGING_WORKPLACE) -> Column:
 
 def stated_modality(text: Column, cues: str = fx.MODALITY_CUES, rules=fx.MODALITY_IN_TEXT) -> Column:
     """Modality named at most 55 characters after a cue word, or blank."""
-    folded = F.substring(tx.fold_search(text), 1, fx.MODALITY_TEXT_CHARS)
-    patterns = [(label, _ascii_words(rf"\b({cues})\b.{{0,55}}\b({words})\b")) for label, words in rules]
-    return tx.first_label(folded, patterns, "")
+    chars = fx.MODALITY_TEXT_CHARS
+    # the words are looked for before the word limits, which take longer to test
+    patterns = [(label, _ascii_words(rf"(?={cues})\b({cues})\b.{{0,55}}(?={words})\b({words})\b")) for label, words in rules]
+
+    def named(t: Column) -> Column:
+        # a fold goes character by character: a head that stays longer than what is read gives the same as the whole
+        head = tx.fold_search(F.substring(t, 1, 2 * chars))
+        folded = tx.once(head, lambda h: F.when((F.length(t) <= 2 * chars) | (F.length(h) > chars + 100), h).otherwise(tx.fold_search(t)))
+        return tx.once(F.substring(folded, 1, chars), lambda f: tx.first_label(f, patterns, ""))
+
+    return tx.once(tx.text_or_blank(text), named)
 
 
 def contradiction_alerts(
     title: Column, location: Column, description: Column, workplace: Column, detail_loaded: Column, **vocabulary
 ) -> Column:
     """Messages about what the reader should double-check."""
-    in_title = stated_modality(F.concat(F.lit("modalidade "), tx.text_or_blank(title)), **vocabulary)
-    in_text = stated_modality(description, **vocabulary)
+    found = F.struct(
+        stated_modality(F.concat(F.lit("modalidade "), tx.text_or_blank(title)), **vocabulary).alias("title"),
+        stated_modality(description, **vocabulary).alias("text"), tx.fold_search(location).alias("place"),
+        workplace.alias("workplace"), location.alias("location"), detail_loaded.alias("loaded"),
+    )
+    return tx.once(found, _alerts)
+
+
+def _alerts(e: Column) -> Column:
+    in_title, in_text, place, workplace = e["title"], e["text"], e["place"], e["workplace"]
     known = workplace != fx.STAGING_WORKPLACE_OTHER
-    place = tx.fold_search(location)
     return F.array_distinct(
         F.array_compact(
             F.array(
@@ -158,9 +173,9 @@ def contradiction_alerts(
                 F.when((in_text != "") & known & (in_text != workplace), F.format_string(fx.ALERT_TEXT, F.lower(in_text))),
                 F.when(
                     (workplace == "Remoto") & (place != "") & ~place.rlike(fx.REMOTE_ELIGIBLE_ANYWHERE),
-                    F.format_string(fx.ALERT_PLACE, tx.clean_text(location, 100)),
+                    F.format_string(fx.ALERT_PLACE, tx.clean_text(e["location"], 100)),
                 ),
-                F.when(~F.coalesce(detail_loaded, F.lit(False)), fx.ALERT_NO_DETAIL),
+                F.when(~F.coalesce(e["loaded"], F.lit(False)), fx.ALERT_NO_DETAIL),
             )
         )
     )
