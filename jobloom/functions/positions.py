@@ -6,10 +6,12 @@ multi-pattern automaton.  It returns offsets only; every decision based on them
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F, types as T
 
 from jobloom.functions.text import needs_boundary
@@ -51,8 +53,9 @@ def phrase_positions(
     vocabulary = [(i, p, b) for i, (p, b) in enumerate(zip(phrases, bounded)) if p]
     groups = [list(g) for g in contexts]
 
-    @F.pandas_udf(HITS)
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    # plain numbers side by side: an object per hit takes over ten times the memory, and a batch of long texts has millions of hits
+    @F.arrow_udf(HITS)
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import ahocorasick
 
         by_text: dict[str, tuple[list, list]] = {}
@@ -67,39 +70,52 @@ def phrase_positions(
         if by_text:
             automaton.make_automaton()
 
-        def hits(value):
-            if value is None:
-                return None
-            found, last_end, size = [], {}, len(value)
-            seen = [([], []) for _ in groups]  # ends (ascending) and starts
+        def collect(value, numbers, starts, ends, before):
+            """Append the hits of a text, and per hit the start of the nearest phrase of each group."""
+            if not by_text:
+                return
+            first, last_end, size = len(numbers), {}, len(value)
+            seen = [(array("i"), array("i")) for _ in groups]  # ends (ascending) and starts
             for last, (length, is_sql, owners, members) in automaton.iter(value):
                 start, end = last - length + 1, last + 1
                 for g in members:
                     seen[g][0].append(end)
                     seen[g][1].append(start)
+                if not owners:
+                    continue
                 left = value[start - 1] if start else " "
                 clear = left not in _WORD and not (is_sql and left == "/")
                 clear = clear and (end == size or value[end] not in _WORD)
                 for i, whole in owners:
                     if (clear or not whole) and start >= last_end.get(i, 0):
                         last_end[i] = end
-                        found.append((i, start, end))
-
-            def nearest(g, position):
-                ends, starts = seen[g]
-                at, best = bisect_right(ends, position) - 1, -1
-                while at >= 0 and ends[at] > position - reach:
-                    if starts[at] >= position - reach:
-                        best = max(best, starts[at])
-                    at -= 1
-                return best
-
-            return [
-                {"phrase": i, "start": s, "end": e, "before": [nearest(g, s) for g in range(len(groups))]} for i, s, e in found
-            ]
-
+                        numbers.append(i)
+                        starts.append(start)
+                        ends.append(end)
+            for at in range(first, len(starts)):
+                for g in range(len(groups)):
+                    before.append(nearest(*seen[g], starts[at]))
+
+        def nearest(ends, starts, position):
+            at, best = bisect_right(ends, position) - 1, -1
+            while at >= 0 and ends[at] > position - reach:
+                if starts[at] >= position - reach:
+                    best = max(best, starts[at])
+                at -= 1
+            return best
+
+        fields = [pa.field(f.name, t, False) for f, t in zip(HITS.elementType.fields, (pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.field("element", pa.int32(), False))))]
         for batch in batches:
-            yield pd.Series([hits(v) for v in batch], dtype=object) if by_text else batch.map(lambda v: [])
+            numbers, starts, ends, before, offsets = array("i"), array("i"), array("i"), array("i"), array("i", [0])
+            for value in batch:
+                if value.is_valid:
+                    collect(value.as_py(), numbers, starts, ends, before)
+                offsets.append(len(numbers))
+            plain = lambda values: pa.Array.from_buffers(pa.int32(), len(values), [None, pa.py_buffer(values)])
+            each = array("i", range(0, len(numbers) * len(groups) + 1, len(groups))) if groups else array("i", bytes(4 * len(numbers) + 4))
+            lists = pa.ListArray.from_arrays(plain(each), plain(before), type=fields[3].type)
+            hits = pa.StructArray.from_arrays([plain(numbers), plain(starts), plain(ends), lists], fields=fields)
+            yield pa.ListArray.from_arrays(plain(offsets), hits, mask=batch.is_null() if batch.null_count else None)
 
     # not repeatable as far as the optimizer is concerned: it must run once per row, not once per use
     return find.asNondeterministic()(text)
