@@ -18,7 +18,7 @@ import base64
 import re
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import ahocorasick
 import numpy as np
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Entries of each generation of a memo.
-MEMO = 200_000
+MEMO = 100_000
 
 #: A single space with white space on both sides: there, runs of white space are not cut at the space.
 _WIDE_GAP = re.compile(r"\s\x20\s")
@@ -65,15 +65,20 @@ class ByteBpe:
         for token, i in ranks.items():
             self.bytes_of[i] = token
         self.find = regex.compile(pattern).findall
-        self.automaton = ahocorasick.Automaton()
-        for token, i in ranks.items():
-            self.automaton.add_word(token.decode("latin-1"), (len(token), i))
-        self.automaton.make_automaton()
         self.compatible: dict[tuple[int, int], bool] = {}
         self.halves: dict[int, tuple[int, int]] = {}
         self.pieces = Memo(lambda piece: packed(self.walk(piece.encode())))
         self.spaced = Memo(self._spaced)
 
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        """Made when the first text is encoded: workers that only decode never hold it."""
+        made = ahocorasick.Automaton()
+        for token, i in self.ranks.items():
+            made.add_word(token.decode("latin-1"), (len(token), i))
+        made.make_automaton()
+        return made
+
     def _spaced(self, word: str) -> bytes:
         """Ids of a word after a single space."""
         if word.isalpha():

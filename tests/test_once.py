@@ -61,3 +61,18 @@ def test_positions_are_plain_numbers(spark):
     bare = rows.select(phrase_positions(F.col("t"), ["go"], [True]).alias("h"))
     assert [r["h"] and [tuple(h) for h in r["h"]] for r in bare.collect()] == [[(0, 16, 18, [])], None, [], [], []]
     assert [r["h"] for r in rows.select(phrase_positions(F.col("t"), []).alias("h")).collect()] == [[], None, [], [], []]
+
+
+@pytest.mark.parametrize("text", ["", "two words"])
+def test_decoding_makes_no_automaton(text):
+    """op10: only workers that encode hold the automaton."""
+    pytest.importorskip("public_tokenizers")
+    import public_tokenizers
+
+    from jobloom.llm import byte_bpe
+    from jobloom.llm.queries import tokenizer_path
+
+    byte_bpe.load.cache_clear()
+    codec = byte_bpe.load(tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    assert codec.decode(b"") == b"" and "automaton" not in vars(codec)
+    assert codec.decode(codec.encode(text)) == text.encode()
