@@ -131,3 +131,30 @@ def test_sharding(spark):
     sizes = {(r["doc_id"], r["size"], r["text_crc32"]) for r in rows}
     assert (1, 2 + 8, zlib.crc32("é".encode())) in sizes
     assert sharding.shard_table(docs.limit(0), weights, grown).count() == 0
+
+
+@pytest.mark.parametrize("text", ["word, and word. word\nword! 2² ½; x", "a.\x1cb ,\0 c", " \0, x", "a_, b.\r\n c.\u2028d:\n\ne\n", "\nan end.\n", "a" * 3000, "ab" * 1500 + " " * 700, "=-" * 2000 + "é日" * 300])
+def test_byte_bpe_cuts_and_long_pieces(bpe, text):
+    assert np.frombuffer(bpe[0].encode(text), dtype="<u4").tolist() == bpe[1].encode_ordinary(text)
+
+
+def test_byte_bpe_words_are_known_without_closing_signs(bpe):
+    """Each form of a word with its sign or its next line was walked and remembered on its own: 1011 CPU seconds a GB."""
+    codec = byte_bpe.ByteBpe(bpe[0].ranks, P.PATTERN)
+    codec.encode("a quizzle, quizzle. quizzle\nquizzle; quizzle")
+    assert set(codec.spaced) == {"quizzle", "\0,", "\0.", "\0;"}
+
+
+def test_byte_bpe_without_a_byte(bpe):
+    codec = byte_bpe.ByteBpe({b"a": 0, b"b": 1, b"ab": 2}, P.PATTERN)
+    assert codec.walk(b"aabb") == [0, 2, 1]
+    for piece in (b"ac", b"ca", b"abca"):
+        with pytest.raises(ValueError):
+            codec.walk(piece)
+
+
+def test_byte_bpe_rows_go_back_in_parts():
+    import pyarrow as pa
+
+    parts = list(byte_bpe._parts(iter([pa.array(["x"] * (byte_bpe.ROWS + 1)), pa.array([], pa.string())])))
+    assert [len(p) for p in parts] == [byte_bpe.ROWS, 1, 0]
