@@ -75,6 +75,18 @@ def test_jaccard_odd_ids(spark):
     assert ngram_join.jaccard_components(docs.limit(0), 3, 90).count() == 0
 
 
+def test_components_of_a_long_chain(spark, monkeypatch):
+    """A chain in order of ids got shorter by four nodes a round and did not converge."""
+    from jobloom.llm import components as module
+
+    chain = spark.createDataFrame([(i, i + 1) for i in range(600)], "a long, b long")
+    expected = [(i, 0) for i in range(601)]
+    assert sorted(map(tuple, components(chain).collect())) == expected
+    monkeypatch.setattr(module, "TASK_ROWS", 100)
+    monkeypatch.setattr(module, "BROADCAST_ROWS", 0)  # pointers are shuffled
+    assert sorted(map(tuple, components(chain).collect())) == expected
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 101), (200, 101), (300, 300)]
     table = spark.createDataFrame(edges, "a long, b long")
