@@ -44,7 +44,8 @@ def encode(rows: DataFrame, codes: DataFrame, names: dict[str, str], outputs: di
         *[F.max(F.when(F.col("dictionary") == d, F.col("code"))).alias(outputs[d]) for d in names]
     )
     plain = rows.drop(*[c for c in names.values() if c in rows.columns])
-    return plain.join(wide, F.col(position) == F.col("_p")).drop("_p")
+    # the labelled rows hold whole texts and stay off the driver
+    return plain.join(wide.hint("merge"), F.col(position) == F.col("_p")).drop("_p")
 
 
 def codes_in_ranges(values: DataFrame, order: str, ties: Sequence[str], ranges: int = 200) -> DataFrame:

@@ -77,7 +77,8 @@ def build(
     eligible = history.filter(is_eligible(today, fresh_days, months))
     rows = keep(newest(eligible, max_jobs))
     portals = portals_per_key(rows).select(F.col("dedupe_key").alias("_dk"), F.col("portals").alias("np"))
-    counted = public_columns(rows).join(portals, F.col("dedupe_key") == F.col("_dk")).drop("_dk", "dedupe_key")
+    # keys hold whole titles: by its estimate of their width Spark would send them through the driver
+    counted = public_columns(rows).join(portals.hint("merge"), F.col("dedupe_key") == F.col("_dk")).drop("_dk", "dedupe_key")
     return Snapshot(counted, first_appearance_codes(rows, DICTIONARIES, "position"))
 
 
