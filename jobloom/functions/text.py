@@ -27,6 +27,8 @@ _BLANKS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f" + "".join(map(chr, _UNICODE_BLANKS))
 _UNEVEN = rf"{WS}{{2,}}|[\t-\r\x1c-\x1f" + "".join(map(chr, _UNICODE_BLANKS)) + "]"
 _RARE_BLANKS = ",".join(map(chr, _UNICODE_BLANKS))
 _UNEVEN_ASCII = r"[\t-\r\x1c-\x20]{2,}|[\t-\r\x1c-\x1f]"
+#: A blank beyond ASCII; the first range lets ASCII pass at once.
+RARE_BLANK = r"[\x80-\uffff&&[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]]"
 
 
 def _c(value: Column | str) -> Column:
@@ -192,8 +194,12 @@ def unescape(c: Column | str) -> Column:
 
 
 def strip_html(c: Column | str, limit: int = 6000) -> Column:
+    def joined(t: Column) -> Column:
+        # the class of all blanks is slow to scan for; few texts hold one beyond ASCII
+        return F.when(t.rlike(RARE_BLANK), F.regexp_replace(t, rf"{WS}{{2,}}", " ")).otherwise(F.regexp_replace(t, r"[\t-\r\x1c-\x20]{2,}", " "))
+
     text = unescape(F.regexp_replace(text_or_blank(c), "<[^>]+>", " "))
-    return F.substring(strip(F.regexp_replace(text, rf"{WS}{{2,}}", " ")), 1, limit)
+    return F.substring(strip(once(text, joined)), 1, limit)
 
 
 def decode_html(c: Column | str) -> Column:
