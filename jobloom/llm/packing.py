@@ -36,8 +36,12 @@ WIDTH = 16
 GAP = 5e-4
 #: Sizes that the knapsack tries first.
 PROMISING = 20
-#: Entries of the memo of one Python worker before it is emptied.
-MEMO = 1_000_000
+#: Entries of each of the two generations of the memo of one Python worker.
+MEMO = 400_000
+#: Bytes of the longest word that the memo keeps.
+LONGEST = 64
+#: Bytes of ids that are held before they go back to Spark, so that those of a whole batch never are.
+HELD = 2_000_000
 
 #: White space, and letters and digits that neither lower case nor normalisation takes apart.
 _PLAIN = " \\t\\n\\rA-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
@@ -50,7 +54,8 @@ PIECES = T.ArrayType(T.BinaryType())
 class WordIds(dict):
     """Ids of whole texts.  The tokenizer neither sees nor keeps ASCII white space, so words are encoded once and memoised.
 
-    A lower-case ASCII word reaches the merges of the tokenizer directly; any other word takes its whole way.
+    A lower-case ASCII word reaches the merges of the tokenizer directly; any other word takes its whole way.  When the memo
+    is full, it starts anew and keeps the previous generation for look-up.
     """
 
     def __init__(self, path: str):
@@ -59,19 +64,24 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = self.tokenizer.model.tokenize
+        self.old: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        if word.isalpha() and word.islower():
-            ids = b"".join([t.id.to_bytes(4, "little") for t in self.merges(word.decode())])
-        else:
-            found = self.tokenizer.encode(word.decode(), add_special_tokens=False)
-            ids = np.array(found.ids, dtype="<u4").tobytes()
-        self[word] = ids
+        ids = self.old.get(word)
+        if ids is None:
+            if word.isalpha() and word.islower():
+                ids = b"".join([t.id.to_bytes(4, "little") for t in self.merges(word.decode())])
+            else:
+                found = self.tokenizer.encode(word.decode(), add_special_tokens=False)
+                ids = np.array(found.ids, dtype="<u4").tobytes()
+        if len(word) <= LONGEST:
+            if len(self) >= MEMO:
+                self.old = dict(self)
+                self.clear()
+            self[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
-        if len(self) >= MEMO:
-            self.clear()
         if "<|" in text:  # may hold a special token, whose case counts
             data = text.encode()
         else:
@@ -85,18 +95,27 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
+def cut_texts(batches: Iterator[pa.Array], path: str, closing: int = 1, capacity: int = CAPACITY) -> Iterator[pa.Array]:
+    """Pieces of every text, in arrays of about HELD bytes of ids."""
+    encoder, end, step = word_ids(path), np.array([closing], dtype="<u4").tobytes(), 4 * capacity
+    for batch in batches:
+        rows, held = [], 0
+        for value in batch:
+            ids = encoder.encode(value.as_py() or "") + end
+            rows.append([ids[i : i + step] for i in range(0, len(ids), step)])
+            held += len(ids)
+            if held >= HELD:
+                yield pa.array(rows, pa.list_(pa.binary()))
+                rows, held = [], 0
+        yield pa.array(rows, pa.list_(pa.binary()))
+
+
 def pieces_column(text: Column, path: str, closing: int = 1, capacity: int = CAPACITY) -> Column:
     """Array of pieces; a piece is its ids as little-endian unsigned 32-bit integers."""
 
     @F.arrow_udf(PIECES)
     def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder, end, step = word_ids(path), np.array([closing], dtype="<u4").tobytes(), 4 * capacity
-        for batch in batches:
-            rows = []
-            for value in batch:
-                ids = encoder.encode(value.as_py() or "") + end
-                rows.append([ids[i : i + step] for i in range(0, len(ids), step)])
-            yield pa.array(rows, pa.list_(pa.binary()))
+        return cut_texts(batches, path, closing, capacity)
 
     return cut.asNondeterministic()(text)
 

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -60,6 +61,21 @@ def test_word_ids_equal_the_tokenizer(text):
     assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_word_memo_and_held_ids_are_bounded(monkeypatch):
+    """Within one text too the memo keeps its size, long words are not kept, and ids go back in small arrays."""
+    monkeypatch.setattr(packing, "MEMO", 3)
+    monkeypatch.setattr(packing, "HELD", 100)
+    encoder = packing.WordIds(WORDS)
+    text = " ".join(["the", "x" * 500, *(f"word{i} the" for i in range(50))])
+    assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(encoder) <= 3 and len(encoder.old) <= 3 and not any(len(w) > packing.LONGEST for w in (*encoder, *encoder.old))
+    texts = [text, None, "a", "", *["one two three"] * 40]
+    arrays = list(packing.cut_texts(iter([pa.array(texts, pa.string()), pa.array([], pa.string())]), WORDS))
+    assert len(arrays) > 5 and sum(map(len, arrays)) == len(texts)
+    whole = [b"".join(pieces.as_py()) for a in arrays for pieces in a]
+    assert whole == [packing.word_ids(WORDS).encode(t or "") + b"\x01\x00\x00\x00" for t in texts]
+
+
 @settings(max_examples=60, deadline=None)
 @given(histogram=st.dictionaries(st.integers(1, 32), st.integers(0, 500), max_size=32))
 def test_patterns_use_up_the_histogram(histogram):
