@@ -132,27 +132,33 @@ def staging_workplace(raw: Column, rules=fx.STAGING_WORKPLACE) -> Column:
     return tx.first_label(tx.fold_search(raw), rules, fx.STAGING_WORKPLACE_OTHER)
 
 
-def stated_modality(text: Column, cues: str = fx.MODALITY_CUES, rules=fx.MODALITY_IN_TEXT) -> Column:
-    """Modality named at most 55 characters after a cue word, or blank."""
-    chars = fx.MODALITY_TEXT_CHARS
-    # the words are looked for before the word limits, which take longer to test
-    patterns = [(label, _ascii_words(rf"(?={cues})\b({cues})\b.{{0,55}}(?={words})\b({words})\b")) for label, words in rules]
+def _search_head(text: Column, chars: int) -> Column:
+    """The first characters of the folded text; folds only a head of it when that is already long enough."""
 
-    def named(t: Column) -> Column:
+    def cut(t: Column) -> Column:
         # a fold goes character by character: a head that stays longer than what is read gives the same as the whole
         head = tx.fold_search(F.substring(t, 1, 2 * chars))
         folded = tx.once(head, lambda h: F.when((F.length(t) <= 2 * chars) | (F.length(h) > chars + 100), h).otherwise(tx.fold_search(t)))
-        return tx.once(F.substring(folded, 1, chars), lambda f: tx.first_label(f, patterns, ""))
+        return F.substring(folded, 1, chars)
+
+    return tx.once(tx.text_or_blank(text), cut)
 
-    return tx.once(tx.text_or_blank(text), named)
+
+def stated_modality(text: Column, cues: str = fx.MODALITY_CUES, rules=fx.MODALITY_IN_TEXT, chars: int | None = None) -> Column:
+    """Modality named at most 55 characters after a cue word, or blank; looked for in the whole text, or in its first ``chars`` folded characters."""
+    # the words are looked for before the word limits, which take longer to test
+    patterns = [(label, _ascii_words(rf"(?={cues})\b({cues})\b.{{0,55}}(?={words})\b({words})\b")) for label, words in rules]
+    folded = tx.fold_search(text) if chars is None else _search_head(text, chars)
+    return tx.once(folded, lambda f: tx.first_label(f, patterns, ""))
 
 
 def contradiction_alerts(
-    title: Column, location: Column, description: Column, workplace: Column, detail_loaded: Column, **vocabulary
+    title: Column, location: Column, description: Column, workplace: Column, detail_loaded: Column,
+    title_chars: int | None = fx.MODALITY_TEXT_CHARS, **vocabulary,
 ) -> Column:
-    """Messages about what the reader should double-check."""
+    """Messages about what the reader should double-check; descriptions are read whole, titles to ``title_chars``, whole if that is None."""
     found = F.struct(
-        stated_modality(F.concat(F.lit("modalidade "), tx.text_or_blank(title)), **vocabulary).alias("title"),
+        stated_modality(F.concat(F.lit("modalidade "), tx.text_or_blank(title)), chars=title_chars, **vocabulary).alias("title"),
         stated_modality(description, **vocabulary).alias("text"), tx.fold_search(location).alias("place"),
         workplace.alias("workplace"), location.alias("location"), detail_loaded.alias("loaded"),
     )

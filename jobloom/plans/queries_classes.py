@@ -120,11 +120,11 @@ SELECT doc_id, {_MODAL_SQL.format('t')} AS modality, CASE WHEN regexp_matches(w,
 def _(spark, folder):
     rules = (("Remoto", r"\b(the|that)\b"), ("Presencial", r"\b(der|die)\b"))
     return table(spark, folder, "documents").select(
-        "doc_id", cl.stated_modality(F.col("text"), **_MODAL).alias("modality"), cl.staging_workplace(F.col("text"), rules).alias("workplace")
+        "doc_id", cl.stated_modality(F.col("text"), **_MODAL, chars=fx.MODALITY_TEXT_CHARS).alias("modality"), cl.staging_workplace(F.col("text"), rules).alias("workplace")
     )
 
 
-@query("cls_07_contradiction_alerts", f"""WITH x AS (SELECT doc_id, {_MODAL_SQL.format("substr(" + sql_search("'modalidade ' || text") + ", 1, 12000)")} AS tm, {_MODAL_SQL.format("substr(" + sql_search('text') + ", 1, 12000)")} AS dm,
+@query("cls_07_contradiction_alerts", f"""WITH x AS (SELECT doc_id, {_MODAL_SQL.format(sql_search("'modalidade ' || text"))} AS tm, {_MODAL_SQL.format(sql_search('text'))} AS dm,
   CASE doc_id % 3 WHEN 0 THEN 'Remoto' WHEN 1 THEN 'Híbrido' ELSE 'Não informada' END AS w, CASE doc_id % 2 WHEN 0 THEN 'Brasil' ELSE 'Recife' END AS place FROM documents)
 SELECT doc_id, concat_ws('|', CASE WHEN w = 'Não informada' THEN 'A modalidade não foi informada pela plataforma' END,
   CASE WHEN tm <> '' AND w <> 'Não informada' AND tm <> w THEN 'O título indica ' || lower(tm) || ', mas a plataforma classifica como ' || lower(w) END,
@@ -134,7 +134,7 @@ SELECT doc_id, concat_ws('|', CASE WHEN w = 'Não informada' THEN 'A modalidade
 def _(spark, folder):
     i = F.col("doc_id")
     alerts = cl.contradiction_alerts(
-        F.col("text"), pick(i, "Brasil", "Recife"), F.col("text"), pick(i, "Remoto", "Híbrido", "Não informada"), i % 5 != 0, **_MODAL
+        F.col("text"), pick(i, "Brasil", "Recife"), F.col("text"), pick(i, "Remoto", "Híbrido", "Não informada"), i % 5 != 0, title_chars=None, **_MODAL
     )
     return table(spark, folder, "documents").select(i, F.array_join(alerts, "|").alias("alerts"))
 
